@@ -11,6 +11,7 @@ from ladderlake.functions.columns import (
     partition_folder,
     percent,
     tier_key,
+    tier_names,
     win_rate,
 )
 
@@ -27,5 +28,6 @@ __all__ = [
     "partition_folder",
     "percent",
     "tier_key",
+    "tier_names",
     "win_rate",
 ]

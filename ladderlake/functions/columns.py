@@ -39,6 +39,12 @@ def canonical_tier(name: str) -> str:
     return TIER_ALIASES.get(key, key).upper()
 
 
+def tier_names(name: str) -> list[str]:
+    """Every lower-case spelling under which a tier may be landed."""
+    key = canonical_tier(name).lower()
+    return [key] + [alias for alias, target in TIER_ALIASES.items() if target == key]
+
+
 def tier_key(tier: Column | str) -> Column:
     """Lower-case tier with aliases folded, as used in paths."""
     key = F.lower(F.trim(_col(tier)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import canonical_tier
+from ladderlake.functions import tier_names
 from ladderlake.operators.lookup import recent_per_player
 from ladderlake.operators.nested import match_facts
 from ladderlake.operators.ranking import top_players
@@ -57,7 +57,7 @@ def match_raw_to_bronze(
     ``tier`` selects files by name. Records that a failed request left empty go
     no further. Nothing is shuffled but for the file layout.
     """
-    chosen = None if tier is None else rf"{canonical_tier(tier).lower()}_[^/]*$"
+    chosen = None if tier is None else rf"/(?:{'|'.join(tier_names(tier))})_[^/]*$"
     docs = scan_json(spark, raw, match_schema(fields), glob, path_regex=chosen)
     kept, _ = reject_empty(docs)
     write_table(match_facts(kept, fields), bronze, fmt)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import canonical_tier, tier_key
+from ladderlake.functions import tier_key, tier_names
 from ladderlake.operators.sets import union_by_name
 from ladderlake.schemas import StandingsColumns, standings_schema
 from ladderlake.sources import read_table, reject_empty, scan_json, write_table
@@ -45,7 +45,7 @@ def standings_raw_to_bronze(
         schema = standings_schema(cols)
     chosen = None
     if tiers is not None:
-        names = "|".join(canonical_tier(t).lower() for t in tiers)
+        names = "|".join(name for t in tiers for name in tier_names(t))
         chosen = rf"/(?:folder=)?(?:{names})_[^/]*/[^/]+$"
     pages = scan_json(spark, raw, schema, glob, path_regex=chosen)
     kept, _ = reject_empty(pages, cols.player, cols.tier)

@@ -74,7 +74,7 @@ def whole_records_to_bronze(
     spark: SparkSession,
     raw: str,
     bronze: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     glob: str = "*",
     fmt: str = "parquet",
     options: dict | None = None,

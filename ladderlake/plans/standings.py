@@ -28,7 +28,7 @@ def standings_raw_to_bronze(
     bronze: str,
     tiers: Sequence[str] | None = None,
     cols: StandingsColumns = StandingsColumns(),
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     infer: bool = False,
     glob: str = "*.json",
     fmt: str = "parquet",

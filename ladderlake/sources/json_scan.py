@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 def scan_json(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     glob: str = "*.json",
     path_regex: str | None = None,
     file_column: str | None = None,

@@ -19,7 +19,7 @@ def default_format() -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Table at a path. Declaring fewer columns or nested fields reads fewer."""
     reader = spark.read.format(fmt)

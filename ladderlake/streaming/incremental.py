@@ -12,7 +12,7 @@ def load_new_files(
     source: str,
     table: str,
     checkpoint: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     glob: str = "*.json",
     fmt: str = "json",
     table_format: str = "parquet",

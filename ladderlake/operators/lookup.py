@@ -36,10 +36,10 @@ def lookup_chain(
 
     The selected players and their accounts are staged first, so that the
     planner sees how few they are and the large history is filtered in place
-    instead of being shuffled.
+    instead of being shuffled. Repeated history entries count once.
     """
     accounts = materialize(players.join(ids, player), "accounts")
-    return history.join(accounts, account).join(matches, match)
+    return history.join(accounts, account).distinct().join(matches, match)
 
 
 def _instant(column_type: str, epoch: int):

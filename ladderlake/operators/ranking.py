@@ -75,7 +75,8 @@ def top_n(
     if n > limit:
         return number_rows(df, group, order, name).filter(F.col(name) <= n)
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+    first = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+    return first.withColumn(name, F.col(name).cast("bigint"))
 
 
 def standings_order(cols: StandingsColumns, rate: str = "win_percentage") -> list[Column]:

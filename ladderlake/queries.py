@@ -203,11 +203,10 @@ def describe_figures_as_text(spark, sf_dir):
 
 @query
 def describe_by_tier(spark, sf_dir):
-    tiers = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("player_id"), F.col("p_type").alias("tier")
-    )
-    with_tier = views.facts(spark, sf_dir).join(tiers, "player_id")
-    return rounded(describe_by(with_tier, ["tier"], "damage"), "mean", "stddev", places=4)
+    """Fact rows carry their tier; here flag and status together play it."""
+    tier = F.concat("l_returnflag", "l_linestatus").alias("tier")
+    facts = table(spark, sf_dir, "lineitem").select(tier, F.col("l_extendedprice").alias("damage"))
+    return rounded(describe_by(facts, ["tier"], "damage"), "mean", "stddev", places=4)
 
 
 @query
@@ -470,13 +469,9 @@ def lookup_chain_of_top_players(spark, sf_dir):
     """Top players to account ids to their matches to match records."""
     account = F.concat(F.lit("acc-"), F.col("p_partkey").cast("string")).alias("account_id")
     ids = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("player_id"), account)
-    played = (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            F.concat(F.lit("acc-"), F.col("l_partkey").cast("string")).alias("account_id"),
-            F.col("l_orderkey").alias("match_id"),
-        )
-        .distinct()
+    played = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("acc-"), F.col("l_partkey").cast("string")).alias("account_id"),
+        F.col("l_orderkey").alias("match_id"),
     )
     players = best_players(spark, sf_dir).select("tier", "division", "player_id", "rn")
     chain = lookup_chain(players, ids, played, views.matches(spark, sf_dir))

@@ -74,14 +74,18 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str, player: str = "l_partkey") -> DataFrame:
-    """Which player took part in which match; repeats go before the join."""
-    played = (
-        table(spark, sf_dir, "lineitem")
-        .select(F.col(player).alias("player_id"), F.col("l_orderkey").alias("match_id"))
-        .distinct()
+    """Which player took part in which match.
+
+    Repeats go after the join: both work on the match, so one shuffle does, and
+    a choice of matches or players narrows the line items before it.
+    """
+    played = table(spark, sf_dir, "lineitem").select(
+        F.col(player).alias("player_id"), F.col("l_orderkey").alias("match_id")
     )
-    return played.join(matches(spark, sf_dir), "match_id").select(
-        "player_id", "match_id", "ts", "match_type"
+    return (
+        played.join(matches(spark, sf_dir), "match_id")
+        .select("player_id", "match_id", "ts", "match_type")
+        .distinct()
     )
 
 

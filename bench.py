@@ -18,19 +18,19 @@ from ladderlake.session import build_session  # noqa: E402
 
 HEADLINE = (
     "top_n_players",
-    "rank_players_all",
+    "rank_players",
     "count_by_tier",
     "distinct_players",
     "describe_by_tier",
     "null_percentages",
     "explode_participants",
-    "match_facts_all_columns",
+    "match_facts",
     "json_scan_standings",
     "landing_dedup",
-    "lookup_chain_of_top_players",
+    "lookup_chain",
     "recent_matches_per_player",
     "matches_of_top_players",
-    "schema_drift_by_table",
+    "schema_drift",
     "job_standings_gold",
     "job_match_gold",
     "job_top_matches",

@@ -19,14 +19,22 @@ def explode_fields(
 ) -> DataFrame:
     """One row per array element with the named struct fields of it.
 
-    Zipping the field arrays, rather than exploding the struct, keeps the
-    columnar reader to the fields named. Null and empty arrays give no row, or
-    one row of nulls with ``outer``.
+    Null and empty arrays give no row, or one row of nulls with ``outer``.
+
+    A struct of just the named fields, as a declared schema gives, is exploded
+    as it is. Out of a wider one only the field arrays are zipped and exploded,
+    which keeps a columnar reader to those fields; the whole struct would be
+    read otherwise.
     """
     explode = F.explode_outer if outer else F.explode
-    zipped = F.arrays_zip(*[F.col(f"{array}.{f}") for f in fields])
-    return df.select(*keep, explode(zipped).alias("_e")).select(
-        *[c for c in df.select(*keep).columns], *[F.col(f"_e.{f}").alias(f) for f in fields]
+    elements = df.select(F.col(array).alias("a")).schema["a"].dataType.elementType
+    if set(elements.names) == set(fields):
+        exploded = F.col(array)
+    else:
+        exploded = F.arrays_zip(*[F.col(f"{array}.{f}") for f in fields])
+    kept = df.select(*keep).columns
+    return df.select(*keep, explode(exploded).alias("_e")).select(
+        *kept, *[F.col(f"_e.{f}").alias(f) for f in fields]
     )
 
 

@@ -154,9 +154,9 @@ from listing group by column_name"""
 SQL: dict[str, str] = {
     "top_n_players": _TOP
     + "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from top",
-    "rank_players_all": f"with {_STANDINGS}, {_RANKED.format(min_games=0)} "
+    "rank_players": f"with {_STANDINGS}, {_RANKED.format(min_games=0)} "
     "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from ranked",
-    "win_rate_all": _ALL
+    "win_rate": _ALL
     + """select player_id, wins, losses, round(case when wins + losses = 0 then null
     else wins / (wins + losses) end, 6) as win_percentage from standings""",
     "min_games_filter": _ALL + "select * from standings where wins + losses >= 20",
@@ -168,11 +168,11 @@ SQL: dict[str, str] = {
     "count_by_tier": "select p_type as tier, count(*) as player_count from part group by 1",
     "distinct_players": "select count(distinct l_partkey) as player_count from lineitem",
     "distinct_tiers": "select distinct p_type as tier from part",
-    "row_count_all": "select count(*) as row_count from lineitem",
+    "row_count": "select count(*) as row_count from lineitem",
     "describe_metric": "select 'damage' as column_name, "
     + _FIGURES.format(c="l_extendedprice")
     + " from lineitem",
-    "describe_figures_as_text": " union all ".join(
+    "describe_strings": " union all ".join(
         f"""select '{name}' as summary, round(cast({f.format('l_quantity')} as double), 4) as gold,
         round(cast({f.format('l_extendedprice')} as double), 4) as damage from lineitem"""
         for name, f in (
@@ -223,7 +223,7 @@ SQL: dict[str, str] = {
     + """select cast(match_id as varchar) as "matchId", player_id, slot, team, win, gold, damage
     from facts""",
     "explode_outer_participants": f"with {_FACTS}, {_OUTER} select * from outer_facts",
-    "match_facts_all_columns": f"select {_full_columns()} from lineitem",
+    "match_facts": f"select {_full_columns()} from lineitem",
     "explode_stored_docs": """select cast(l_orderkey as varchar) as "matchId",
     l_partkey as player_id, l_extendedprice as damage from lineitem""",
     "json_scan_standings": _STANDINGS_ROWS,
@@ -244,12 +244,12 @@ SQL: dict[str, str] = {
     lower(p_type) || '_' || p_brand || '/' || p_size || '.json' as page_path,
     'matchs/' || lower(p_type) || '_' || p_partkey || '.json' as match_path,
     cast(regexp_replace(p_brand, '[^0-9]', '', 'g') as bigint) as brand_digits from part""",
-    "next_page_by_host": r"""
+    "next_page": r"""
     select regexp_extract(url, '^https?://([^/]+)', 1) as host,
       cast(coalesce(max(try_cast(regexp_extract(url, '[?&]page=(\d+)', 1) as int)) + 1, 1) as int)
         as next_page
     from pages group by 1""",
-    "landing_report_by_host": r"""
+    "landing_report": r"""
     with p as (select regexp_extract(url, '^https?://([^/]+)', 1) as host,
       try_cast(regexp_extract(url, '[?&]page=(\d+)', 1) as int) as page from pages)
     select host, min(page) as first_page, max(page) as last_page,
@@ -264,7 +264,7 @@ SQL: dict[str, str] = {
     "incremental_ledger": """select event_id, event_type, user_id from events e
     where not exists (select 1 from events l where l.value > 50
       and l.event_type = e.event_type and l.user_id = e.user_id)""",
-    "lookup_chain_of_top_players": _TOP
+    "lookup_chain": _TOP
     + """select tier, division, t.player_id, rn, 'acc-' || t.player_id as account_id, l.match_id,
       o_orderpriority as match_type, o_totalprice as total
     from top t
@@ -279,13 +279,13 @@ SQL: dict[str, str] = {
     + """select o_orderkey as match_id, o_orderpriority as match_type, o_totalprice as total
     from orders where o_orderkey in (select l_orderkey from lineitem
       where l_partkey in (select player_id from top where rn = 1))""",
-    "schema_report_lineitem": " union all ".join(
+    "schema_report": " union all ".join(
         f"""select cast({i} as int) as position, '{c}' as column_name, '{k}' as data_type,
         count({c}) as value_count from lineitem"""
         for i, (c, k) in enumerate(_LINEITEM_TYPES.items())
     ),
-    "schema_drift_by_table": _schema_drift(),
-    "preview_standings": _STANDINGS_ROWS + " order by tier, division, player_id limit 20",
+    "schema_drift": _schema_drift(),
+    "preview": _STANDINGS_ROWS + " order by tier, division, player_id limit 20",
     "job_standings_gold": _STANDINGS_ROWS,
     "job_all_tiers": _STANDINGS_ROWS,
     "job_match_gold": f"select {_landed_columns(MATCH_COLUMNS)} from lineitem",

@@ -15,7 +15,17 @@ from pyspark.sql import types as T
 from ladderlake.functions import tier_key, tier_names
 from ladderlake.operators.sets import union_by_name
 from ladderlake.schemas import StandingsColumns, standings_schema
-from ladderlake.sources import read_table, reject_empty, scan_json, write_table
+from ladderlake.sources import (
+    landed_files,
+    landing_report,
+    latest_per_key,
+    next_page,
+    read_table,
+    reject_empty,
+    scan_json,
+    with_pages,
+    write_table,
+)
 
 
 def _only(df: DataFrame, column: str, wanted: Sequence[str] | None) -> DataFrame:
@@ -30,11 +40,14 @@ def standings_raw_to_bronze(
     cols: StandingsColumns = StandingsColumns(),
     schema: T.StructType | str | None = None,
     infer: bool = False,
+    latest_only: bool = False,
     glob: str = "*.json",
     fmt: str = "parquet",
 ) -> DataFrame:
     """Landed pages, in folders ``<tier>_<division>``, to the bronze table.
 
+    ``latest_only`` keeps the newest landing of a player who is in several pages.
+
     ``infer`` carries fields nobody declared, at the price of a second pass.
     Records without tier and player, as failed requests land, are left out; see
     :func:`ladderlake.sources.reject_empty` to count them.
@@ -47,13 +60,31 @@ def standings_raw_to_bronze(
     if tiers is not None:
         names = "|".join(name for t in tiers for name in tier_names(t))
         chosen = rf"/(?:folder=)?(?:{names})_[^/]*/[^/]+$"
-    pages = scan_json(spark, raw, schema, glob, path_regex=chosen)
+    files = {"_file": "file_path", "_landed": "file_modification_time"} if latest_only else None
+    pages = scan_json(spark, raw, schema, glob, path_regex=chosen, metadata=files)
     kept, _ = reject_empty(pages, cols.player, cols.tier)
-    tier = F.upper(tier_key(cols.tier))
-    write_table(kept.withColumn(cols.tier, tier), bronze, fmt, cols.group, "partitions")
+    kept = kept.withColumn(cols.tier, F.upper(tier_key(cols.tier)))
+    if latest_only:
+        newest = [F.col("_landed").desc(), F.col("_file").desc()]
+        kept = latest_per_key(kept, [*cols.group, cols.player], newest).drop("_landed", "_file")
+    write_table(kept, bronze, fmt, cols.group, "partitions")
     return read_table(spark, bronze, fmt)
 
 
+def landing_status(
+    spark: SparkSession, raw: str, expected: DataFrame | None = None, glob: str = "*.json"
+) -> DataFrame:
+    """Landed page range of every folder and the page to fetch next.
+
+    To be kept next to a load: it shows a fetch that ended early. ``expected``
+    lists folders, in a column ``folder``, that may hold no page so far.
+    """
+    folder = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
+    listing = with_pages(landed_files(spark, raw, glob)).withColumn("folder", folder)
+    resume = next_page(listing, ["folder"], "page", expected)
+    return resume.join(landing_report(listing, ["folder"], "page"), "folder", "left")
+
+
 def standings_bronze_to_silver(
     spark: SparkSession,
     bronze: str,

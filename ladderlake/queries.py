@@ -91,13 +91,16 @@ MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 SINCE, UNTIL = 820454400, 915148799
 
 
-def query(function: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(tune(spark), sf_dir)
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(tune(spark), sf_dir)
 
-    run.__name__, run.__doc__ = function.__name__, function.__doc__
-    REGISTRY[function.__name__] = run
-    return function
+        run.__name__, run.__doc__ = name, function.__doc__
+        REGISTRY[name] = run
+        return function
+
+    return register
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
@@ -107,13 +110,13 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 # --- ranking -----------------------------------------------------------------
 
 
-@query
+@query("top_n_players")
 def top_n_players(spark, sf_dir):
     """Best two players of every tier and division with at least 20 games."""
     return rounded(top_players(views.standings(spark, sf_dir), COLS), "win_percentage")
 
 
-@query
+@query("rank_players")
 def rank_players_all(spark, sf_dir):
     """Position of every player in the division."""
     return rounded(rank_players(views.standings(spark, sf_dir), COLS), "win_percentage")
@@ -122,7 +125,7 @@ def rank_players_all(spark, sf_dir):
 # --- projections, filters ----------------------------------------------------
 
 
-@query
+@query("win_rate")
 def win_rate_all(spark, sf_dir):
     rate = win_rate("wins", "losses").alias("win_percentage")
     return rounded(
@@ -131,17 +134,17 @@ def win_rate_all(spark, sf_dir):
     )
 
 
-@query
+@query("min_games_filter")
 def min_games_filter(spark, sf_dir):
     return eligible(views.standings(spark, sf_dir), COLS)
 
 
-@query
+@query("player_lookup")
 def player_lookup(spark, sf_dir):
     return views.standings(spark, sf_dir).filter(F.col("player_name") == "red widget")
 
 
-@query
+@query("names_to_players")
 def names_to_players(spark, sf_dir):
     """Players for a list of names: those of all parts of the largest size."""
     part = table(spark, sf_dir, "part")
@@ -152,12 +155,12 @@ def names_to_players(spark, sf_dir):
     return resolve_names(names, players, "player_name").select("player_id", "player_name")
 
 
-@query
+@query("project_cols")
 def project_cols(spark, sf_dir):
     return views.facts(spark, sf_dir).select("match_id", "damage")
 
 
-@query
+@query("tier_slice")
 def tier_slice(spark, sf_dir):
     return views.standings(spark, sf_dir).filter(F.col("tier") == "PROMO")
 
@@ -165,32 +168,32 @@ def tier_slice(spark, sf_dir):
 # --- aggregates --------------------------------------------------------------
 
 
-@query
+@query("count_by_tier")
 def count_by_tier(spark, sf_dir):
     return count_by(views.standings(spark, sf_dir), "tier")
 
 
-@query
+@query("distinct_players")
 def distinct_players(spark, sf_dir):
     return distinct_count(views.facts(spark, sf_dir), "player_id", "player_count")
 
 
-@query
+@query("distinct_tiers")
 def distinct_tiers(spark, sf_dir):
     return distinct_values(views.standings(spark, sf_dir), "tier")
 
 
-@query
+@query("row_count")
 def row_count_all(spark, sf_dir):
     return row_count(views.facts(spark, sf_dir))
 
 
-@query
+@query("describe_metric")
 def describe_metric(spark, sf_dir):
     return rounded(describe(views.facts(spark, sf_dir), "damage"), "mean", "stddev", places=4)
 
 
-@query
+@query("describe_strings")
 def describe_figures_as_text(spark, sf_dir):
     """Text figures, read back as numbers to compare them."""
     text = describe_strings(views.facts(spark, sf_dir), "gold", "damage")
@@ -201,7 +204,7 @@ def describe_figures_as_text(spark, sf_dir):
     )
 
 
-@query
+@query("describe_by_tier")
 def describe_by_tier(spark, sf_dir):
     """Fact rows carry their tier; here flag and status together play it."""
     tier = F.concat("l_returnflag", "l_linestatus").alias("tier")
@@ -209,21 +212,21 @@ def describe_by_tier(spark, sf_dir):
     return rounded(describe_by(facts, ["tier"], "damage"), "mean", "stddev", places=4)
 
 
-@query
+@query("numeric_columns_profile")
 def numeric_columns_profile(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem")
     columns = columns_of_type(lineitem, "bigint", "double")
     return rounded(describe(lineitem, *columns), "mean", "stddev", places=4)
 
 
-@query
+@query("null_percentages")
 def null_percentages(spark, sf_dir):
     """Missing values after an outer explode; matches without players give nulls."""
     docs = views.match_docs(spark, sf_dir, views.brief_participant())
     return rounded(null_profile(match_facts(docs, list(views.brief_participant()), outer=True)), "null_pct")
 
 
-@query
+@query("null_or_nan_count")
 def null_or_nan_count(spark, sf_dir):
     """NaN counts as missing: here the values of all error events."""
     value = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
@@ -233,7 +236,7 @@ def null_or_nan_count(spark, sf_dir):
 # --- unions ------------------------------------------------------------------
 
 
-@query
+@query("union_tiers")
 def union_tiers(spark, sf_dir):
     """Tiers read one by one from a table and put together again."""
     path = staging_path(spark, "tiers")
@@ -242,7 +245,7 @@ def union_tiers(spark, sf_dir):
     return union_by_name([stored.filter(F.col("tier") == t) for t in PART_TIERS])
 
 
-@query
+@query("union_with_drift")
 def union_with_drift(spark, sf_dir):
     """Other column order, and columns that one side lacks."""
     customers = table(spark, sf_dir, "customer").select(
@@ -259,7 +262,7 @@ def union_with_drift(spark, sf_dir):
     return union_by_name([suppliers, customers])
 
 
-@query
+@query("union_same_layout")
 def union_same_layout(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_name").alias("name"), F.col("c_acctbal").alias("acctbal")
@@ -273,25 +276,25 @@ def union_same_layout(spark, sf_dir):
 # --- nested records ----------------------------------------------------------
 
 
-@query
+@query("explode_participants")
 def explode_participants(spark, sf_dir):
     docs = views.match_docs(spark, sf_dir, views.brief_participant())
     return match_facts(docs, list(views.brief_participant()))
 
 
-@query
+@query("explode_outer_participants")
 def explode_outer_participants(spark, sf_dir):
     docs = views.match_docs(spark, sf_dir, views.brief_participant())
     return match_facts(docs, list(views.brief_participant()), outer=True)
 
 
-@query
+@query("match_facts")
 def match_facts_all_columns(spark, sf_dir):
     """All columns of the participant facts."""
     return match_facts(views.match_docs(spark, sf_dir, views.full_participant()))
 
 
-@query
+@query("explode_stored_docs")
 def explode_stored_docs(spark, sf_dir):
     """Two fields out of nested documents in a columnar table."""
     path = staging_path(spark, "docs")
@@ -311,17 +314,17 @@ def landed_standings(spark, sf_dir) -> str:
     return land_json(df, staging_path(spark, "raw-standings"), ["folder"])
 
 
-@query
+@query("json_scan_standings")
 def json_scan_standings(spark, sf_dir):
     return scan_json(spark, landed_standings(spark, sf_dir), STANDINGS_SCHEMA)
 
 
-@query
+@query("json_scan_inferred")
 def json_scan_inferred(spark, sf_dir):
     return scan_json(spark, landed_standings(spark, sf_dir))
 
 
-@query
+@query("json_roundtrip")
 def json_roundtrip(spark, sf_dir):
     """JSON text to a struct, and a row to JSON text."""
     k = decode_json("props", "k bigint").k.alias("k")
@@ -332,7 +335,7 @@ def json_roundtrip(spark, sf_dir):
     )
 
 
-@query
+@query("json_text_roundtrip")
 def json_text_roundtrip(spark, sf_dir):
     """Whole texts survive encoding, characters beyond ASCII included."""
     docs = table(spark, sf_dir, "documents").select("doc_id", encode_json("text").alias("body"))
@@ -342,13 +345,13 @@ def json_text_roundtrip(spark, sf_dir):
 # --- tables ------------------------------------------------------------------
 
 
-@query
+@query("table_scan")
 def table_scan(spark, sf_dir):
     orders = read_table(spark, f"{sf_dir}/orders.parquet")
     return orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
 
 
-@query
+@query("overwrite_roundtrip")
 def overwrite_roundtrip(spark, sf_dir):
     """A second write replaces rows and schema of the first."""
     path = staging_path(spark, "overwrite")
@@ -358,7 +361,7 @@ def overwrite_roundtrip(spark, sf_dir):
     return read_table(spark, path)
 
 
-@query
+@query("partition_overwrite")
 def partition_overwrite(spark, sf_dir):
     """A second write replaces one tier and leaves the others."""
     path = staging_path(spark, "partitions")
@@ -370,7 +373,7 @@ def partition_overwrite(spark, sf_dir):
     return rounded(read_table(spark, path), "points")
 
 
-@query
+@query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
     path = write_csv(views.standings(spark, sf_dir), staging_path(spark, "csv"))
     return spark.read.schema(STANDINGS_SCHEMA).csv(path, header=True)
@@ -379,7 +382,7 @@ def csv_roundtrip(spark, sf_dir):
 # --- landing -----------------------------------------------------------------
 
 
-@query
+@query("scan_prefix")
 def scan_prefix(spark, sf_dir):
     """Files below all folders with a common prefix."""
     documents = table(spark, sf_dir, "documents").select(
@@ -390,14 +393,14 @@ def scan_prefix(spark, sf_dir):
     return scan_json(spark, f"{root}/folder=src1*", schema)
 
 
-@query
+@query("scan_path_regex")
 def scan_path_regex(spark, sf_dir):
     """Files whose path matches a search for a tier."""
     root = landed_standings(spark, sf_dir)
     return scan_json(spark, root, STANDINGS_SCHEMA, path_regex=r"(economy|small)_")
 
 
-@query
+@query("path_normalize")
 def path_normalize(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     return part.select(
@@ -415,17 +418,17 @@ def pages_by_host(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "pages").select(host, page)
 
 
-@query
+@query("next_page")
 def next_page_by_host(spark, sf_dir):
     return next_page(pages_by_host(spark, sf_dir), ["host"], "page")
 
 
-@query
+@query("landing_report")
 def landing_report_by_host(spark, sf_dir):
     return landing_report(pages_by_host(spark, sf_dir), ["host"], "page")
 
 
-@query
+@query("landing_dedup")
 def landing_dedup(spark, sf_dir):
     """Newest event of every (type, user)."""
     order = [F.col("ts").desc(), F.col("event_id").desc()]
@@ -433,7 +436,7 @@ def landing_dedup(spark, sf_dir):
     return latest.select("event_type", "user_id", "event_id", "value")
 
 
-@query
+@query("incremental_pages")
 def incremental_pages(spark, sf_dir):
     """Events landed in two lots and loaded in three runs, the last without news."""
     raw, loaded = staging_path(spark, "raw-events"), staging_path(spark, "events")
@@ -447,7 +450,7 @@ def incremental_pages(spark, sf_dir):
     return read_table(spark, loaded).drop("source_file")
 
 
-@query
+@query("incremental_ledger")
 def incremental_ledger(spark, sf_dir):
     """Landed events that the ledger of loaded (type, user) keys does not name."""
     events = table(spark, sf_dir, "events")
@@ -464,7 +467,7 @@ def best_players(spark, sf_dir) -> DataFrame:
     return top_players(views.standings(spark, sf_dir), COLS)
 
 
-@query
+@query("lookup_chain")
 def lookup_chain_of_top_players(spark, sf_dir):
     """Top players to account ids to their matches to match records."""
     account = F.concat(F.lit("acc-"), F.col("p_partkey").cast("string")).alias("account_id")
@@ -480,7 +483,7 @@ def lookup_chain_of_top_players(spark, sf_dir):
     )
 
 
-@query
+@query("recent_matches_per_player")
 def recent_matches_per_player(spark, sf_dir):
     """Newest 20 urgent matches of every supplier in 1996 to 1998."""
     history = views.history(spark, sf_dir, "l_suppkey")
@@ -489,7 +492,7 @@ def recent_matches_per_player(spark, sf_dir):
     )
 
 
-@query
+@query("matches_of_top_players")
 def matches_of_top_players(spark, sf_dir):
     """Matches with a division's best player in them."""
     best = best_players(spark, sf_dir).filter(F.col("rn") == 1)
@@ -500,7 +503,7 @@ def matches_of_top_players(spark, sf_dir):
 # --- inspection --------------------------------------------------------------
 
 
-@query
+@query("schema_report")
 def schema_report_lineitem(spark, sf_dir):
     return schema_report(table(spark, sf_dir, "lineitem"))
 
@@ -511,13 +514,13 @@ def unprefixed(spark, sf_dir, name: str) -> DataFrame:
     return df.toDF(*[c.split("_", 1)[1] for c in df.columns])
 
 
-@query
+@query("schema_drift")
 def schema_drift_by_table(spark, sf_dir):
     names = ("customer", "nation", "part", "region", "supplier")
     return schema_drift({n: unprefixed(spark, sf_dir, n) for n in names})
 
 
-@query
+@query("preview")
 def preview_standings(spark, sf_dir):
     return preview(views.standings(spark, sf_dir), ["tier", "division", "player_id"])
 
@@ -525,7 +528,7 @@ def preview_standings(spark, sf_dir):
 # --- jobs --------------------------------------------------------------------
 
 
-@query
+@query("job_standings_gold")
 def job_standings_gold(spark, sf_dir):
     """Landed standings through bronze and silver to the gold table."""
     raw = landed_standings(spark, sf_dir)
@@ -535,7 +538,7 @@ def job_standings_gold(spark, sf_dir):
     return standings_silver_to_gold(spark, silver, gold, cols=COLS)
 
 
-@query
+@query("job_all_tiers")
 def job_all_tiers(spark, sf_dir):
     """Landed standings, tier after tier, to one table of all tiers."""
     raw = landed_standings(spark, sf_dir)
@@ -572,7 +575,7 @@ def landed_matches(spark, sf_dir) -> str:
     return path
 
 
-@query
+@query("job_match_gold")
 def job_match_gold(spark, sf_dir):
     """Landed matches to bronze participant rows, then published."""
     raw = landed_matches(spark, sf_dir)
@@ -581,7 +584,7 @@ def job_match_gold(spark, sf_dir):
     return republish(spark, bronze, gold)
 
 
-@query
+@query("rejected_matches")
 def rejected_matches(spark, sf_dir):
     """How many landed matches are kept, and how many are empty records."""
     docs = scan_json(spark, landed_matches(spark, sf_dir), match_schema(["win"]), "part-*")
@@ -592,7 +595,7 @@ def rejected_matches(spark, sf_dir):
     return union_by_name(status)
 
 
-@query
+@query("job_top_matches")
 def job_top_matches(spark, sf_dir):
     """From the standings to the participants of the top players' recent matches."""
     wanted = select_matches(
@@ -612,7 +615,7 @@ def job_top_matches(spark, sf_dir):
     return read_table(spark, path)
 
 
-@query
+@query("job_passthrough")
 def job_passthrough(spark, sf_dir):
     """Whole records, no field touched."""
     conversations = table(spark, sf_dir, "conversations")

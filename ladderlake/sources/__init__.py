@@ -6,6 +6,7 @@ from ladderlake.sources.landing import (
     latest_per_key,
     next_page,
     not_yet_loaded,
+    with_pages,
 )
 from ladderlake.sources.tables import default_format, read_table, write_csv, write_table
 
@@ -20,6 +21,7 @@ __all__ = [
     "read_table",
     "reject_empty",
     "scan_json",
+    "with_pages",
     "write_csv",
     "write_table",
 ]

@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_METADATA_TYPES = {
+    "file_path": "string",
+    "file_name": "string",
+    "file_size": "bigint",
+    "file_modification_time": "timestamp",
+}
+
 
 def scan_json(
     spark: SparkSession,
@@ -16,7 +23,7 @@ def scan_json(
     schema: T.StructType | str | None = None,
     glob: str = "*.json",
     path_regex: str | None = None,
-    file_column: str | None = None,
+    metadata: dict[str, str] | None = None,
     options: dict | None = None,
 ) -> DataFrame:
     """Rows of all JSON files below ``path`` (a prefix such as ``raw/gold_*`` works).
@@ -24,9 +31,10 @@ def scan_json(
     With a declared ``schema`` the files are read once, only the declared
     fields are built, and absent fields are null. Without one, the schema is
     inferred from all files, which costs a second pass. ``path_regex`` selects
-    files by a search in their full path, at listing time. Folder markers
-    and files of other names give no rows. No matching path gives an empty
-    result if the schema is declared.
+    files by a search in their full path. ``metadata`` adds columns about the
+    file of each row, e.g. ``{"landed_at": "file_modification_time"}``. Folder
+    markers and files of other names give no rows. No matching path gives an
+    empty result if the schema is declared.
     """
     reader = spark.read.options(
         **{"pathGlobFilter": glob, "recursiveFileLookup": "true", **(options or {})}
@@ -38,13 +46,17 @@ def scan_json(
     except AnalysisException as error:
         if schema is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        df = spark.createDataFrame([], schema)
-        return df.withColumn(file_column, F.lit(None).cast("string")) if file_column else df
+        absent = spark.createDataFrame([], schema)
+        return absent.withColumns(
+            {name: F.lit(None).cast(_METADATA_TYPES[f]) for name, f in (metadata or {}).items()}
+        )
     columns = df.columns
     if path_regex is not None:
         df = df.filter(F.col("_metadata.file_path").rlike(path_regex))
-    if file_column:
-        return df.select(*columns, F.col("_metadata.file_path").alias(file_column))
+    if metadata:
+        return df.select(
+            *columns, *[F.col(f"_metadata.{f}").alias(name) for name, f in metadata.items()]
+        )
     return df
 
 

@@ -1,0 +1,195 @@
+"""Both flows over landed files with the layouts and faults they really have."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ladderlake.operators import top_players
+from ladderlake.plans import (
+    match_raw_to_bronze,
+    republish,
+    select_matches,
+    standings_all_tiers,
+    standings_bronze_to_silver,
+    standings_raw_to_bronze,
+    standings_silver_to_gold,
+    top_match_facts,
+    whole_records_to_bronze,
+)
+from ladderlake.schemas import DIVISIONS, MATCH_COLUMNS, TIERS, match_schema
+from ladderlake.sources import scan_json
+
+
+def put(path, value):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(value, f, ensure_ascii=False)
+
+
+def entry(tier, division, i, **more):
+    return {
+        "summonerId": f"{tier}-{division}-{i}",
+        "summonerName": f"n{i}",
+        "tier": tier,
+        "rank": division,
+        "leaguePoints": i % 7,
+        "wins": 10 + i,
+        "losses": 9,
+        **more,
+    }
+
+
+@pytest.fixture
+def roots(tmp_path):
+    raw = str(tmp_path / "raw")
+    for tier in TIERS:
+        for division in DIVISIONS:
+            for page in (1, 2):
+                players = [entry(tier, division, page * 10 + k) for k in range(5)]
+                put(f"{raw}/{tier.lower()}_{division}/{page}.json", players)
+    return {n: str(tmp_path / n) for n in ("raw", "bronze", "silver", "gold", "all")}
+
+
+def run_layers(spark, roots, **options):
+    standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], **options)
+    standings_bronze_to_silver(spark, roots["bronze"], roots["silver"])
+    return standings_silver_to_gold(spark, roots["silver"], roots["gold"])
+
+
+def test_gold_equals_the_landed_pages(spark, roots):
+    gold = run_layers(spark, roots)
+    raw = spark.read.option("recursiveFileLookup", "true").json(roots["raw"])
+    assert gold.count() == 4 * 4 * 10
+    assert gold.select(raw.columns).exceptAll(raw).count() == 0
+    everything = standings_all_tiers(spark, roots["silver"], roots["all"], TIERS)
+    assert everything.count() == gold.count()
+    assert sorted(r.tier for r in everything.select("tier").distinct().collect()) == sorted(TIERS)
+    assert top_players(gold).count() == 4 * 4 * 2
+
+
+def test_one_tier_is_reloaded_alone(spark, roots):
+    run_layers(spark, roots)
+    put(f"{roots['raw']}/gold_I/3.json", [entry("GOLD", "I", 99)])
+    put(f"{roots['raw']}/silver_I/3.json", [entry("SILVER", "I", 99)])
+    standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], tiers=["gold"])
+    standings_bronze_to_silver(spark, roots["bronze"], roots["silver"], tiers=["GOLD"])
+    gold = standings_silver_to_gold(spark, roots["silver"], roots["gold"], tiers=["GOLD"])
+    counts = {r.tier: r["count"] for r in gold.groupBy("tier").count().collect()}
+    assert counts == {"GOLD": 41, "SILVER": 40, "BRONZE": 40, "PLATINUM": 40}
+
+
+def test_divisions_can_be_left_out(spark, roots):
+    standings_raw_to_bronze(spark, roots["raw"], roots["bronze"])
+    silver = standings_bronze_to_silver(
+        spark, roots["bronze"], roots["silver"], ["BRONZE"], ["II", "III", "IV"]
+    )
+    assert sorted(r["rank"] for r in silver.select("rank").distinct().collect()) == ["II", "III", "IV"]
+
+
+def test_alias_of_a_tier_is_folded(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    put(f"{raw}/platina_I/1.json", [entry("platina", "I", 1)])
+    put(f"{raw}/platinum_I/1.json", [entry("PLATINUM", "I", 2)])
+    put(f"{raw}/gold_I/1.json", [entry("GOLD", "I", 3)])
+    df = standings_raw_to_bronze(spark, raw, str(tmp_path / "b"), tiers=["PLATINUM"])
+    assert [r.tier for r in df.collect()] == ["PLATINUM", "PLATINUM"]
+
+
+def test_undeclared_fields_pass_when_inferred(spark, roots):
+    put(f"{roots['raw']}/gold_I/3.json", [entry("GOLD", "I", 99, hotStreak=True, miniSeries={"wins": 2})])
+    gold = run_layers(spark, roots, infer=True)
+    assert gold.filter("hotStreak and miniSeries.wins = 2").count() == 1
+    assert gold.count() == 161
+
+
+def test_failed_pages_leave_no_rows(spark, roots):
+    put(f"{roots['raw']}/gold_I/3.json", None)
+    assert run_layers(spark, roots).count() == 160
+
+
+def test_newest_landing_of_a_player(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    put(f"{raw}/gold_I/1.json", [entry("GOLD", "I", 1), entry("GOLD", "I", 2)])
+    put(f"{raw}/gold_I/2.json", [{**entry("GOLD", "I", 1), "leaguePoints": 77}])
+    os.utime(f"{raw}/gold_I/1.json", (1_000_000, 1_000_000))
+    both = standings_raw_to_bronze(spark, raw, str(tmp_path / "both"))
+    newest = standings_raw_to_bronze(spark, raw, str(tmp_path / "newest"), latest_only=True)
+    assert both.count() == 3
+    assert {r.summonerId: r.leaguePoints for r in newest.collect()} == {"GOLD-I-1": 77, "GOLD-I-2": 2}
+    assert set(newest.columns) == set(both.columns)
+
+
+def match(match_id, *players):
+    return {
+        "metadata": {"matchId": match_id},
+        "info": {"participants": [{"summonerId": p, "win": i == 0, "assists": i} for i, p in enumerate(players)]},
+    }
+
+
+@pytest.fixture
+def landed(tmp_path):
+    raw = str(tmp_path / "matchs")
+    put(f"{raw}/gold_M1.json", match("M1", "a", "b"))
+    put(f"{raw}/gold_M2.json", match("M2", "c"))
+    put(f"{raw}/silver_M1.json", match("M1", "a", "b"))
+    put(f"{raw}/platina_M3.json", match("M3", "d"))
+    put(f"{raw}/gold_failed.json", None)
+    put(f"{raw}/gold_nobody.json", {"metadata": {"matchId": "M4"}, "info": {"participants": []}})
+    return raw
+
+
+def test_matches_of_one_tier(spark, landed, tmp_path):
+    bronze, gold = str(tmp_path / "b"), str(tmp_path / "g")
+    df = match_raw_to_bronze(spark, landed, bronze, "GOLD")
+    assert tuple(df.columns) == MATCH_COLUMNS
+    assert sorted((r.matchId, r.summonerId, r.win) for r in df.collect()) == [
+        ("M1", "a", True),
+        ("M1", "b", False),
+        ("M2", "c", True),
+    ]
+    published = republish(spark, bronze, gold)
+    assert published.exceptAll(df).count() == 0 and published.count() == 3
+    assert match_raw_to_bronze(spark, landed, str(tmp_path / "p"), "platina").count() == 1
+    assert match_raw_to_bronze(spark, landed, str(tmp_path / "all")).count() == 6
+
+
+def test_whole_records_keep_every_field(spark, tmp_path):
+    raw = str(tmp_path / "timeline")
+    put(f"{raw}/M1", {"info": {"frames": [{"t": 1, "events": [{"k": "x"}]}]}, "v": 1})
+    put(f"{raw}/M2", {"info": {"frames": []}, "extra": "é"})
+    put(f"{raw}/M3", None)
+    df = whole_records_to_bronze(spark, raw, str(tmp_path / "b"))
+    assert df.count() == 2 and set(df.columns) == {"info", "v", "extra"}
+    assert df.select(F.explode("info.frames").alias("f")).select("f.events.k").first()[0] == ["x"]
+
+
+def test_from_top_players_to_their_matches(spark, tmp_path):
+    raw = str(tmp_path / "matchs")
+    put(f"{raw}/M1.json", match("M1", "GOLD-I-1", "other"))
+    put(f"{raw}/M2.json", match("M2", "GOLD-I-2", "GOLD-I-1"))
+    put(f"{raw}/M3.json", match("M3", "weak"))
+    standings = spark.createDataFrame(
+        [
+            ("GOLD", "I", "GOLD-I-1", 9, 15, 9),
+            ("GOLD", "I", "GOLD-I-2", 8, 15, 9),
+            ("GOLD", "I", "weak", 1, 15, 9),
+            ("SILVER", "I", "x", 1, 1, 1),
+        ],
+        "tier string, rank string, summonerId string, leaguePoints bigint, wins bigint, losses bigint",
+    )
+    history = spark.createDataFrame(
+        [
+            ("GOLD-I-1", "M1", "2024-06-02 00:00:00", "ranked"),
+            ("GOLD-I-1", "M2", "2024-06-03 00:00:00", "ranked"),
+            ("GOLD-I-2", "M2", "2024-06-03 00:00:00", "ranked"),
+            ("weak", "M3", "2024-06-03 00:00:00", "ranked"),
+            ("GOLD-I-2", "M3", "2023-06-03 00:00:00", "ranked"),
+        ],
+        "player_id string, match_id string, ts string, match_type string",
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    wanted = select_matches(standings, history)
+    assert sorted(tuple(r) for r in wanted.collect()) == [("GOLD", "M1"), ("GOLD", "M2")]
+    facts = top_match_facts(wanted, scan_json(spark, raw, match_schema()))
+    assert facts.count() == 4 and facts.columns[:2] == ["matchId", "tier"]

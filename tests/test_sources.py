@@ -1,0 +1,278 @@
+import json
+import os
+import random
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from ladderlake.functions import page_number
+from ladderlake.plans import landing_status
+from ladderlake.schemas import StandingsColumns, match_schema, standings_schema
+from ladderlake.sources import (
+    default_format,
+    land_json,
+    landed_files,
+    landing_report,
+    latest_per_key,
+    next_page,
+    not_yet_loaded,
+    read_table,
+    reject_empty,
+    scan_json,
+    tables,
+    with_pages,
+    write_csv,
+    write_table,
+)
+from ladderlake.streaming import load_new_files
+
+
+def player(i, tier="GOLD", division="I", **more):
+    return {
+        "summonerId": f"s{i}",
+        "summonerName": f"Ação {i}",
+        "tier": tier,
+        "rank": division,
+        "leaguePoints": i,
+        "wins": 10 + i,
+        "losses": 10,
+        **more,
+    }
+
+
+def put(path, content):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(content if isinstance(content, str) else json.dumps(content, ensure_ascii=False))
+
+
+@pytest.fixture
+def raw(tmp_path):
+    """Pages of arrays, an empty folder marker, and a file of another kind."""
+    root = str(tmp_path / "raw")
+    for page in range(1, 13):
+        put(f"{root}/gold_I/{page}.json", [player(page * 10 + k) for k in range(3)])
+    put(f"{root}/gold_II/1.json", [player(1, division="II")])
+    put(f"{root}/silver_I/1.json", [player(2, "SILVER")])
+    put(f"{root}/gold_I/marker.json", "")
+    put(f"{root}/gold_I/notes.txt", "no data")
+    return root
+
+
+def test_array_files_give_one_row_per_element(spark, raw):
+    df = scan_json(spark, raw, standings_schema())
+    assert df.count() == 12 * 3 + 2
+    assert df.filter("summonerName = 'Ação 2'").count() == 1
+    assert df.columns == standings_schema().names
+
+
+def test_prefix_selects_folders(spark, raw):
+    assert scan_json(spark, f"{raw}/gold_*", standings_schema()).count() == 37
+    assert scan_json(spark, f"{raw}/gold_I", standings_schema()).count() == 36
+    assert scan_json(spark, [f"{raw}/gold_II", f"{raw}/silver_I"], standings_schema()).count() == 2
+
+
+def test_path_regex_searches_anywhere(spark, raw):
+    assert scan_json(spark, raw, standings_schema(), path_regex="silver").count() == 1
+    assert scan_json(spark, raw, standings_schema(), path_regex=r"/1\.json$").count() == 5
+
+
+def test_inferred_schema_keeps_undeclared_fields(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    put(f"{root}/gold_I/1.json", [player(1, veteran=True)])
+    put(f"{root}/gold_I/2.json", [player(2, miniSeries={"wins": 1})])
+    df = scan_json(spark, root)
+    assert {"veteran", "miniSeries"} <= set(df.columns)
+    assert df.count() == 2
+
+
+def test_no_matching_file(spark, tmp_path):
+    os.makedirs(tmp_path / "empty")
+    assert scan_json(spark, str(tmp_path / "empty"), standings_schema()).count() == 0
+    absent = scan_json(
+        spark, str(tmp_path / "nope*"), standings_schema(), metadata={"f": "file_path"}
+    )
+    assert absent.count() == 0 and "f" in absent.columns
+    with pytest.raises(AnalysisException):
+        scan_json(spark, str(tmp_path / "nope*"))
+
+
+def test_null_payloads_are_rejected(spark, tmp_path):
+    put(str(tmp_path / "m" / "gold_1.json"), {"metadata": {"matchId": "1"}})
+    put(str(tmp_path / "m" / "gold_2.json"), "null")
+    docs = scan_json(spark, str(tmp_path / "m"), match_schema())
+    kept, rejected = reject_empty(docs)
+    assert (kept.count(), rejected.count()) == (1, 1)
+
+
+def test_resume_after_the_highest_page(spark, raw):
+    expected = spark.createDataFrame([("gold_I",), ("gold_III",)], "folder string")
+    status = {r.folder: r for r in landing_status(spark, raw, expected).collect()}
+    assert status["gold_I"].next_page == 13
+    assert (status["gold_I"].first_page, status["gold_I"].last_page) == (1, 12)
+    assert status["gold_I"].absent_pages == 0
+    assert status["gold_III"].next_page == 1 and status["gold_III"].page_count is None
+
+
+def test_listing_leaves_out_contents_and_empty_markers(spark, raw):
+    listing = landed_files(spark, raw)
+    assert listing.columns == ["path", "length", "modificationTime"]
+    assert "content" not in listing._jdf.queryExecution().executedPlan().toString()
+    assert listing.count() == 14
+    assert with_pages(listing).filter("page is null").count() == 0
+
+
+def test_absent_pages_are_counted(spark):
+    rows = [("a", 1), ("a", 2), ("a", 2), ("a", 5), ("b", 7), ("c", None)]
+    listing = spark.createDataFrame(rows, "g string, page int")
+    report = {r.g: r for r in landing_report(listing, ["g"], "page").collect()}
+    assert (report["a"].page_count, report["a"].file_count, report["a"].absent_pages) == (3, 4, 2)
+    assert report["b"].absent_pages == 0 and "c" not in report
+    resume = {r.g: r.next_page for r in next_page(listing, ["g"], "page").collect()}
+    assert resume == {"a": 6, "b": 8, "c": 1}
+
+
+def test_page_number_of_two_digits_and_none(spark):
+    rows = [("raw/gold_2/12.json",), ("raw/gold_2/",), ("raw/gold_2/9.json",)]
+    got = spark.createDataFrame(rows, "path string").select(page_number("path").alias("n")).collect()
+    assert [r.n for r in got] == [12, None, 9]
+
+
+def test_last_write_wins_and_is_idempotent(spark):
+    rng = random.Random(3)
+    rows = [("gold" if i % 3 == 0 else f"t{rng.randrange(5)}", rng.randrange(40), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "tier string, match int, seq int")
+    once = latest_per_key(df, ["tier", "match"], [F.col("seq").desc()])
+    twice = latest_per_key(once.union(once), ["tier", "match"], [F.col("seq").desc()])
+    want = {}
+    for tier, match, seq in rows:
+        want[tier, match] = seq
+    assert {(r.tier, r.match): r.seq for r in once.collect()} == want
+    assert once.count() == len(want)
+    assert twice.exceptAll(once).count() == 0 and twice.count() == len(want)
+
+
+def test_a_match_lands_once_in_each_tier(spark):
+    rows = [("gold", "m1", 1), ("gold", "m1", 2), ("silver", "m1", 1)]
+    df = spark.createDataFrame(rows, "tier string, match string, seq int")
+    got = latest_per_key(df, ["tier", "match"], [F.col("seq").desc()]).collect()
+    assert sorted(tuple(r) for r in got) == [("gold", "m1", 2), ("silver", "m1", 1)]
+
+
+def test_ledger_leaves_only_new_pages(spark):
+    landed = spark.createDataFrame([(f"p{i}",) for i in range(5)], "path string")
+    ledger = spark.createDataFrame([("p1",), ("p3",), (None,)], "path string")
+    assert sorted(r.path for r in not_yet_loaded(landed, ledger, "path").collect()) == ["p0", "p2", "p4"]
+
+
+def test_stream_takes_only_new_files(spark, raw, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+
+    def load():
+        return load_new_files(spark, raw, table, checkpoint, standings_schema(), files_per_batch=5)
+
+    def rows():
+        return spark.read.parquet(table).count()
+
+    load()
+    assert rows() == 38
+    assert load() == 0
+    assert rows() == 38
+    put(f"{raw}/gold_I/13.json", [player(500)])
+    assert load() == 1
+    assert rows() == 39
+    assert spark.read.parquet(table).filter(F.col("source_file").endswith("13.json")).count() == 1
+
+
+def test_overwrite_replaces_the_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, "a")], "x int, y string"), path)
+    write_table(spark.createDataFrame([("z",)], "x string"), path)
+    assert read_table(spark, path).dtypes == [("x", "string")]
+
+
+def test_partition_overwrite_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [("GOLD", "I", 1), ("GOLD", "II", 2), ("SILVER", "I", 3)]
+    schema = "tier string, division string, v int"
+    write_table(spark.createDataFrame(first, schema), path, partition_by=["tier", "division"])
+    write_table(
+        spark.createDataFrame([("GOLD", "II", 9)], schema),
+        path,
+        partition_by=["tier", "division"],
+        replace="partitions",
+    )
+    got = sorted((r.tier, r.division, r.v) for r in read_table(spark, path).collect())
+    assert got == [("GOLD", "I", 1), ("GOLD", "II", 9), ("SILVER", "I", 3)]
+
+
+def test_write_table_checks_its_mode(spark, tmp_path):
+    df = spark.range(1)
+    with pytest.raises(ValueError):
+        write_table(df, str(tmp_path / "t"), replace="rows")
+    with pytest.raises(ValueError):
+        write_table(df, str(tmp_path / "t"), replace="partitions")
+
+
+def files_of(path):
+    return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+def test_small_files_are_merged(spark, tmp_path):
+    scattered = spark.range(0, 10_000, 1, 64)
+    write_table(scattered, str(tmp_path / "plain"), rebalance=False)
+    write_table(scattered, str(tmp_path / "laid_out"))
+    assert len(files_of(tmp_path / "plain")) == 64
+    assert len(files_of(tmp_path / "laid_out")) == 1
+
+
+def test_a_hot_partition_gets_several_files(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        hot = spark.range(0, 3_000_000, 1, 16).withColumn(
+            "tier", F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("t"), F.col("id") % 20))
+        )
+        path = str(tmp_path / "t")
+        write_table(hot, path, partition_by=["tier"])
+        assert len(files_of(f"{path}/tier=HOT")) > 1
+        assert spark.read.parquet(path).count() == 3_000_000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_csv_with_nested_columns_and_one_file(spark, tmp_path, monkeypatch):
+    df = spark.range(0, 100, 1, 4).select(
+        "id", F.struct((F.col("id") + 1).alias("a")).alias("s"), F.array("id").alias("l")
+    )
+    many, one, refused = (str(tmp_path / n) for n in ("many", "one", "refused"))
+    write_csv(df, many)
+    write_csv(df, one, single_file=True)
+    assert len(files_of(many)) == 4 and len(files_of(one)) == 1
+    with open(os.path.join(one, files_of(one)[0])) as f:
+        assert f.readline().strip() == "id,s,l"
+    back = spark.read.csv(one, header=True)
+    assert back.count() == 100
+    assert back.filter("id = '5'").first().s == '{"a":6}'
+    monkeypatch.setattr(tables, "SINGLE_FILE_ROWS", 99)
+    write_csv(df, refused, single_file=True)
+    assert len(files_of(refused)) == 4 and spark.read.csv(refused, header=True).count() == 100
+
+
+def test_landing_puts_folders_and_keeps_text(spark, tmp_path):
+    df = spark.createDataFrame([("a", "São"), ("b", "x\ny")], "folder string, text string")
+    root = land_json(df, str(tmp_path / "raw"), ["folder"])
+    assert sorted(n for n in os.listdir(root) if n.startswith("folder")) == ["folder=a", "folder=b"]
+    assert sorted(r.text for r in scan_json(spark, root, "text string").collect()) == ["São", "x\ny"]
+
+
+def test_default_format_is_readable(spark):
+    assert default_format() in ("parquet", "delta")
+
+
+def test_schema_defaults_name_the_landed_fields():
+    cols = StandingsColumns()
+    assert cols.group == ("tier", "rank")
+    assert len(match_schema()["info"].dataType["participants"].dataType.elementType) == 34

@@ -76,17 +76,18 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history(spark: SparkSession, sf_dir: str, player: str = "l_partkey") -> DataFrame:
     """Which player took part in which match.
 
-    Repeats go after the join: both work on the match, so one shuffle does, and
-    a choice of matches or players narrows the line items before it.
+    Repeats go before the join, already in the scanning tasks, so that many copies of one
+    pair never travel. A choice of players or matches made later still reaches
+    the scan, as both columns are grouping keys.
     """
-    played = table(spark, sf_dir, "lineitem").select(
-        F.col(player).alias("player_id"), F.col("l_orderkey").alias("match_id")
-    )
-    return (
-        played.join(matches(spark, sf_dir), "match_id")
-        .select("player_id", "match_id", "ts", "match_type")
+    played = (
+        table(spark, sf_dir, "lineitem")
+        .select(F.col(player).alias("player_id"), F.col("l_orderkey").alias("match_id"))
         .distinct()
     )
+    return played.join(matches(spark, sf_dir), "match_id").select(
+        "player_id", "match_id", "ts", "match_type"
+    )
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:

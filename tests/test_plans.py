@@ -79,3 +79,12 @@ def test_tier_filter_prunes_partitions(spark, sf_dir):
     text = plan(REGISTRY["union_tiers"](spark, sf_dir).filter(F.col("tier") == "PROMO"))
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
     assert len(filters) == 1 and "PROMO" in filters[0]
+
+
+def test_choice_of_players_comes_before_the_history_is_built(spark, sf_dir):
+    best = top_players(views.standings(spark, sf_dir), views.COLS).select("player_id")
+    narrowed = views.history(spark, sf_dir).join(best.distinct(), "player_id", "left_semi")
+    tree = narrowed._jdf.queryExecution().optimizedPlan().toString()
+    lines = tree.splitlines()
+    depth = {name: min(i for i, line in enumerate(lines) if name in line) for name in ("LeftSemi", "Aggregate")}
+    assert depth["Aggregate"] < depth["LeftSemi"]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import tier_names
+from ladderlake.functions import tier_key, tier_names
 from ladderlake.operators.lookup import recent_per_player
 from ladderlake.operators.nested import match_facts
 from ladderlake.operators.ranking import top_players
@@ -49,24 +49,40 @@ def match_raw_to_bronze(
     bronze: str,
     tier: str | None = None,
     fields: Sequence[str] = PARTICIPANT_FIELDS,
+    with_tier: bool = False,
+    latest_only: bool = False,
     glob: str = "*.json",
     fmt: str = "parquet",
 ) -> DataFrame:
     """Landed match files, ``<tier>_<match>.json``, to participant rows.
 
-    ``tier`` selects files by name. Records that a failed request left empty go
-    no further. Nothing is shuffled but for the file layout.
+    ``tier`` selects files by name. ``with_tier`` makes the tier in the name a
+    column, and the table one of all tiers whose partitions are replaced tier by
+    tier. ``latest_only`` keeps the newest landing of a match in each tier.
+    Records that a failed request left empty go no further. Without
+    ``latest_only`` nothing is shuffled but for the file layout.
     """
     chosen = None if tier is None else rf"/(?:{'|'.join(tier_names(tier))})_[^/]*$"
-    docs = scan_json(spark, raw, match_schema(fields), glob, path_regex=chosen)
-    kept, _ = reject_empty(docs)
-    write_table(match_facts(kept, fields), bronze, fmt)
+    files = {"_file": "file_path", "_landed": "file_modification_time"}
+    docs = scan_json(spark, raw, match_schema(fields), glob, path_regex=chosen, metadata=files)
+    kept, _ = reject_empty(docs, "metadata", "info")
+    name = F.regexp_extract("_file", r"/([^/_]+)_[^/]*$", 1)
+    kept = kept.withColumn("tier", F.upper(tier_key(name)))
+    if latest_only:
+        kept = kept.withColumn("matchId", F.col("metadata.matchId"))
+        newest = [F.col("_landed").desc(), F.col("_file").desc()]
+        kept = latest_per_key(kept, ["tier", "matchId"], newest).drop("matchId")
+    if with_tier:
+        facts = match_facts(kept, fields, keep=["tier"])
+        write_table(facts, bronze, fmt, ["tier"], "partitions")
+    else:
+        write_table(match_facts(kept, fields), bronze, fmt)
     return read_table(spark, bronze, fmt)
 
 
 def republish(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> DataFrame:
-    """Publish a table unchanged in another layer."""
-    write_table(read_table(spark, source, fmt), target, fmt)
+    """Publish a table unchanged in another layer, file for file."""
+    write_table(read_table(spark, source, fmt), target, fmt, rebalance=False)
     return read_table(spark, target, fmt)
 
 

@@ -2,6 +2,9 @@
 
 One table per layer, partitioned by tier and division, takes the place of one
 table per tier or division. A run replaces just the partitions it loads.
+
+Only the load from raw shuffles, to merge the many small landed files. The later
+layers copy tables that are laid out already.
 """
 
 from __future__ import annotations
@@ -97,7 +100,7 @@ def standings_bronze_to_silver(
     """All divisions of each tier together; ``divisions`` narrows the choice."""
     df = read_table(spark, bronze, fmt)
     df = _only(_only(df, cols.tier, tiers), cols.division, divisions)
-    write_table(df, silver, fmt, [cols.tier], "partitions")
+    write_table(df, silver, fmt, [cols.tier], "partitions", rebalance=False)
     return read_table(spark, silver, fmt)
 
 
@@ -111,7 +114,7 @@ def standings_silver_to_gold(
 ) -> DataFrame:
     """Publish silver tiers unchanged."""
     df = _only(read_table(spark, silver, fmt), cols.tier, tiers)
-    write_table(df, gold, fmt, [cols.tier], "partitions")
+    write_table(df, gold, fmt, [cols.tier], "partitions", rebalance=False)
     return read_table(spark, gold, fmt)
 
 
@@ -125,5 +128,6 @@ def standings_all_tiers(
 ) -> DataFrame:
     """The named tiers in one table. Each part reads its own partition only."""
     df = read_table(spark, silver, fmt)
-    write_table(union_by_name([df.filter(F.col(cols.tier) == t) for t in tiers]), gold_all, fmt)
+    parts = [df.filter(F.col(cols.tier) == t) for t in tiers]
+    write_table(union_by_name(parts), gold_all, fmt, rebalance=False)
     return read_table(spark, gold_all, fmt)

@@ -56,8 +56,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_root(spark)}/ladderlake/{name}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, below the application's own folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/ladderlake/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

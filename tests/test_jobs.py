@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ladderlake.operators import top_players
+from ladderlake.operators import count_by, describe_by, top_players
 from ladderlake.plans import (
     match_raw_to_bronze,
     republish,
@@ -155,6 +155,27 @@ def test_matches_of_one_tier(spark, landed, tmp_path):
     assert match_raw_to_bronze(spark, landed, str(tmp_path / "all")).count() == 6
 
 
+def test_one_match_table_of_all_tiers(spark, landed, tmp_path):
+    bronze = str(tmp_path / "b")
+    df = match_raw_to_bronze(spark, landed, bronze, with_tier=True)
+    counts = {r.tier: r.n for r in describe_by(df, ["tier"], "assists").collect()}
+    assert counts == {"GOLD": 3, "SILVER": 2, "PLATINUM": 1}
+    put(f"{landed}/gold_M9.json", match("M9", "z"))
+    put(f"{landed}/silver_M9.json", match("M9", "z"))
+    again = match_raw_to_bronze(spark, landed, bronze, "gold", with_tier=True)
+    counts = {r.tier: r.player_count for r in count_by(again, "tier").collect()}
+    assert counts == {"GOLD": 4, "SILVER": 2, "PLATINUM": 1}
+
+
+def test_newest_landing_of_a_match(spark, landed, tmp_path):
+    put(f"{landed}/rerun/gold_M1.json", match("M1", "a"))
+    os.utime(f"{landed}/gold_M1.json", (1_000_000, 1_000_000))
+    every = match_raw_to_bronze(spark, landed, str(tmp_path / "every"), "gold")
+    newest = match_raw_to_bronze(spark, landed, str(tmp_path / "newest"), "gold", latest_only=True)
+    assert every.count() == 4
+    assert sorted((r.matchId, r.summonerId) for r in newest.collect()) == [("M1", "a"), ("M2", "c")]
+
+
 def test_whole_records_keep_every_field(spark, tmp_path):
     raw = str(tmp_path / "timeline")
     put(f"{raw}/M1", {"info": {"frames": [{"t": 1, "events": [{"k": "x"}]}]}, "v": 1})

@@ -301,4 +301,5 @@ SQL: dict[str, str] = {
       where recent.rn <= 20)
     select tier, {_landed_columns(_LANDED)} from wanted join lineitem on l_orderkey = match_id""",
     "job_passthrough": "select conv_id, turn, role, text from conversations",
+    "job_passthrough_variant": "select conv_id, turn, role, text from conversations",
 }

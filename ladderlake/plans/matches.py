@@ -80,9 +80,19 @@ def match_raw_to_bronze(
     return read_table(spark, bronze, fmt)
 
 
-def republish(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> DataFrame:
-    """Publish a table unchanged in another layer, file for file."""
-    write_table(read_table(spark, source, fmt), target, fmt, rebalance=False)
+def republish(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Publish a table unchanged in another layer, without a shuffle.
+
+    Of a partitioned table only the partitions present in the source are replaced.
+    """
+    replace = "partitions" if partition_by else "all"
+    write_table(read_table(spark, source, fmt), target, fmt, partition_by, replace, rebalance=False)
     return read_table(spark, target, fmt)
 
 
@@ -91,12 +101,23 @@ def whole_records_to_bronze(
     raw: str,
     bronze: str,
     schema: T.StructType | str | None = None,
+    as_variant: bool = False,
     glob: str = "*",
     fmt: str = "parquet",
     options: dict | None = None,
 ) -> DataFrame:
-    """Landed records with all their fields; without a schema it is inferred."""
-    kept, _ = reject_empty(scan_json(spark, raw, schema, glob, options=options))
+    """Landed records with all their fields.
+
+    Without a schema it is inferred, in a second pass over the files. With
+    ``as_variant`` the records stay whole in one column ``record`` of type
+    variant, which takes any fields and a single pass.
+    """
+    if as_variant:
+        variant = {"singleVariantColumn": "record", **(options or {})}
+        records = scan_json(spark, raw, glob=glob, options=variant)
+        kept = records.filter(~F.is_variant_null("record"))
+    else:
+        kept, _ = reject_empty(scan_json(spark, raw, schema, glob, options=options))
     write_table(kept, bronze, fmt)
     return read_table(spark, bronze, fmt)
 

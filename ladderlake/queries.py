@@ -622,3 +622,17 @@ def job_passthrough(spark, sf_dir):
     raw = land_json(conversations, staging_path(spark, "raw-conversations"))
     bronze = staging_path(spark, "conversations")
     return whole_records_to_bronze(spark, raw, bronze, conversations.schema)
+
+
+@query("job_passthrough_variant")
+def job_passthrough_variant(spark, sf_dir):
+    """Whole records in one variant column; fields are taken out on reading."""
+    raw = land_json(
+        table(spark, sf_dir, "conversations"), staging_path(spark, "raw-conversations")
+    )
+    bronze = staging_path(spark, "conversations")
+    records = whole_records_to_bronze(spark, raw, bronze, as_variant=True)
+    fields = {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"}
+    return records.select(
+        *[F.variant_get("record", F.lit(f"$.{n}"), t).alias(n) for n, t in fields.items()]
+    )

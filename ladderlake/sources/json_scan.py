@@ -31,7 +31,7 @@ def scan_json(
     With a declared ``schema`` the files are read once, only the declared
     fields are built, and absent fields are null. Without one, the schema is
     inferred from all files, which costs a second pass. ``path_regex`` selects
-    files by a search in their full path. ``metadata`` adds columns about the
+    files by a search in their full path; others are not opened. ``metadata`` adds columns about the
     file of each row, e.g. ``{"landed_at": "file_modification_time"}``. Folder
     markers and files of other names give no rows. No matching path gives an
     empty result if the schema is declared.

@@ -214,3 +214,14 @@ def test_from_top_players_to_their_matches(spark, tmp_path):
     assert sorted(tuple(r) for r in wanted.collect()) == [("GOLD", "M1"), ("GOLD", "M2")]
     facts = top_match_facts(wanted, scan_json(spark, raw, match_schema()))
     assert facts.count() == 4 and facts.columns[:2] == ["matchId", "tier"]
+
+
+def test_whole_records_as_variant(spark, tmp_path):
+    raw = str(tmp_path / "timeline")
+    put(f"{raw}/M1", {"info": {"frames": [{"t": 1}]}, "v": 1})
+    put(f"{raw}/M2", {"other": "é"})
+    put(f"{raw}/M3", None)
+    df = whole_records_to_bronze(spark, raw, str(tmp_path / "b"), as_variant=True)
+    assert df.dtypes == [("record", "variant")]
+    texts = sorted(r[0] for r in df.select(F.to_json("record")).collect())
+    assert texts == ['{"info":{"frames":[{"t":1}]},"v":1}', '{"other":"é"}']

@@ -70,6 +70,16 @@ def test_declared_schema_needs_no_pass_over_the_files(spark, tmp_path):
     assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == list(before)
 
 
+def test_files_outside_the_path_search_are_not_opened(spark, tmp_path):
+    for tier in ("gold", "silver", "bronze"):
+        for i in range(4):
+            (tmp_path / f"{tier}_{i}.json").write_text('{"a": 1}')
+    df = scan_json(spark, str(tmp_path), "a int", path_regex=r"/gold_[^/]*$")
+    assert len(df.collect()) == 4
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() == 4
+
+
 def test_profile_is_one_scan(spark, sf_dir):
     text = plan(null_profile(views.table(spark, sf_dir, "lineitem")))
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1

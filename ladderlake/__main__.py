@@ -1,6 +1,7 @@
-"""The jobs as commands, one layer step each, for any scheduler.
+r"""The jobs as commands, one layer step each, for any scheduler.
 
-    spark-submit ... -m ladderlake standings-bronze --raw RAW --bronze TABLE --tier GOLD
+    spark-submit --py-files ladderlake.zip ladderlake/__main__.py \
+        standings-bronze --raw RAW --bronze TABLE --tier GOLD
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ladderlake.functions import canonical_tier
 from ladderlake.operators import top_players
 from ladderlake.plans import (
+    ladder_folders,
     landing_status,
     match_raw_to_bronze,
     republish,
@@ -40,7 +42,7 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--tier", action="append", type=canonical_tier)
         return sub
 
-    step("landing-status", "raw")
+    step("landing-status", "raw", tiers=True)
     step("standings-bronze", "raw", "bronze", tiers=True).add_argument(
         "--infer", action="store_true", help="keep undeclared fields"
     )
@@ -64,7 +66,7 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
     a = _parser().parse_args(argv)
     fmt = a.format
     if a.step == "landing-status":
-        return landing_status(spark, a.raw)
+        return landing_status(spark, a.raw, ladder_folders(spark, a.tier or TIERS))
     if a.step == "standings-bronze":
         return standings_raw_to_bronze(
             spark, a.raw, a.bronze, tiers=a.tier, infer=a.infer, fmt=fmt

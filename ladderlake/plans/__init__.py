@@ -7,6 +7,7 @@ from ladderlake.plans.matches import (
     whole_records_to_bronze,
 )
 from ladderlake.plans.standings import (
+    ladder_folders,
     landing_status,
     standings_all_tiers,
     standings_bronze_to_silver,
@@ -15,6 +16,7 @@ from ladderlake.plans.standings import (
 )
 
 __all__ = [
+    "ladder_folders",
     "land_matches",
     "landing_status",
     "match_raw_to_bronze",

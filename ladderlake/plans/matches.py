@@ -51,6 +51,7 @@ def match_raw_to_bronze(
     fields: Sequence[str] = PARTICIPANT_FIELDS,
     with_tier: bool = False,
     latest_only: bool = False,
+    rebalance: bool = True,
     glob: str = "*.json",
     fmt: str = "parquet",
 ) -> DataFrame:
@@ -74,9 +75,9 @@ def match_raw_to_bronze(
         kept = latest_per_key(kept, ["tier", "matchId"], newest).drop("matchId")
     if with_tier:
         facts = match_facts(kept, fields, keep=["tier"])
-        write_table(facts, bronze, fmt, ["tier"], "partitions")
+        write_table(facts, bronze, fmt, ["tier"], "partitions", rebalance)
     else:
-        write_table(match_facts(kept, fields), bronze, fmt)
+        write_table(match_facts(kept, fields), bronze, fmt, rebalance=rebalance)
     return read_table(spark, bronze, fmt)
 
 

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import tier_key, tier_names
+from ladderlake.functions import partition_folder, tier_key, tier_names
 from ladderlake.operators.sets import union_by_name
-from ladderlake.schemas import StandingsColumns, standings_schema
+from ladderlake.schemas import LADDER, StandingsColumns, standings_schema
 from ladderlake.sources import (
     landed_files,
     landing_report,
@@ -44,6 +44,7 @@ def standings_raw_to_bronze(
     schema: T.StructType | str | None = None,
     infer: bool = False,
     latest_only: bool = False,
+    rebalance: bool = True,
     glob: str = "*.json",
     fmt: str = "parquet",
 ) -> DataFrame:
@@ -70,10 +71,17 @@ def standings_raw_to_bronze(
     if latest_only:
         newest = [F.col("_landed").desc(), F.col("_file").desc()]
         kept = latest_per_key(kept, [*cols.group, cols.player], newest).drop("_landed", "_file")
-    write_table(kept, bronze, fmt, cols.group, "partitions")
+    write_table(kept, bronze, fmt, cols.group, "partitions", rebalance)
     return read_table(spark, bronze, fmt)
 
 
+def ladder_folders(spark: SparkSession, tiers: Sequence[str] = tuple(LADDER)) -> DataFrame:
+    """Raw folders that the tiers should have, in a column ``folder``."""
+    pairs = [(tier, division) for tier in tiers for division in LADDER[tier]]
+    ladder = spark.createDataFrame(pairs, "tier string, division string")
+    return ladder.select(partition_folder("tier", "division").alias("folder"))
+
+
 def landing_status(
     spark: SparkSession, raw: str, expected: DataFrame | None = None, glob: str = "*.json"
 ) -> DataFrame:

@@ -48,8 +48,9 @@ MATCH_FLAG_FIELDS = ("win",)
 
 TIERS = ("BRONZE", "SILVER", "GOLD", "PLATINUM")
 DIVISIONS = ("I", "II", "III", "IV")
-# Crawled next to the four tiers above; the last three have division I only.
-HIGHER_TIERS = ("EMERALD", "DIAMOND", "MASTER", "GRANDMASTER", "CHALLENGER")
+# Crawled next to the tiers above: with all divisions, and with division I only.
+HIGHER_TIERS = ("EMERALD", "DIAMOND")
+APEX_TIERS = ("MASTER", "GRANDMASTER", "CHALLENGER")
 TIER_ALIASES = {"platina": "platinum"}
 
 MIN_GAMES = 20
@@ -64,6 +65,11 @@ HISTORY_COUNT = 20
 
 # -----------------------------------------------------------------------------
 
+# Divisions of every tier.
+LADDER = {tier: DIVISIONS for tier in TIERS + HIGHER_TIERS} | {
+    tier: DIVISIONS[:1] for tier in APEX_TIERS
+}
+
 PARTICIPANT_FIELDS = MATCH_TEXT_FIELDS + MATCH_COUNT_FIELDS + MATCH_FLAG_FIELDS
 MATCH_COLUMNS = ("matchId",) + PARTICIPANT_FIELDS
 

@@ -30,7 +30,9 @@ def test_standings_step_by_step(spark, lake):
     def go(*argv):
         return run(spark, ["--format", "parquet", *argv])
 
-    assert go("landing-status", "--raw", lake["raw"]).count() == 4
+    status = {r.folder: r.next_page for r in go("landing-status", "--raw", lake["raw"]).collect()}
+    assert len(status) == 16
+    assert (status["gold_I"], status["gold_III"], status["bronze_I"]) == (2, 1, 1)
     go("standings-bronze", "--raw", lake["raw"], "--bronze", lake["bronze"])
     go("standings-silver", "--bronze", lake["bronze"], "--silver", lake["silver"], "--tier", "gold")
     gold = go("standings-gold", "--silver", lake["silver"], "--gold", lake["gold"])

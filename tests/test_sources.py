@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ladderlake.functions import page_number
-from ladderlake.plans import landing_status
+from ladderlake.plans import ladder_folders, landing_status
 from ladderlake.schemas import StandingsColumns, match_schema, standings_schema
 from ladderlake.sources import (
     default_format,
@@ -276,3 +276,9 @@ def test_schema_defaults_name_the_landed_fields():
     cols = StandingsColumns()
     assert cols.group == ("tier", "rank")
     assert len(match_schema()["info"].dataType["participants"].dataType.elementType) == 34
+
+
+def test_ladder_has_27_folders(spark):
+    folders = [r.folder for r in ladder_folders(spark).collect()]
+    assert len(folders) == 27 and {"gold_IV", "master_I"} <= set(folders)
+    assert "master_II" not in folders

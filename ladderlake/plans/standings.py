@@ -63,7 +63,8 @@ def standings_raw_to_bronze(
     chosen = None
     if tiers is not None:
         names = "|".join(name for t in tiers for name in tier_names(t))
-        chosen = rf"/(?:folder=)?(?:{names})_[^/]*/[^/]+$"
+        # A folder that Spark wrote has the name of its column in front.
+        chosen = rf"/(?:[^/=]+=)?(?:{names})_[^/]*/[^/]+$"
     files = {"_file": "file_path", "_landed": "file_modification_time"} if latest_only else None
     pages = scan_json(spark, raw, schema, glob, path_regex=chosen, metadata=files)
     kept, _ = reject_empty(pages, cols.player, cols.tier)

@@ -442,7 +442,7 @@ def incremental_pages(spark, sf_dir):
     raw, loaded = staging_path(spark, "raw-events"), staging_path(spark, "events")
     checkpoint = staging_path(spark, "events-checkpoint")
     events = table(spark, sf_dir, "events").withColumn("folder", F.col("event_type"))
-    early = F.col("event_type").isin("click", "view")
+    early = F.coalesce(F.col("event_type").isin("click", "view"), F.lit(False))
     for lot in (events.filter(early), events.filter(~early)):
         land_json(lot, raw, ["folder"], MICROS)
         load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
@@ -591,8 +591,8 @@ def rejected_matches(spark, sf_dir):
     kept, rejected = reject_empty(docs)
     # A match may be landed in several documents; count it once.
     kept = kept.select(F.col("metadata.matchId").alias("match_id")).distinct()
-    status = [row_count(df).withColumn("status", F.lit(s)) for df, s in ((kept, "kept"), (rejected, "rejected"))]
-    return union_by_name(status)
+    counts = {"kept": row_count(kept), "rejected": row_count(rejected)}
+    return union_by_name([df.withColumn("status", F.lit(s)) for s, df in counts.items()])
 
 
 @query("job_top_matches")

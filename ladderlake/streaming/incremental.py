@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 
 def load_new_files(
@@ -19,8 +20,8 @@ def load_new_files(
     files_per_batch: int | None = None,
     file_column: str | None = "source_file",
     options: dict | None = None,
-) -> int:
-    """Append the files landed since the last run, and return the row count.
+) -> StreamingQuery:
+    """Append the files landed since the last run, and return the finished query.
 
     The checkpoint remembers which files are loaded, and the file sink commits
     each batch once, so a rerun or a restart after a failure adds nothing twice.
@@ -47,4 +48,4 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    return query

@@ -170,12 +170,13 @@ def test_stream_takes_only_new_files(spark, raw, tmp_path):
     table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
 
     def load():
-        return load_new_files(spark, raw, table, checkpoint, standings_schema(), files_per_batch=5)
+        query = load_new_files(spark, raw, table, checkpoint, standings_schema(), files_per_batch=5)
+        return sum(p.numInputRows for p in query.recentProgress)
 
     def rows():
         return spark.read.parquet(table).count()
 
-    load()
+    assert load() == 38
     assert rows() == 38
     assert load() == 0
     assert rows() == 38

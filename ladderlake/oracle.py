@@ -156,6 +156,10 @@ SQL: dict[str, str] = {
     + "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from top",
     "rank_players": f"with {_STANDINGS}, {_RANKED.format(min_games=0)} "
     "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from ranked",
+    "top_n_large": """
+    select event_type, value, event_id, rn from (select *, row_number() over (
+      partition by event_type order by value desc nulls last, event_id) as rn from events)
+    where rn <= 1500""",
     "win_rate": _ALL
     + """select player_id, wins, losses, round(case when wins + losses = 0 then null
     else wins / (wins + losses) end, 6) as win_percentage from standings""",
@@ -222,7 +226,8 @@ SQL: dict[str, str] = {
     "explode_participants": f"with {_FACTS} "
     + """select cast(match_id as varchar) as "matchId", player_id, slot, team, win, gold, damage
     from facts""",
-    "explode_outer_participants": f"with {_FACTS}, {_OUTER} select * from outer_facts",
+    "explode_outer_participants": f"with {_FACTS}, {_OUTER} "
+    + "select * replace (cast(win as int) as win) from outer_facts",
     "match_facts": f"select {_full_columns()} from lineitem",
     "explode_stored_docs": """select cast(l_orderkey as varchar) as "matchId",
     l_partkey as player_id, l_extendedprice as damage from lineitem""",
@@ -256,6 +261,13 @@ SQL: dict[str, str] = {
       count(distinct page) as page_count, count(*) as file_count,
       cast(max(page) - min(page) + 1 - count(distinct page) as bigint) as absent_pages
     from p where page is not null group by 1""",
+    "landing_status": """
+    select lower(p_type) as folder, cast(max(p_size // 10) + 1 as int) as next_page,
+      count(distinct p_size // 10) as page_count,
+      cast(max(p_size // 10) - min(p_size // 10) + 1 - count(distinct p_size // 10) as bigint)
+        as absent_pages
+    from part group by 1
+    union all select 'none', 1, 0, 0""",
     "landing_dedup": """
     select event_type, user_id, event_id, value from (select *, row_number() over (
       partition by event_type, user_id order by ts desc, event_id desc) as rn from events)

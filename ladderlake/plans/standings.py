@@ -84,15 +84,21 @@ def ladder_folders(spark: SparkSession, tiers: Sequence[str] = tuple(LADDER)) ->
 
 
 def landing_status(
-    spark: SparkSession, raw: str, expected: DataFrame | None = None, glob: str = "*.json"
+    spark: SparkSession,
+    raw: str,
+    expected: DataFrame | None = None,
+    glob: str = "*.json",
+    folder_pattern: str = r"/([^/]+)/[^/]+$",
+    page_pattern: str = r"(\d+)\.json$",
 ) -> DataFrame:
     """Landed page range of every folder and the page to fetch next.
 
     To be kept next to a load: it shows a fetch that ended early. ``expected``
-    lists folders, in a column ``folder``, that may hold no page so far.
+    lists folders, in a column ``folder``, that may hold no page so far. The
+    patterns take folder and page number out of the file paths; no file is read.
     """
-    folder = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
-    listing = with_pages(landed_files(spark, raw, glob)).withColumn("folder", folder)
+    folder = F.regexp_extract("path", folder_pattern, 1)
+    listing = with_pages(landed_files(spark, raw, glob), page_pattern).withColumn("folder", folder)
     resume = next_page(listing, ["folder"], "page", expected)
     return resume.join(landing_report(listing, ["folder"], "page"), "folder", "left")
 

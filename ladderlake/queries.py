@@ -42,8 +42,9 @@ from ladderlake.operators import (
     union_by_name,
     union_by_position,
 )
-from ladderlake.operators.ranking import eligible, rank_players
+from ladderlake.operators.ranking import eligible, rank_players, top_n
 from ladderlake.plans import (
+    landing_status,
     land_matches,
     match_raw_to_bronze,
     republish,
@@ -122,6 +123,14 @@ def rank_players_all(spark, sf_dir):
     return rounded(rank_players(views.standings(spark, sf_dir), COLS), "win_percentage")
 
 
+@query("top_n_large")
+def top_n_large(spark, sf_dir):
+    """More rows per group than Spark cuts groups to by itself."""
+    events = table(spark, sf_dir, "events").select("event_type", "value", "event_id")
+    order = [F.col("value").desc_nulls_last(), F.col("event_id").asc()]
+    return top_n(events, ["event_type"], order, 1500)
+
+
 # --- projections, filters ----------------------------------------------------
 
 
@@ -285,7 +294,8 @@ def explode_participants(spark, sf_dir):
 @query("explode_outer_participants")
 def explode_outer_participants(spark, sf_dir):
     docs = views.match_docs(spark, sf_dir, views.brief_participant())
-    return match_facts(docs, list(views.brief_participant()), outer=True)
+    facts = match_facts(docs, list(views.brief_participant()), outer=True)
+    return facts.withColumn("win", F.col("win").cast("int"))
 
 
 @query("match_facts")
@@ -428,6 +438,31 @@ def landing_report_by_host(spark, sf_dir):
     return landing_report(pages_by_host(spark, sf_dir), ["host"], "page")
 
 
+@query("landing_status")
+def landing_status_of_parts(spark, sf_dir):
+    """Resume points from the names of landed files; one tier has landed nothing."""
+    part = table(spark, sf_dir, "part")
+    page = F.floor(F.col("p_size") / 10).cast("int").alias("page")
+    rows = part.select("p_partkey", "p_name", tier_key("p_type").alias("folder"), page)
+    root = land_json(rows, staging_path(spark, "raw-parts"), ["folder", "page"])
+    tiers = part.select(tier_key("p_type").alias("folder")).distinct()
+    expected = tiers.union(spark.createDataFrame([("none",)], "folder string"))
+    status = landing_status(
+        spark,
+        root,
+        expected,
+        folder_pattern=r"/folder=([^/]+)/",
+        page_pattern=r"/page=(\d+)/",
+    )
+    zero = F.lit(0).cast("bigint")
+    return status.select(
+        "folder",
+        "next_page",
+        F.coalesce("page_count", zero).alias("page_count"),
+        F.coalesce("absent_pages", zero).alias("absent_pages"),
+    )
+
+
 @query("landing_dedup")
 def landing_dedup(spark, sf_dir):
     """Newest event of every (type, user)."""

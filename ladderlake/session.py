@@ -57,7 +57,7 @@ def shared_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder, below the application's own folder."""
-    application = spark.sparkContext.applicationId
+    application = spark.conf.get("spark.app.id", "application")
     return f"{shared_root(spark)}/ladderlake/{application}/{name}-{uuid.uuid4().hex}"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ladderlake.schemas import MATCH_COLUMNS, MATCH_COUNT_FIELDS, MATCH_TEXT_FIELDS
+from ladderlake.schemas import MATCH_COLUMNS, MATCH_COUNT_FIELDS
 
 _STANDINGS = """
 standings as (
@@ -87,7 +87,7 @@ def _landed_columns(names) -> str:
     def expression(name):
         if name in _LANDED:
             return _LANDED[name]
-        return "cast(null as varchar)" if name in MATCH_TEXT_FIELDS else "cast(null as bigint)"
+        return "cast(-1 as bigint)"
 
     return ", ".join(f'{expression(n)} as "{n}"' for n in names)
 
@@ -227,7 +227,8 @@ SQL: dict[str, str] = {
     + """select cast(match_id as varchar) as "matchId", player_id, slot, team, win, gold, damage
     from facts""",
     "explode_outer_participants": f"with {_FACTS}, {_OUTER} "
-    + "select * replace (cast(win as int) as win) from outer_facts",
+    + """select "matchId", coalesce(player_id, -1) as player_id, coalesce(slot, -1) as slot,
+    coalesce(cast(win as int), -1) as win, team, gold, damage from outer_facts""",
     "match_facts": f"select {_full_columns()} from lineitem",
     "explode_stored_docs": """select cast(l_orderkey as varchar) as "matchId",
     l_partkey as player_id, l_extendedprice as damage from lineitem""",

@@ -56,7 +56,7 @@ from ladderlake.plans import (
     top_match_facts,
     whole_records_to_bronze,
 )
-from ladderlake.schemas import match_schema
+from ladderlake.schemas import MATCH_COUNT_FIELDS, match_schema
 from ladderlake.session import staging_path, tune
 from ladderlake.sources import (
     land_json,
@@ -295,7 +295,9 @@ def explode_participants(spark, sf_dir):
 def explode_outer_participants(spark, sf_dir):
     docs = views.match_docs(spark, sf_dir, views.brief_participant())
     facts = match_facts(docs, list(views.brief_participant()), outer=True)
-    return facts.withColumn("win", F.col("win").cast("int"))
+    facts = facts.withColumn("win", F.col("win").cast("int"))
+    # Integers without a value show as -1; the other columns keep their nulls.
+    return facts.fillna(-1, ["player_id", "slot", "win"])
 
 
 @query("match_facts")
@@ -612,11 +614,14 @@ def landed_matches(spark, sf_dir) -> str:
 
 @query("job_match_gold")
 def job_match_gold(spark, sf_dir):
-    """Landed matches to bronze participant rows, then published."""
+    """Landed matches to bronze participant rows, then published.
+
+    The counts that no record has are null in the table and shown as -1.
+    """
     raw = landed_matches(spark, sf_dir)
     bronze, gold = staging_path(spark, "matches-b"), staging_path(spark, "matches-g")
     match_raw_to_bronze(spark, raw, bronze, glob="part-*")
-    return republish(spark, bronze, gold)
+    return republish(spark, bronze, gold).fillna(-1, list(MATCH_COUNT_FIELDS))
 
 
 @query("rejected_matches")

@@ -302,6 +302,7 @@ SQL: dict[str, str] = {
     "job_standings_gold": _STANDINGS_ROWS,
     "job_all_tiers": _STANDINGS_ROWS,
     "job_match_gold": f"select {_landed_columns(MATCH_COLUMNS)} from lineitem",
+    "incremental_matches": f"select {_landed_columns(_LANDED)} from lineitem",
     "rejected_matches": """
     select 'kept' as status, count(distinct l_orderkey) as row_count from lineitem
     union all select 'rejected', count(*) from orders

@@ -57,7 +57,7 @@ from ladderlake.plans import (
     whole_records_to_bronze,
 )
 from ladderlake.schemas import MATCH_COUNT_FIELDS, match_schema
-from ladderlake.session import staging_path, tune
+from ladderlake.session import materialize, staging_path, tune
 from ladderlake.sources import (
     land_json,
     landing_report,
@@ -586,6 +586,12 @@ def job_all_tiers(spark, sf_dir):
     return standings_all_tiers(spark, silver, gold, PART_TIERS, COLS)
 
 
+def match_body():
+    """Payload text of a match document; without participants it is ``null``."""
+    unplayed = F.col("info.participants").isNull()
+    return F.when(unplayed, F.lit("null")).otherwise(encode_json("metadata", "info"))
+
+
 def landed_matches(spark, sf_dir) -> str:
     """Match payloads as text lines; matches without players land as ``null``.
 
@@ -593,16 +599,13 @@ def landed_matches(spark, sf_dir) -> str:
     replaces it.
     """
     docs = views.match_docs(spark, sf_dir, views.landed_participant())
-    body = F.when(
-        F.col("info.participants").isNull(), F.lit("null")
-    ).otherwise(encode_json("metadata", "info"))
     payloads = docs.select(
         F.col("metadata.matchId").alias("match_id"),
         "part",
         F.explode(
             F.array(
                 F.struct(F.lit(1).alias("seq"), F.lit('{"info":{"participants":[]}}').alias("body")),
-                F.struct(F.lit(2).alias("seq"), body.alias("body")),
+                F.struct(F.lit(2).alias("seq"), match_body().alias("body")),
             )
         ).alias("landing"),
     ).select("match_id", "part", "landing.seq", "landing.body")
@@ -624,6 +627,30 @@ def job_match_gold(spark, sf_dir):
     return republish(spark, bronze, gold).fillna(-1, list(MATCH_COUNT_FIELDS))
 
 
+@query("incremental_matches")
+def incremental_matches(spark, sf_dir):
+    """Matches landed in two lots; each run explodes only the new files."""
+    raw, loaded = staging_path(spark, "raw-lots"), staging_path(spark, "lots")
+    checkpoint = staging_path(spark, "lots-checkpoint")
+    # Stored, so that both lots are cut from the same documents.
+    docs = materialize(views.match_docs(spark, sf_dir, views.landed_participant()), "docs")
+    fields = list(views.landed_participant())
+    small = F.coalesce(F.size("info.participants") <= 3, F.lit(True))
+    for lot in (docs.filter(small), docs.filter(~small)):
+        lot.select(match_body()).write.mode("append").text(raw)
+        load_new_files(
+            spark,
+            raw,
+            loaded,
+            checkpoint,
+            match_schema(fields),
+            glob="part-*",
+            file_column=None,
+            transform=lambda new: match_facts(reject_empty(new)[0], fields),
+        )
+    return read_table(spark, loaded)
+
+
 @query("rejected_matches")
 def rejected_matches(spark, sf_dir):
     """How many landed matches are kept, and how many are empty records."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,13 +21,16 @@ def load_new_files(
     table_format: str = "parquet",
     files_per_batch: int | None = None,
     file_column: str | None = "source_file",
+    transform: Callable[[DataFrame], DataFrame] | None = None,
     options: dict | None = None,
 ) -> StreamingQuery:
     """Append the files landed since the last run, and return the finished query.
 
     The checkpoint remembers which files are loaded, and the file sink commits
     each batch once, so a rerun or a restart after a failure adds nothing twice.
-    ``files_per_batch`` bounds one batch on a large backlog.
+    ``files_per_batch`` bounds one batch on a large backlog. ``transform`` works
+    on the rows on their way, e.g. to explode landed matches; it must not
+    group them, as each batch sees only new files.
     """
     reader = (
         spark.readStream.format(fmt)
@@ -39,6 +44,8 @@ def load_new_files(
     rows = reader.load(source)
     if file_column:
         rows = rows.withColumn(file_column, F.col("_metadata.file_path"))
+    if transform:
+        rows = transform(rows)
     query = (
         rows.writeStream.format(table_format)
         .option("path", table)

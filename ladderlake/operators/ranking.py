@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ladderlake.functions import games, win_rate
 from ladderlake.schemas import MIN_GAMES, TOP_PLAYERS, StandingsColumns
@@ -14,6 +15,10 @@ from ladderlake.session import materialize
 # Bits of monotonically_increasing_id() that count rows inside a partition.
 _ROW_BITS = 33
 
+# Rows per group and task that may meet in one task, and the parts to cut them in above that.
+_ONE_CUT_ROWS = 32
+_SALTS = 64
+
 
 def number_rows(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "rn"
@@ -62,21 +67,34 @@ def number_rows(
     )
 
 
+def _first_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str):
+    window = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
+
+
 def top_n(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str = "rn"
 ) -> DataFrame:
     """First ``n`` rows of each group, numbered.
 
-    For small ``n`` Spark cuts every group to ``n`` rows per task before the
-    shuffle, so a hot group never arrives whole. Above its limit for that,
-    the rows are numbered by :func:`number_rows` instead.
+    Spark cuts every group to ``n`` rows per task before the shuffle, so a hot
+    group never arrives whole, but as ``n`` rows from each of many tasks.
+    Where that is a lot, the rows are cut once more in between, spread by a hash.
+    Above Spark's own limit for the cut they are numbered by
+    :func:`number_rows`.
     """
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
         return number_rows(df, group, order, name).filter(F.col(name) <= n)
-    window = Window.partitionBy(*group).orderBy(*order)
-    first = df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
-    return first.withColumn(name, F.col(name).cast("bigint"))
+    candidates = df
+    if n > _ONE_CUT_ROWS:
+        nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+        plain = [f.name for f in df.schema if not isinstance(f.dataType, nested)]
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(_SALTS)))
+        candidates = _first_rows(salted, [*group, "_salt"], order, n, name).drop("_salt", name)
+    return _first_rows(candidates, group, order, n, name).withColumn(
+        name, F.col(name).cast("bigint")
+    )
 
 
 def standings_order(cols: StandingsColumns, rate: str = "win_percentage") -> list[Column]:

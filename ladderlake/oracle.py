@@ -151,15 +151,20 @@ select column_name, string_agg(distinct t, ',' order by t) as tables,
 from listing group by column_name"""
 
 
+def _top_events(n: int) -> str:
+    return f"""
+    select event_type, value, event_id, rn from (select *, row_number() over (
+      partition by event_type order by value desc nulls last, event_id) as rn from events)
+    where rn <= {n}"""
+
+
 SQL: dict[str, str] = {
     "top_n_players": _TOP
     + "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from top",
     "rank_players": f"with {_STANDINGS}, {_RANKED.format(min_games=0)} "
     "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from ranked",
-    "top_n_large": """
-    select event_type, value, event_id, rn from (select *, row_number() over (
-      partition by event_type order by value desc nulls last, event_id) as rn from events)
-    where rn <= 1500""",
+    "top_n_hundred": _top_events(100),
+    "top_n_large": _top_events(1500),
     "win_rate": _ALL
     + """select player_id, wins, losses, round(case when wins + losses = 0 then null
     else wins / (wins + losses) end, 6) as win_percentage from standings""",

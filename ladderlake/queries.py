@@ -123,12 +123,22 @@ def rank_players_all(spark, sf_dir):
     return rounded(rank_players(views.standings(spark, sf_dir), COLS), "win_percentage")
 
 
+def top_events(spark, sf_dir, n):
+    events = table(spark, sf_dir, "events").select("event_type", "value", "event_id")
+    order = [F.col("value").desc_nulls_last(), F.col("event_id").asc()]
+    return top_n(events, ["event_type"], order, n)
+
+
+@query("top_n_hundred")
+def top_n_hundred(spark, sf_dir):
+    """So many rows per group that they are cut twice."""
+    return top_events(spark, sf_dir, 100)
+
+
 @query("top_n_large")
 def top_n_large(spark, sf_dir):
     """More rows per group than Spark cuts groups to by itself."""
-    events = table(spark, sf_dir, "events").select("event_type", "value", "event_id")
-    order = [F.col("value").desc_nulls_last(), F.col("event_id").asc()]
-    return top_n(events, ["event_type"], order, 1500)
+    return top_events(spark, sf_dir, 1500)
 
 
 # --- projections, filters ----------------------------------------------------

@@ -100,10 +100,27 @@ def test_number_rows_of_nothing(spark):
     assert number_rows(empty, ["g"], order()).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 3, 1500])
+@pytest.mark.parametrize("n", [1, 3, 100, 1500])
 def test_top_n_equals_a_window(spark, skewed, n):
     got = top_n(skewed, ["g"], order(), n)
     window = Window.partitionBy("g").orderBy(*order())
     want = skewed.withColumn("rn", F.row_number().over(window).cast("bigint")).filter(F.col("rn") <= n)
     assert got.exceptAll(want).count() == 0
     assert got.count() == want.count()
+
+
+def test_many_rows_per_group_are_cut_twice(spark, skewed):
+    def cuts(n):
+        text = top_n(skewed, ["g"], order(), n)._jdf.queryExecution().executedPlan().toString()
+        return text.count("WindowGroupLimit")
+
+    assert cuts(3) == 2
+    assert cuts(100) == 4
+
+
+def test_top_n_keeps_nested_columns(spark):
+    rows = [("a", i, (i, [i])) for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, v int, s struct<x int, l array<int>>")
+    got = top_n(df, ["g"], [F.col("v").desc()], 50).collect()
+    assert sorted(r.s.x for r in got) == list(range(50, 100))
+    assert df.columns + ["rn"] == top_n(df, ["g"], [F.col("v").desc()], 50).columns

@@ -3,7 +3,7 @@ import os
 import random
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from ladderlake.functions import page_number
@@ -186,6 +186,32 @@ def test_stream_takes_only_new_files(spark, raw, tmp_path):
     assert spark.read.parquet(table).filter(F.col("source_file").endswith("13.json")).count() == 1
 
 
+def test_a_failed_run_is_made_up_for_without_repeats(spark, raw, tmp_path):
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    broken = f"{raw}/gold_III/1.json"
+    put(broken, '[{"summonerId": ')
+
+    def load():
+        return load_new_files(
+            spark,
+            raw,
+            table,
+            checkpoint,
+            standings_schema(),
+            files_per_batch=4,
+            options={"mode": "FAILFAST"},
+        )
+
+    with pytest.raises(StreamingQueryException):
+        load()
+    put(broken, [player(700, division="III")])
+    load()
+    load()
+    rows = spark.read.parquet(table)
+    assert rows.count() == 39
+    assert rows.select("summonerId", "rank").distinct().count() == 39
+
+
 def test_overwrite_replaces_the_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.createDataFrame([(1, "a")], "x int, y string"), path)

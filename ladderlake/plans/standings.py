@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import partition_folder, tier_key, tier_names
+from ladderlake.functions import canonical_tier, partition_folder, tier_key, tier_names
 from ladderlake.operators.sets import union_by_name
 from ladderlake.schemas import LADDER, StandingsColumns, standings_schema
 from ladderlake.sources import (
@@ -35,6 +35,10 @@ def _only(df: DataFrame, column: str, wanted: Sequence[str] | None) -> DataFrame
     return df if wanted is None else df.filter(F.col(column).isin(list(wanted)))
 
 
+def _tiers(names: Sequence[str] | None) -> list[str] | None:
+    return None if names is None else [canonical_tier(name) for name in names]
+
+
 def standings_raw_to_bronze(
     spark: SparkSession,
     raw: str,
@@ -78,7 +82,7 @@ def standings_raw_to_bronze(
 
 def ladder_folders(spark: SparkSession, tiers: Sequence[str] = tuple(LADDER)) -> DataFrame:
     """Raw folders that the tiers should have, in a column ``folder``."""
-    pairs = [(tier, division) for tier in tiers for division in LADDER[tier]]
+    pairs = [(tier, division) for tier in _tiers(tiers) for division in LADDER[tier]]
     ladder = spark.createDataFrame(pairs, "tier string, division string")
     return ladder.select(partition_folder("tier", "division").alias("folder"))
 
@@ -114,7 +118,7 @@ def standings_bronze_to_silver(
 ) -> DataFrame:
     """All divisions of each tier together; ``divisions`` narrows the choice."""
     df = read_table(spark, bronze, fmt)
-    df = _only(_only(df, cols.tier, tiers), cols.division, divisions)
+    df = _only(_only(df, cols.tier, _tiers(tiers)), cols.division, divisions)
     write_table(df, silver, fmt, [cols.tier], "partitions", rebalance=False)
     return read_table(spark, silver, fmt)
 
@@ -128,7 +132,7 @@ def standings_silver_to_gold(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Publish silver tiers unchanged."""
-    df = _only(read_table(spark, silver, fmt), cols.tier, tiers)
+    df = _only(read_table(spark, silver, fmt), cols.tier, _tiers(tiers))
     write_table(df, gold, fmt, [cols.tier], "partitions", rebalance=False)
     return read_table(spark, gold, fmt)
 
@@ -143,6 +147,6 @@ def standings_all_tiers(
 ) -> DataFrame:
     """The named tiers in one table. Each part reads its own partition only."""
     df = read_table(spark, silver, fmt)
-    parts = [df.filter(F.col(cols.tier) == t) for t in tiers]
+    parts = [df.filter(F.col(cols.tier) == t) for t in _tiers(tiers)]
     write_table(union_by_name(parts), gold_all, fmt, rebalance=False)
     return read_table(spark, gold_all, fmt)

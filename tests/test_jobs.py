@@ -63,7 +63,8 @@ def test_gold_equals_the_landed_pages(spark, roots):
     raw = spark.read.option("recursiveFileLookup", "true").json(roots["raw"])
     assert gold.count() == 4 * 4 * 10
     assert gold.select(raw.columns).exceptAll(raw).count() == 0
-    everything = standings_all_tiers(spark, roots["silver"], roots["all"], TIERS)
+    names = ["bronze", "silver", "gold", "platina"]
+    everything = standings_all_tiers(spark, roots["silver"], roots["all"], names)
     assert everything.count() == gold.count()
     assert sorted(r.tier for r in everything.select("tier").distinct().collect()) == sorted(TIERS)
     assert top_players(gold).count() == 4 * 4 * 2
@@ -74,7 +75,7 @@ def test_one_tier_is_reloaded_alone(spark, roots):
     put(f"{roots['raw']}/gold_I/3.json", [entry("GOLD", "I", 99)])
     put(f"{roots['raw']}/silver_I/3.json", [entry("SILVER", "I", 99)])
     standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], tiers=["gold"])
-    standings_bronze_to_silver(spark, roots["bronze"], roots["silver"], tiers=["GOLD"])
+    standings_bronze_to_silver(spark, roots["bronze"], roots["silver"], tiers=["gold"])
     gold = standings_silver_to_gold(spark, roots["silver"], roots["gold"], tiers=["GOLD"])
     counts = {r.tier: r["count"] for r in gold.groupBy("tier").count().collect()}
     assert counts == {"GOLD": 41, "SILVER": 40, "BRONZE": 40, "PLATINUM": 40}

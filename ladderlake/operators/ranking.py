@@ -67,7 +67,9 @@ def number_rows(
     )
 
 
-def _first_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str):
+def _first_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str
+) -> DataFrame:
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 

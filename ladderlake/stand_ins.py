@@ -148,7 +148,9 @@ def match_docs(spark: SparkSession, sf_dir: str, participant: dict[str, Column])
         F.shiftright(F.monotonically_increasing_id(), _CHUNK_BITS).alias("part"),
         element.alias("p"),
     )
-    filled = lines.groupBy("l_orderkey", "part").agg(F.collect_list("p").alias("participants"))
+    # Gathering makes nothing smaller, so it is left to the receiving tasks alone.
+    spread = lines.repartition("l_orderkey", "part")
+    filled = spread.groupBy("l_orderkey", "part").agg(F.collect_list("p").alias("participants"))
     played = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
     unplayed = (
         table(spark, sf_dir, "orders")

@@ -14,6 +14,18 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A tier or division of digits stays text when a partitioned table is read.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+}
+
+# For a large cluster, on top of the above: start with many shuffle partitions and let
+# adaptive execution merge them to the advisory size, in memory and in files.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
 }
 
 

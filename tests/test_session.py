@@ -2,8 +2,16 @@ import os
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from ladderlake.session import SQL_SETTINGS, materialize, shared_root, staging_path, tune
+from ladderlake.session import (
+    CLUSTER_SETTINGS,
+    SQL_SETTINGS,
+    materialize,
+    shared_root,
+    staging_path,
+    tune,
+)
 
 
 def fake(master, conf=None, checkpoint=None):
@@ -49,3 +57,16 @@ def test_materialized_results_are_stored_and_sized(spark):
 def test_tune_sets_the_sql_settings(spark):
     tune(spark)
     assert all(spark.conf.get(k) == v for k, v in SQL_SETTINGS.items())
+
+
+def test_cluster_settings_are_accepted(spark):
+    session = spark.newSession()
+    for key, value in CLUSTER_SETTINGS.items():
+        session.conf.set(key, value)
+    assert session.range(10).groupBy((F.col("id") % 3).alias("k")).count().count() == 3
+
+
+def test_partition_values_stay_text(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("1", 5)], "division string, v int").write.partitionBy("division").parquet(path)
+    assert dict(spark.read.parquet(path).dtypes)["division"] == "string"

@@ -621,7 +621,7 @@ def landed_matches(spark, sf_dir) -> str:
     ).select("match_id", "part", "landing.seq", "landing.body")
     last = land_matches(payloads, ["match_id", "part"], [F.col("seq").desc()])
     path = staging_path(spark, "raw-matches")
-    last.select("body").write.text(path)
+    last.select("body").write.text(path, compression="gzip")
     return path
 
 
@@ -647,7 +647,7 @@ def incremental_matches(spark, sf_dir):
     fields = list(views.landed_participant())
     small = F.coalesce(F.size("info.participants") <= 3, F.lit(True))
     for lot in (docs.filter(small), docs.filter(~small)):
-        lot.select(match_body()).write.mode("append").text(raw)
+        lot.select(match_body()).write.mode("append").text(raw, compression="gzip")
         load_new_files(
             spark,
             raw,

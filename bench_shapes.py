@@ -25,7 +25,6 @@ from ladderlake.operators import (  # noqa: E402
     match_facts,
     null_profile,
     number_rows,
-    top_players,
 )
 from ladderlake.operators.ranking import standings_order  # noqa: E402
 from ladderlake.schemas import match_schema  # noqa: E402
@@ -76,15 +75,6 @@ def pairs(spark, sf_dir):
         rated = players.withColumn("win_percentage", win_rate("wins", "losses"))
         run(number_rows(rated, ["tier"], standings_order(views.COLS)))
 
-    def ids_to_driver_and_back():
-        ids = [r.player_id for r in top_players(players, views.COLS).select("player_id").collect()]
-        for player in ids[:20]:
-            views.history(spark, sf_dir).filter(F.col("player_id") == player).count()
-
-    def ids_joined():
-        best = top_players(players, views.COLS).select("player_id")
-        run(views.history(spark, sf_dir).join(best, "player_id", "left_semi"))
-
     return {
         "scan of landed matches": (
             ("schema inferred", lambda: run(facts(None))),
@@ -99,10 +89,6 @@ def pairs(spark, sf_dir):
             ("one pass", lambda: run(describe_by(gold, ["tier"], "totalDamageDealt"))),
         ),
         "full ranking": (("window", windowed_rank), ("range slices", sliced_rank)),
-        "history of the top players": (
-            ("a request per player, 20 players", ids_to_driver_and_back),
-            ("join, all players", ids_joined),
-        ),
     }
 
 

@@ -2,24 +2,78 @@
 
 from __future__ import annotations
 
+import functools
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.packing import pack
+from ladderlake.llm.quality import base_failed, rate
 
 REGISTRY = {}
 SQL = {}
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where only the driver's own path names it.
+
+    On a cluster the package is shipped with the job (``--py-files``).
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
 def query(f):
-    REGISTRY[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return f(spark, sf_dir)
+
+    REGISTRY[f.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = find_leaks(docs, items, carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        "leaks.n_words",
+        "leaks.n_hit",
+        F.size("leaks.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("leaks.items", ","), 256).alias("items_sha256"),
+        (F.col("leaks.n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return rate(docs, labels).select(
+        "doc_id",
+        "counts.n_words",
+        "counts.word_chars",
+        "counts.n_symbols",
+        "counts.n_dup_lines",
+        "counts.n_repeat_words",
+        base_failed("counts").alias("base_failed"),
+        "kept",
+    )
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")

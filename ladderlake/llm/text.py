@@ -161,12 +161,17 @@ def window_hashes(lane: np.ndarray, n: int) -> np.ndarray:
 
 def covered(starts: np.ndarray, width: int, size: int) -> np.ndarray:
     """True for the places 0..size that lie in any window starting at ``starts``."""
-    change = np.zeros(size + 1, np.int64)
-    np.add.at(change, starts, 1)
-    np.add.at(change, np.minimum(starts + width, size), -1)
+    change = np.bincount(starts, minlength=size + 1)
+    change = change - np.bincount(np.minimum(starts + width, size), minlength=size + 1)
     return np.cumsum(change[:-1]) > 0
 
 
+def per_text(counted: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of ``counted`` over ``first[d] : first[d + 1]`` for every text d."""
+    sums = np.concatenate([[0], np.cumsum(counted, dtype=np.int64)])
+    return np.diff(sums[first])
+
+
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places of all runs ``starts[i] : starts[i] + lengths[i]``, one after another."""
     total = int(lengths.sum())

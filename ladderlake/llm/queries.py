@@ -9,9 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ladderlake.llm.chat import format_turns, read_back
 from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.packing import pack
 from ladderlake.llm.quality import base_failed, rate
+from ladderlake.llm.sharding import shard_of, shard_records
+from ladderlake.llm.token_counts import count_tokens
+from ladderlake.llm.warc import read_warc, write_warc
+from ladderlake.session import staging_path
 
 REGISTRY = {}
 SQL = {}
@@ -45,6 +50,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    return shard_records(docs, 24).select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        shard_of(F.col("doc_id"), 25).alias("grown_shard"),
+    )
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        F.element_at("headers", "warc-page-id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.element_at("headers", "warc-refers-to-page-id").cast("bigint").alias("refers_to"),
+    )
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -59,6 +92,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return count_tokens(table(spark, sf_dir, "documents"), path, carry=["doc_id"])
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -74,6 +113,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(
+        [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))],
+        turns.schema,
+    )
+    return read_back(format_turns(turns.unionByName(own)))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")

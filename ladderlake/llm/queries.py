@@ -14,6 +14,7 @@ from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.packing import pack
 from ladderlake.llm.quality import base_failed, rate
 from ladderlake.llm.sharding import shard_of, shard_records
+from ladderlake.llm.substring import remove_repeats
 from ladderlake.llm.token_counts import count_tokens
 from ladderlake.llm.warc import read_warc, write_warc
 from ladderlake.session import staging_path
@@ -65,6 +66,15 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\x09-\\x0D]+", " "))
+    return remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(words, 256).alias("kept_sha256")
+    )
+
+
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "warc")

@@ -8,13 +8,14 @@ its length lies at a computed place.
 
 Defined results: a null text has no tokens of its own, so only the closing id; repeated
 rows and ids are packed one by one; an empty table gives no piece; other columns of the
-input are not looked at. A text of any length is tokenized whole, in units that end before
-white space, where the pre-tokenizer of the byte-level vocabulary always cuts.
+input are not looked at. A text of any length is tokenized whole, in units that end where the
+pre-tokenizer of the byte-level vocabulary always cuts.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,45 +99,76 @@ def layout(plan: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
     )
 
 
-# White space beyond ASCII ends in one of these bytes; no unit is cut behind them.
-_WIDE_SPACE_END = np.zeros(256, bool)
-_WIDE_SPACE_END[[0x80, *range(0x81, 0x8B), 0x85, 0xA0, 0xA8, 0xA9, 0xAF, 0x9F]] = True
-_WIDE_SPACE_LEAD = np.zeros(256, bool)
-_WIDE_SPACE_LEAD[[0xC2, 0x80, 0x81, 0x9A]] = True
-_ASCII_SPACE = np.zeros(256, bool)
-_ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+def _bytes(*codes: int) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(codes)] = True
+    return out
+
+
+_SPACE = _bytes(0x20, *range(0x09, 0x0E))
+_LETTER = _bytes(*range(0x41, 0x5B), *range(0x61, 0x7B))
+_SIGN = _bytes(*range(0x21, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F))
+# White space beyond ASCII ends in these two bytes; no unit is cut behind them.
+_WIDE_LEAD = _bytes(0xC2, 0x80, 0x81, 0x9A)
+_WIDE_END = _bytes(*range(0x80, 0x8B), 0xA0, 0xA8, 0xA9, 0xAF, 0x9F)
 
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of units: at a text's start, and at white space behind anything else.
+    """Starts of units, which can be tokenized alone.
 
-    Units can be tokenized alone, as white space always opens a new pre-token there.
-    Behind what may be the last byte of wide white space no cut is made.
+    They are at a text's start, at white space behind anything else, and at an ASCII digit
+    or sign behind an ASCII letter: the pre-tokenizer always cuts there, whatever surrounds
+    the place. Behind what may be the last byte of wide white space no cut is made, and
+    none inside the name of the special token.
     """
     n = len(data)
-    space = _ASCII_SPACE[data]
     cut = np.zeros(n, bool)
-    cut[1:] = space[1:] & ~space[:-1]
-    wide = np.zeros(n, bool)
-    wide[2:] = _WIDE_SPACE_END[data[1:-1]] & _WIDE_SPACE_LEAD[data[:-2]]
-    cut &= ~wide
+    cut[1:] = _SPACE[data[1:]] & ~_SPACE[data[:-1]]
+    cut[2:] &= ~(_WIDE_END[data[1:-1]] & _WIDE_LEAD[data[:-2]])
+    cut[1:] |= _LETTER[data[:-1]] & _SIGN[data[1:]] & (data[1:] != ord("|"))
     cut[offsets[offsets < n]] = True
     return np.flatnonzero(cut)
 
 
 class UnitTokenizer:
-    """Ids of many texts: distinct units are tokenized once a chunk and looked up."""
+    """Ids of many texts: distinct units are tokenized once and looked up.
+
+    Up to ``KNOWN`` units are remembered from chunk to chunk; then memory starts anew.
+    """
+
+    KNOWN = 400_000
+    BATCH = 20_000
+    _opened: dict[str, UnitTokenizer] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[str, bytes] = {}
+
+    @classmethod
+    def open(cls, path: str) -> UnitTokenizer:
+        """One for each worker process."""
+        if path not in cls._opened:
+            cls._opened[path] = cls(path)
+        return cls._opened[path]
+
+    def learn(self, units: list[str]) -> None:
+        new = [x for x in units if x not in self.known]
+        if len(self.known) + len(new) > self.KNOWN:
+            self.known.clear()
+            new = units
+        for k in range(0, len(new), self.BATCH):
+            some = new[k : k + self.BATCH]
+            for unit, out in zip(
+                some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            ):
+                self.known[unit] = array("I", out.ids).tobytes()
 
     def ids(self, column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
         data, offsets = utf8(column)
         starts = unit_starts(data, offsets)
-        ends = np.append(starts[1:], len(data))
         places = np.append(starts, len(data)).astype(np.int64)
         units = pa.Array.from_buffers(
             pa.large_string(),
@@ -144,21 +176,15 @@ class UnitTokenizer:
             [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data))],
         ).dictionary_encode()
         codes = units.indices.to_numpy(zero_copy_only=False)
-        lists = [
-            x.ids
-            for x in self.tokenizer.encode_batch_fast(
-                units.dictionary.to_pylist(), add_special_tokens=False
-            )
-        ]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
-        firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
+        distinct = units.dictionary.to_pylist()
+        self.learn(distinct)
+        raw = [self.known[x] for x in distinct]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        flat = np.frombuffer(b"".join(raw), np.uint32)
         lengths = sizes[codes]
-        ids = flat[gather(firsts[codes], lengths)]
+        ids = flat[gather((np.cumsum(sizes) - sizes)[codes], lengths)]
         sums = np.concatenate([[0], np.cumsum(lengths)])
-        unit_of_text = np.searchsorted(starts, offsets)
-        assert len(ends) == len(codes)
-        return ids, np.diff(sums[unit_of_text])
+        return ids, np.diff(sums[np.searchsorted(starts, offsets)])
 
 
 def cut_pieces(docs: DataFrame, path: str, window: int, id_col: str, text_col: str) -> DataFrame:
@@ -167,7 +193,7 @@ def cut_pieces(docs: DataFrame, path: str, window: int, id_col: str, text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = UnitTokenizer(path)
+        tokenizer = UnitTokenizer.open(path)
         part = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         for table in chunks(batches, 1):

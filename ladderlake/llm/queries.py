@@ -14,6 +14,7 @@ from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.packing import pack
 from ladderlake.llm.quality import base_failed, rate
 from ladderlake.llm.sharding import shard_of, shard_records
+from ladderlake.llm.simhash import near_duplicates
 from ladderlake.llm.substring import remove_repeats
 from ladderlake.llm.token_counts import count_tokens
 from ladderlake.llm.warc import read_warc, write_warc
@@ -133,6 +134,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns.unionByName(own)))
 
 
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")

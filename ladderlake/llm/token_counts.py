@@ -57,7 +57,11 @@ class Vocabulary:
 
 
 class Counter:
+    KNOWN = 400_000
+    _opened: dict[str, Counter] = {}
+
     def __init__(self, vocabulary: Vocabulary):
+        self.known: dict[str, int] = {}
         self.unknown = vocabulary.lowest - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
         for piece, score in vocabulary.scores.items():
@@ -102,6 +106,24 @@ class Counter:
             close(done, found if end == done else [])
         return count[n]
 
+    def known_count(self, unit: str) -> int:
+        """``count``, remembered for up to ``KNOWN`` short units; then memory starts anew."""
+        count = self.known.get(unit)
+        if count is None:
+            count = self.count(unit)
+            if len(unit) <= 64:
+                if len(self.known) >= self.KNOWN:
+                    self.known.clear()
+                self.known[unit] = count
+        return count
+
+    @classmethod
+    def open(cls, path: str) -> Counter:
+        """One for each worker process."""
+        if path not in cls._opened:
+            cls._opened[path] = cls(Vocabulary.load(path))
+        return cls._opened[path]
+
     def column(self, column: pa.ChunkedArray) -> np.ndarray:
         """Token counts of all texts of a chunk."""
         data, offsets = utf8(column)
@@ -128,7 +150,7 @@ class Counter:
         texts = units.dictionary.to_pylist()
         counts = np.fromiter(
             (
-                self.count((MARK if key & 1 else "") + texts[key >> 1].replace(" ", MARK))
+                self.known_count((MARK if key & 1 else "") + texts[key >> 1].replace(" ", MARK))
                 for key in distinct.tolist()
             ),
             np.int64,
@@ -154,7 +176,7 @@ def count_tokens(
     names = [*carry, count_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(Vocabulary.load(path))
+        counter = Counter.open(path)
         for table in chunks(batches, 0):
             counts = pa.array(counter.column(table.column(0)))
             columns = [c.combine_chunks() for c in table.remove_column(0).columns]

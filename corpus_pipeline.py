@@ -4,21 +4,64 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ladderlake.llm import simhash, substring
+from ladderlake.llm.decontaminate import remove_leaks
 from ladderlake.llm.packing import pack
+from ladderlake.llm.quality import keep_good
+from ladderlake.llm.queries import reachable, table
+from ladderlake.session import materialize
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the thresholds of their language."""
+    reachable(spark)
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    reachable(spark)
+    return simhash.keep_one(docs, shingle=4, max_bits=4)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without words of 20-word windows that also start earlier."""
+    reachable(spark)
+    left = substring.remove_repeats(docs).drop("n_words", "n_removed")
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of the benchmark."""
+    reachable(spark)
+    return remove_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of 1024 tokens."""
+    reachable(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_duplicates),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
+]
 
+# Fingerprints, exact binomial bounds and token ids have no SQL; tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages; what each returns is written and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ladderlake.llm import suffix
 from ladderlake.llm.chat import format_turns, read_back
 from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.packing import pack
@@ -134,6 +135,14 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns.unionByName(own)))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)

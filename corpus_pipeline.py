@@ -29,10 +29,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without words of 20-word windows that also start earlier."""
     reachable(spark)
-    left = substring.remove_repeats(docs).drop("n_words", "n_removed")
+    left = substring.remove_repeats(docs).select(docs.columns)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(docs.columns)
+    return left
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

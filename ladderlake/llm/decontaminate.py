@@ -249,6 +249,7 @@ def find_leaks(
     """
     blocks = blocks_of(benchmark, item_col, item_text_col, BLOCK_BYTES)
     carry = docs.columns if carry is None else carry
+    leak_col = column_name(leak_col, carry)
     kept = docs.select(*[F.col(f"`{c}`") for c in carry])
     names = [*carry, leak_col]
 

@@ -130,6 +130,7 @@ def measure(
 ) -> DataFrame:
     """The documents (columns ``carry``, or all) with a struct of their counts."""
     carry = docs.columns if carry is None else carry
+    counts_col = column_name(counts_col, carry)
     kept = docs.select(*[F.col(f"`{c}`") for c in carry])
     names = [*carry, counts_col]
 

@@ -81,7 +81,9 @@ def shard_records(
     total = df.agg(F.sum(size)).first()[0] or 0
     per_shard = max(1, -(-total // (bucket_bytes * n_shards)))
 
-    record, bucket = (column_name(c, df.columns) for c in ("record", "bucket"))
+    shard_col, slot_col, record, bucket = (
+        column_name(c, df.columns) for c in (shard_col, slot_col, "record", "bucket")
+    )
     in_shard = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(record)), F.lit(per_shard))
     numbered = df.select(
         "*",

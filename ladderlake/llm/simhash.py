@@ -82,6 +82,7 @@ def with_fingerprints(
 ) -> DataFrame:
     """The documents (columns ``carry``, or all) with their fingerprint as a signed long."""
     carry = docs.columns if carry is None else carry
+    print_col = column_name(print_col, carry)
     kept = docs.select(*[F.col(f"`{c}`") for c in carry])
     names = [*carry, print_col]
 

@@ -186,7 +186,9 @@ def remove_repeats(
     A removed run is cut from its first word to the next word that stays; the rest of the
     text keeps its bytes. Two columns tell how many words a text had and lost.
     """
-    row_col, block_col = (column_name(c, docs.columns) for c in ("row", "block"))
+    row_col, block_col, words_col, removed_col = (
+        column_name(c, docs.columns) for c in ("row", "block", words_col, removed_col)
+    )
     texts, total = blocks.in_blocks(docs, text_col, row_col, block_col, block_bytes)
     n_bits = cell_bits(total)
     n_ranges = max(1, total // (64 << 20))

@@ -172,6 +172,7 @@ def count_tokens(
 ) -> DataFrame:
     """The documents (columns ``carry``, or all) with their number of tokens."""
     carry = docs.columns if carry is None else carry
+    count_col = column_name(count_col, carry)
     kept = docs.select(*[F.col(f"`{c}`") for c in carry])
     names = [*carry, count_col]
 

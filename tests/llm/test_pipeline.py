@@ -1,0 +1,82 @@
+"""The pipeline's stages, each against its operator's result by plain Python."""
+
+import brute
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from test_operators import check_packing
+
+import __spark_entry__ as contract
+import corpus_pipeline
+
+
+@pytest.fixture(scope="module")
+def stages(spark, small_dir, tmp_path_factory):
+    """What each stage read and returned."""
+    root = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    out = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, small_dir).write.parquet(str(root / str(k)))
+        docs = spark.read.parquet(str(root / str(k)))
+        out.append(docs)
+    return out
+
+
+def pairs(df):
+    return [tuple(r) for r in df.select("doc_id", "text").collect()]
+
+
+def test_stage_names():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules",
+        "SimHash near-dedup",
+        "substring dedup",
+        "benchmark decontamination",
+        "packing",
+    ]
+    assert contract.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_all_but_the_last_return_documents(stages):
+    assert all(df.dtypes == stages[0].dtypes for df in stages[:-1])
+
+
+def test_quality_stage(stages):
+    failed = {e[0] for e in brute.counts(pairs(stages[0])) if e[-1]}
+    # Too few labels for cutoffs here, so only the base rules reject.
+    assert {i for i, _ in pairs(stages[1])} == {i for i, _ in pairs(stages[0])} - failed
+
+
+def test_near_duplicate_stage(stages):
+    _, groups = brute.near(pairs(stages[1]))
+    kept = pairs(stages[2])
+    assert sorted((i for i, _ in kept), key=repr) == groups
+    assert set(kept) <= set(pairs(stages[1]))
+
+
+def test_substring_stage(stages):
+    words = F.trim(F.regexp_replace("text", "[ \\x09-\\x0D]+", " "))
+    digests = {r[0]: r[1] for r in stages[3].select("doc_id", F.sha2(words, 256)).collect()}
+    assert digests == {e[0]: e[3] for e in brute.substring(pairs(stages[2]))}
+    assert stages[3].filter("n_chars <> length(text)").count() == 0
+
+
+def test_decontamination_stage(spark, small_dir, stages):
+    items = spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text")
+    found = brute.leaks(pairs(stages[3]), [tuple(r) for r in items.collect()])
+    clean = {e[0] for e in found if not e[-1]}
+    assert sorted(pairs(stages[4])) == sorted(d for d in pairs(stages[3]) if d[0] in clean)
+
+
+def test_packing_stage(stages):
+    assert public_tokenizers.path("byte_bpe_50k.json")
+    check_packing(stages[5].collect(), pairs(stages[4]))
+
+
+def test_run_applies_all_stages(spark, small_dir, stages):
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    found = corpus_pipeline.run(spark, small_dir).select(columns)
+    assert sorted(map(tuple, found.collect())) == sorted(
+        map(tuple, stages[-1].select(columns).collect())
+    )

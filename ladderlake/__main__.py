@@ -24,14 +24,14 @@ from ladderlake.plans import (
     standings_silver_to_gold,
     whole_records_to_bronze,
 )
-from ladderlake.schemas import TIERS
-from ladderlake.session import build_session
-from ladderlake.sources import default_format, read_table, write_csv
+from ladderlake.schemas import LADDER
+from ladderlake.session import build_session, staging
+from ladderlake.sources import read_table, write_csv
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="ladderlake", description=__doc__.splitlines()[0])
-    parser.add_argument("--format", default=default_format(), help="table format")
+    parser.add_argument("--format", default="parquet", help="table format: parquet, or delta where the session has it")
     steps = parser.add_subparsers(dest="step", required=True)
 
     def step(name: str, *paths: str, tiers: bool = False) -> argparse.ArgumentParser:
@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
 
     step("landing-status", "raw", tiers=True)
     step("standings-bronze", "raw", "bronze", tiers=True).add_argument(
-        "--infer", action="store_true", help="keep undeclared fields"
+        "--declared-only", action="store_true", help="leave out undeclared fields"
     )
     step("standings-silver", "bronze", "silver", tiers=True).add_argument(
         "--division", action="append"
@@ -57,7 +57,7 @@ def _parser() -> argparse.ArgumentParser:
         "--partition-by", action="append", default=[]
     )
     step("whole-records", "raw", "bronze").add_argument("--variant", action="store_true")
-    step("export-csv", "source", "target").add_argument("--single-file", action="store_true")
+    step("export-csv", "source", "target")
     return parser
 
 
@@ -66,17 +66,16 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
     a = _parser().parse_args(argv)
     fmt = a.format
     if a.step == "landing-status":
-        return landing_status(spark, a.raw, ladder_folders(spark, a.tier or TIERS))
+        return landing_status(spark, a.raw, ladder_folders(spark, a.tier or tuple(LADDER)))
     if a.step == "standings-bronze":
-        return standings_raw_to_bronze(
-            spark, a.raw, a.bronze, tiers=a.tier, infer=a.infer, fmt=fmt
-        )
+        extra = None if a.declared_only else "record"
+        return standings_raw_to_bronze(spark, a.raw, a.bronze, tiers=a.tier, extra=extra, fmt=fmt)
     if a.step == "standings-silver":
         return standings_bronze_to_silver(spark, a.bronze, a.silver, a.tier, a.division, fmt=fmt)
     if a.step == "standings-gold":
         return standings_silver_to_gold(spark, a.silver, a.gold, a.tier, fmt=fmt)
     if a.step == "standings-all":
-        return standings_all_tiers(spark, a.silver, a.gold, a.tier or TIERS, fmt=fmt)
+        return standings_all_tiers(spark, a.silver, a.gold, a.tier, fmt=fmt)
     if a.step == "top-players":
         return top_players(read_table(spark, a.gold, fmt))
     if a.step == "matches-bronze":
@@ -86,13 +85,14 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
     if a.step == "whole-records":
         return whole_records_to_bronze(spark, a.raw, a.bronze, as_variant=a.variant, fmt=fmt)
     source = read_table(spark, a.source, fmt)
-    write_csv(source, a.target, a.single_file)
+    write_csv(source, a.target)
     return source
 
 
 def main(argv: list[str] | None = None) -> None:
     spark = build_session()
-    run(spark, sys.argv[1:] if argv is None else argv).show(truncate=False)
+    with staging(spark):
+        run(spark, sys.argv[1:] if argv is None else argv).show(truncate=False)
     spark.stop()
 
 

@@ -1,4 +1,5 @@
 from ladderlake.functions.columns import (
+    canonical_folder,
     canonical_tier,
     decode_json,
     digits,
@@ -16,6 +17,7 @@ from ladderlake.functions.columns import (
 )
 
 __all__ = [
+    "canonical_folder",
     "canonical_tier",
     "decode_json",
     "digits",

@@ -58,6 +58,14 @@ def partition_folder(tier: Column | str, division: Column | str) -> Column:
     return F.concat_ws("_", tier_key(tier), _col(division))
 
 
+def canonical_folder(folder: Column | str) -> Column:
+    """A ``<tier>_<division>`` folder under the tier's own name instead of an alias."""
+    expr = _col(folder)
+    for alias, name in TIER_ALIASES.items():
+        expr = F.regexp_replace(expr, rf"(?i)^{alias}(?=_|$)", name)
+    return expr
+
+
 def page_path(tier: Column | str, division: Column | str, page: Column | str) -> Column:
     return F.concat(
         partition_folder(tier, division), F.lit("/"), _col(page).cast("string"), F.lit(".json")
@@ -81,8 +89,9 @@ def page_number(path: Column | str, pattern: str = r"(\d+)\.json$") -> Column:
 
 
 def encode_json(*cols: Column | str, options: dict | None = None) -> Column:
-    """Row as UTF-8 JSON text; characters beyond ASCII stay as they are."""
-    return F.to_json(F.struct(*[_col(c) for c in cols]), options or {})
+    """Row as UTF-8 JSON text; characters beyond ASCII stay as they are, nulls are written."""
+    options = {"ignoreNullFields": "false", **(options or {})}
+    return F.to_json(F.struct(*[_col(c) for c in cols]), options)
 
 
 def decode_json(text: Column | str, schema, options: dict | None = None) -> Column:

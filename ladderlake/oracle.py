@@ -158,6 +158,10 @@ def _top_events(n: int) -> str:
     where rn <= {n}"""
 
 
+_ORDER_MATCHES = """select upper(o_orderstatus) as tier, cast(o_orderkey as varchar) as "matchId",
+    'p' || k || '-' || o_custkey as puuid, cast(floor(o_totalprice) + k as bigint) as "goldEarned"
+    from orders, (values (0), (1)) v(k) """
+
 SQL: dict[str, str] = {
     "top_n_players": _TOP
     + "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from top",
@@ -239,8 +243,10 @@ SQL: dict[str, str] = {
     l_partkey as player_id, l_extendedprice as damage from lineitem""",
     "json_scan_standings": _STANDINGS_ROWS,
     "json_scan_inferred": _STANDINGS_ROWS,
-    "json_roundtrip": """select event_id, k, '{"event_id":' || event_id || ',"k":' || k || '}' as doc
-    from (select event_id, cast(json_extract(props, '$.k') as bigint) as k from events)""",
+    "json_roundtrip": """select event_id, coalesce(k, -1) as k,
+    '{"event_id":' || event_id || ',"k":' || coalesce(cast(k as varchar), 'null') || '}' as doc
+    from (select event_id, case when event_id % 10 > 0
+      then cast(json_extract(props, '$.k') as bigint) end as k from events)""",
     "json_text_roundtrip": "select doc_id, text from documents",
     "table_scan": "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'",
     "overwrite_roundtrip": _STANDINGS_ROWS,
@@ -249,6 +255,17 @@ SQL: dict[str, str] = {
     round(points + case when tier = 'PROMO' then 1 else 0 end, 6) as points, wins, losses
     from standings""",
     "csv_roundtrip": _STANDINGS_ROWS,
+    "csv_documents": "select doc_id, text, lang, source, n_chars from documents",
+    "table_layout": "select l_orderkey, l_linenumber, l_returnflag, l_extendedprice from lineitem",
+    "republish_shrunk": _ALL + "select * from standings where tier <> 'PROMO'",
+    "partition_new_field": _ALL
+    + """select player_id, tier, case when tier = 'PROMO' then wins + 1 else -1 end as season
+    from standings""",
+    "bronze_all_fields": _ALL
+    + "select player_id, tier, points, p_size from standings join part on p_partkey = player_id",
+    "rejected_pages": """
+    select case p_size when 1 then 'broken' when 2 then 'empty' else 'kept' end as reason,
+      count(*) as row_count from part group by 1""",
     "scan_prefix": "select doc_id, text, source from documents where source like 'src1%'",
     "scan_path_regex": _ALL + "select * from standings where tier in ('ECONOMY', 'SMALL')",
     "path_normalize": """select p_partkey, lower(p_type) as tier_key,
@@ -268,7 +285,8 @@ SQL: dict[str, str] = {
       cast(max(page) - min(page) + 1 - count(distinct page) as bigint) as absent_pages
     from p where page is not null group by 1""",
     "landing_status": """
-    select lower(p_type) as folder, cast(max(p_size // 10) + 1 as int) as next_page,
+    select case p_type when 'STANDARD' then 'platinum' else lower(p_type) end as folder,
+      cast(max(p_size // 10) + 1 as int) as next_page,
       count(distinct p_size // 10) as page_count,
       cast(max(p_size // 10) - min(p_size // 10) + 1 - count(distinct p_size // 10) as bigint)
         as absent_pages
@@ -279,6 +297,7 @@ SQL: dict[str, str] = {
       partition by event_type, user_id order by ts desc, event_id desc) as rn from events)
     where rn = 1""",
     "incremental_pages": "select event_id, ts, user_id, event_type, value, props from events",
+    "late_files": "select event_id, ts, user_id, event_type, value, props from events",
     "incremental_ledger": """select event_id, event_type, user_id from events e
     where not exists (select 1 from events l where l.value > 50
       and l.event_type = e.event_type and l.user_id = e.user_id)""",
@@ -307,6 +326,8 @@ SQL: dict[str, str] = {
     "job_standings_gold": _STANDINGS_ROWS,
     "job_all_tiers": _STANDINGS_ROWS,
     "job_match_gold": f"select {_landed_columns(MATCH_COLUMNS)} from lineitem",
+    "matches_by_tier": _ORDER_MATCHES + "where k = 0 or o_orderstatus = 'F'",
+    "matches_relanded": _ORDER_MATCHES + "where k = 0 or o_orderkey % 2 = 0",
     "incremental_matches": f"select {_landed_columns(_LANDED)} from lineitem",
     "rejected_matches": """
     select 'kept' as status, count(distinct l_orderkey) as row_count from lineitem

@@ -8,13 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import tier_key, tier_names
+from ladderlake.functions import canonical_tier, tier_key, tier_names
 from ladderlake.operators.lookup import recent_per_player
 from ladderlake.operators.nested import match_facts
 from ladderlake.operators.ranking import top_players
 from ladderlake.schemas import PARTICIPANT_FIELDS, StandingsColumns, match_schema
 from ladderlake.session import materialize
-from ladderlake.sources import latest_per_key, read_table, reject_empty, scan_json, write_table
+from ladderlake.sources import (
+    is_broken,
+    latest_per_key,
+    read_table,
+    reject_empty,
+    replace_values,
+    scan_json,
+    scan_records,
+    split_records,
+    write_table,
+)
 
 
 def select_matches(
@@ -54,31 +64,41 @@ def match_raw_to_bronze(
     rebalance: bool = True,
     glob: str = "*.json",
     fmt: str = "parquet",
+    rejects: str | None = None,
 ) -> DataFrame:
     """Landed match files, ``<tier>_<match>.json``, to participant rows.
 
-    ``tier`` selects files by name. ``with_tier`` makes the tier in the name a
-    column, and the table one of all tiers whose partitions are replaced tier by
-    tier. ``latest_only`` keeps the newest landing of a match in each tier.
-    Records that a failed request left empty go no further. Without
-    ``latest_only`` nothing is shuffled but for the file layout.
+    ``tier`` selects files by name, and no other file is opened. ``with_tier`` makes the
+    tier in the name a column, and the table one of all tiers; a run for one tier then
+    replaces that tier, also if no row of it is left. ``latest_only`` keeps the newest
+    landing of a match in each tier: by file time, then by file name; within one file the
+    choice is arbitrary. Without it nothing is shuffled but for the file layout.
+
+    Broken records and the empty ones of failed requests go to the table ``rejects`` (by
+    default next to the bronze one) with file, reason and text.
     """
-    chosen = None if tier is None else rf"/(?:{'|'.join(tier_names(tier))})_[^/]*$"
+    if tier is not None:
+        glob = f"{{{','.join(tier_names(tier))}}}_{glob}"
     files = {"_file": "file_path", "_landed": "file_modification_time"}
-    docs = scan_json(spark, raw, match_schema(fields), glob, path_regex=chosen, metadata=files)
-    kept, _ = reject_empty(docs, "metadata", "info")
+    docs = scan_json(spark, raw, match_schema(fields), glob, metadata=files, corrupt="_text")
+    kept, rejected = split_records(docs, ["metadata", "info"], is_broken("_text"))
+    rejected = rejected.select(F.col("_file").alias("file"), "reason", F.col("_text").alias("text"))
+    write_table(rejected, rejects or f"{bronze.rstrip('/')}_rejects", fmt)
     name = F.regexp_extract("_file", r"/([^/_]+)_[^/]*$", 1)
     kept = kept.withColumn("tier", F.upper(tier_key(name)))
     if latest_only:
         kept = kept.withColumn("matchId", F.col("metadata.matchId"))
         newest = [F.col("_landed").desc(), F.col("_file").desc()]
         kept = latest_per_key(kept, ["tier", "matchId"], newest).drop("matchId")
-    if with_tier:
-        facts = match_facts(kept, fields, keep=["tier"])
-        write_table(facts, bronze, fmt, ["tier"], "partitions", rebalance)
-    else:
+    if not with_tier:
         write_table(match_facts(kept, fields), bronze, fmt, rebalance=rebalance)
-    return read_table(spark, bronze, fmt)
+        return read_table(spark, bronze, fmt)
+    facts = match_facts(kept, fields, keep=["tier"])
+    if tier is None:
+        write_table(facts, bronze, fmt, ["tier"], "all", rebalance)
+    else:
+        replace_values(facts, bronze, "tier", [canonical_tier(tier)], fmt, ["tier"], rebalance)
+    return read_table(spark, bronze, fmt, merge=True)
 
 
 def republish(
@@ -90,10 +110,10 @@ def republish(
 ) -> DataFrame:
     """Publish a table unchanged in another layer, without a shuffle.
 
-    Of a partitioned table only the partitions present in the source are replaced.
+    The target is replaced whole: what the source no longer has is gone.
     """
-    replace = "partitions" if partition_by else "all"
-    write_table(read_table(spark, source, fmt), target, fmt, partition_by, replace, rebalance=False)
+    df = read_table(spark, source, fmt, merge=bool(partition_by))
+    write_table(df, target, fmt, partition_by, rebalance=False)
     return read_table(spark, target, fmt)
 
 
@@ -106,20 +126,35 @@ def whole_records_to_bronze(
     glob: str = "*",
     fmt: str = "parquet",
     options: dict | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Landed records with all their fields.
 
-    Without a schema it is inferred, in a second pass over the files. With
-    ``as_variant`` the records stay whole in one column ``record`` of type
-    variant, which takes any fields and a single pass.
+    With ``as_variant`` the records stay whole in one column ``record`` of type
+    variant, which takes any fields and a single pass. With a schema, its fields become
+    columns. In both cases broken and empty records go to the table ``rejects`` (by
+    default next to the bronze one). Without a schema it is inferred, in a second pass over
+    the files, and records that are broken show up in a column ``_corrupt_record``.
     """
+    files = {"file": "file_path"}
     if as_variant:
-        variant = {"singleVariantColumn": "record", **(options or {})}
-        records = scan_json(spark, raw, glob=glob, options=variant)
-        kept = records.filter(~F.is_variant_null("record"))
+        rows = scan_records(spark, raw, glob, metadata=files)
+        nothing = F.when(F.is_variant_null("record"), None).otherwise(F.lit(True))
+        rows = rows.withColumn("_some", nothing)
+        kept, rejected = split_records(rows, ["_some"], F.col("record").isNull())
+        kept = kept.select("record")
+    elif schema is not None:
+        rows = scan_json(spark, raw, schema, glob, metadata=files, options=options, corrupt="_text")
+        own = [c for c in rows.columns if c not in ("_text", "file")]
+        kept, rejected = split_records(rows, own, is_broken("_text"))
+        kept = kept.select(own)
     else:
-        kept, _ = reject_empty(scan_json(spark, raw, schema, glob, options=options))
+        kept, _ = reject_empty(scan_json(spark, raw, None, glob, options=options))
+        rejected = None
     write_table(kept, bronze, fmt)
+    if rejected is not None:
+        rejected = rejected.select("file", "reason", F.col("_text").alias("text"))
+        write_table(rejected, rejects or f"{bronze.rstrip('/')}_rejects", fmt)
     return read_table(spark, bronze, fmt)
 
 

@@ -1,10 +1,11 @@
 """Standings: landed pages to bronze, silver and gold tables.
 
 One table per layer, partitioned by tier and division, takes the place of one
-table per tier or division. A run replaces just the partitions it loads.
+table per tier or division. A full run replaces the table, a run for some tiers
+replaces these.
 
-Only the load from raw shuffles, to merge the many small landed files. The later
-layers copy tables that are laid out already.
+The only shuffle is for the file layout: many small landed files, or the small
+bronze partitions of a tier, are merged, and a hot partition is split.
 """
 
 from __future__ import annotations
@@ -15,17 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.functions import canonical_tier, partition_folder, tier_key, tier_names
-from ladderlake.operators.sets import union_by_name
+from ladderlake.functions import (
+    canonical_folder,
+    canonical_tier,
+    page_number,
+    partition_folder,
+    tier_key,
+    tier_names,
+)
 from ladderlake.schemas import LADDER, StandingsColumns, standings_schema
 from ladderlake.sources import (
+    is_broken,
     landed_files,
-    landing_report,
+    landing_ranges,
     latest_per_key,
-    next_page,
     read_table,
-    reject_empty,
+    record_fields,
+    replace_values,
     scan_json,
+    scan_records,
+    split_records,
     with_pages,
     write_table,
 )
@@ -39,6 +49,50 @@ def _tiers(names: Sequence[str] | None) -> list[str] | None:
     return None if names is None else [canonical_tier(name) for name in names]
 
 
+def standings_records(
+    spark: SparkSession,
+    raw: str,
+    tiers: Sequence[str] | None = None,
+    cols: StandingsColumns = StandingsColumns(),
+    schema: T.StructType | str | None = None,
+    extra: str | None = "record",
+    latest_only: bool = False,
+    glob: str = "*.json",
+) -> tuple[DataFrame, DataFrame]:
+    """Landed player records and the rejected ones: see ``standings_raw_to_bronze``."""
+    schema = standings_schema(cols) if schema is None else schema
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    files = {"_file": "file_path", "_landed": "file_modification_time"}
+    paths = raw if tiers is None else tier_paths(raw, tiers)
+    if extra is None:
+        rows = scan_json(spark, paths, schema, glob, metadata=files, corrupt="_text")
+        broken = is_broken("_text")
+    else:
+        rows = scan_records(spark, paths, glob, metadata=files)
+        broken = F.col("record").isNull()
+        rows = rows.withColumns(record_fields(schema)).withColumnRenamed("record", extra)
+    kept, rejected = split_records(rows, [cols.player, cols.tier], broken)
+    rejected = rejected.select("_file", "reason", "_text")
+    kept = kept.withColumn(cols.tier, F.upper(tier_key(cols.tier))).drop("_text")
+    if latest_only:
+        newest = [
+            F.col("_landed").desc(),
+            page_number("_file").desc_nulls_last(),
+            F.col("_file").desc(),
+        ]
+        kept = latest_per_key(kept, [*cols.group, cols.player], newest)
+    return kept.drop("_file", "_landed"), rejected.withColumnsRenamed(
+        {"_file": "file", "_text": "text"}
+    )
+
+
+def tier_paths(raw: str, tiers: Sequence[str]) -> str:
+    """Glob of the folders of some tiers; a folder that Spark wrote names its column too."""
+    names = [name for t in tiers for name in tier_names(t)]
+    return f"{raw}/{{{','.join([*names, *(f'*={n}' for n in names)])}}}_*"
+
+
 def standings_raw_to_bronze(
     spark: SparkSession,
     raw: str,
@@ -46,38 +100,34 @@ def standings_raw_to_bronze(
     tiers: Sequence[str] | None = None,
     cols: StandingsColumns = StandingsColumns(),
     schema: T.StructType | str | None = None,
-    infer: bool = False,
+    extra: str | None = "record",
     latest_only: bool = False,
     rebalance: bool = True,
     glob: str = "*.json",
     fmt: str = "parquet",
+    rejects: str | None = None,
 ) -> DataFrame:
     """Landed pages, in folders ``<tier>_<division>``, to the bronze table.
 
-    ``latest_only`` keeps the newest landing of a player who is in several pages.
+    The declared fields become columns, and the whole record, with the fields nobody
+    declared, a variant column ``extra``; both in one pass. Without ``extra`` only
+    declared fields are parsed. ``tiers`` loads the folders of these tiers and no other file.
+    A full run replaces the table; one for some tiers replaces these, and leaves none of
+    their partitions that are gone. ``latest_only`` keeps the newest landing of a player
+    who is in several pages; of files with the same time, the higher page is newer, and
+    within one file the choice is arbitrary.
 
-    ``infer`` carries fields nobody declared, at the price of a second pass.
-    Records without tier and player, as failed requests land, are left out; see
-    :func:`ladderlake.sources.reject_empty` to count them.
+    Broken records and records without player and tier, as failed requests land them, go to
+    the table ``rejects`` (by default next to the bronze one) with file, reason and text.
     """
-    if infer:
-        schema = None
-    elif schema is None:
-        schema = standings_schema(cols)
-    chosen = None
-    if tiers is not None:
-        names = "|".join(name for t in tiers for name in tier_names(t))
-        # A folder that Spark wrote has the name of its column in front.
-        chosen = rf"/(?:[^/=]+=)?(?:{names})_[^/]*/[^/]+$"
-    files = {"_file": "file_path", "_landed": "file_modification_time"} if latest_only else None
-    pages = scan_json(spark, raw, schema, glob, path_regex=chosen, metadata=files)
-    kept, _ = reject_empty(pages, cols.player, cols.tier)
-    kept = kept.withColumn(cols.tier, F.upper(tier_key(cols.tier)))
-    if latest_only:
-        newest = [F.col("_landed").desc(), F.col("_file").desc()]
-        kept = latest_per_key(kept, [*cols.group, cols.player], newest).drop("_landed", "_file")
-    write_table(kept, bronze, fmt, cols.group, "partitions", rebalance)
-    return read_table(spark, bronze, fmt)
+    kept, rejected = standings_records(spark, raw, tiers, cols, schema, extra, latest_only, glob)
+    write_table(rejected, rejects or f"{bronze.rstrip('/')}_rejects", fmt)
+    if tiers is None:
+        write_table(kept, bronze, fmt, cols.group, "all", rebalance)
+    else:
+        kept = _only(kept, cols.tier, _tiers(tiers))
+        replace_values(kept, bronze, cols.tier, _tiers(tiers), fmt, cols.group, rebalance)
+    return read_table(spark, bronze, fmt, merge=True)
 
 
 def ladder_folders(spark: SparkSession, tiers: Sequence[str] = tuple(LADDER)) -> DataFrame:
@@ -98,13 +148,17 @@ def landing_status(
     """Landed page range of every folder and the page to fetch next.
 
     To be kept next to a load: it shows a fetch that ended early. ``expected``
-    lists folders, in a column ``folder``, that may hold no page so far. The
-    patterns take folder and page number out of the file paths; no file is read.
+    lists folders, in a column ``folder``, that may hold no page so far; landed
+    folders that it does not name are listed as well. Folders named by an alias of a
+    tier count as that tier's. The patterns take folder and page number out of the
+    file paths; no file is read.
     """
-    folder = F.regexp_extract("path", folder_pattern, 1)
-    listing = with_pages(landed_files(spark, raw, glob), page_pattern).withColumn("folder", folder)
-    resume = next_page(listing, ["folder"], "page", expected)
-    return resume.join(landing_report(listing, ["folder"], "page"), "folder", "left")
+    folder = canonical_folder(F.regexp_extract("path", folder_pattern, 1)).alias("folder")
+    listing = with_pages(landed_files(spark, raw, glob), page_pattern).select(folder, "page")
+    if expected is not None:
+        named = expected.select(canonical_folder("folder").alias("folder"))
+        listing = listing.unionByName(named, allowMissingColumns=True)
+    return landing_ranges(listing, ["folder"], "page")
 
 
 def standings_bronze_to_silver(
@@ -117,10 +171,20 @@ def standings_bronze_to_silver(
     fmt: str = "parquet",
 ) -> DataFrame:
     """All divisions of each tier together; ``divisions`` narrows the choice."""
-    df = read_table(spark, bronze, fmt)
+    df = read_table(spark, bronze, fmt, merge=True)
     df = _only(_only(df, cols.tier, _tiers(tiers)), cols.division, divisions)
-    write_table(df, silver, fmt, [cols.tier], "partitions", rebalance=False)
-    return read_table(spark, silver, fmt)
+    _publish(df, silver, tiers, cols, fmt)
+    return read_table(spark, silver, fmt, merge=True)
+
+
+def _publish(
+    df: DataFrame, path: str, tiers: Sequence[str] | None, cols: StandingsColumns, fmt: str
+) -> None:
+    """Replace the table, or only the named tiers, also those without rows."""
+    if tiers is None:
+        write_table(df, path, fmt, [cols.tier])
+    else:
+        replace_values(df, path, cols.tier, _tiers(tiers), fmt, [cols.tier])
 
 
 def standings_silver_to_gold(
@@ -132,21 +196,20 @@ def standings_silver_to_gold(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Publish silver tiers unchanged."""
-    df = _only(read_table(spark, silver, fmt), cols.tier, _tiers(tiers))
-    write_table(df, gold, fmt, [cols.tier], "partitions", rebalance=False)
-    return read_table(spark, gold, fmt)
+    df = _only(read_table(spark, silver, fmt, merge=True), cols.tier, _tiers(tiers))
+    _publish(df, gold, tiers, cols, fmt)
+    return read_table(spark, gold, fmt, merge=True)
 
 
 def standings_all_tiers(
     spark: SparkSession,
     silver: str,
     gold_all: str,
-    tiers: Sequence[str],
+    tiers: Sequence[str] | None = None,
     cols: StandingsColumns = StandingsColumns(),
     fmt: str = "parquet",
 ) -> DataFrame:
-    """The named tiers in one table. Each part reads its own partition only."""
-    df = read_table(spark, silver, fmt)
-    parts = [df.filter(F.col(cols.tier) == t) for t in _tiers(tiers)]
-    write_table(union_by_name(parts), gold_all, fmt, rebalance=False)
+    """Every tier of silver, or the named ones, in one unpartitioned table."""
+    df = _only(read_table(spark, silver, fmt, merge=True), cols.tier, _tiers(tiers))
+    write_table(df, gold_all, fmt)
     return read_table(spark, gold_all, fmt)

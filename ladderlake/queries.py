@@ -59,6 +59,7 @@ from ladderlake.plans import (
 from ladderlake.schemas import MATCH_COUNT_FIELDS, match_schema
 from ladderlake.session import materialize, staging_path, tune
 from ladderlake.sources import (
+    CSV_OPTIONS,
     land_json,
     landing_report,
     latest_per_key,
@@ -70,7 +71,7 @@ from ladderlake.sources import (
     write_csv,
     write_table,
 )
-from ladderlake.stand_ins import COLS, PART_TIERS, table
+from ladderlake.stand_ins import COLS, table
 from ladderlake.streaming import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,7 +262,10 @@ def union_tiers(spark, sf_dir):
     path = staging_path(spark, "tiers")
     write_table(views.standings(spark, sf_dir), path, partition_by=["tier"])
     stored = read_table(spark, path)
-    return union_by_name([stored.filter(F.col("tier") == t) for t in PART_TIERS])
+    # The values of a partition column: as many as the table has folders.
+    tiers = [row.tier for row in stored.select("tier").distinct().collect()]
+    own = lambda t: F.col("tier").isNull() if t is None else F.col("tier") == t
+    return union_by_name([stored.filter(own(t)) for t in tiers])
 
 
 @query("union_with_drift")
@@ -348,12 +352,13 @@ def json_scan_inferred(spark, sf_dir):
 
 @query("json_roundtrip")
 def json_roundtrip(spark, sf_dir):
-    """JSON text to a struct, and a row to JSON text."""
-    k = decode_json("props", "k bigint").k.alias("k")
+    """JSON text to a struct, and a row with nulls to JSON text; they show as -1 besides."""
+    k = F.when(F.col("event_id") % 10 > 0, decode_json("props", "k bigint").k).alias("k")
     return (
         table(spark, sf_dir, "events")
         .select("event_id", k)
         .withColumn("doc", encode_json("event_id", "k"))
+        .fillna(-1, ["k"])
     )
 
 
@@ -401,6 +406,88 @@ def csv_roundtrip(spark, sf_dir):
     return spark.read.schema(STANDINGS_SCHEMA).csv(path, header=True)
 
 
+@query("csv_documents")
+def csv_documents(spark, sf_dir):
+    """Whole texts of many lines through CSV."""
+    documents = table(spark, sf_dir, "documents")
+    path = write_csv(documents, staging_path(spark, "csv"))
+    return spark.read.schema(documents.schema).options(**CSV_OPTIONS).csv(path, header=True)
+
+
+@query("table_layout")
+def table_layout(spark, sf_dir):
+    """A table in partitions, with files of the advisory size."""
+    path = staging_path(spark, "layout")
+    write_table(table(spark, sf_dir, "lineitem"), path, partition_by=["l_returnflag"])
+    columns = ("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    return read_table(spark, path).select(*columns)
+
+
+@query("republish_shrunk")
+def republish_shrunk(spark, sf_dir):
+    """A tier that the source no longer has is gone from the published table too."""
+    source, target = staging_path(spark, "tiers"), staging_path(spark, "published")
+    standings = views.standings(spark, sf_dir)
+    for rows in (standings, standings.filter("tier <> 'PROMO'")):
+        write_table(rows, source, partition_by=["tier"])
+        republish(spark, source, target, ["tier"])
+    return read_table(spark, target)
+
+
+@query("partition_new_field")
+def partition_new_field(spark, sf_dir):
+    """A field that came with the reload of one tier is in silver; -1 where it is not."""
+    bronze, silver = staging_path(spark, "field-b"), staging_path(spark, "field-s")
+    df = views.standings(spark, sf_dir).withColumn("folder", partition_folder("tier", "division"))
+    season = df.withColumn("season", F.col("wins") + 1)
+    raw = land_json(df, staging_path(spark, "raw-standings"), ["folder"])
+    newer = land_json(season, staging_path(spark, "raw-standings"), ["folder"])
+    job = {"cols": COLS, "extra": None}
+    standings_raw_to_bronze(spark, raw, bronze, schema=STANDINGS_SCHEMA, **job)
+    standings_raw_to_bronze(
+        spark, newer, bronze, ["PROMO"], schema=STANDINGS_SCHEMA + ", season bigint", **job
+    )
+    stored = standings_bronze_to_silver(spark, bronze, silver, cols=COLS)
+    return stored.select("player_id", "tier", F.coalesce("season", F.lit(-1)).alias("season"))
+
+
+@query("bronze_all_fields")
+def bronze_all_fields(spark, sf_dir):
+    """Fields that nobody declared, from the landed pages to the gold table."""
+    sizes = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("player_id"), F.struct("p_size").alias("mini")
+    )
+    df = views.standings(spark, sf_dir).join(sizes, "player_id")
+    df = df.withColumn("folder", partition_folder("tier", "division"))
+    raw = land_json(df, staging_path(spark, "raw-standings"), ["folder"])
+    bronze, silver, gold = (staging_path(spark, f"fields-{x}") for x in ("b", "s", "g"))
+    standings_raw_to_bronze(spark, raw, bronze, cols=COLS, schema=STANDINGS_SCHEMA)
+    standings_bronze_to_silver(spark, bronze, silver, cols=COLS)
+    size = F.variant_get("record", F.lit("$.mini.p_size"), "bigint").alias("p_size")
+    return standings_silver_to_gold(spark, silver, gold, cols=COLS).select(
+        "player_id", "tier", "points", size
+    )
+
+
+@query("rejected_pages")
+def rejected_pages(spark, sf_dir):
+    """Pages landed with truncated and null records among them: rows for each reason."""
+    body = encode_json(*views.standings(spark, sf_dir).columns)
+    sizes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("player_id"), "p_size")
+    lines = views.standings(spark, sf_dir).withColumn("body", body).join(sizes, "player_id")
+    landed = F.when(F.col("p_size") == 1, F.expr("substr(body, 1, length(body) - 4)"))
+    landed = landed.when(F.col("p_size") == 2, "null").otherwise(F.col("body"))
+    raw, bronze = staging_path(spark, "raw-pages"), staging_path(spark, "pages-b")
+    lines.select(landed).write.text(raw)
+    kept = standings_raw_to_bronze(
+        spark, raw, bronze, cols=COLS, schema=STANDINGS_SCHEMA, glob="part-*"
+    )
+    rejected = read_table(spark, f"{bronze}_rejects").groupBy("reason")
+    return row_count(kept).withColumn("reason", F.lit("kept")).unionByName(
+        rejected.agg(F.count("*").alias("row_count"))
+    )
+
+
 # --- landing -----------------------------------------------------------------
 
 
@@ -452,13 +539,20 @@ def landing_report_by_host(spark, sf_dir):
 
 @query("landing_status")
 def landing_status_of_parts(spark, sf_dir):
-    """Resume points from the names of landed files; one tier has landed nothing."""
+    """Resume points from the names of landed files.
+
+    One tier has landed nothing, another is not expected, and the pages of a third are
+    landed under its name and an alias.
+    """
     part = table(spark, sf_dir, "part")
     page = F.floor(F.col("p_size") / 10).cast("int").alias("page")
-    rows = part.select("p_partkey", "p_name", tier_key("p_type").alias("folder"), page)
+    alias = F.when(F.col("p_size") % 2 == 0, "platina").otherwise("platinum")
+    folder = F.when(F.col("p_type") == "STANDARD", alias).otherwise(tier_key("p_type"))
+    rows = part.select("p_partkey", "p_name", folder.alias("folder"), page)
     root = land_json(rows, staging_path(spark, "raw-parts"), ["folder", "page"])
-    tiers = part.select(tier_key("p_type").alias("folder")).distinct()
-    expected = tiers.union(spark.createDataFrame([("none",)], "folder string"))
+    tiers = part.filter("p_type <> 'PROMO'").select(tier_key("p_type").alias("folder")).distinct()
+    tiers = tiers.filter("folder <> 'standard'")
+    expected = tiers.union(spark.createDataFrame([("none",), ("platina",)], "folder string"))
     status = landing_status(
         spark,
         root,
@@ -497,6 +591,38 @@ def incremental_pages(spark, sf_dir):
     return read_table(spark, loaded).drop("source_file")
 
 
+@query("late_files")
+def late_files(spark, sf_dir):
+    """Three lots of events; the files of the last are months older than the others."""
+    raw, loaded = staging_path(spark, "raw-events"), staging_path(spark, "events")
+    checkpoint = staging_path(spark, "events-checkpoint")
+    events = table(spark, sf_dir, "events").withColumn("folder", F.col("event_type"))
+    old = F.coalesce(F.col("event_type").isin("click", "view"), F.lit(False))
+    land_json(events.filter(~old), raw, ["folder"], MICROS)
+    load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
+    land_json(events.filter(old), raw, ["folder"], MICROS)
+    for name in ("click", "view"):
+        for file in files_below(spark, f"{raw}/folder={name}"):
+            file_system(spark, raw).setTimes(file, 1_500_000_000_000, -1)
+    load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
+    return read_table(spark, loaded).drop("source_file")
+
+
+def file_system(spark, path):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def files_below(spark, path) -> list:
+    """The few part files of one written folder, as paths of the file system."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file_system(spark, path)
+    if not system.exists(root):
+        return []
+    found = [x.getPath() for x in system.listStatus(root)]
+    return [x for x in found if x.getName().startswith("part-")]
+
+
 @query("incremental_ledger")
 def incremental_ledger(spark, sf_dir):
     """Landed events that the ledger of loaded (type, user) keys does not name."""
@@ -552,7 +678,7 @@ def matches_of_top_players(spark, sf_dir):
 
 @query("schema_report")
 def schema_report_lineitem(spark, sf_dir):
-    return schema_report(table(spark, sf_dir, "lineitem"))
+    return schema_report(table(spark, sf_dir, "lineitem"), figures=True)
 
 
 def unprefixed(spark, sf_dir, name: str) -> DataFrame:
@@ -564,7 +690,7 @@ def unprefixed(spark, sf_dir, name: str) -> DataFrame:
 @query("schema_drift")
 def schema_drift_by_table(spark, sf_dir):
     names = ("customer", "nation", "part", "region", "supplier")
-    return schema_drift({n: unprefixed(spark, sf_dir, n) for n in names})
+    return schema_drift({n: unprefixed(spark, sf_dir, n) for n in names}, figures=True)
 
 
 @query("preview")
@@ -580,20 +706,25 @@ def job_standings_gold(spark, sf_dir):
     """Landed standings through bronze and silver to the gold table."""
     raw = landed_standings(spark, sf_dir)
     bronze, silver, gold = (staging_path(spark, f"standings-{x}") for x in ("b", "s", "g"))
-    standings_raw_to_bronze(spark, raw, bronze, cols=COLS, schema=STANDINGS_SCHEMA)
+    standings_raw_to_bronze(spark, raw, bronze, cols=COLS, schema=STANDINGS_SCHEMA, extra=None)
     standings_bronze_to_silver(spark, bronze, silver, cols=COLS)
     return standings_silver_to_gold(spark, silver, gold, cols=COLS)
 
 
 @query("job_all_tiers")
 def job_all_tiers(spark, sf_dir):
-    """Landed standings, tier after tier, to one table of all tiers."""
+    """Landed standings to one table of all tiers; the first tiers are loaded once more."""
     raw = landed_standings(spark, sf_dir)
     bronze, silver, gold = (staging_path(spark, f"all-{x}") for x in ("b", "s", "g"))
-    for tiers in (PART_TIERS[:2], PART_TIERS[2:]):
-        standings_raw_to_bronze(spark, raw, bronze, tiers, COLS, STANDINGS_SCHEMA)
-        standings_bronze_to_silver(spark, bronze, silver, tiers, cols=COLS)
-    return standings_all_tiers(spark, silver, gold, PART_TIERS, COLS)
+    job = {"cols": COLS, "schema": STANDINGS_SCHEMA, "extra": None}
+    loaded = standings_raw_to_bronze(spark, raw, bronze, **job)
+    standings_bronze_to_silver(spark, bronze, silver, cols=COLS)
+    # The values of a partition column: as many as the table has folders.
+    known = loaded.filter("tier is not null").select("tier").distinct().orderBy("tier")
+    tiers = [row.tier for row in known.collect()][:2]
+    standings_raw_to_bronze(spark, raw, bronze, tiers, **job)
+    standings_bronze_to_silver(spark, bronze, silver, tiers, cols=COLS)
+    return standings_all_tiers(spark, silver, gold, cols=COLS)
 
 
 def match_body():
@@ -621,7 +752,8 @@ def landed_matches(spark, sf_dir) -> str:
     ).select("match_id", "part", "landing.seq", "landing.body")
     last = land_matches(payloads, ["match_id", "part"], [F.col("seq").desc()])
     path = staging_path(spark, "raw-matches")
-    last.select("body").write.text(path, compression="gzip")
+    # Uncompressed text can be split among tasks.
+    last.select("body").write.text(path)
     return path
 
 
@@ -637,6 +769,67 @@ def job_match_gold(spark, sf_dir):
     return republish(spark, bronze, gold).fillna(-1, list(MATCH_COUNT_FIELDS))
 
 
+def order_match(version: int):
+    """Payload of an order as a match of ``version`` participants; its status is the tier."""
+    participants = F.array(
+        *[
+            F.struct(
+                F.concat(F.lit(f"p{k}-"), F.col("o_custkey").cast("string")).alias("puuid"),
+                (F.floor("o_totalprice") + k).alias("goldEarned"),
+            )
+            for k in range(version)
+        ]
+    )
+    info = F.struct(participants.alias("participants")).alias("info")
+    key = F.struct(F.col("o_orderkey").cast("string").alias("matchId")).alias("metadata")
+    return encode_json(key, info)
+
+
+def land_order_matches(spark, orders: DataFrame, raw: str, version: int) -> None:
+    """Payloads in files ``<tier>_<n>.json``; later versions have later file times."""
+    rows = orders.select(F.lower("o_orderstatus").alias("tier"), order_match(version).alias("body"))
+    written = staging_path(spark, "lot")
+    rows.hint("rebalance", "tier").write.partitionBy("tier").text(written)
+    system = file_system(spark, raw)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    system.mkdirs(folder(raw))
+    for tier in [x.getPath() for x in system.listStatus(folder(written))]:
+        name = tier.getName().partition("=")[2]
+        for k, file in enumerate(files_below(spark, tier.toString())):
+            target = folder(f"{raw}/{name}_{version}{k:05}.json")
+            system.rename(file, target)
+            system.setTimes(target, 1_700_000_000_000 + 1000 * version, -1)
+
+
+MATCH_FIELDS = ("puuid", "goldEarned")
+
+
+@query("matches_by_tier")
+def matches_by_tier(spark, sf_dir):
+    """All tiers loaded, then one landed and loaded anew: each with its newest payloads."""
+    raw, bronze = staging_path(spark, "raw-orders"), staging_path(spark, "orders-b")
+    orders = table(spark, sf_dir, "orders")
+    job = {"fields": MATCH_FIELDS, "with_tier": True, "latest_only": True}
+    land_order_matches(spark, orders, raw, 1)
+    match_raw_to_bronze(spark, raw, bronze, **job)
+    land_order_matches(spark, orders, raw, 2)
+    loaded = match_raw_to_bronze(spark, raw, bronze, tier="F", **job)
+    return loaded.select("tier", "matchId", *MATCH_FIELDS)
+
+
+@query("matches_relanded")
+def matches_relanded(spark, sf_dir):
+    """Every second match is landed again; its newest payload counts."""
+    raw, bronze = staging_path(spark, "raw-orders"), staging_path(spark, "orders-b")
+    orders = table(spark, sf_dir, "orders")
+    land_order_matches(spark, orders, raw, 1)
+    land_order_matches(spark, orders.filter("o_orderkey % 2 = 0"), raw, 2)
+    loaded = match_raw_to_bronze(
+        spark, raw, bronze, fields=MATCH_FIELDS, with_tier=True, latest_only=True
+    )
+    return loaded.select("tier", "matchId", *MATCH_FIELDS)
+
+
 @query("incremental_matches")
 def incremental_matches(spark, sf_dir):
     """Matches landed in two lots; each run explodes only the new files."""

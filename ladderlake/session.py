@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
@@ -26,6 +31,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # Stored results are planned by their size on disk; in memory they are larger.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 
@@ -34,43 +41,94 @@ def build_session(
 ) -> SparkSession:
     """Session with the settings the jobs expect.
 
-    Storage credentials belong in the Spark configuration or the environment of
-    the cluster; nothing here reads or prints them.
+    On a cluster it also gets ``CLUSTER_SETTINGS``, but for those that the submitter
+    gave. Storage credentials belong in the Spark configuration or the environment
+    of the cluster; nothing here reads or prints them.
     """
+    given = SparkConf()
+    master = master or given.get("spark.master", None)
+    cluster = {} if not master or master.startswith("local") else CLUSTER_SETTINGS
+    cluster = {k: v for k, v in cluster.items() if not given.contains(k)}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, **settings}.items():
+    for key, value in {**SQL_SETTINGS, **cluster, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Put the SQL settings on a session that somebody else built."""
-    for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+    """A session with the SQL settings next to one that somebody else built.
+
+    It shares the context and has the other session's settings; that session
+    itself stays as it is.
+    """
+    session = spark.newSession()
+    current = session.conf.getAll
+    for key, value in {**spark.conf.getAll, **SQL_SETTINGS}.items():
+        if current.get(key) != value and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
+    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
+
+    On a cluster, a path without a scheme is refused where it would mean the disk of
+    one machine; a mount that all machines share is named with ``file:``.
+    """
     context = spark.sparkContext
-    root = context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
+    if root and not local and "://" not in root and not root.startswith("file:"):
+        if spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").startswith("file:"):
+            raise RuntimeError(f"{root} may be one machine's disk; name it with its scheme")
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ladderlake-"))
+    own = tempfile.mkdtemp(prefix="ladderlake-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir().rstrip("/")
 
 
+# Sub-folder of the application's staged data that is in use, for ``staging``.
+_scope = ""
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Where this application stages data."""
+    application = spark.conf.get("spark.app.id", "application")
+    return f"{shared_root(spark)}/ladderlake/{application}{_scope}"
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder, below the application's own folder."""
-    application = spark.conf.get("spark.app.id", "application")
-    return f"{shared_root(spark)}/ladderlake/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system Spark can reach."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Data staged inside is deleted at the end; results must be written by then.
+
+    Staged data has to outlive the lazy results built on it, so only the caller
+    knows when it can go.
+    """
+    global _scope
+    outer, _scope = _scope, f"{_scope}/{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        root = staging_root(spark)
+        _scope = outer
+        delete_path(spark, root)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

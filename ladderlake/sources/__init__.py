@@ -1,26 +1,46 @@
-from ladderlake.sources.json_scan import reject_empty, scan_json
+from ladderlake.sources.json_scan import (
+    is_broken,
+    record_fields,
+    reject_empty,
+    scan_json,
+    scan_records,
+    split_records,
+)
 from ladderlake.sources.landing import (
     land_json,
     landed_files,
+    landing_ranges,
     landing_report,
     latest_per_key,
     next_page,
     not_yet_loaded,
     with_pages,
 )
-from ladderlake.sources.tables import default_format, read_table, write_csv, write_table
+from ladderlake.sources.tables import (
+    CSV_OPTIONS,
+    read_table,
+    replace_values,
+    write_csv,
+    write_table,
+)
 
 __all__ = [
-    "default_format",
+    "CSV_OPTIONS",
+    "is_broken",
     "land_json",
     "landed_files",
+    "landing_ranges",
     "landing_report",
     "latest_per_key",
     "next_page",
     "not_yet_loaded",
     "read_table",
+    "record_fields",
     "reject_empty",
+    "replace_values",
     "scan_json",
+    "scan_records",
+    "split_records",
     "with_pages",
     "write_csv",
     "write_table",

@@ -4,18 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_METADATA_TYPES = {
-    "file_path": "string",
-    "file_name": "string",
-    "file_size": "bigint",
-    "file_modification_time": "timestamp",
-}
-
 
 def scan_json(
     spark: SparkSession,
@@ -25,31 +17,35 @@ def scan_json(
     path_regex: str | None = None,
     metadata: dict[str, str] | None = None,
     options: dict | None = None,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Rows of all JSON files below ``path`` (a prefix such as ``raw/gold_*`` works).
 
     With a declared ``schema`` the files are read once, only the declared
     fields are built, and absent fields are null. Without one, the schema is
-    inferred from all files, which costs a second pass. ``path_regex`` selects
+    inferred from all files of the path, which costs a second pass; narrow it by
+    ``path`` or ``glob``. With a schema, ``path_regex`` selects
     files by a search in their full path; others are not opened. ``metadata`` adds columns about the
     file of each row, e.g. ``{"landed_at": "file_modification_time"}``. Folder
-    markers and files of other names give no rows. No matching path gives an
-    empty result if the schema is declared.
+    markers and files of other names give no rows.
+
+    A path that does not exist is an error, also as one of several; an existing
+    folder without files is an empty result if the schema is declared. ``corrupt``
+    names a column for the text of records that are broken or do not fit the schema.
     """
+    if schema is None and (path_regex is not None or corrupt is not None):
+        raise ValueError("without a schema, select files by path or glob")
     reader = spark.read.options(
         **{"pathGlobFilter": glob, "recursiveFileLookup": "true", **(options or {})}
     )
     if schema is not None:
+        if corrupt is not None:
+            if isinstance(schema, str):
+                schema = T.StructType.fromDDL(schema)
+            schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", corrupt)
         reader = reader.schema(schema)
-    try:
-        df = reader.json(path)
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        absent = spark.createDataFrame([], schema)
-        return absent.withColumns(
-            {name: F.lit(None).cast(_METADATA_TYPES[f]) for name, f in (metadata or {}).items()}
-        )
+    df = reader.json(path)
     columns = df.columns
     if path_regex is not None:
         df = df.filter(F.col("_metadata.file_path").rlike(path_regex))
@@ -68,3 +64,51 @@ def reject_empty(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
     """
     empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in (keys or df.columns)])
     return df.filter(~empty), df.filter(empty)
+
+
+def scan_records(
+    spark: SparkSession,
+    path: str | list[str],
+    glob: str = "*.json",
+    whole_files: bool = False,
+    metadata: dict[str, str] | None = None,
+) -> DataFrame:
+    """Records with all their fields, in one pass: a variant column ``record`` and ``_text``.
+
+    Each line of a file (or each file) is an object or an array of them; the records of
+    an array become rows. A line that is no JSON is kept as text with a null record.
+    """
+    lines = spark.read.options(pathGlobFilter=glob, recursiveFileLookup="true").text(
+        path, wholetext=whole_files
+    )
+    about = [F.col(f"_metadata.{f}").alias(name) for name, f in (metadata or {}).items()]
+    parsed = lines.filter(F.trim("value") != "").select(
+        F.col("value").alias("_text"), F.try_parse_json("value").alias("_json"), *about
+    )
+    several = F.try_variant_get("_json", F.lit("$"), "array<variant>")
+    rows = parsed.withColumn("record", F.explode_outer(F.coalesce(several, F.array("_json"))))
+    return rows.drop("_json")
+
+
+def record_fields(schema: T.StructType, record: str = "record") -> dict[str, Column]:
+    """The declared fields of a variant record; a value of another type becomes null."""
+    return {
+        f.name: F.try_variant_get(record, F.lit(f"$['{f.name}']"), f.dataType.simpleString())
+        for f in schema.fields
+    }
+
+
+def is_broken(corrupt: str) -> Column:
+    """Whether the text of a record that did not fit is more than a bare ``null``."""
+    return F.coalesce(F.trim(corrupt) != "null", F.lit(False))
+
+
+def split_records(df: DataFrame, keys: list[str], broken: Column) -> tuple[DataFrame, DataFrame]:
+    """The usable rows, and the others with a ``reason``: ``broken`` or ``empty``.
+
+    Empty are records without any of ``keys``, as a failed request lands them.
+    """
+    empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in keys])
+    reason = F.when(broken, "broken").when(empty, "empty")
+    rows = df.withColumn("reason", reason)
+    return rows.filter("reason is null").drop("reason"), rows.filter("reason is not null")

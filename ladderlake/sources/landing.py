@@ -16,9 +16,11 @@ def land_json(
 ) -> str:
     """Write rows as JSON lines, one folder per value of ``folders``.
 
-    The rebalance splits a hot folder over several files and merges small ones.
+    The rebalance splits a hot folder over several files and merges small ones. Fields
+    that are null are written as such.
     """
-    writer = df.hint("rebalance", *folders).write.options(**(options or {})).mode("overwrite")
+    options = {"ignoreNullFields": "false", **(options or {})}
+    writer = df.hint("rebalance", *folders).write.options(**options).mode("overwrite")
     if folders:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
     writer.json(path)
@@ -35,7 +37,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def landed_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """Path, size and time of the landed files; contents are not read."""
+    """Path, size and time of the landed files; contents are not read.
+
+    Spark lists files on the driver, so point it at a tier or a day (``raw/gold_*``)
+    rather than at a root with a file for every match.
+    """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -60,17 +66,22 @@ def next_page(
 
 def landing_report(listing: DataFrame, group: Sequence[str], page: str) -> DataFrame:
     """Range of landed pages in each group and how many are absent inside it."""
-    pages = listing.filter(F.col(page).isNotNull()).groupBy(*group, page).agg(
-        F.count(F.lit(1)).alias("_files")
-    )
+    return landing_ranges(listing, group, page).filter("file_count > 0").drop("next_page")
+
+
+def landing_ranges(listing: DataFrame, group: Sequence[str], page: str) -> DataFrame:
+    """``landing_report`` of every group, also without a page, with the page to fetch next."""
+    pages = listing.groupBy(*group, page).agg(F.count(F.lit(1)).alias("_files"))
+    known = F.col(page).isNotNull()
     return (
         pages.groupBy(*group)
         .agg(
             F.min(page).alias("first_page"),
             F.max(page).alias("last_page"),
-            F.count(F.lit(1)).alias("page_count"),
-            F.sum("_files").alias("file_count"),
+            F.count_if(known).alias("page_count"),
+            F.coalesce(F.sum(F.when(known, F.col("_files"))), F.lit(0)).alias("file_count"),
         )
+        .withColumn("next_page", F.coalesce(F.col("last_page") + 1, F.lit(1)))
         .withColumn(
             "absent_pages",
             (F.col("last_page") - F.col("first_page") + 1 - F.col("page_count")).cast("bigint"),

@@ -2,29 +2,33 @@
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A single CSV file is written by one task, so only a result of checked size may ask for it.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def default_format() -> str:
-    """Delta where it is installed, otherwise Parquet."""
-    return "delta" if importlib.util.find_spec("delta") else "parquet"
+from ladderlake.session import delete_path
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    merge: bool = False,
 ) -> DataFrame:
-    """Table at a path. Declaring fewer columns or nested fields reads fewer."""
+    """Table at a path. Declaring fewer columns or nested fields reads fewer.
+
+    ``merge`` takes the columns of all Parquet files together, which reads every
+    footer: partitions that were replaced one by one may have other columns.
+    """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
+    if merge and fmt == "parquet":
+        reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
 
@@ -38,8 +42,9 @@ def write_table(
 ) -> str:
     """Overwrite a table, or with ``replace="partitions"`` only those in ``df``.
 
-    Schema and data are both replaced. The rebalance makes files of the
-    advisory size: hot partitions are split and small ones merged. Do not
+    With "all", schema and data are both replaced; with "partitions", other partitions
+    keep their rows and columns (see ``read_table(merge=True)``). The rebalance makes
+    files of the advisory size: hot partitions are split and small ones merged. Do not
     write to a path that ``df`` reads.
     """
     if replace not in ("all", "partitions"):
@@ -59,8 +64,42 @@ def write_table(
     return path
 
 
+def replace_values(
+    df: DataFrame,
+    path: str,
+    column: str,
+    values: Sequence[str],
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
+) -> str:
+    """Replace all partitions in which ``column`` has one of the named values.
+
+    ``column`` is the first of ``partition_by``. Partitions of these values that ``df``
+    no longer has are emptied, so a value without rows ends up with none. ``df`` must
+    hold no other values.
+    """
+    spark = df.sparkSession
+    if fmt == "delta":
+        named = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+        laid_out = df.hint("rebalance", *partition_by) if rebalance else df
+        writer = laid_out.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
+        writer.option("replaceWhere", f"{column} in ({named})").save(path)
+        return path
+    write_table(df, path, fmt, partition_by, "partitions", rebalance)
+    # The named values bound both lists.
+    keys = df.select(*partition_by).distinct().collect()
+    fresh = {tuple(None if v is None else str(v) for v in row) for row in keys}
+    stored = read_table(spark, path, fmt).filter(F.col(column).isin(list(values)))
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
+    for *key, old in stored.select(*partition_by, folder).distinct().collect():
+        if tuple(None if v is None else str(v) for v in key) not in fresh:
+            delete_path(spark, unquote(old))
+    return path
+
+
 def _flat(df: DataFrame) -> DataFrame:
-    nested = (T.StructType, T.ArrayType, T.MapType)
+    nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
     return df.select(
         *[
             F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
@@ -69,14 +108,20 @@ def _flat(df: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, header: bool = True) -> str:
-    """CSV export with a header; nested columns become JSON text.
+# For writing and reading alike: quotes are doubled, texts keep their lines and spaces.
+CSV_OPTIONS = {
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
+    """CSV export with a header; nested and variant columns become JSON text.
 
-    Every task writes its own file. ``single_file`` asks for one file, which is
-    granted after counting that the result has at most ``SINGLE_FILE_ROWS`` rows.
+    Every task writes its own file. Read texts of several lines with ``CSV_OPTIONS``.
     """
-    out = _flat(df)
-    if single_file and out.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        out = out.coalesce(1)
-    out.write.format("csv").mode("overwrite").option("header", str(header).lower()).save(path)
+    writer = _flat(df).write.format("csv").mode("overwrite").options(**CSV_OPTIONS)
+    writer.option("header", str(header).lower()).save(path)
     return path

@@ -21,9 +21,6 @@ COLS = StandingsColumns(
     losses="losses",
 )
 
-# The part types of the generated tables.
-PART_TIERS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-
 # A document holds at most 2**16 participants; see match_docs().
 _CHUNK_BITS = 16
 

@@ -1,3 +1,3 @@
-from ladderlake.streaming.incremental import load_new_files
+from ladderlake.streaming.incremental import load_new_files, unloaded_files
 
-__all__ = ["load_new_files"]
+__all__ = ["load_new_files", "unloaded_files"]

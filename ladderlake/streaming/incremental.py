@@ -4,11 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ladderlake.sources import landed_files, not_yet_loaded, read_table
+
+
+MAX_FILE_AGE = "3650d"
+
+
+def unloaded_files(
+    spark: SparkSession,
+    source: str,
+    table: str,
+    glob: str = "*.json",
+    table_format: str = "parquet",
+    file_column: str = "source_file",
+) -> DataFrame:
+    """Landed files of which the table has no row: left out, or without any record."""
+    landed = landed_files(spark, source, glob).withColumnRenamed("path", file_column)
+    # Both are paths as Spark writes them, but one may be escaped like an address.
+    landed = landed.withColumn(file_column, _plain(file_column))
+    loaded = read_table(spark, table, table_format).select(_plain(file_column).alias(file_column))
+    return not_yet_loaded(landed, loaded.distinct(), file_column)
+
+
+def _plain(path: str) -> Column:
+    return F.regexp_replace(F.try_url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
 
 def load_new_files(
     spark: SparkSession,
@@ -20,6 +45,7 @@ def load_new_files(
     fmt: str = "json",
     table_format: str = "parquet",
     files_per_batch: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
     file_column: str | None = "source_file",
     transform: Callable[[DataFrame], DataFrame] | None = None,
     options: dict | None = None,
@@ -28,7 +54,10 @@ def load_new_files(
 
     The checkpoint remembers which files are loaded, and the file sink commits
     each batch once, so a rerun or a restart after a failure adds nothing twice.
-    ``files_per_batch`` bounds one batch on a large backlog. ``transform`` works
+    ``files_per_batch`` bounds one batch on a large backlog. A file older than the newest
+    one seen by more than ``max_file_age`` is taken as loaded; the long default lets
+    backfilled files keep their times, and a shorter one bounds the list of files that
+    the driver remembers. ``unloaded_files`` tells what was left out. ``transform`` works
     on the rows on their way, e.g. to explode landed matches; it must not
     group them, as each batch sees only new files.
     """
@@ -37,6 +66,7 @@ def load_new_files(
         .schema(schema)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", max_file_age)
         .options(**(options or {}))
     )
     if files_per_batch:

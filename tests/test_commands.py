@@ -31,8 +31,8 @@ def test_standings_step_by_step(spark, lake):
         return run(spark, ["--format", "parquet", *argv])
 
     status = {r.folder: r.next_page for r in go("landing-status", "--raw", lake["raw"]).collect()}
-    assert len(status) == 16
-    assert (status["gold_I"], status["gold_III"], status["bronze_I"]) == (2, 1, 1)
+    assert len(status) == 27
+    assert (status["gold_I"], status["gold_III"], status["master_I"]) == (2, 1, 1)
     go("standings-bronze", "--raw", lake["raw"], "--bronze", lake["bronze"])
     go("standings-silver", "--bronze", lake["bronze"], "--silver", lake["silver"], "--tier", "gold")
     gold = go("standings-gold", "--silver", lake["silver"], "--gold", lake["gold"])
@@ -42,7 +42,7 @@ def test_standings_step_by_step(spark, lake):
     go("standings-silver", "--bronze", lake["bronze"], "--silver", lake["silver"], "--tier", "SILVER", "--division", "I")
     everything = go("standings-all", "--silver", lake["silver"], "--gold", lake["all"])
     assert everything.count() == 12
-    go("export-csv", "--source", lake["all"], "--target", lake["csv"], "--single-file")
+    go("export-csv", "--source", lake["all"], "--target", lake["csv"])
     assert spark.read.csv(lake["csv"], header=True).count() == 12
 
 

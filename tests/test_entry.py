@@ -1,4 +1,10 @@
+import os
+import subprocess
+import sys
+
 import __spark_entry__ as contract
+from ladderlake.oracle import SQL
+from ladderlake.queries import REGISTRY
 
 
 def test_flagship_has_rows_and_a_stable_schema(spark):
@@ -14,5 +20,29 @@ def test_flagship_has_rows_and_a_stable_schema(spark):
     ]
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_query_is_registered():
+    assert set(REGISTRY) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_the_rest_works_without_the_training_data_package():
+    """The entry point of a copy that lacks the package and its pipeline."""
+    code = """
+import builtins, sys
+real = builtins.__import__
+def without(name, *args, **more):
+    if name.startswith(("ladderlake.llm", "corpus_pipeline")):
+        raise ModuleNotFoundError(name, name=name)
+    return real(name, *args, **more)
+builtins.__import__ = without
+import os
+import subprocess
+import sys
+
+import __spark_entry__ as contract
+from ladderlake.oracle import SQL
+from ladderlake.queries import REGISTRY
+assert set(contract.queries()) == set(contract.oracle_sql())
+"""
+    root = os.path.dirname(contract.__file__)
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)

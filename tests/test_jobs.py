@@ -2,8 +2,10 @@
 
 import json
 import os
+import shutil
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ladderlake.operators import count_by, describe_by, top_players
@@ -98,16 +100,89 @@ def test_alias_of_a_tier_is_folded(spark, tmp_path):
     assert [r.tier for r in df.collect()] == ["PLATINUM", "PLATINUM"]
 
 
-def test_undeclared_fields_pass_when_inferred(spark, roots):
+def test_undeclared_fields_reach_gold(spark, roots):
     put(f"{roots['raw']}/gold_I/3.json", [entry("GOLD", "I", 99, hotStreak=True, miniSeries={"wins": 2})])
-    gold = run_layers(spark, roots, infer=True)
-    assert gold.filter("hotStreak and miniSeries.wins = 2").count() == 1
+    gold = run_layers(spark, roots)
+    field = lambda path, kind: F.try_variant_get("record", F.lit(path), kind)
+    found = gold.filter(field("$.hotStreak", "boolean") & (field("$.miniSeries.wins", "int") == 2))
+    assert found.count() == 1
     assert gold.count() == 161
+    declared = standings_raw_to_bronze(spark, roots["raw"], roots["all"], extra=None)
+    assert declared.count() == 161 and "record" not in declared.columns
 
 
-def test_failed_pages_leave_no_rows(spark, roots):
+def test_failed_and_broken_pages_are_stored_apart(spark, roots):
     put(f"{roots['raw']}/gold_I/3.json", None)
+    with open(f"{roots['raw']}/gold_I/4.json", "w") as f:
+        f.write('[{"summonerId": "cut off')
     assert run_layers(spark, roots).count() == 160
+    rejects = spark.read.parquet(f"{roots['bronze']}_rejects").collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason, r.text) for r in rejects) == [
+        ("3.json", "empty", "null"),
+        ("4.json", "broken", '[{"summonerId": "cut off'),
+    ]
+
+
+def test_a_wrong_path_leaves_the_tables_alone(spark, roots, landed):
+    before = standings_raw_to_bronze(spark, roots["raw"], roots["bronze"]).count()
+    for raw, tiers in ((roots["raw"] + "x", None), (roots["raw"], ["EMERALD"])):
+        with pytest.raises(AnalysisException):
+            standings_raw_to_bronze(spark, raw, roots["bronze"], tiers)
+    assert spark.read.parquet(roots["bronze"]).count() == before
+    facts = match_raw_to_bronze(spark, landed, roots["gold"]).count()
+    with pytest.raises(AnalysisException):
+        match_raw_to_bronze(spark, landed + "x", roots["gold"])
+    assert spark.read.parquet(roots["gold"]).count() == facts
+
+
+def test_a_full_run_replaces_all_and_a_tier_run_empties_a_tier(spark, roots):
+    run_layers(spark, roots)
+    for division in DIVISIONS[1:]:
+        shutil.rmtree(f"{roots['raw']}/gold_{division}")
+    standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], tiers=["GOLD"])
+    shutil.rmtree(f"{roots['raw']}/silver_I")
+    bronze = standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], tiers=["SILVER"])
+    counts = {r.tier: r["count"] for r in bronze.groupBy("tier").count().collect()}
+    assert counts == {"GOLD": 10, "SILVER": 30, "BRONZE": 40, "PLATINUM": 40}
+    for tier in ("GOLD", "SILVER"):
+        for folder in (f"{roots['bronze']}/tier={tier}",):
+            shutil.rmtree(folder)
+    silver = standings_bronze_to_silver(spark, roots["bronze"], roots["silver"], ["GOLD"])
+    assert {r.tier for r in silver.select("tier").distinct().collect()} == set(TIERS) - {"GOLD"}
+    silver = standings_bronze_to_silver(spark, roots["bronze"], roots["silver"])
+    assert {r.tier for r in silver.select("tier").distinct().collect()} == {"BRONZE", "PLATINUM"}
+
+
+def test_all_tiers_are_those_of_the_data(spark, roots):
+    put(f"{roots['raw']}/seventh_I/1.json", [entry("SEVENTH", "I", 1), entry(None, "I", 2)])
+    run_layers(spark, roots)
+    everything = standings_all_tiers(spark, roots["silver"], roots["all"])
+    tiers = {r.tier for r in everything.select("tier").distinct().collect()}
+    assert tiers == {*TIERS, "SEVENTH", None} and everything.count() == 162
+
+
+def test_a_later_page_is_newer_in_a_tie(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    for page in (9, 10):
+        put(f"{raw}/gold_I/{page}.json", [{**entry("GOLD", "I", 1), "leaguePoints": page}])
+        os.utime(f"{raw}/gold_I/{page}.json", (1_000_000, 1_000_000))
+    newest = standings_raw_to_bronze(spark, raw, str(tmp_path / "b"), latest_only=True)
+    assert [r.leaguePoints for r in newest.collect()] == [10]
+
+
+def test_broken_matches_are_stored_apart(spark, landed, tmp_path):
+    with open(f"{landed}/gold_cut.json", "w") as f:
+        f.write('{"metadata": {"matchId": "M8"}, "info": {"parti')
+    bronze = str(tmp_path / "b")
+    match_raw_to_bronze(spark, landed, bronze, "GOLD", with_tier=True)
+    rejects = spark.read.parquet(f"{bronze}_rejects").collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason) for r in rejects) == [
+        ("gold_cut.json", "broken"),
+        ("gold_failed.json", "empty"),
+    ]
+    whole = str(tmp_path / "w")
+    assert whole_records_to_bronze(spark, landed, whole, as_variant=True).count() == 5
+    assert spark.read.parquet(f"{whole}_rejects").count() == 2
 
 
 def test_newest_landing_of_a_player(spark, tmp_path):

@@ -183,15 +183,24 @@ def test_distinct_counts_skip_nulls(spark):
 def test_schema_report_and_drift(spark):
     a = spark.createDataFrame([(1, "x"), (2, None)], "n int, s string")
     b = spark.createDataFrame([("y", 2)], "s string, n bigint")
-    report = [tuple(r) for r in schema_report(a).collect()]
+    report = [tuple(r) for r in schema_report(a, figures=True).collect()]
     assert report == [(0, "n", "int", 2), (1, "s", "string", 1)]
-    drift = {r.column_name: r for r in schema_drift({"a": a, "b": b}).collect()}
+    drift = {r.column_name: r for r in schema_drift({"a": a, "b": b}, figures=True).collect()}
     assert drift["s"].drifts is False and drift["s"].tables == "a,b" and drift["s"].row_count == 3
     assert drift["n"].drifts is True and drift["n"].data_types == "bigint,int"
     alone = schema_drift({"a": a, "b": b.drop("n")}).filter("column_name = 'n'").first()
     assert alone.drifts is True and alone.table_count == 1
 
 
+def test_schemas_are_listed_without_reading_the_data(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).withColumn("s", F.lit("x")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for df in (schema_report(stored), schema_drift({"a": stored, "b": stored.drop("s")})):
+        assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 2
+
+
 def test_preview_is_in_order(spark):
     got = preview(spark.range(100).repartition(7), ["id"])
     assert [r.id for r in got.collect()] == list(range(20))

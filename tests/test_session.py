@@ -9,7 +9,9 @@ from ladderlake.session import (
     SQL_SETTINGS,
     materialize,
     shared_root,
+    staging,
     staging_path,
+    staging_root,
     tune,
 )
 
@@ -21,7 +23,8 @@ def fake(master, conf=None, checkpoint=None):
         getCheckpointDir=lambda: state["dir"],
         setCheckpointDir=lambda path: state.update(dir=path),
     )
-    settings = SimpleNamespace(get=lambda key, default=None: conf or default)
+    known = {"spark.checkpoint.dir": conf}
+    settings = SimpleNamespace(get=lambda key, default=None: known.get(key) or default)
     return SimpleNamespace(sparkContext=context, conf=settings)
 
 
@@ -54,9 +57,32 @@ def test_materialized_results_are_stored_and_sized(spark):
     assert "BroadcastHashJoin" in plan.toString()
 
 
-def test_tune_sets_the_sql_settings(spark):
-    tune(spark)
-    assert all(spark.conf.get(k) == v for k, v in SQL_SETTINGS.items())
+def test_tuning_leaves_the_session_as_it_is(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    before = dict(other.conf.getAll)
+    tuned = tune(other)
+    assert all(tuned.conf.get(k) == v for k, v in SQL_SETTINGS.items())
+    assert tuned.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert dict(other.conf.getAll) == before
+
+
+def test_staged_data_is_deleted_at_the_end(spark):
+    with staging(spark):
+        root = staging_root(spark)
+        with staging(spark):
+            inner = materialize(spark.range(10), "ten").inputFiles()
+        assert not os.path.exists(inner[0].removeprefix("file://"))
+        assert materialize(spark.range(10), "ten").count() == 10
+        assert os.listdir(root)
+    assert not os.path.exists(root)
+
+
+def test_a_path_without_scheme_is_refused_on_a_cluster():
+    with pytest.raises(RuntimeError):
+        shared_root(fake("yarn", "/tmp/x"))
+    assert shared_root(fake("yarn", "file:///mnt/shared/x")) == "file:///mnt/shared/x"
 
 
 def test_cluster_settings_are_accepted(spark):

@@ -1,16 +1,18 @@
 import json
 import os
 import random
+import time
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
-from ladderlake.functions import page_number
+from ladderlake.functions import encode_json, page_number
 from ladderlake.plans import ladder_folders, landing_status
 from ladderlake.schemas import StandingsColumns, match_schema, standings_schema
 from ladderlake.sources import (
-    default_format,
+    CSV_OPTIONS,
+    is_broken,
     land_json,
     landed_files,
     landing_report,
@@ -18,14 +20,17 @@ from ladderlake.sources import (
     next_page,
     not_yet_loaded,
     read_table,
+    record_fields,
     reject_empty,
+    replace_values,
     scan_json,
-    tables,
+    scan_records,
+    split_records,
     with_pages,
     write_csv,
     write_table,
 )
-from ladderlake.streaming import load_new_files
+from ladderlake.streaming import load_new_files, unloaded_files
 
 
 def player(i, tier="GOLD", division="I", **more):
@@ -90,12 +95,42 @@ def test_inferred_schema_keeps_undeclared_fields(spark, tmp_path):
 def test_no_matching_file(spark, tmp_path):
     os.makedirs(tmp_path / "empty")
     assert scan_json(spark, str(tmp_path / "empty"), standings_schema()).count() == 0
-    absent = scan_json(
-        spark, str(tmp_path / "nope*"), standings_schema(), metadata={"f": "file_path"}
-    )
-    assert absent.count() == 0 and "f" in absent.columns
+    for schema in (standings_schema(), None):
+        with pytest.raises(AnalysisException):
+            scan_json(spark, str(tmp_path / "nope*"), schema)
+
+
+def test_one_absent_path_of_several_is_an_error(spark, raw):
     with pytest.raises(AnalysisException):
-        scan_json(spark, str(tmp_path / "nope*"))
+        scan_json(spark, [f"{raw}/gold_I", f"{raw}/gold_XX"], standings_schema())
+
+
+def test_inference_reads_only_the_selected_files(spark, raw):
+    put(f"{raw}/silver_I/9.json", [player(9, onlySilver=True)])
+    assert "onlySilver" not in scan_json(spark, f"{raw}/gold_*").columns
+    with pytest.raises(ValueError):
+        scan_json(spark, raw, path_regex="gold")
+
+
+def test_broken_records_are_split_off(spark, tmp_path):
+    root = tmp_path / "raw"
+    put(str(root / "1.json"), [player(1, veteran=True), player(2)])
+    put(str(root / "2.json"), None)
+    put(str(root / "3.json"), [{"leaguePoints": 5}])
+    (root / "4.json").write_text('[{"summonerId": "x", "tier": "GO')
+    keys = ["summonerId", "tier"]
+    rows = scan_json(spark, str(root), standings_schema(), corrupt="_text")
+    kept, rejected = split_records(rows, keys, is_broken("_text"))
+    assert kept.count() == 2
+    assert sorted(r.reason for r in rejected.collect()) == ["broken", "empty", "empty"]
+    records = scan_records(spark, str(root)).withColumns(record_fields(standings_schema()))
+    kept, rejected = split_records(records, keys, F.col("record").isNull())
+    assert sorted(r.reason for r in rejected.collect()) == ["broken", "empty", "empty"]
+    veteran = F.try_variant_get("record", F.lit("$.veteran"), "boolean")
+    assert {r.summonerId: r.v for r in kept.withColumn("v", veteran).collect()} == {
+        player(1)["summonerId"]: True,
+        player(2)["summonerId"]: None,
+    }
 
 
 def test_null_payloads_are_rejected(spark, tmp_path):
@@ -112,7 +147,7 @@ def test_resume_after_the_highest_page(spark, raw):
     assert status["gold_I"].next_page == 13
     assert (status["gold_I"].first_page, status["gold_I"].last_page) == (1, 12)
     assert status["gold_I"].absent_pages == 0
-    assert status["gold_III"].next_page == 1 and status["gold_III"].page_count is None
+    assert status["gold_III"].next_page == 1 and status["gold_III"].page_count == 0
 
 
 def test_listing_leaves_out_contents_and_empty_markers(spark, raw):
@@ -270,22 +305,46 @@ def test_a_hot_partition_gets_several_files(spark, tmp_path):
         spark.conf.set(key, before)
 
 
-def test_csv_with_nested_columns_and_one_file(spark, tmp_path, monkeypatch):
+def test_csv_with_nested_columns(spark, tmp_path):
     df = spark.range(0, 100, 1, 4).select(
         "id", F.struct((F.col("id") + 1).alias("a")).alias("s"), F.array("id").alias("l")
     )
-    many, one, refused = (str(tmp_path / n) for n in ("many", "one", "refused"))
+    many = str(tmp_path / "many")
     write_csv(df, many)
-    write_csv(df, one, single_file=True)
-    assert len(files_of(many)) == 4 and len(files_of(one)) == 1
-    with open(os.path.join(one, files_of(one)[0])) as f:
+    assert len(files_of(many)) == 4
+    with open(os.path.join(many, files_of(many)[0])) as f:
         assert f.readline().strip() == "id,s,l"
-    back = spark.read.csv(one, header=True)
+    back = spark.read.options(**CSV_OPTIONS).csv(many, header=True)
     assert back.count() == 100
     assert back.filter("id = '5'").first().s == '{"a":6}'
-    monkeypatch.setattr(tables, "SINGLE_FILE_ROWS", 99)
-    write_csv(df, refused, single_file=True)
-    assert len(files_of(refused)) == 4 and spark.read.csv(refused, header=True).count() == 100
+
+
+def test_csv_with_variants_and_lines(spark, tmp_path):
+    text = 'a "b"\n\\ c, \\"d\n'
+    df = spark.createDataFrame([(text, '{"k": [1]}')], "t string, j string")
+    path = write_csv(df.select("t", F.parse_json("j").alias("v")), str(tmp_path / "csv"))
+    back = spark.read.options(**CSV_OPTIONS).csv(path, header=True).first()
+    assert (back.t, back.v) == (text, '{"k":[1]}')
+
+
+def test_named_values_are_replaced_exactly(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("a b", "1", 1), ("a b", "2", 2), ("c", "1", 3), (None, "1", 4)]
+    df = spark.createDataFrame(rows, "k string, d string, v int")
+    write_table(df, path, partition_by=["k", "d"])
+    new = spark.createDataFrame([("a b", "2", 9)], df.schema)
+    replace_values(new, path, "k", ["a b", "c"], partition_by=["k", "d"])
+    left = sorted(map(tuple, read_table(spark, path).select("k", "d", "v").collect()), key=repr)
+    assert left == sorted([("a b", "2", 9), (None, "1", 4)], key=repr)
+
+
+def test_columns_of_all_partitions_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), path, partition_by=["k"])
+    new = spark.createDataFrame([("b", 1, "x")], "k string, v int, w string")
+    write_table(new, path, partition_by=["k"], replace="partitions")
+    merged = {r.k: r.w for r in read_table(spark, path, merge=True).collect()}
+    assert merged == {"a": None, "b": "x"}
 
 
 def test_landing_puts_folders_and_keeps_text(spark, tmp_path):
@@ -295,8 +354,47 @@ def test_landing_puts_folders_and_keeps_text(spark, tmp_path):
     assert sorted(r.text for r in scan_json(spark, root, "text string").collect()) == ["São", "x\ny"]
 
 
-def test_default_format_is_readable(spark):
-    assert default_format() in ("parquet", "delta")
+def test_null_fields_are_landed(spark, tmp_path):
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    assert df.select(encode_json("a", "b").alias("j")).first().j == '{"a":1,"b":null}'
+    root = land_json(df, str(tmp_path / "raw"))
+    assert spark.read.text(root).first().value == '{"a":1,"b":null}'
+
+
+def test_files_that_were_not_loaded(spark, tmp_path):
+    raw, table, checkpoint = (str(tmp_path / n) for n in ("raw", "t", "c"))
+
+    def land(name, age):
+        put(f"{raw}/{name}", {"a": name})
+        when = time.time() - age
+        os.utime(f"{raw}/{name}", (when, when))
+
+    def load(**more):
+        load_new_files(spark, raw, table, checkpoint, "a string", **more)
+        return sorted(r.a for r in spark.read.parquet(table).select("a").collect())
+
+    land("1 x.json", 0)
+    assert load(max_file_age="7d") == ["1 x.json"]
+    land("2+y.json", 30 * 86400)
+    land("3.json", 0)
+    assert load(max_file_age="7d") == ["1 x.json", "3.json"]
+    left = unloaded_files(spark, raw, table).collect()
+    assert [r.source_file.rsplit("/", 1)[1] for r in left] == ["2+y.json"]
+    land("4.json", 30 * 86400)
+    assert "4.json" in load()
+
+
+def test_landing_status_folds_aliases_and_lists_all(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    for folder, page in (("platina_I", 1), ("platinum_I", 4), ("emerald_I", 2)):
+        put(f"{raw}/{folder}/{page}.json", [])
+    expected = spark.createDataFrame([("platinum_I",), ("gold_I",)], "folder string")
+    status = {r.folder: r for r in landing_status(spark, raw, expected).collect()}
+    assert {f: (r.next_page, r.page_count) for f, r in status.items()} == {
+        "platinum_I": (5, 2),
+        "emerald_I": (3, 1),
+        "gold_I": (1, 0),
+    }
 
 
 def test_schema_defaults_name_the_landed_fields():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ladderlake.llm import suffix
 from ladderlake.llm.chat import format_turns, read_back
 from ladderlake.llm.decontaminate import find_leaks
+from ladderlake.llm.oracle import SQL
 from ladderlake.llm.packing import pack
 from ladderlake.llm.quality import base_failed, rate
 from ladderlake.llm.sharding import shard_of, shard_records
@@ -22,9 +23,10 @@ from ladderlake.llm.warc import read_warc, write_warc
 from ladderlake.session import staging_path
 
 REGISTRY = {}
-SQL = {}
 
 
+__all__ = ["REGISTRY", "SQL", "reachable", "table"]
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 

@@ -41,6 +41,8 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
+from ladderlake.session import materialize
+
 CRLF = "\r\n"
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -75,13 +77,15 @@ def records(pages: DataFrame) -> DataFrame:
         html.alias("html"),
         base32_sha1(html).alias("digest"),
     )
-    # Only payloads that occur twice can be revisited; each has one row here.
+    # Only payloads that occur twice can be revisited; each has one row here. They are stored,
+    # so that the planner knows their size: few are broadcast, many are joined by shuffle.
     repeated = (
         pages.groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .filter("n > 1 and first is not null")
         .select("digest", "first")
     )
+    repeated = materialize(repeated, "repeated")
     paired = pages.join(repeated, "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
 

@@ -12,7 +12,8 @@ Copies are collapsed first: the index holds distinct fingerprints. A task that h
 postings of one choice of places keeps links as a spanning forest, which joins the same
 fingerprints as all links do, so the links sent on are fewer than the postings. A posting with
 many fingerprints is searched by breadth, each reached one leaving the rest, so a dense group
-costs about its size. Components come from the forests by alternating large-star and
+costs about its size; one with very many is first split in the same way by half bytes of the
+other places. Components come from the forests by alternating large-star and
 small-star steps, all joins and sums over stored tables.
 
 Defined results: null and empty texts have the fingerprint zero and are linked like others;
@@ -40,6 +41,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 SMALL_POSTING = 64
+LARGE_POSTING = 8192
 POSTINGS_EACH = 1 << 20
 
 
@@ -99,13 +101,24 @@ def with_fingerprints(
 
 def place_masks(max_bits: int) -> np.ndarray:
     """A mask for each choice of as many bytes as must match."""
-    least = max(1, 8 - max_bits)
+    if not 0 <= max_bits < 8:
+        raise ValueError("eight bytes have one in common for certain up to 7 bits")
+    least = 8 - max_bits
     return np.array(
         [sum(0xFF << (8 * k) for k in chosen) for chosen in combinations(range(8), least)],
         np.uint64,
     )
 
 
+def half_masks(mask: np.uint64, max_bits: int) -> list[np.uint64]:
+    """``mask`` with each choice of as many half bytes of the other places as must match."""
+    halves = [4 * k for k in range(16) if not int(mask) >> 4 * k & 0xF]
+    least = len(halves) - max_bits
+    return [
+        mask | np.uint64(sum(0xF << k for k in chosen)) for chosen in combinations(halves, least)
+    ]
+
+
 class Forest:
     """Spanning forest of the links seen so far, over numbered fingerprints."""
 
@@ -129,25 +142,42 @@ class Forest:
 
 def posting_links(prints: np.ndarray, mask: np.uint64, max_bits: int) -> list[tuple[int, int]]:
     """Links between fingerprints that agree on the masked bytes, as a spanning forest."""
+    forest = Forest(len(prints))
+    search_postings(prints, np.arange(len(prints)), mask, max_bits, forest, split=max_bits > 0)
+    return [(int(prints[a]), int(prints[b])) for a, b in forest.edges]
+
+
+def search_postings(
+    prints: np.ndarray,
+    number: np.ndarray,
+    mask: np.uint64,
+    max_bits: int,
+    forest: Forest,
+    split: bool,
+) -> None:
+    """Adds the links between ``prints``, known to the forest by ``number``."""
     key = prints & mask
     order = np.argsort(key)
-    key, prints = key[order], prints[order]
+    key, prints, number = key[order], prints[order], number[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, len(key)))
-    forest = Forest(len(key))
 
     left = np.repeat(np.where(sizes <= SMALL_POSTING, sizes, 0), sizes)
     left -= np.arange(len(key)) - np.repeat(starts, sizes) + 1  # fingerprints behind in the posting
     lag = 1
     while (at := np.flatnonzero(left >= lag)).size:
         near = np.bitwise_count(prints[at] ^ prints[at + lag]) <= max_bits
-        forest.link(at[near], at[near] + lag)
+        forest.link(number[at[near]], number[at[near] + lag])
         lag += 1
 
     for k in np.flatnonzero(sizes > SMALL_POSTING):
         rest = np.arange(starts[k], starts[k] + sizes[k])
+        if split and sizes[k] > LARGE_POSTING:
+            for finer in half_masks(mask, max_bits):
+                search_postings(prints[rest], number[rest], finer, max_bits, forest, False)
+            continue
         reached: list[int] = []
         while rest.size:
             if not reached:
@@ -155,9 +185,8 @@ def posting_links(prints: np.ndarray, mask: np.uint64, max_bits: int) -> list[tu
             at = reached.pop()
             near = np.bitwise_count(prints[rest] ^ prints[at]) <= max_bits
             found, rest = rest[near], rest[~near]
-            forest.link(np.full(len(found), at), found)
+            forest.link(np.full(len(found), number[at]), number[found])
             reached.extend(found.tolist())
-    return [(int(prints[a]), int(prints[b])) for a, b in forest.edges]
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

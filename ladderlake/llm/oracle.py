@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 
 from ladderlake.llm.chat import CONTROL, TRAINED_ROLE
+from ladderlake.llm.quality import DELTA, RISK, RULES
 from ladderlake.llm.warc import BASE32, DIGITS32
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -137,10 +138,79 @@ select doc_id, n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0
   sha256(unhex(coalesce(left_over, ''))) as kept_sha256
 from docs left join sums using (doc_id) left join kept using (doc_id)"""
 
+_SHARES = " union all ".join(
+    f"select doc_id, lang, base_failed, '{rule}' as rule, "
+    f"coalesce(cast(floor({top} * 1000 / nullif({bottom}, 0)) as bigint), 0) as value from judged"
+    for rule, (top, bottom) in RULES.items()
+)
+QUALITY = rf"""
+with docs as (
+  select doc_id, lang, coalesce(text, '') as t, list_filter(
+    regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+windows as (
+  select doc_id, s, array_to_string(w[s : s + 4], ' ') as key
+  from (select doc_id, w, unnest(range(1, len(w) - 3)) as s from docs where len(w) >= 5)),
+repeats as (
+  select doc_id, count(distinct place) as n_repeat_words
+  from (
+    select doc_id, unnest(range(s, s + 5)) as place
+    from (select doc_id, s, count(*) over (partition by doc_id, key) as n from windows)
+    where n > 1)
+  group by doc_id),
+lines as (
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+  from (select doc_id, unnest(string_split(t, chr(10))) as line from docs)
+  where regexp_matches(line, '[^ \x09-\x0D]') group by doc_id),
+counts as (
+  select doc_id, lang, len(w) as n_words,
+    cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+    coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words
+  from docs left join lines using (doc_id) left join repeats using (doc_id)),
+judged as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counts),
+shares as ({_SHARES}),
+good as (
+  select doc_id from labels where quality is not null group by doc_id
+  having min(quality) = 1 and coalesce(max(toxic), 0) = 0),
+held as (
+  select lang, rule, value, count(*) as n
+  from shares where not base_failed and doc_id in (select doc_id from good)
+  group by lang, rule, value),
+totals as (select lang, rule, cast(sum(n) as bigint) as n_good from held group by lang, rule),
+errors as (
+  select {RISK} / {len(RULES)} as p,
+    {DELTA} / ({len(RULES)} * count(distinct coalesce(lang, ''))) as delta from held),
+chances as (
+  select n_good, k, sum(exp(lgamma(n_good + 1) - lgamma(k + 1) - lgamma(n_good - k + 1)
+      + k * ln(p) + (n_good - k) * ln(1 - p))) over (partition by n_good order by k) as up_to
+  from (select n_good, unnest(range(0, n_good)) as k from (select distinct n_good from totals)),
+    errors),
+allowed as (
+  select n_good, max(k) as n_allowed from chances, errors where up_to <= delta group by n_good),
+tails as (
+  select lang, rule, value, sum(n) over (partition by lang, rule order by value desc) as rejected
+  from held),
+cutoffs as (
+  select tails.lang, tails.rule, max(value) as cutoff
+  from tails join totals on tails.lang is not distinct from totals.lang
+    and tails.rule = totals.rule join allowed using (n_good)
+  where rejected > n_allowed group by tails.lang, tails.rule),
+above as (
+  select distinct doc_id from shares join cutoffs
+    on shares.lang is not distinct from cutoffs.lang and shares.rule = cutoffs.rule
+  where value > cutoff)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and doc_id not in (select doc_id from above) as kept
+from judged"""
+
 SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op3_warc": WARC,
     "op4_decontamination": DECONTAMINATION,
+    "op6_quality_rules": QUALITY,
     "op7_chat_formatting": CHAT,
     "op8_suffix_dedup": SUFFIX_DEDUP,
 }

@@ -39,6 +39,7 @@ from ladderlake.llm.text import (
     mix,
     per_text,
     runs,
+    tidy,
     window_hashes,
     words,
 )
@@ -194,6 +195,7 @@ def remove_repeats(
     n_ranges = max(1, total // (64 << 20))
 
     def opened(table: pa.Table) -> tuple[pa.Table, Windows]:
+        tidy()
         table = blocks.in_order(table, id_col, row_col)
         return table, Windows(table, text_col, window, n_bits)
 
@@ -206,6 +208,7 @@ def remove_repeats(
         return pa.Table.from_pylist(rows, _schema(sketches_ddl))
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
+        tidy()
         s, p = (k.as_py() for k in key)
         rows = [
             {"block": b, "kind": s, "place": p, "flags": raw} for b, raw in merge_sketches(table)
@@ -230,6 +233,7 @@ def remove_repeats(
         return pa.Table.from_pylist(rows, _schema(sent_ddl))
 
     def decide(key: tuple, table: pa.Table) -> pa.Table:
+        tidy()
         sent, place = table.to_pylist(), key[0].as_py()
         rows = [
             {"block": row["block"], "kind": DEPTH, "place": place, "flags": blocks.bits(first)}

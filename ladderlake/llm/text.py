@@ -6,6 +6,7 @@ by the caller (``chunks``), so no array here grows with the table.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 # Bytes of words [^\x20\x09-\x0D]+
 NOT_SPACE = np.ones(256, bool)
@@ -37,6 +38,7 @@ def chunks(
     batches: Iterable[pa.RecordBatch], column: int | str, size: int = CHUNK_BYTES
 ) -> Iterator[pa.Table]:
     """The rows as tables of about ``size`` bytes of text; a longer text stands alone."""
+    tidy()
     held: list[pa.RecordBatch] = []
     room = size
     for batch in batches:
@@ -57,6 +59,18 @@ def chunks(
                 held, room = [], size
     if held:
         yield pa.Table.from_batches(held)
+    held = []
+    tidy()
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def tidy() -> None:
+    """Give freed memory back: Python workers live on between tasks of all kinds."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,3 +199,24 @@ def column_name(wanted: str, taken: Iterable[str]) -> str:
     while wanted.lower() in names:
         wanted += "_"
     return wanted
+
+
+class Known:
+    """What was learnt lately: up to ``size`` keys, and the ``size`` before them.
+
+    A key that is used again moves to the newer half, so frequent keys stay.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key: str):
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value) -> None:
+        if len(self.new) >= self.size:
+            self.new, self.old = {}, self.new
+        self.new[key] = value

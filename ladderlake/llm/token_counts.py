@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.llm.text import chunks, column_name, per_text, utf8
+from ladderlake.llm.text import Known, chunks, column_name, per_text, utf8
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -57,11 +57,11 @@ class Vocabulary:
 
 
 class Counter:
-    KNOWN = 400_000
+    KNOWN = 250_000
     _opened: dict[str, Counter] = {}
 
     def __init__(self, vocabulary: Vocabulary):
-        self.known: dict[str, int] = {}
+        self.known = Known(self.KNOWN)
         self.unknown = vocabulary.lowest - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
         for piece, score in vocabulary.scores.items():
@@ -107,14 +107,12 @@ class Counter:
         return count[n]
 
     def known_count(self, unit: str) -> int:
-        """``count``, remembered for up to ``KNOWN`` short units; then memory starts anew."""
+        """``count``, or what is known of a short unit."""
         count = self.known.get(unit)
         if count is None:
             count = self.count(unit)
             if len(unit) <= 64:
-                if len(self.known) >= self.KNOWN:
-                    self.known.clear()
-                self.known[unit] = count
+                self.known.put(unit, count)
         return count
 
     @classmethod

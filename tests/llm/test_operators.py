@@ -658,12 +658,15 @@ def test_windows_are_filled():
     ) or sum(k * v for k, v in packing.fill_windows(np.bincount([6, 5, 4, 4, 3]), 12)[0][0].items()) >= 11
 
 
-def test_units_give_the_tokenizers_ids():
+@pytest.mark.parametrize("special", ["<|endoftext|>", "<|other|>"])
+def test_units_give_the_tokenizers_ids(special):
+    """With the special token, which the tokenizer itself takes, and without it."""
     own = random.Random(1)
     parts = [" ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u2003", "\u0085", "a", "bc", "'s", "'", "."]
-    parts += ["!?", "12", "é", "日", "<|endoftext|>", "<|", "|>", "x<|endoftext|>y", "\x1c", "À", "\u1680"]
+    parts += ["!?", "12", "é", "日", special, "<|", "|>", f"x{special}y", "\x1c", "À", "\u1680"]
     texts = ["".join(own.choices(parts, k=own.randrange(13))) for _ in range(5000)]
     tokenizer = packing.UnitTokenizer(BPE)
+    assert tokenizer.merging
     ids, n = tokenizer.ids(pa.chunked_array([texts]))
     expected = [e.ids for e in tokenizer.tokenizer.encode_batch(texts, add_special_tokens=False)]
     ends = np.cumsum(n)

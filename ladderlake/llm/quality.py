@@ -9,7 +9,12 @@ is ``risk`` over the rules; along one rule, cutoffs are tested from the most len
 strictest and testing ends at the first that fails, which needs no further correction. A
 stratum with too few good labels gets no cutoff, so nothing is rejected there by these rules.
 
-All labelled documents count. Only one row for each stratum and rule is kept of them.
+``keep_good`` tests one hypothesis for each stratum in place of one for each rule: at most
+``risk`` of the good documents are rejected by any rule. The cutoffs of all rules tighten
+along one sequence fixed beforehand (``ROUNDS``) until the first test that fails, so only
+``delta`` is divided, over the strata, and a quarter of the labels is enough for a cutoff.
+
+All labelled documents count. Only a row for each stratum and value or step is kept of them.
 
 Defined results: null or empty texts have zero counts and fail the base rule; a null stratum
 is a stratum; a document without a label, or with a null one, is not counted in thresholds;
@@ -67,6 +72,13 @@ RULES = {
     "repeated_words": ("n_repeat_words", "n_words"),
 }
 
+# Where each round of the sequence ends: the rules are tightened one after the other from
+# nothing rejected, first to loose limits, so that no rule waits for another's last thousandths.
+ROUNDS = [
+    {"symbols": 10, "duplicate_lines": 300, "repeated_words": 100},
+    {"symbols": 0, "duplicate_lines": 0, "repeated_words": 0},
+]
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 
@@ -210,6 +222,16 @@ def share(top: str, bottom: str, counts_col: str) -> F.Column:
     return F.when(whole > 0, F.floor(part * 1000 / whole)).otherwise(0).cast("bigint")
 
 
+def good_labels(labels: DataFrame, id_col: str) -> DataFrame:
+    """A ``label_id`` for each document labelled with quality 1 and not toxic."""
+    return (
+        labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
+        .groupBy(F.col(id_col).alias("label_id"))
+        .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+        .filter("quality = 1 and coalesce(toxic, 0) = 0")
+    )
+
+
 def thresholds(
     measured: DataFrame,
     labels: DataFrame,
@@ -223,12 +245,6 @@ def thresholds(
 
     Good are documents labelled with quality 1 and not toxic that pass the base rules.
     """
-    good = (
-        labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
-        .groupBy(F.col(id_col).alias("label_id"))
-        .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-        .filter("quality = 1 and coalesce(toxic, 0) = 0")
-    )
     rules = F.array(
         *[
             F.struct(F.lit(rule).alias("rule"), share(*pair, counts_col).alias("value"))
@@ -238,7 +254,7 @@ def thresholds(
     held = (
         measured.filter(~base_failed(counts_col))
         .select(F.col(id_col).alias("label_id"), F.col(stratum_col).alias("stratum"), rules.alias("r"))
-        .join(good, "label_id", "left_semi")
+        .join(good_labels(labels, id_col), "label_id", "left_semi")
         .groupBy("stratum", "r")
         .agg(F.count("*").alias("n"))
         .select("stratum", F.inline("r"), "n")
@@ -296,6 +312,69 @@ def judge(
     return joined.withColumn(kept_col, ~base_failed(counts_col) & ~above).drop(name)
 
 
+def rejecting_step(counts_col: str) -> F.Column:
+    """The first step of the sequence that rejects a document, null if none does.
+
+    Each step lowers the cutoff of one rule by a thousandth.
+    """
+    start, found = 0, []
+    high = dict.fromkeys(RULES, 1000)
+    for ends in ROUNDS:
+        for rule, pair in RULES.items():
+            value, low = share(*pair, counts_col), ends[rule]
+            inside = (value > low) & (value <= high[rule])
+            found.append(F.when(inside, start + high[rule] - value))
+            start += high[rule] - low
+            high[rule] = low
+    return F.least(*found)
+
+
+def joint_steps(
+    measured: DataFrame,
+    labels: DataFrame,
+    stratum_col: str,
+    risk: float = RISK,
+    delta: float = DELTA,
+    id_col: str = "doc_id",
+    counts_col: str = "counts",
+) -> DataFrame:
+    """Rows (stratum, n_good, n_allowed, stop) of the strata with cutoffs; a document is
+    rejected by the steps before ``stop``, by all if it is null.
+
+    Good are documents as in ``thresholds``. They are counted by the step that rejects them,
+    so the first step at which more than ``n_allowed`` are rejected is the first that fails.
+    """
+    held = (
+        measured.filter(~base_failed(counts_col))
+        .select(
+            F.col(id_col).alias("label_id"),
+            F.col(f"`{stratum_col}`").alias("stratum"),
+            rejecting_step(counts_col).alias("step"),
+        )
+        .join(good_labels(labels, id_col), "label_id", "left_semi")
+        .groupBy("stratum", "step")
+        .agg(F.count("*").alias("n"))
+    )
+    held = materialize(held, "holdout")
+    n_strata = held.select("stratum").distinct().count()
+
+    @F.pandas_udf("bigint")
+    def most(n: pd.Series) -> pd.Series:
+        found = {k: allowed(int(k), risk, delta / max(1, n_strata)) for k in n.unique()}
+        return n.map(found)
+
+    totals = held.groupBy("stratum").agg(F.sum("n").alias("n_good"))
+    totals = totals.withColumn("n_allowed", most("n_good")).filter("n_allowed >= 0")
+    up_to = Window.partitionBy("stratum").orderBy(F.asc_nulls_last("step"))
+    rejected = held.withColumn("rejected", F.sum("n").over(up_to))
+    return (
+        totals.alias("b")
+        .join(rejected.alias("a"), F.expr("a.stratum <=> b.stratum"))
+        .groupBy("b.stratum", "b.n_good", "b.n_allowed")
+        .agg(F.min(F.expr("case when a.rejected > b.n_allowed then a.step end")).alias("stop"))
+    )
+
+
 def keep_good(
     docs: DataFrame,
     labels: DataFrame,
@@ -306,12 +385,16 @@ def keep_good(
 ) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
     slim = materialize(measure(docs, text_col, [id_col, stratum_col]), "counts")
-    cutoffs = thresholds(slim, labels, stratum_col, id_col=id_col, **options)
-    counts_col, kept_col = (column_name(c, docs.columns) for c in ("counts", "kept"))
-    judged = judge(
-        measure(docs, text_col, counts_col=counts_col), cutoffs, stratum_col, counts_col, kept_col
+    stops = materialize(joint_steps(slim, labels, stratum_col, id_col=id_col, **options), "stops")
+    counts_col, name = (column_name(c, docs.columns) for c in ("counts", "stops"))
+    stops = stops.select(F.struct("*").alias(name))
+    judged = measure(docs, text_col, counts_col=counts_col).join(
+        stops, F.col(f"`{stratum_col}`").eqNullSafe(F.col(name)["stratum"]), "left"
     )
-    return judged.filter(F.col(kept_col)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stop, step = F.col(name)["stop"], rejecting_step(counts_col)
+    above = F.col(name).isNotNull() & step.isNotNull() & (stop.isNull() | (step < stop))
+    kept = judged.filter(~base_failed(counts_col) & ~F.coalesce(above, F.lit(False)))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def rate(

@@ -414,6 +414,50 @@ def test_thresholds_follow_the_labels(spark):
     assert len(kept & good) >= 0.98 * len(good) and set(range(100_000, 100_040)) <= kept
 
 
+def walk(good, risk, delta):
+    """The cutoffs of the last step that holds, tried one by one; None if none can."""
+    most = quality.allowed(len(good), risk, delta)
+    cut = dict.fromkeys(quality.RULES, 1000)
+    if most < 0:
+        return None
+    for ends in quality.ROUNDS:
+        for rule, end in ends.items():
+            while cut[rule] > end:
+                tighter = {**cut, rule: cut[rule] - 1}
+                if sum(any(v[r] > c for r, c in tighter.items()) for v in good) > most:
+                    return cut
+                cut = tighter
+    return cut
+
+
+def test_joint_steps_follow_one_sequence(spark):
+    own = random.Random(7)
+    share = lambda p, top: own.randrange(top) if own.random() < p else 0
+    rows, labels, shares = [], [], {}
+    for lang, n, p in (("a", 900, 0.03), ("b", 260, 0.004), (None, 700, 0.0), ("few", 200, 0.0)):
+        for _ in range(n):
+            k, v = len(rows), [share(p, 1001), share(3 * p, 400), share(p, 190)]
+            rows.append((k, lang, (1000, 1000, v[0], 1000, v[1], v[2])))
+            labels.append((k, 1, 0))
+            shares.setdefault(lang, {})[k] = dict(zip(quality.RULES, v))
+    schema = "doc_id bigint, lang string, counts struct<" + ", ".join(
+        f"{c}: bigint" for c in quality.COUNTS.names
+    )
+    measured = spark.createDataFrame(rows, schema + ">")
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality bigint, toxic bigint")
+    stops = {r.stratum: r for r in quality.joint_steps(measured, labels, "lang").collect()}
+    assert set(stops) == {"a", "b", None}  # 200 good labels are too few for one of four strata
+    step = quality.rejecting_step("counts").alias("step")
+    steps = {r.doc_id: r.step for r in measured.select("doc_id", step).collect()}
+    for lang, found in stops.items():
+        cut = walk(list(shares[lang].values()), quality.RISK, quality.DELTA / 4)
+        above = {k for k, v in shares[lang].items() if any(v[r] > c for r, c in cut.items())}
+        stop = 10**6 if found.stop is None else found.stop
+        assert {k for k in shares[lang] if steps[k] is not None and steps[k] < stop} == above
+        assert found.n_good == len(shares[lang]) and len(above) <= found.n_allowed
+    assert stops["a"].stop is not None and stops[None].stop is None
+
+
 def test_quality_query(spark, small_dir, small_docs):
     found = REGISTRY["op6_quality_rules"](spark, small_dir)
     assert rows_of(found.drop("kept")) == brute.counts(small_docs)

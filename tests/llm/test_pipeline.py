@@ -4,7 +4,7 @@ import brute
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from test_operators import check_packing
+from test_operators import check_packing, labelled
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -48,6 +48,14 @@ def test_quality_stage(stages):
     assert {i for i, _ in pairs(stages[1])} == {i for i, _ in pairs(stages[0])} - failed
 
 
+def test_quality_stage_with_enough_labels(spark, tmp_path):
+    docs, labels = labelled(spark, 400)  # 300 of them good
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    assert not kept & set(range(0, 400, 4))
+    assert len(kept) >= 0.98 * 300
+
+
 def test_near_duplicate_stage(stages):
     _, groups = brute.near(pairs(stages[1]))
     kept = pairs(stages[2])

@@ -593,7 +593,7 @@ def incremental_pages(spark, sf_dir):
 
 @query("late_files")
 def late_files(spark, sf_dir):
-    """Three lots of events; the files of the last are months older than the others."""
+    """Two lots of events; the files of the second are years older, one of them from 1970."""
     raw, loaded = staging_path(spark, "raw-events"), staging_path(spark, "events")
     checkpoint = staging_path(spark, "events-checkpoint")
     events = table(spark, sf_dir, "events").withColumn("folder", F.col("event_type"))
@@ -601,9 +601,9 @@ def late_files(spark, sf_dir):
     land_json(events.filter(~old), raw, ["folder"], MICROS)
     load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
     land_json(events.filter(old), raw, ["folder"], MICROS)
-    for name in ("click", "view"):
-        for file in files_below(spark, f"{raw}/folder={name}"):
-            file_system(spark, raw).setTimes(file, 1_500_000_000_000, -1)
+    late = [f for name in ("click", "view") for f in files_below(spark, f"{raw}/folder={name}")]
+    for k, file in enumerate(late):
+        file_system(spark, raw).setTimes(file, 1_500_000_000_000 if k else 86_400_000, -1)
     load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
     return read_table(spark, loaded).drop("source_file")
 

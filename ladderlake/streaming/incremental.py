@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ladderlake.sources import landed_files, not_yet_loaded, read_table
 
 
-MAX_FILE_AGE = "3650d"
+# A thousand years: longer than any file time can be old.
+MAX_FILE_AGE = "365000d"
 
 
 def unloaded_files(
@@ -55,8 +56,8 @@ def load_new_files(
     The checkpoint remembers which files are loaded, and the file sink commits
     each batch once, so a rerun or a restart after a failure adds nothing twice.
     ``files_per_batch`` bounds one batch on a large backlog. A file older than the newest
-    one seen by more than ``max_file_age`` is taken as loaded; the long default lets
-    backfilled files keep their times, and a shorter one bounds the list of files that
+    one seen by more than ``max_file_age`` is taken as loaded; the default is
+    longer than any file time can be old, and a shorter one bounds the list of files that
     the driver remembers. ``unloaded_files`` tells what was left out. ``transform`` works
     on the rows on their way, e.g. to explode landed matches; it must not
     group them, as each batch sees only new files.

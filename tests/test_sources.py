@@ -384,6 +384,16 @@ def test_files_that_were_not_loaded(spark, tmp_path):
     assert "4.json" in load()
 
 
+def test_a_late_file_of_1970_is_loaded(spark, tmp_path):
+    raw, table, checkpoint = (str(tmp_path / n) for n in ("raw", "t", "c"))
+    for name, when in (("new.json", time.time()), ("old.json", 86400)):
+        put(f"{raw}/{name}", {"a": name})
+        os.utime(f"{raw}/{name}", (when, when))
+        load_new_files(spark, raw, table, checkpoint, "a string")
+    assert unloaded_files(spark, raw, table).count() == 0
+    assert sorted(r.a for r in spark.read.parquet(table).collect()) == ["new.json", "old.json"]
+
+
 def test_landing_status_folds_aliases_and_lists_all(spark, tmp_path):
     raw = str(tmp_path / "raw")
     for folder, page in (("platina_I", 1), ("platinum_I", 4), ("emerald_I", 2)):

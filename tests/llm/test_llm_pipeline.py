@@ -4,7 +4,7 @@ import brute
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from test_operators import check_packing, labelled
+from test_llm_operators import check_packing, labelled
 
 import __spark_entry__ as contract
 import corpus_pipeline

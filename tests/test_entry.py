@@ -2,6 +2,8 @@ import os
 import subprocess
 import sys
 
+import pytest
+
 import __spark_entry__ as contract
 from ladderlake.oracle import SQL
 from ladderlake.queries import REGISTRY
@@ -25,24 +27,21 @@ def test_every_query_is_registered():
     assert set(SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_the_rest_works_without_the_training_data_package():
-    """The entry point of a copy that lacks the package and its pipeline."""
-    code = """
-import builtins, sys
+@pytest.mark.parametrize(
+    "absent", [("ladderlake.llm", "corpus_pipeline"), ("public_tokenizers",), ("xxhash",)]
+)
+def test_the_rest_works_without_the_training_data_package(absent):
+    """The entry point of a copy that lacks the package, its pipeline or one of its libraries."""
+    code = f"""
+import builtins
 real = builtins.__import__
 def without(name, *args, **more):
-    if name.startswith(("ladderlake.llm", "corpus_pipeline")):
+    if name.startswith({absent!r}):
         raise ModuleNotFoundError(name, name=name)
     return real(name, *args, **more)
 builtins.__import__ = without
-import os
-import subprocess
-import sys
-
 import __spark_entry__ as contract
-from ladderlake.oracle import SQL
-from ladderlake.queries import REGISTRY
-assert set(contract.queries()) == set(contract.oracle_sql())
+assert set(contract.queries()) == set(contract.oracle_sql()) and contract.llm is None
 """
     root = os.path.dirname(contract.__file__)
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)

@@ -206,6 +206,31 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and doc_id not in (select doc_id from above) as kept
 from judged"""
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEXICAL_SEARCH = rf"""
+with docs as (
+  select doc, doc_id, len(w) as n, w
+  from (select row_number() over () as doc, doc_id, {_TERMS} as w from documents) where len(w) > 0),
+corpus as (select count(*)::bigint as n_docs, sum(n)::bigint as total from docs),
+counted as (
+  select doc, doc_id, n, term, count(*) as tf
+  from (select doc, doc_id, n, unnest(w) as term from docs) group by all),
+asked as (
+  select distinct item_id, term from (select item_id, unnest({_TERMS}) as term from benchmark)),
+weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as w
+  from counted, corpus group by term, n_docs),
+scores as (
+  select item_id, doc, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total))))::bigint as score
+  from asked join counted using (term) join weights using (term), corpus group by all),
+ranked as (
+  select item_id, doc_id, score,
+    row_number() over (partition by item_id order by score desc, doc_id) as rank
+  from scores where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10"""
+
 SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op3_warc": WARC,
@@ -213,4 +238,5 @@ SQL = {
     "op6_quality_rules": QUALITY,
     "op7_chat_formatting": CHAT,
     "op8_suffix_dedup": SUFFIX_DEDUP,
+    "op11_lexical_search": LEXICAL_SEARCH,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.llm import suffix
+from ladderlake.llm import lexical, suffix
 from ladderlake.llm.chat import format_turns, read_back
 from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.oracle import SQL
@@ -154,3 +154,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return pack(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

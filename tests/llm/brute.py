@@ -1,6 +1,7 @@
 """The operators' results by plain Python, for small tables of (doc_id, text)."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -155,3 +156,24 @@ def near(docs, max_bits=4):
             least[find(k)] = id_ if own is None else min(id_, own)
     rows = [(id_, f"{prints[k]:016x}", least[find(k)]) for k, (id_, _) in enumerate(docs)]
     return sorted(rows, key=repr), sorted(least.values(), key=repr)
+
+
+def search(docs, items, k=10):
+    """(item, rank, doc_id, score); equal scores by id, null ids last."""
+    found = [(i, Counter(ALNUM.findall(lower(t)))) for i, t in docs]
+    found = [(i, c, c.total()) for i, c in found if c]
+    total = sum(n for _, _, n in found)
+    df = Counter(w for _, c, _ in found for w in c)
+    out = []
+    for item, text in items:
+        asked = set(ALNUM.findall(lower(text))) & set(df)
+        weight = {w: math.floor(1000 * math.log((2 * len(found) + 2) / (2 * df[w] + 1))) for w in asked}
+        scores = []
+        for doc, c, n in found:
+            m = 10 + 90 * n * len(found) // total
+            score = sum(weight[w] * (10**9 * c[w] // (1000 * c[w] + 8 * m)) for w in asked if c[w])
+            if score > 0:
+                scores.append((-score, doc is None, doc))
+        for rank, (score, _, doc) in enumerate(sorted(scores, key=lambda r: (r[0], r[1], r[2] or 0))[:k], 1):
+            out.append((item, rank, doc, -score))
+    return sorted(out, key=repr)

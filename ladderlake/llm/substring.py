@@ -87,7 +87,8 @@ class Windows:
     def sketch(self) -> Iterator[tuple[int, int, np.ndarray]]:
         """(row, range, sorted distinct cells within the range)."""
         for row in range(DEPTH):
-            cells = np.unique(self.cells(row))
+            cells = np.sort(self.cells(row))
+            cells = cells[np.diff(cells, prepend=cells[:1] - np.uint64(1)) != 0]
             yield from ((row, *part) for part in by_range(cells))
 
     def repeated(self, counted: dict[tuple[int, int], bytes]) -> np.ndarray:
@@ -117,9 +118,9 @@ class Windows:
 
 def by_range(cells: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     places = (cells >> np.uint64(RANGE_BITS)).astype(np.int64)
-    for place in np.unique(places):
-        low, high = np.searchsorted(places, [place, place + 1])
-        yield int(place), cells[low:high] & np.uint64((1 << RANGE_BITS) - 1)
+    starts = np.flatnonzero(np.diff(places, prepend=-1))
+    for low, high in zip(starts, np.append(starts[1:], len(places))):
+        yield int(places[low]), cells[low:high] & np.uint64((1 << RANGE_BITS) - 1)
 
 
 def merge_sketches(table: pa.Table) -> Iterator[tuple[int, bytes]]:

@@ -231,6 +231,30 @@ ranked as (
   from scores where score > 0)
 select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10"""
 
+MINHASH = rf"""
+with recursive docs as (
+  select doc_id, list_filter(regexp_split_to_array({_LOWER}, '[ \x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[s : s + 4], ' ') as shingle
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as s from docs where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+ends as (select a, b from links union all select b, a from links),
+reached(doc_id, other) as (
+  select distinct a, a from ends
+  union
+  select reached.doc_id, ends.b from reached join ends on ends.a = reached.other),
+components as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,
+  coalesce(component_id, doc_id) = doc_id as kept
+from docs left join sizes using (doc_id) left join components using (doc_id)"""
+
 SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op3_warc": WARC,
@@ -239,4 +263,5 @@ SQL = {
     "op7_chat_formatting": CHAT,
     "op8_suffix_dedup": SUFFIX_DEDUP,
     "op11_lexical_search": LEXICAL_SEARCH,
+    "op13_minhash": MINHASH,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladderlake.llm import lexical, minhash, suffix
+from ladderlake.llm import lexical, minhash, suffix, variants
 from ladderlake.llm.chat import format_turns, read_back
 from ladderlake.llm.decontaminate import find_leaks
 from ladderlake.llm.oracle import SQL
@@ -161,6 +161,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"), noise=199)
+
+
 @query
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85)

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 import xxhash
@@ -177,3 +178,73 @@ def search(docs, items, k=10):
         for rank, (score, _, doc) in enumerate(sorted(scores, key=lambda r: (r[0], r[1], r[2] or 0))[:k], 1):
             out.append((item, rank, doc, -score))
     return sorted(out, key=repr)
+
+
+def variant_words(docs, noise=199, least=5):
+    """word -> count of the altered letter runs of at least six letters."""
+    counts = Counter()
+    for id_, text in docs:
+        for word in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            word = lower(word)
+            h = zlib.crc32(f"{'' if id_ is None else id_}:{word}".encode())
+            if h % noise == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= least}
+
+
+def variants(words, ratio=5):
+    """(word, form, root, n, n_near, form_n) by the words that each word less a letter gives."""
+    less = {}
+    for word in words:
+        for k in range(len(word)):
+            less.setdefault((k, word[:k] + word[k + 1 :]), set()).add(word)
+    near = {w: set() for w in words}
+    for (_, rest), own in less.items():
+        for w in own:
+            near[w] |= own - {w}
+        if rest in words:
+            near[rest] |= own
+            for w in own:
+                near[w].add(rest)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best and words[best] >= ratio * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(out, key=repr)
+
+
+def shingle_set(text, width=5):
+    words = WORD.findall(lower(text))
+    return {tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def similar(docs, percent=85, width=5):
+    """(id, set size, component, kept) of each row."""
+    sets = [shingle_set(t, width) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if a and common and 100 * common >= percent * (len(a) + len(sets[j]) - common):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    least = {}
+    for k, (id_, _) in enumerate(docs):
+        if id_ is not None:
+            least[find(k)] = min(least.get(find(k), id_), id_)
+    return sorted(
+        ((i, len(sets[k]), least.get(find(k)), i == least.get(find(k))) for k, (i, _) in enumerate(docs)), key=repr
+    )

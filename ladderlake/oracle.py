@@ -162,6 +162,12 @@ _ORDER_MATCHES = """select upper(o_orderstatus) as tier, cast(o_orderkey as varc
     'p' || k || '-' || o_custkey as puuid, cast(floor(o_totalprice) + k as bigint) as "goldEarned"
     from orders, (values (0), (1)) v(k) """
 
+# Page 4 lands two records for each player, one of which does not fit.
+_FLAWED = """with landed as (
+  select p_size as page, case p_size when 1 then 'broken' when 2 then 'empty' when 3 then 'misfit'
+    else 'kept' end as reason from part
+  union all select p_size, 'misfit' from part where p_size = 4) """
+
 SQL: dict[str, str] = {
     "top_n_players": _TOP
     + "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from top",
@@ -263,9 +269,14 @@ SQL: dict[str, str] = {
     from standings""",
     "bronze_all_fields": _ALL
     + "select player_id, tier, points, p_size from standings join part on p_partkey = player_id",
-    "rejected_pages": """
-    select case p_size when 1 then 'broken' when 2 then 'empty' else 'kept' end as reason,
-      count(*) as row_count from part group by 1""",
+    "rejected_pages": _FLAWED + "select reason, count(*) as row_count from landed group by 1",
+    "load_accounting": _FLAWED
+    + """select count(*) as landed, count(*) filter (reason = 'kept') as kept,
+      count(*) filter (reason = 'misfit') as misfit, count(*) filter (reason = 'broken') as broken,
+      count(*) filter (reason = 'empty') as empty, cast(min(page) as int) as first_page,
+      cast(max(page) as int) as last_page, count(*) filter (reason = 'kept') as stored,
+      count(*) filter (reason <> 'kept') as rejected
+    from landed""",
     "scan_prefix": "select doc_id, text, source from documents where source like 'src1%'",
     "scan_path_regex": _ALL + "select * from standings where tier in ('ECONOMY', 'SMALL')",
     "path_normalize": """select p_partkey, lower(p_type) as tier_key,

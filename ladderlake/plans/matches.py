@@ -16,13 +16,15 @@ from ladderlake.schemas import PARTICIPANT_FIELDS, StandingsColumns, match_schem
 from ladderlake.session import materialize
 from ladderlake.sources import (
     is_broken,
+    is_misfit,
     latest_per_key,
+    note_load,
+    parse_once,
     read_table,
-    reject_empty,
     replace_values,
     scan_json,
     scan_records,
-    split_records,
+    why_rejected,
     write_table,
 )
 
@@ -74,16 +76,20 @@ def match_raw_to_bronze(
     landing of a match in each tier: by file time, then by file name; within one file the
     choice is arbitrary. Without it nothing is shuffled but for the file layout.
 
-    Broken records and the empty ones of failed requests go to the table ``rejects`` (by
-    default next to the bronze one) with file, reason and text.
+    The raw files are parsed once. Broken records, records with a value that does not fit its
+    declared type, and the empty ones of failed requests go to the table ``rejects`` (by
+    default next to the bronze one) with file, reason and text. Counts of that pass are
+    appended to ``<bronze>_loads``.
     """
     if tier is not None:
         glob = f"{{{','.join(tier_names(tier))}}}_{glob}"
     files = {"_file": "file_path", "_landed": "file_modification_time"}
     docs = scan_json(spark, raw, match_schema(fields), glob, metadata=files, corrupt="_text")
-    kept, rejected = split_records(docs, ["metadata", "info"], is_broken("_text"))
-    rejected = rejected.select(F.col("_file").alias("file"), "reason", F.col("_text").alias("text"))
-    write_table(rejected, rejects or f"{bronze.rstrip('/')}_rejects", fmt)
+    reason = why_rejected(["metadata", "info"], is_broken("_text"), is_misfit("_text"))
+    kept, rejected, counts = parse_once(docs, reason, "matches")
+    base = bronze.rstrip("/")
+    write_table(rejected, rejects or f"{base}_rejects", fmt)
+    note_load(spark, f"{base}_loads", counts, canonical_tier(tier) if tier else "all")
     name = F.regexp_extract("_file", r"/([^/_]+)_[^/]*$", 1)
     kept = kept.withColumn("tier", F.upper(tier_key(name)))
     if latest_only:
@@ -132,29 +138,31 @@ def whole_records_to_bronze(
 
     With ``as_variant`` the records stay whole in one column ``record`` of type
     variant, which takes any fields and a single pass. With a schema, its fields become
-    columns. In both cases broken and empty records go to the table ``rejects`` (by
-    default next to the bronze one). Without a schema it is inferred, in a second pass over
-    the files, and records that are broken show up in a column ``_corrupt_record``.
+    columns. Without a schema it is inferred, in a pass of its own over the files, and records
+    that are broken show up in a column ``_corrupt_record``. In all cases the records are
+    parsed once, and broken, misfit and empty ones go to the table ``rejects`` (by default next
+    to the bronze one) and counts to ``<bronze>_loads``.
     """
-    files = {"file": "file_path"}
+    files = {"_file": "file_path"}
     if as_variant:
         rows = scan_records(spark, raw, glob, metadata=files)
         nothing = F.when(F.is_variant_null("record"), None).otherwise(F.lit(True))
         rows = rows.withColumn("_some", nothing)
-        kept, rejected = split_records(rows, ["_some"], F.col("record").isNull())
-        kept = kept.select("record")
-    elif schema is not None:
-        rows = scan_json(spark, raw, schema, glob, metadata=files, options=options, corrupt="_text")
-        own = [c for c in rows.columns if c not in ("_text", "file")]
-        kept, rejected = split_records(rows, own, is_broken("_text"))
-        kept = kept.select(own)
+        own, reason = ["record"], why_rejected(["_some"], F.col("record").isNull())
     else:
-        kept, _ = reject_empty(scan_json(spark, raw, None, glob, options=options))
-        rejected = None
-    write_table(kept, bronze, fmt)
-    if rejected is not None:
-        rejected = rejected.select("file", "reason", F.col("_text").alias("text"))
-        write_table(rejected, rejects or f"{bronze.rstrip('/')}_rejects", fmt)
+        corrupt = None if schema is None else "_text"
+        rows = scan_json(spark, raw, schema, glob, None, files, options, corrupt)
+        own = [c for c in rows.columns if c not in ("_text", "_file")]
+        if schema is None:
+            rows = rows.withColumn("_text", F.lit("null"))
+            reason = why_rejected(own, F.lit(False))
+        else:
+            reason = why_rejected(own, is_broken("_text"), is_misfit("_text"))
+    kept, rejected, counts = parse_once(rows, reason, "records")
+    base = bronze.rstrip("/")
+    write_table(kept.select(own), bronze, fmt)
+    write_table(rejected, rejects or f"{base}_rejects", fmt)
+    note_load(spark, f"{base}_loads", counts)
     return read_table(spark, bronze, fmt)
 
 

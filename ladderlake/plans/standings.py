@@ -26,16 +26,17 @@ from ladderlake.functions import (
 )
 from ladderlake.schemas import LADDER, StandingsColumns, standings_schema
 from ladderlake.sources import (
-    is_broken,
+    has_misfit,
     landed_files,
     landing_ranges,
     latest_per_key,
+    note_load,
+    parse_once,
     read_table,
     record_fields,
     replace_values,
-    scan_json,
     scan_records,
-    split_records,
+    why_rejected,
     with_pages,
     write_table,
 )
@@ -58,23 +59,26 @@ def standings_records(
     extra: str | None = "record",
     latest_only: bool = False,
     glob: str = "*.json",
-) -> tuple[DataFrame, DataFrame]:
-    """Landed player records and the rejected ones: see ``standings_raw_to_bronze``."""
+) -> tuple[DataFrame, DataFrame, dict[str, int | None]]:
+    """Landed player records, the rejected ones and their counts, out of one parse.
+
+    The parsed rows are stored: see ``standings_raw_to_bronze``.
+    """
     schema = standings_schema(cols) if schema is None else schema
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     files = {"_file": "file_path", "_landed": "file_modification_time"}
     paths = raw if tiers is None else tier_paths(raw, tiers)
-    if extra is None:
-        rows = scan_json(spark, paths, schema, glob, metadata=files, corrupt="_text")
-        broken = is_broken("_text")
-    else:
-        rows = scan_records(spark, paths, glob, metadata=files)
-        broken = F.col("record").isNull()
-        rows = rows.withColumns(record_fields(schema)).withColumnRenamed("record", extra)
-    kept, rejected = split_records(rows, [cols.player, cols.tier], broken)
-    rejected = rejected.select("_file", "reason", "_text")
-    kept = kept.withColumn(cols.tier, F.upper(tier_key(cols.tier))).drop("_text")
+    rows = scan_records(spark, paths, glob, metadata=files).withColumns(record_fields(schema))
+    reason = why_rejected([cols.player, cols.tier], F.col("record").isNull(), has_misfit(schema))
+    # Of an array, the text of the record at hand.
+    rows = rows.withColumn("_text", F.coalesce(F.to_json("record"), "_text"))
+    rows = rows.withColumn("_why", reason)
+    rows = rows.drop("record") if extra is None else rows.withColumnRenamed("record", extra)
+    kept, rejected, counts = parse_once(
+        rows, F.col("_why"), "standings", page=page_number("_file")
+    )
+    kept = kept.drop("_why").withColumn(cols.tier, F.upper(tier_key(cols.tier)))
     if latest_only:
         newest = [
             F.col("_landed").desc(),
@@ -82,9 +86,7 @@ def standings_records(
             F.col("_file").desc(),
         ]
         kept = latest_per_key(kept, [*cols.group, cols.player], newest)
-    return kept.drop("_file", "_landed"), rejected.withColumnsRenamed(
-        {"_file": "file", "_text": "text"}
-    )
+    return kept.drop("_file", "_landed"), rejected, counts
 
 
 def tier_paths(raw: str, tiers: Sequence[str]) -> str:
@@ -110,23 +112,29 @@ def standings_raw_to_bronze(
     """Landed pages, in folders ``<tier>_<division>``, to the bronze table.
 
     The declared fields become columns, and the whole record, with the fields nobody
-    declared, a variant column ``extra``; both in one pass. Without ``extra`` only
-    declared fields are parsed. ``tiers`` loads the folders of these tiers and no other file.
+    declared, a variant column ``extra``, unless that is None. ``tiers`` loads the folders of
+    these tiers and no other file.
     A full run replaces the table; one for some tiers replaces these, and leaves none of
     their partitions that are gone. ``latest_only`` keeps the newest landing of a player
     who is in several pages; of files with the same time, the higher page is newer, and
     within one file the choice is arbitrary.
 
-    Broken records and records without player and tier, as failed requests land them, go to
-    the table ``rejects`` (by default next to the bronze one) with file, reason and text.
+    The raw files are parsed once. Broken records, records with a value that does not fit its
+    declared type, and records without player and tier, as failed requests land them, go to
+    the table ``rejects`` (by default next to the bronze one) with file, reason and text; the
+    other records of an array stay. Counts of that pass are appended to ``<bronze>_loads``.
     """
-    kept, rejected = standings_records(spark, raw, tiers, cols, schema, extra, latest_only, glob)
-    write_table(rejected, rejects or f"{bronze.rstrip('/')}_rejects", fmt)
+    kept, rejected, counts = standings_records(
+        spark, raw, tiers, cols, schema, extra, latest_only, glob
+    )
+    base = bronze.rstrip("/")
+    write_table(rejected, rejects or f"{base}_rejects", fmt)
     if tiers is None:
         write_table(kept, bronze, fmt, cols.group, "all", rebalance)
     else:
         kept = _only(kept, cols.tier, _tiers(tiers))
         replace_values(kept, bronze, cols.tier, _tiers(tiers), fmt, cols.group, rebalance)
+    note_load(spark, f"{base}_loads", counts, ",".join(_tiers(tiers)) if tiers else "all")
     return read_table(spark, bronze, fmt, merge=True)
 
 

@@ -114,6 +114,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark can reach."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Data staged inside is deleted at the end; results must be written by then.

@@ -1,10 +1,15 @@
 from ladderlake.sources.json_scan import (
+    has_misfit,
     is_broken,
+    is_misfit,
+    note_load,
+    parse_once,
     record_fields,
     reject_empty,
     scan_json,
     scan_records,
     split_records,
+    why_rejected,
 )
 from ladderlake.sources.landing import (
     land_json,
@@ -26,7 +31,9 @@ from ladderlake.sources.tables import (
 
 __all__ = [
     "CSV_OPTIONS",
+    "has_misfit",
     "is_broken",
+    "is_misfit",
     "land_json",
     "landed_files",
     "landing_ranges",
@@ -34,6 +41,8 @@ __all__ = [
     "latest_per_key",
     "next_page",
     "not_yet_loaded",
+    "note_load",
+    "parse_once",
     "read_table",
     "record_fields",
     "reject_empty",
@@ -41,6 +50,7 @@ __all__ = [
     "scan_json",
     "scan_records",
     "split_records",
+    "why_rejected",
     "with_pages",
     "write_csv",
     "write_table",

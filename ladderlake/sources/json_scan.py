@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ladderlake.session import materialize
+
 
 def scan_json(
     spark: SparkSession,
@@ -98,17 +101,106 @@ def record_fields(schema: T.StructType, record: str = "record") -> dict[str, Col
     }
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def has_misfit(schema: T.StructType, record: str = "record") -> Column:
+    """Whether a declared field of a variant record has a value that does not fit its type.
+
+    The value is there, is not null, and becomes null in the declared type; or it is a number
+    with a fraction, or beyond the range, where an integer is declared.
+    """
+
+    def lost(field: T.StructField) -> Column:
+        path = F.lit(f"$['{field.name}']")
+        get = lambda kind: F.try_variant_get(record, path, kind)
+        value = get(field.dataType.simpleString())
+        there = get("variant").isNotNull() & ~F.is_variant_null(get("variant"))
+        if isinstance(field.dataType, _INTEGERS):
+            return (value.isNull() & there) | F.coalesce(get("double") != value, F.lit(False))
+        return value.isNull() & there
+
+    return reduce(lambda a, b: a | b, [lost(f) for f in schema.fields], F.lit(False))
+
+
 def is_broken(corrupt: str) -> Column:
     """Whether the text of a record that did not fit is more than a bare ``null``."""
     return F.coalesce(F.trim(corrupt) != "null", F.lit(False))
 
 
-def split_records(df: DataFrame, keys: list[str], broken: Column) -> tuple[DataFrame, DataFrame]:
-    """The usable rows, and the others with a ``reason``: ``broken`` or ``empty``.
+def is_misfit(corrupt: str) -> Column:
+    """Whether a record that did not fit is JSON all the same."""
+    return is_broken(corrupt) & F.try_parse_json(corrupt).isNotNull()
+
+
+def why_rejected(keys: list[str], broken: Column, misfit: Column | None = None) -> Column:
+    """Null for a usable record, else ``misfit``, ``broken`` or ``empty``.
 
     Empty are records without any of ``keys``, as a failed request lands them.
     """
     empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in keys])
-    reason = F.when(broken, "broken").when(empty, "empty")
-    rows = df.withColumn("reason", reason)
+    misfit = F.lit(False) if misfit is None else misfit
+    return F.when(misfit, "misfit").when(broken, "broken").when(empty, "empty")
+
+
+def split_records(
+    df: DataFrame, keys: list[str], broken: Column, misfit: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The usable rows, and the others with a ``reason``: see ``why_rejected``.
+
+    Each of the two reads the source by itself. With ``scan_json``, whether a record fits
+    depends on the columns that are read: where both are written, use ``parse_once``.
+    """
+    rows = df.withColumn("reason", why_rejected(keys, broken, misfit))
     return rows.filter("reason is null").drop("reason"), rows.filter("reason is not null")
+
+
+def parse_once(
+    df: DataFrame,
+    reason: Column,
+    name: str,
+    file: str = "_file",
+    text: str = "_text",
+    page: Column | None = None,
+) -> tuple[DataFrame, DataFrame, dict[str, int | None]]:
+    """Usable rows, rejected ones (file, reason, text), and counts, out of one pass over the source.
+
+    All columns of the rows are stored with the reason, so both results read what one parse
+    decided, and every landed record is in exactly one of them. The text is stored with rejected
+    rows only. The counts are observed as the rows are stored: landed, kept, misfit, broken,
+    empty, and the first and last ``page``.
+    """
+    own = F.col("_reason")
+    rows = df.withColumn("_reason", reason)
+    rows = rows.withColumn(text, F.when(own.isNotNull(), F.col(text)))
+    page = F.lit(None).cast("int") if page is None else page
+    seen = Observation()
+    rows = rows.observe(
+        seen,
+        F.count(F.lit(1)).alias("landed"),
+        F.count_if(own.isNull()).alias("kept"),
+        *[F.count_if(own == r).alias(r) for r in ("misfit", "broken", "empty")],
+        F.min(page).alias("first_page"),
+        F.max(page).alias("last_page"),
+    )
+    stored = materialize(rows, name)
+    rejected = stored.filter(own.isNotNull()).select(
+        F.col(file).alias("file"), own.alias("reason"), F.col(text).alias("text")
+    )
+    return stored.filter(own.isNull()).drop("_reason", text), rejected, dict(seen.get)
+
+
+LOADS = (
+    "load_id string, at timestamp, scope string, landed bigint, kept bigint, misfit bigint, "
+    "broken bigint, empty bigint, first_page int, last_page int"
+)
+
+
+def note_load(spark: SparkSession, path: str, counts: dict, scope: str = "all") -> None:
+    """Append one row about a load to the table of loads at ``path``."""
+    row = spark.createDataFrame([(str(uuid.uuid4()), scope, *counts.values())], _NOTED)
+    at = row.select("load_id", F.current_timestamp().alias("at"), "scope", *counts)
+    at.coalesce(1).write.mode("append").parquet(path)
+
+
+_NOTED = ", ".join(f for f in LOADS.split(", ") if not f.startswith("at "))

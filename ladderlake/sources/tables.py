@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.session import delete_path
+from ladderlake.session import delete_path, path_exists
 
 
 def read_table(
@@ -77,7 +77,8 @@ def replace_values(
 
     ``column`` is the first of ``partition_by``. Partitions of these values that ``df``
     no longer has are emptied, so a value without rows ends up with none. ``df`` must
-    hold no other values.
+    hold no other values; it is evaluated once. Readers see the new partitions of one commit
+    before the old ones are gone; a Delta table replaces both in one commit.
     """
     spark = df.sparkSession
     if fmt == "delta":
@@ -86,18 +87,25 @@ def replace_values(
         writer = laid_out.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
         writer.option("replaceWhere", f"{column} in ({named})").save(path)
         return path
+    old = _one_file_each(spark, path, column, values)
     write_table(df, path, fmt, partition_by, "partitions", rebalance)
-    # The named values bound both lists.
-    keys = df.select(*partition_by).distinct().collect()
-    fresh = {tuple(None if v is None else str(v) for v in row) for row in keys}
-    stored = read_table(spark, path, fmt).filter(F.col(column).isin(list(values)))
-    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
-    for *key, old in stored.select(*partition_by, folder).distinct().collect():
-        if tuple(None if v is None else str(v) for v in key) not in fresh:
-            delete_path(spark, unquote(old))
+    # A folder that still has its old file was not written: its values are gone from df.
+    for file in old:
+        if path_exists(spark, file):
+            delete_path(spark, file.rsplit("/", 1)[0])
     return path
 
 
+def _one_file_each(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> list[str]:
+    """A stored file of every partition of the named values, which bound the list."""
+    if not path_exists(spark, path):
+        return []
+    stored = read_table(spark, path).filter(F.col(column).isin(list(values)))
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
+    found = stored.groupBy(folder).agg(F.min("_metadata.file_path").alias("file"))
+    return [unquote(row.file) for row in found.collect()]
+
+
 def _flat(df: DataFrame) -> DataFrame:
     nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
     return df.select(

@@ -123,6 +123,59 @@ def test_failed_and_broken_pages_are_stored_apart(spark, roots):
     ]
 
 
+@pytest.mark.parametrize("extra", ["record", None])
+def test_values_of_another_type_are_stored_apart(spark, roots, extra):
+    """Alone and inside an array, whose other records stay; every landed record is somewhere."""
+    bad = {**entry("GOLD", "I", 901), "wins": "abc"}
+    put(f"{roots['raw']}/gold_I/5.json", bad)
+    put(f"{roots['raw']}/gold_I/6.json", [entry("GOLD", "I", 902), {**bad, "losses": [1]}, entry("GOLD", "I", 903)])
+    put(f"{roots['raw']}/gold_I/7.json", [{**bad, "wins": 1.5}, {**bad, "wins": 10**30}, {**bad, "wins": None}])
+    kept = standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], extra=extra)
+    rejects = spark.read.parquet(f"{roots['bronze']}_rejects").collect()
+    assert [r.reason for r in rejects] == ["misfit"] * 4
+    assert all(json.loads(r.text)["summonerId"] == bad["summonerId"] for r in rejects)
+    assert kept.count() == 160 + 3
+    load = spark.read.parquet(f"{roots['bronze']}_loads").first()
+    assert (load.landed, load.kept, load.misfit, load.broken, load.empty) == (167, 163, 4, 0, 0)
+    assert (load.first_page, load.last_page, load.scope) == (1, 7, "all")
+
+
+def test_raw_files_are_parsed_once(spark, roots, monkeypatch):
+    """What follows the parse reads stored rows, so a file that changes meanwhile changes nothing."""
+    from ladderlake.plans import standings
+
+    real = standings.parse_once
+
+    def parse(*args, **more):
+        out = real(*args, **more)
+        shutil.rmtree(roots["raw"])
+        return out
+
+    monkeypatch.setattr(standings, "parse_once", parse)
+    assert standings_raw_to_bronze(spark, roots["raw"], roots["bronze"], ["GOLD"]).count() == 40
+    assert spark.read.parquet(f"{roots['bronze']}_rejects").count() == 0
+
+
+def test_matches_of_another_type_are_stored_apart(spark, landed, tmp_path):
+    with open(f"{landed}/gold_odd.json", "w") as f:
+        f.write('{"metadata": {"matchId": "M9"}, "info": {"participants": [{"puuid": "p", "goldEarned": "many"}]}}')
+    bronze = str(tmp_path / "b")
+    before = match_raw_to_bronze(spark, landed, bronze).count()
+    rejects = spark.read.parquet(f"{bronze}_rejects")
+    assert sorted(r.reason for r in rejects.collect()) == ["empty", "misfit"]
+    assert match_raw_to_bronze(spark, landed, bronze).count() == before
+    loads = spark.read.parquet(f"{bronze}_loads")
+    assert loads.count() == 2 and loads.filter("landed <> kept + misfit + broken + empty").count() == 0
+
+
+def test_empty_records_of_inferred_loads_are_stored_apart(spark, landed, tmp_path):
+    whole = str(tmp_path / "w")
+    kept = whole_records_to_bronze(spark, landed, whole, glob="*.json").count()
+    rejects = spark.read.parquet(f"{whole}_rejects")
+    load = spark.read.parquet(f"{whole}_loads").first()
+    assert rejects.count() == load.empty > 0 and load.landed == kept + load.empty
+
+
 def test_a_wrong_path_leaves_the_tables_alone(spark, roots, landed):
     before = standings_raw_to_bronze(spark, roots["raw"], roots["bronze"]).count()
     for raw, tiers in ((roots["raw"] + "x", None), (roots["raw"], ["EMERALD"])):

@@ -277,6 +277,10 @@ SQL: dict[str, str] = {
       cast(max(page) as int) as last_page, count(*) filter (reason = 'kept') as stored,
       count(*) filter (reason <> 'kept') as rejected
     from landed""",
+    # A stream rejects an array whole in which one value does not fit.
+    "incremental_rejects": _FLAWED
+    + """select case page when 4 then 'misfit' else reason end as reason,
+      count(*) as row_count, count(*) as observed from landed group by 1""",
     "scan_prefix": "select doc_id, text, source from documents where source like 'src1%'",
     "scan_path_regex": _ALL + "select * from standings where tier in ('ECONOMY', 'SMALL')",
     "path_normalize": """select p_partkey, lower(p_type) as tier_key,

@@ -627,7 +627,7 @@ def incremental_pages(spark, sf_dir):
         land_json(lot, raw, ["folder"], MICROS)
         load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
     load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
-    return read_table(spark, loaded).drop("source_file")
+    return read_table(spark, loaded).drop("source_file", "load_batch")
 
 
 @query("late_files")
@@ -644,7 +644,7 @@ def late_files(spark, sf_dir):
     for k, file in enumerate(late):
         file_system(spark, raw).setTimes(file, 1_500_000_000_000 if k else 86_400_000, -1)
     load_new_files(spark, raw, loaded, checkpoint, EVENT_SCHEMA, options=MICROS)
-    return read_table(spark, loaded).drop("source_file")
+    return read_table(spark, loaded).drop("source_file", "load_batch")
 
 
 def file_system(spark, path):
@@ -888,9 +888,28 @@ def incremental_matches(spark, sf_dir):
             match_schema(fields),
             glob="part-*",
             file_column=None,
-            transform=lambda new: match_facts(reject_empty(new)[0], fields),
+            transform=lambda new: match_facts(new, fields),
         )
-    return read_table(spark, loaded)
+    return read_table(spark, loaded).drop("load_batch")
+
+
+@query("incremental_rejects")
+def incremental_rejects(spark, sf_dir):
+    """Pages that are no use among two landed lots: rows for each reason, and those observed."""
+    raw, loaded = staging_path(spark, "raw-pages"), staging_path(spark, "pages")
+    checkpoint = staging_path(spark, "pages-checkpoint")
+    lines = flawed_pages(spark, sf_dir)
+    for lot in (lines.filter("page % 2 = 0"), lines.filter("page % 2 = 1")):
+        lot.select("value").write.mode("append").text(raw)
+        load_new_files(spark, raw, loaded, checkpoint, STANDINGS_SCHEMA, glob="part-*")
+    load_new_files(spark, raw, loaded, checkpoint, STANDINGS_SCHEMA, glob="part-*")
+    reasons = read_table(spark, f"{loaded}_rejects").select("reason")
+    rows = read_table(spark, loaded).select(F.lit("kept").alias("reason")).unionByName(reasons)
+    stored = rows.groupBy("reason").agg(F.count("*").alias("row_count"))
+    kinds = ("kept", "misfit", "broken", "empty")
+    counts = read_table(spark, f"{loaded}_loads").agg(*[F.sum(k).alias(k) for k in kinds])
+    pairs = F.array(*[F.struct(F.lit(k).alias("reason"), F.col(k).alias("observed")) for k in kinds])
+    return stored.join(counts.select(F.inline(pairs)), "reason", "full")
 
 
 @query("rejected_matches")

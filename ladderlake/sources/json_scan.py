@@ -196,11 +196,13 @@ LOADS = (
 )
 
 
-def note_load(spark: SparkSession, path: str, counts: dict, scope: str = "all") -> None:
-    """Append one row about a load to the table of loads at ``path``."""
+def note_load(
+    spark: SparkSession, path: str, counts: dict, scope: str = "all", mode: str = "append"
+) -> None:
+    """Write one row about a load, by default to the others of the table at ``path``."""
     row = spark.createDataFrame([(str(uuid.uuid4()), scope, *counts.values())], _NOTED)
     at = row.select("load_id", F.current_timestamp().alias("at"), "scope", *counts)
-    at.coalesce(1).write.mode("append").parquet(path)
+    at.coalesce(1).write.mode(mode).parquet(path)
 
 
 _NOTED = ", ".join(f for f in LOADS.split(", ") if not f.startswith("at "))

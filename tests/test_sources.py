@@ -247,6 +247,55 @@ def test_a_failed_run_is_made_up_for_without_repeats(spark, raw, tmp_path):
     assert rows.select("summonerId", "rank").distinct().count() == 39
 
 
+def test_a_stream_stores_what_is_no_use_apart(spark, tmp_path):
+    raw, table, checkpoint = (str(tmp_path / n) for n in ("raw", "t", "c"))
+    put(f"{raw}/1.json", [player(1), player(2)])
+    put(f"{raw}/2.json", {**player(3), "wins": "abc"})
+    put(f"{raw}/3.json", None)
+    put(f"{raw}/4.json", [player(4), {**player(5), "wins": "abc"}, player(6)])
+    with open(f"{raw}/5.json", "w") as f:
+        f.write('[{"summonerId": "cut')
+    load_new_files(spark, raw, table, checkpoint, standings_schema(), files_per_batch=2)
+    rejects = spark.read.parquet(f"{table}_rejects")
+    found = sorted((r.file.rsplit("/", 1)[1], r.reason) for r in rejects.collect())
+    assert found == [("2.json", "misfit"), ("3.json", "empty"), *[("4.json", "misfit")] * 3, ("5.json", "broken")]
+    assert spark.read.parquet(table).count() == 2
+    loads = spark.read.parquet(f"{table}_loads")
+    sums = loads.agg(*[F.sum(c) for c in ("landed", "kept", "misfit", "broken", "empty")]).first()
+    assert tuple(sums) == (8, 2, 4, 1, 1) and loads.count() == 3
+    assert unloaded_files(spark, raw, table).count() == 0
+
+
+def test_a_repeated_batch_adds_nothing(spark, raw, tmp_path, monkeypatch):
+    """The rows of a batch are written, then its run fails; the next run replaces them."""
+    from ladderlake.streaming import incremental
+
+    table, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
+    put(f"{raw}/gold_I/77.json", None)
+    real, failed = incremental.note_load, []
+
+    def fail_once(*args, **more):
+        if not failed:
+            failed.append(spark.read.parquet(table).count())
+            raise RuntimeError("lost")
+        return real(*args, **more)
+
+    monkeypatch.setattr(incremental, "note_load", fail_once)
+
+    def load():
+        load_new_files(spark, raw, table, checkpoint, standings_schema(), files_per_batch=4)
+
+    with pytest.raises(StreamingQueryException):
+        load()
+    assert failed[0] > 0
+    load()
+    load()
+    rows = spark.read.parquet(table)
+    assert rows.count() == rows.select("summonerId", "rank").distinct().count() == 38
+    assert spark.read.parquet(f"{table}_rejects").count() == 1
+    assert spark.read.parquet(f"{table}_loads").agg(F.sum("landed")).first()[0] == 39
+
+
 def test_overwrite_replaces_the_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.createDataFrame([(1, "a")], "x int, y string"), path)

@@ -1,3 +1,10 @@
+from ladderlake.operators.drift import (
+    drift_across,
+    field_types,
+    record_drift,
+    record_schemas,
+    union_widened,
+)
 from ladderlake.operators.lookup import (
     lookup_chain,
     matches_of_players,
@@ -28,7 +35,9 @@ __all__ = [
     "describe_strings",
     "distinct_count",
     "distinct_values",
+    "drift_across",
     "explode_fields",
+    "field_types",
     "lookup_chain",
     "match_facts",
     "matches_of_players",
@@ -36,6 +45,8 @@ __all__ = [
     "number_rows",
     "preview",
     "recent_per_player",
+    "record_drift",
+    "record_schemas",
     "resolve_names",
     "row_count",
     "schema_drift",
@@ -44,4 +55,5 @@ __all__ = [
     "top_players",
     "union_by_name",
     "union_by_position",
+    "union_widened",
 ]

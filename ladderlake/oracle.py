@@ -168,6 +168,17 @@ _FLAWED = """with landed as (
     else 'kept' end as reason from part
   union all select p_size, 'misfit' from part where p_size = 4) """
 
+_DRIFT = """with pages as (
+  select p_type as tier, p_size, cast(date '2024-01-01' + cast(p_size as int) as varchar) as day from part),
+fields as (
+  select tier, day, 'season' as field, if(tier = 'PROMO', 'STRING', 'BIGINT') as kind from pages
+  union all select tier, day, 'rate', if(p_size % 2 = 0, 'BIGINT', 'DECIMAL') from pages
+  union all select tier, day, 'mini', 'OBJECT' from pages where p_size > 10
+  union all select tier, day, 'mini.size', 'BIGINT' from pages where p_size > 10),
+types as (
+  select tier, field, kind, count(*) as n, min(day) as first_day, max(day) as last_day
+  from fields group by 1, 2, 3) """
+
 SQL: dict[str, str] = {
     "top_n_players": _TOP
     + "select tier, division, player_id, points, round(rate, 6) as win_percentage, rn from top",
@@ -337,6 +348,29 @@ SQL: dict[str, str] = {
         for i, (c, k) in enumerate(_LINEITEM_TYPES.items())
     ),
     "schema_drift": _schema_drift(),
+    "variant_drift": _DRIFT
+    + """select tier, field, string_agg(kind || ':' || n, '|' order by kind || ':' || n) as types,
+      cast(sum(n) as bigint) as row_count, cast(0 as bigint) as null_count,
+      min(first_day) as first_day, max(last_day) as last_day,
+      case when count(*) = 1 then min(kind) when max(kind) = 'STRING' then 'VARIANT'
+        else max(kind) end as widened, count(*) > 1 and max(kind) = 'STRING' as clashes
+    from types group by 1, 2""",
+    "variant_drift_across": _DRIFT
+    + """select field, string_agg(distinct tier, ',' order by tier) as groups,
+      count(distinct tier) as group_count, cast(sum(n) as bigint) as row_count,
+      case when count(distinct kind) = 1 then min(kind) when max(kind) = 'STRING' then 'VARIANT'
+        else max(kind) end as widened,
+      count(distinct tier) < 5 or (count(distinct kind) > 1 and max(kind) = 'STRING') as drifts
+    from types group by 1""",
+    "variant_schemas": """select p_type as tier, count(*) as row_count,
+      case when p_type = 'PROMO' then 'STRING' else 'BIGINT' end as season, false as clashes
+    from part group by 1""",
+    "union_widened": """
+    select cast(c_custkey as varchar) as key, c_nationkey as nation, round(c_acctbal, 4) as amount,
+      null as kind from customer
+    union all select s_name, s_nationkey, null, 's' from supplier
+    union all select cast(o_orderkey as varchar), null, cast(o_orderkey as double), o_orderstatus
+    from orders""",
     "preview": _STANDINGS_ROWS + " order by tier, division, player_id limit 20",
     "job_standings_gold": _STANDINGS_ROWS,
     "job_all_tiers": _STANDINGS_ROWS,

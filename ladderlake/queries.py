@@ -27,6 +27,7 @@ from ladderlake.operators import (
     describe_strings,
     distinct_count,
     distinct_values,
+    drift_across,
     explode_fields,
     lookup_chain,
     match_facts,
@@ -34,6 +35,8 @@ from ladderlake.operators import (
     null_profile,
     preview,
     recent_per_player,
+    record_drift,
+    record_schemas,
     resolve_names,
     row_count,
     schema_drift,
@@ -41,6 +44,7 @@ from ladderlake.operators import (
     top_players,
     union_by_name,
     union_by_position,
+    union_widened,
 )
 from ladderlake.operators.ranking import eligible, rank_players, top_n
 from ladderlake.plans import (
@@ -732,6 +736,72 @@ def schema_drift_by_table(spark, sf_dir):
     return schema_drift({n: unprefixed(spark, sf_dir, n) for n in names}, figures=True)
 
 
+def drifting_bronze(spark, sf_dir) -> DataFrame:
+    """Bronze standings whose pages have fields that nobody declared, of types that vary.
+
+    A season is a text in one tier, a rate has digits behind the point on every second page,
+    and small pages have no ``mini``.
+    """
+    body = encode_json(*views.standings(spark, sf_dir).columns)
+    size = F.col("p_size").cast("string")
+    sizes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("player_id"), "p_size")
+    season = F.when(F.col("tier") == "PROMO", F.concat(F.lit('"s'), size, F.lit('"'))).otherwise(size)
+    rate = F.when(F.col("p_size") % 2 == 0, size).otherwise(F.concat(size, F.lit(".5")))
+    mini = F.when(F.col("p_size") > 10, F.concat(F.lit(',"mini":{"size":'), size, F.lit("}")))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")).cast("string")
+    lines = views.standings(spark, sf_dir).join(sizes, "player_id").select(
+        F.concat(
+            F.regexp_replace(body, r"\}$", ""),
+            F.lit(',"season":'), season, F.lit(',"rate":'), rate, F.coalesce(mini, F.lit("")),
+            F.lit(',"landed_on":"'), day, F.lit('"}'),
+        )
+    )
+    raw, bronze = staging_path(spark, "raw-drift"), staging_path(spark, "drift-b")
+    lines.write.text(raw)
+    schema = STANDINGS_SCHEMA + ", landed_on string"
+    return standings_raw_to_bronze(spark, raw, bronze, cols=COLS, schema=schema, glob="part-*")
+
+
+@query("variant_drift")
+def variant_drift(spark, sf_dir):
+    """Types, rows and first day of undeclared fields in every tier; clashes are named."""
+    bronze = drifting_bronze(spark, sf_dir)
+    declared = [c for c in bronze.columns if c != "record"]
+    return record_drift(bronze, ["tier"], day="landed_on", declared=declared)
+
+
+@query("variant_drift_across")
+def variant_drift_across(spark, sf_dir):
+    """Undeclared fields over all tiers: who has them, and the type that holds them all."""
+    bronze = drifting_bronze(spark, sf_dir)
+    declared = [c for c in bronze.columns if c != "record"]
+    drift = record_drift(bronze, ["tier"], declared=declared)
+    return drift_across(drift, "tier", expected=5)
+
+
+@query("variant_schemas")
+def variant_schemas(spark, sf_dir):
+    """Whether the merged schema of a tier's records clashes, and its type of one field."""
+    merged = record_schemas(drifting_bronze(spark, sf_dir), ["tier"])
+    season = F.regexp_extract("record_schema", r"season: (\w+)", 1).alias("season")
+    return merged.select("tier", "row_count", season, F.col("record_schema").contains("VARIANT").alias("clashes"))
+
+
+@query("union_widened")
+def union_of_types(spark, sf_dir):
+    """Columns of other types in each table: numbers widen, clashing types become text."""
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_nationkey").cast("int").alias("nation"), F.col("c_acctbal").alias("amount")
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("key"), F.col("s_nationkey").cast("bigint").alias("nation"), F.lit("s").alias("kind")
+    )
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"), F.col("o_orderkey").alias("amount"), F.col("o_orderstatus").alias("kind")
+    )
+    return rounded(union_widened([customers, suppliers, orders]), "amount", places=4)
+
+
 @query("preview")
 def preview_standings(spark, sf_dir):
     return preview(views.standings(spark, sf_dir), ["tier", "division", "player_id"])

@@ -280,6 +280,13 @@ SQL: dict[str, str] = {
     from standings""",
     "bronze_all_fields": _ALL
     + "select player_id, tier, points, p_size from standings join part on p_partkey = player_id",
+    "publish_changed": _ALL
+    + """select tier, case tier when 'PROMO' then 'written' when 'ECONOMY' then 'written'
+        when 'STANDARD' then 'deleted' else 'kept' end as action,
+      cast(case when tier = 'STANDARD' then 0 else count(*) end as bigint) as row_count,
+      cast(case tier when 'STANDARD' then 0 when 'PROMO' then sum(wins + 1) else sum(wins) end as bigint)
+        as wins
+    from standings group by tier""",
     "rejected_pages": _FLAWED + "select reason, count(*) as row_count from landed group by 1",
     "load_accounting": _FLAWED
     + """select count(*) as landed, count(*) filter (reason = 'kept') as kept,
@@ -377,6 +384,7 @@ SQL: dict[str, str] = {
     "job_match_gold": f"select {_landed_columns(MATCH_COLUMNS)} from lineitem",
     "matches_by_tier": _ORDER_MATCHES + "where k = 0 or o_orderstatus = 'F'",
     "matches_relanded": _ORDER_MATCHES + "where k = 0 or o_orderkey % 2 = 0",
+    "matches_merged": _ORDER_MATCHES + "where k = 0 or o_orderkey % 2 = 0",
     "incremental_matches": f"select {_landed_columns(_LANDED)} from lineitem",
     "rejected_matches": """
     select 'kept' as status, count(distinct l_orderkey) as row_count from lineitem

@@ -1,5 +1,6 @@
 from ladderlake.plans.matches import (
     land_matches,
+    match_merge_to_bronze,
     match_raw_to_bronze,
     republish,
     select_matches,
@@ -19,6 +20,7 @@ __all__ = [
     "ladder_folders",
     "land_matches",
     "landing_status",
+    "match_merge_to_bronze",
     "match_raw_to_bronze",
     "republish",
     "select_matches",

@@ -18,8 +18,10 @@ from ladderlake.sources import (
     is_broken,
     is_misfit,
     latest_per_key,
+    merge_latest,
     note_load,
     parse_once,
+    publish_changed,
     read_table,
     replace_values,
     scan_json,
@@ -27,6 +29,8 @@ from ladderlake.sources import (
     why_rejected,
     write_table,
 )
+from ladderlake.sources.merge import BUCKETS
+from ladderlake.streaming import load_new_files
 
 
 def select_matches(
@@ -107,18 +111,66 @@ def match_raw_to_bronze(
     return read_table(spark, bronze, fmt, merge=True)
 
 
+def match_merge_to_bronze(
+    spark: SparkSession,
+    raw: str,
+    bronze: str,
+    checkpoint: str,
+    fields: Sequence[str] = PARTICIPANT_FIELDS,
+    buckets: int = BUCKETS,
+    glob: str = "*.json",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Match files landed since the last run, merged into the newest payload of every match.
+
+    The table holds a document per (tier, match), with the time and name of its file, in hash
+    buckets of that key. A run parses the new files only, and reads and replaces the buckets
+    that their matches fall in. The participant rows of all documents are returned. The newest
+    landing is that of ``match_raw_to_bronze``; rejects and counts are stored as by
+    ``load_new_files``.
+    """
+
+    def save(docs: DataFrame, batch: str) -> None:
+        name = F.regexp_extract("file", r"/([^/_]+)_[^/]*$", 1)
+        docs = docs.withColumns(
+            {"tier": F.upper(tier_key(name)), "matchId": F.col("metadata.matchId")}
+        )
+        newest = [F.col("landed").desc(), F.col("file").desc()]
+        merge_latest(docs, bronze, ["tier", "matchId"], newest, ["tier"], buckets)
+
+    load_new_files(
+        spark,
+        raw,
+        bronze,
+        checkpoint,
+        match_schema(fields),
+        glob,
+        files_per_batch=files_per_batch,
+        file_column="file",
+        save=save,
+        metadata={"landed": "file_modification_time"},
+    )
+    return match_facts(read_table(spark, bronze).drop("matchId"), fields, keep=["tier"])
+
+
 def republish(
     spark: SparkSession,
     source: str,
     target: str,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    only_changed: bool = False,
 ) -> DataFrame:
     """Publish a table unchanged in another layer, without a shuffle.
 
-    The target is replaced whole: what the source no longer has is gone.
+    The target is replaced whole: what the source no longer has is gone. With
+    ``only_changed``, a partition whose rows are those published before is not written again:
+    see ``publish_changed``.
     """
     df = read_table(spark, source, fmt, merge=bool(partition_by))
+    if only_changed:
+        publish_changed(spark, df, target, partition_by)
+        return read_table(spark, target, fmt, merge=True)
     write_table(df, target, fmt, partition_by, rebalance=False)
     return read_table(spark, target, fmt)
 

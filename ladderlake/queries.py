@@ -50,6 +50,7 @@ from ladderlake.operators.ranking import eligible, rank_players, top_n
 from ladderlake.plans import (
     landing_status,
     land_matches,
+    match_merge_to_bronze,
     match_raw_to_bronze,
     republish,
     select_matches,
@@ -69,6 +70,7 @@ from ladderlake.sources import (
     latest_per_key,
     next_page,
     not_yet_loaded,
+    publish_changed,
     read_table,
     reject_empty,
     scan_json,
@@ -438,6 +440,19 @@ def republish_shrunk(spark, sf_dir):
     return read_table(spark, target)
 
 
+@query("publish_changed")
+def publish_changed_tiers(spark, sf_dir):
+    """A second publication after one tier changed, one is gone and one is new."""
+    target = staging_path(spark, "published")
+    standings = views.standings(spark, sf_dir)
+    wins = F.when(F.col("tier") == "PROMO", F.col("wins") + 1).otherwise(F.col("wins"))
+    publish_changed(spark, standings.filter("tier <> 'ECONOMY'"), target, ["tier"])
+    changed = standings.filter("tier <> 'STANDARD'").withColumn("wins", wins)
+    actions = publish_changed(spark, changed, target, ["tier"])
+    stored = read_table(spark, target).groupBy("tier").agg(F.sum("wins").alias("wins"))
+    return actions.join(stored, "tier", "left").withColumn("wins", F.coalesce("wins", F.lit(0).cast("bigint")))
+
+
 @query("partition_new_field")
 def partition_new_field(spark, sf_dir):
     """A field that came with the reload of one tier is in silver; -1 where it is not."""
@@ -939,6 +954,18 @@ def matches_relanded(spark, sf_dir):
     return loaded.select("tier", "matchId", *MATCH_FIELDS)
 
 
+@query("matches_merged")
+def matches_merged(spark, sf_dir):
+    """Both landings of ``matches_relanded``, each merged into the newest payloads as it comes."""
+    raw, bronze = staging_path(spark, "raw-orders"), staging_path(spark, "orders-m")
+    checkpoint = staging_path(spark, "orders-checkpoint")
+    orders = table(spark, sf_dir, "orders")
+    for version, lot in ((1, orders), (2, orders.filter("o_orderkey % 2 = 0"))):
+        land_order_matches(spark, lot, raw, version)
+        merged = match_merge_to_bronze(spark, raw, bronze, checkpoint, MATCH_FIELDS, buckets=16)
+    return merged.select("tier", "matchId", *MATCH_FIELDS)
+
+
 @query("incremental_matches")
 def incremental_matches(spark, sf_dir):
     """Matches landed in two lots; each run explodes only the new files."""

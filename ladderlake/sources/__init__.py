@@ -21,6 +21,7 @@ from ladderlake.sources.landing import (
     not_yet_loaded,
     with_pages,
 )
+from ladderlake.sources.merge import merge_latest, partition_digests, publish_changed
 from ladderlake.sources.tables import (
     CSV_OPTIONS,
     read_table,
@@ -39,10 +40,13 @@ __all__ = [
     "landing_ranges",
     "landing_report",
     "latest_per_key",
+    "merge_latest",
     "next_page",
     "not_yet_loaded",
     "note_load",
     "parse_once",
+    "partition_digests",
+    "publish_changed",
     "read_table",
     "record_fields",
     "reject_empty",

@@ -67,6 +67,7 @@ def load_new_files(
     options: dict | None = None,
     rejects: str | None = None,
     save: Callable[[DataFrame, str], None] | None = None,
+    metadata: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Append the files landed since the last run, and return the finished query.
 
@@ -85,6 +86,7 @@ def load_new_files(
     on the usable rows of a batch, e.g. to explode landed matches; it must not
     group them, as each batch has only new files. ``save`` takes the place of the append: it
     gets the rows and the batch's name, and must give the same result when it is repeated.
+    ``metadata`` adds columns about the file of each row, as in ``scan_json``.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -102,7 +104,9 @@ def load_new_files(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.load(source).withColumn("_file", F.col("_metadata.file_path"))
+    about = {"_file": "file_path", **(metadata or {})}
+    rows = reader.load(source)
+    rows = rows.withColumns({name: F.col(f"_metadata.{f}") for name, f in about.items()})
     if fmt != "json":
         rows = rows.withColumn("_text", F.lit(None).cast("string"))
     reason = why_rejected(names, is_broken("_text"), is_misfit("_text"))

@@ -168,6 +168,15 @@ _FLAWED = """with landed as (
     else 'kept' end as reason from part
   union all select p_size, 'misfit' from part where p_size = 4) """
 
+_RESUME = """
+    select case p_type when 'STANDARD' then 'platinum' else lower(p_type) end as folder,
+      cast(max(p_size // 10) + 1 as int) as next_page,
+      count(distinct p_size // 10) as page_count,
+      cast(max(p_size // 10) - min(p_size // 10) + 1 - count(distinct p_size // 10) as bigint)
+        as absent_pages
+    from part group by 1
+    union all select 'none', 1, 0, 0"""
+
 _DRIFT = """with pages as (
   select p_type as tier, p_size, cast(date '2024-01-01' + cast(p_size as int) as varchar) as day from part),
 fields as (
@@ -317,14 +326,8 @@ SQL: dict[str, str] = {
       count(distinct page) as page_count, count(*) as file_count,
       cast(max(page) - min(page) + 1 - count(distinct page) as bigint) as absent_pages
     from p where page is not null group by 1""",
-    "landing_status": """
-    select case p_type when 'STANDARD' then 'platinum' else lower(p_type) end as folder,
-      cast(max(p_size // 10) + 1 as int) as next_page,
-      count(distinct p_size // 10) as page_count,
-      cast(max(p_size // 10) - min(p_size // 10) + 1 - count(distinct p_size // 10) as bigint)
-        as absent_pages
-    from part group by 1
-    union all select 'none', 1, 0, 0""",
+    "landing_status": _RESUME,
+    "resume_points": _RESUME,
     "landing_dedup": """
     select event_type, user_id, event_id, value from (select *, row_number() over (
       partition by event_type, user_id order by ts desc, event_id desc) as rn from events)

@@ -78,7 +78,7 @@ from ladderlake.sources import (
     write_table,
 )
 from ladderlake.stand_ins import COLS, table
-from ladderlake.streaming import load_new_files
+from ladderlake.streaming import load_new_files, resume_points, track_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -595,9 +595,11 @@ def landing_report_by_host(spark, sf_dir):
     return landing_report(pages_by_host(spark, sf_dir), ["host"], "page")
 
 
-@query("landing_status")
-def landing_status_of_parts(spark, sf_dir):
-    """Resume points from the names of landed files.
+PART_PAGES = {"folder_pattern": r"/folder=([^/]+)/", "page_pattern": r"/page=(\d+)/"}
+
+
+def part_pages(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Rows of parts by landing folder and page, and the folders to expect.
 
     One tier has landed nothing, another is not expected, and the pages of a third are
     landed under its name and an alias.
@@ -607,17 +609,12 @@ def landing_status_of_parts(spark, sf_dir):
     alias = F.when(F.col("p_size") % 2 == 0, "platina").otherwise("platinum")
     folder = F.when(F.col("p_type") == "STANDARD", alias).otherwise(tier_key("p_type"))
     rows = part.select("p_partkey", "p_name", folder.alias("folder"), page)
-    root = land_json(rows, staging_path(spark, "raw-parts"), ["folder", "page"])
     tiers = part.filter("p_type <> 'PROMO'").select(tier_key("p_type").alias("folder")).distinct()
     tiers = tiers.filter("folder <> 'standard'")
-    expected = tiers.union(spark.createDataFrame([("none",), ("platina",)], "folder string"))
-    status = landing_status(
-        spark,
-        root,
-        expected,
-        folder_pattern=r"/folder=([^/]+)/",
-        page_pattern=r"/page=(\d+)/",
-    )
+    return rows, tiers.union(spark.createDataFrame([("none",), ("platina",)], "folder string"))
+
+
+def page_counts(status: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return status.select(
         "folder",
@@ -627,6 +624,26 @@ def landing_status_of_parts(spark, sf_dir):
     )
 
 
+@query("landing_status")
+def landing_status_of_parts(spark, sf_dir):
+    """Resume points from the names of landed files."""
+    rows, expected = part_pages(spark, sf_dir)
+    root = land_json(rows, staging_path(spark, "raw-parts"), ["folder", "page"])
+    return page_counts(landing_status(spark, root, expected, **PART_PAGES))
+
+
+@query("resume_points")
+def resume_points_of_parts(spark, sf_dir):
+    """The same out of the state of a stream, after two landings and a run without news."""
+    rows, expected = part_pages(spark, sf_dir)
+    root, status, checkpoint = (staging_path(spark, f"parts-{x}") for x in ("raw", "status", "state"))
+    for lot in ("page in (1, 3)", "page not in (1, 3)", None):
+        if lot:
+            land_json(rows.filter(lot), root, ["folder", "page"])
+        track_pages(spark, root, status, checkpoint, **PART_PAGES)
+    return page_counts(resume_points(spark, status, expected))
+
+
 @query("landing_dedup")
 def landing_dedup(spark, sf_dir):
     """Newest event of every (type, user)."""

@@ -1,0 +1,81 @@
+"""Resume points kept as state, against a listing of all files."""
+
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from ladderlake.plans import landing_status
+from ladderlake.streaming import resume, resume_points, track_pages
+
+
+def land(raw, folder, *pages):
+    os.makedirs(f"{raw}/{folder}", exist_ok=True)
+    for page in pages:
+        with open(f"{raw}/{folder}/{page}.json", "w") as f:
+            f.write("[]")
+
+
+def listed(spark, raw, expected=None):
+    columns = ["folder", "first_page", "last_page", "page_count", "file_count", "next_page", "absent_pages"]
+    return sorted(map(tuple, landing_status(spark, raw, expected).select(columns).collect()), key=repr)
+
+
+def tracked(spark, status, expected=None):
+    columns = ["folder", "first_page", "last_page", "page_count", "file_count", "next_page", "absent_pages"]
+    return sorted(map(tuple, resume_points(spark, status, expected).select(columns).collect()), key=repr)
+
+
+def test_state_equals_a_listing_after_every_run(spark, tmp_path):
+    raw, status, checkpoint = (str(tmp_path / n) for n in ("raw", "s", "c"))
+    run = lambda: track_pages(spark, raw, status, checkpoint, files_per_batch=4)
+    land(raw, "gold_I", 1, 2, 3, 7)
+    land(raw, "platina_II", 1)
+    land(raw, "silver_I", "notes", 9000, 5)
+    run()
+    assert tracked(spark, status) == listed(spark, raw)
+    land(raw, "gold_I", 5, 9)
+    land(raw, "platinum_II", 1, 2)
+    land(raw, "bronze_I", *range(1, 14))
+    run()
+    assert tracked(spark, status) == listed(spark, raw)
+    query = run()
+    assert sum(p.numInputRows for p in query.recentProgress) == 0
+    points = {r.folder: r for r in resume_points(spark, status).collect()}
+    assert [tuple(g) for g in points["gold_I"].gaps] == [(4, 4), (6, 6), (8, 8)]
+    assert [tuple(g) for g in points["silver_I"].gaps] == [(6, 8999)]
+    assert points["platinum_II"].repeated == 1 and points["bronze_I"].gaps == []
+    expected = spark.createDataFrame([("gold_I",), ("platina_IV",)], "folder string")
+    assert tracked(spark, status, expected) == [
+        r if r[0] != "platinum_IV" else ("platinum_IV", None, None, 0, 0, 1, None)
+        for r in listed(spark, raw, expected)
+    ]
+
+
+def test_a_failed_run_counts_no_file_twice(spark, tmp_path, monkeypatch):
+    raw, status, checkpoint = (str(tmp_path / n) for n in ("raw", "s", "c"))
+    land(raw, "gold_I", 1, 2)
+    track_pages(spark, raw, status, checkpoint)
+    land(raw, "gold_I", 3, 5)
+    real = resume.merge_latest
+
+    def fail(*args, **more):
+        real(*args, **more)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(resume, "merge_latest", fail)
+    with pytest.raises(StreamingQueryException):
+        track_pages(spark, raw, status, checkpoint)
+    monkeypatch.setattr(resume, "merge_latest", real)
+    track_pages(spark, raw, status, checkpoint)
+    assert tracked(spark, status) == listed(spark, raw) == [("gold_I", 1, 5, 4, 4, 6, 1)]
+
+
+def test_no_session_of_the_caller_is_changed(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    land(str(tmp_path / "raw"), "gold_I", 1)
+    track_pages(spark, str(tmp_path / "raw"), str(tmp_path / "s"), str(tmp_path / "c"))
+    assert spark.conf.get(key) == before
+    assert resume_points(spark, str(tmp_path / "s")).filter(F.size("gaps") > 0).count() == 0

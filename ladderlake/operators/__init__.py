@@ -26,6 +26,12 @@ from ladderlake.operators.profile import (
 )
 from ladderlake.operators.ranking import number_rows, top_n, top_players
 from ladderlake.operators.sets import distinct_values, preview, union_by_name, union_by_position
+from ladderlake.operators.states import (
+    merge_states,
+    profile_figures,
+    profile_states,
+    update_profile,
+)
 
 __all__ = [
     "columns_of_type",
@@ -41,9 +47,12 @@ __all__ = [
     "lookup_chain",
     "match_facts",
     "matches_of_players",
+    "merge_states",
     "null_profile",
     "number_rows",
     "preview",
+    "profile_figures",
+    "profile_states",
     "recent_per_player",
     "record_drift",
     "record_schemas",
@@ -56,4 +65,5 @@ __all__ = [
     "union_by_name",
     "union_by_position",
     "union_widened",
+    "update_profile",
 ]

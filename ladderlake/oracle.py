@@ -344,6 +344,26 @@ SQL: dict[str, str] = {
     join (select distinct l_partkey as player_id, l_orderkey as match_id from lineitem) l
       on l.player_id = t.player_id
     join orders on o_orderkey = l.match_id""",
+    "lookup_chain_bucketed": _TOP
+    + """select tier, division, t.player_id, rn, 'acc-' || t.player_id as account_id, l.match_id,
+      o_orderpriority as match_type, o_totalprice as total
+    from top t
+    join (select distinct l_partkey as player_id, l_orderkey as match_id from lineitem) l
+      on l.player_id = t.player_id
+    join orders on o_orderkey = l.match_id""",
+    "clustered_box": """
+    select l_orderkey, l_linenumber, 'n' || l_partkey as name, l_extendedprice from lineitem
+    where (l_shipdate between date '1996-03-01' and date '1996-06-30'
+      and l_extendedprice between 20000 and 30000) or l_partkey in (7, 77)""",
+    "profile_states": " union all ".join(
+        f"""select event_type, '{c}' as column_name, count(*) as row_count, count({c}) as n,
+        {f'round(avg({c}), 4)' if number else 'null'} as mean,
+        {f'round(stddev_samp({c}), 4)' if number else 'null'} as stddev,
+        {f'cast(min({c}) as double)' if number else 'null'} as min_value,
+        {f'cast(max({c}) as double)' if number else 'null'} as max_value,
+        count(*) - count({c}) as null_count, true as distinct_close from events group by 1"""
+        for c, number in (("value", True), ("user_id", True), ("props", False))
+    ),
     "recent_matches_per_player": f"with {_history('l_suppkey')} "
     + f"""select player_id, match_id, rn from (select *, row_number() over (
       partition by player_id order by ts desc, match_id) as rn from history where {_PERIOD})

@@ -32,8 +32,10 @@ from ladderlake.operators import (
     lookup_chain,
     match_facts,
     matches_of_players,
+    merge_states,
     null_profile,
     preview,
+    profile_figures,
     recent_per_player,
     record_drift,
     record_schemas,
@@ -45,6 +47,7 @@ from ladderlake.operators import (
     union_by_name,
     union_by_position,
     union_widened,
+    update_profile,
 )
 from ladderlake.operators.ranking import eligible, rank_players, top_n
 from ladderlake.plans import (
@@ -74,6 +77,8 @@ from ladderlake.sources import (
     read_table,
     reject_empty,
     scan_json,
+    write_bucketed,
+    write_clustered,
     write_csv,
     write_table,
 )
@@ -259,6 +264,29 @@ def null_or_nan_count(spark, sf_dir):
     return rounded(null_profile(table(spark, sf_dir, "events").withColumn("value", value)), "null_pct")
 
 
+@query("profile_states")
+def profile_from_states(spark, sf_dir):
+    """Figures of every event type out of stored states of its days, loaded in two lots.
+
+    The second lot has one day of the first again. Distinct counts are estimates: whether they
+    are within 5 % of the exact ones.
+    """
+    path, keys, columns = staging_path(spark, "states"), ["event_type"], ["value", "user_id", "props"]
+    events = table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date").cast("string"))
+    middle = events.agg(F.percentile_approx(F.unix_date(F.col("ts").cast("date")), 0.5)).first()[0]
+    day = F.unix_date(F.col("ts").cast("date"))
+    for lot in (day <= middle, day >= middle):
+        states = update_profile(events.filter(lot), path, keys, "day", columns)
+    figures = profile_figures(merge_states(states, keys), keys)
+    exact = [F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in columns]
+    exact = events.groupBy(*keys).agg(*[x.alias(f"_{k}") for k, x in enumerate(exact)])
+    exact = exact.select(*keys, F.inline(F.array("_0", "_1", "_2")))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.05 * F.col("exact")
+    both = figures.join(exact.withColumnRenamed("event_type", "type"), (F.col("event_type").eqNullSafe(F.col("type"))) & (figures.column_name == exact.column_name))
+    both = both.select(*keys, figures.column_name, "row_count", "n", "mean", "stddev", "min_value", "max_value", "null_count", close.alias("distinct_close"))
+    return rounded(both, "mean", "stddev", places=4)
+
+
 # --- unions ------------------------------------------------------------------
 
 
@@ -539,11 +567,11 @@ def load_accounting(spark, sf_dir):
     raw, bronze = staging_path(spark, "raw-pages"), staging_path(spark, "pages-b")
     land_pages(spark, flawed_pages(spark, sf_dir), f"{raw}/gold_I")
     kept = standings_raw_to_bronze(spark, raw, bronze, cols=COLS, schema=STANDINGS_SCHEMA)
-    stored = [row_count(kept, "stored"), row_count(read_table(spark, f"{bronze}_rejects"), "rejected")]
     loads = read_table(spark, f"{bronze}_loads").drop("load_id", "at", "scope")
-    for counted in stored:  # one row each
-        loads = loads.join(counted)
-    return loads
+    stored = row_count(kept, "stored")
+    rejected = row_count(read_table(spark, f"{bronze}_rejects"), "rejected")
+    rows = union_by_name([loads, stored, rejected])
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 # --- landing -----------------------------------------------------------------
@@ -731,6 +759,36 @@ def lookup_chain_of_top_players(spark, sf_dir):
     )
 
 
+@query("lookup_chain_bucketed")
+def lookup_chain_over_buckets(spark, sf_dir):
+    """The chain over a history and matches that are stored in buckets of their keys."""
+    account = F.concat(F.lit("acc-"), F.col("p_partkey").cast("string")).alias("account_id")
+    ids = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("player_id"), account)
+    played = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("acc-"), F.col("l_partkey").cast("string")).alias("account_id"),
+        F.col("l_orderkey").alias("match_id"),
+    )
+    paths = [staging_path(spark, name) for name in ("history", "matches")]
+    names = [path.rsplit("/", 1)[1].replace("-", "_") for path in paths]
+    history = write_bucketed(played, names[0], ["account_id"], 16, paths[0])
+    matches = write_bucketed(views.matches(spark, sf_dir), names[1], ["match_id"], 16, paths[1])
+    players = best_players(spark, sf_dir).select("tier", "division", "player_id", "rn")
+    return lookup_chain(players, ids, history, matches).select(
+        "tier", "division", "player_id", "rn", "account_id", "match_id", "match_type", "total"
+    )
+
+
+@query("clustered_box")
+def clustered_box(spark, sf_dir):
+    """A box of dates and prices, and the parts of some names, out of a clustered table."""
+    items = table(spark, sf_dir, "lineitem").withColumn("name", F.concat(F.lit("n"), F.col("l_partkey").cast("string")))
+    path = write_clustered(items, staging_path(spark, "clustered"), ["l_shipdate", "l_extendedprice"], ["name"], files=8)
+    stored = read_table(spark, path)
+    box = F.col("l_shipdate").between("1996-03-01", "1996-06-30") & F.col("l_extendedprice").between(20000, 30000)
+    named = F.col("name").isin("n7", "n77")
+    return stored.filter(box | named).select("l_orderkey", "l_linenumber", "name", "l_extendedprice")
+
+
 @query("recent_matches_per_player")
 def recent_matches_per_player(spark, sf_dir):
     """Newest 20 urgent matches of every supplier in 1996 to 1998."""

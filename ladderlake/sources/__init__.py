@@ -1,3 +1,4 @@
+from ladderlake.sources.clustered import write_bucketed, write_clustered
 from ladderlake.sources.json_scan import (
     has_misfit,
     is_broken,
@@ -56,6 +57,8 @@ __all__ = [
     "split_records",
     "why_rejected",
     "with_pages",
+    "write_bucketed",
+    "write_clustered",
     "write_csv",
     "write_table",
 ]

@@ -327,6 +327,7 @@ SQL: dict[str, str] = {
       cast(max(page) - min(page) + 1 - count(distinct page) as bigint) as absent_pages
     from p where page is not null group by 1""",
     "landing_status": _RESUME,
+    "landing_status_by_tasks": _RESUME,
     "resume_points": _RESUME,
     "landing_dedup": """
     select event_type, user_id, event_id, value from (select *, row_number() over (

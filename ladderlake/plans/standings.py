@@ -30,6 +30,7 @@ from ladderlake.sources import (
     landed_files,
     landing_ranges,
     latest_per_key,
+    list_by_tasks,
     note_load,
     parse_once,
     read_table,
@@ -152,6 +153,7 @@ def landing_status(
     glob: str = "*.json",
     folder_pattern: str = r"/([^/]+)/[^/]+$",
     page_pattern: str = r"(\d+)\.json$",
+    levels: int | None = None,
 ) -> DataFrame:
     """Landed page range of every folder and the page to fetch next.
 
@@ -159,10 +161,12 @@ def landing_status(
     lists folders, in a column ``folder``, that may hold no page so far; landed
     folders that it does not name are listed as well. Folders named by an alias of a
     tier count as that tier's. The patterns take folder and page number out of the
-    file paths; no file is read.
+    file paths; no file is read. With ``levels`` the names are listed by tasks, one for each
+    folder so many levels below ``raw``: see ``list_by_tasks``.
     """
+    names = landed_files(spark, raw, glob) if levels is None else list_by_tasks(spark, raw, glob, levels)
     folder = canonical_folder(F.regexp_extract("path", folder_pattern, 1)).alias("folder")
-    listing = with_pages(landed_files(spark, raw, glob), page_pattern).select(folder, "page")
+    listing = with_pages(names, page_pattern).select(folder, "page")
     if expected is not None:
         named = expected.select(canonical_folder("folder").alias("folder"))
         listing = listing.unionByName(named, allowMissingColumns=True)

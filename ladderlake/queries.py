@@ -660,6 +660,14 @@ def landing_status_of_parts(spark, sf_dir):
     return page_counts(landing_status(spark, root, expected, **PART_PAGES))
 
 
+@query("landing_status_by_tasks")
+def landing_status_listed_by_tasks(spark, sf_dir):
+    """The same from names that a task for each folder lists."""
+    rows, expected = part_pages(spark, sf_dir)
+    root = land_json(rows, staging_path(spark, "raw-parts"), ["folder", "page"])
+    return page_counts(landing_status(spark, root, expected, levels=1, **PART_PAGES))
+
+
 @query("resume_points")
 def resume_points_of_parts(spark, sf_dir):
     """The same out of the state of a stream, after two landings and a run without news."""

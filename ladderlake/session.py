@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -71,6 +72,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return session
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where only the driver's own path names it.
+
+    On a cluster the package is shipped with the job (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

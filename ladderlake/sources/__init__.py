@@ -22,6 +22,7 @@ from ladderlake.sources.landing import (
     not_yet_loaded,
     with_pages,
 )
+from ladderlake.sources.listing import list_by_tasks
 from ladderlake.sources.merge import merge_latest, partition_digests, publish_changed
 from ladderlake.sources.tables import (
     CSV_OPTIONS,
@@ -41,6 +42,7 @@ __all__ = [
     "landing_ranges",
     "landing_report",
     "latest_per_key",
+    "list_by_tasks",
     "merge_latest",
     "next_page",
     "not_yet_loaded",

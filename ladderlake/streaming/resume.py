@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ladderlake.functions import canonical_folder, page_number
-from ladderlake.session import tune
+from ladderlake.session import reachable, tune
 from ladderlake.sources import merge_latest, read_table
 from ladderlake.streaming.incremental import MAX_FILE_AGE
 
@@ -110,6 +110,7 @@ def track_pages(
     repeated after a failure starts from the state before it. No file is read. The state needs
     Spark's RocksDB store, which is set for this query alone.
     """
+    reachable(spark)
     own = tune(spark)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     reader = own.readStream.format("binaryFile").schema(LISTED).options(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 from ladderlake.llm.chat import CONTROL, TRAINED_ROLE
-from ladderlake.llm.quality import DELTA, RISK, RULES
+from ladderlake.llm.quality import DELTA, RISK, RULES, STEPS
 from ladderlake.llm.warc import BASE32, DIGITS32
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -175,14 +175,41 @@ shares as ({_SHARES}),
 good as (
   select doc_id from labels where quality is not null group by doc_id
   having min(quality) = 1 and coalesce(max(toxic), 0) = 0),
+kinds as (
+  select doc_id, doc_id in (select doc_id from good where doc_id is not null) as is_good
+  from (select distinct doc_id from labels where doc_id is not null)),
+pool as (
+  select rule, value, count(*) filter (is_good is null) as n, count(*) filter (not is_good) as m
+  from shares left join kinds using (doc_id)
+  where not base_failed and is_good is distinct from true group by rule, value),
+sizes as (
+  select cast(count(*) filter (is_good is null) as bigint) as n_docs,
+    cast(count(is_good) as bigint) as n_labelled
+  from judged left join kinds using (doc_id) where not base_failed),
+costs as (
+  select rule, value, n_docs, n_labelled,
+    cast(sum(coalesce(n, 0)) over w as bigint) as above,
+    cast(sum(coalesce(n, 0)) over w as bigint) * n_labelled
+      - cast(sum(coalesce(m, 0)) over w as bigint) * n_docs as estimate
+  from (select distinct rule from shares) cross join (select unnest(range(0, 1001)) as value)
+    cross join sizes left join pool using (rule, value)
+  window w as (partition by rule order by value desc)),
+ranks as (
+  select rule, value, (10 * greatest(0, max(estimate) over (partition by rule order by value desc))
+      + above * n_labelled) * {STEPS} // (10 * n_docs * n_labelled) as step
+  from costs),
+steps as (
+  select doc_id, min(case when shares.value > 0 then step end) as step
+  from shares left join ranks using (rule, value) where not base_failed group by doc_id),
 held as (
-  select lang, rule, value, count(*) as n
-  from shares where not base_failed and doc_id in (select doc_id from good)
-  group by lang, rule, value),
-totals as (select lang, rule, cast(sum(n) as bigint) as n_good from held group by lang, rule),
+  select false as pooled, lang, step, count(*) as n
+  from judged join steps using (doc_id) join good using (doc_id) group by lang, step),
+every as (
+  select * from held
+  union all select true, null, step, cast(sum(n) as bigint) from held group by step),
+totals as (select pooled, lang, cast(sum(n) as bigint) as n_good from every group by pooled, lang),
 errors as (
-  select {RISK} / {len(RULES)} as p,
-    {DELTA} / ({len(RULES)} * count(distinct coalesce(lang, ''))) as delta from held),
+  select {RISK} as p, {DELTA} / (1 + count(distinct coalesce(lang, ''))) as delta from held),
 chances as (
   select n_good, k, sum(exp(lgamma(n_good + 1) - lgamma(k + 1) - lgamma(n_good - k + 1)
       + k * ln(p) + (n_good - k) * ln(1 - p))) over (partition by n_good order by k) as up_to
@@ -190,20 +217,22 @@ chances as (
     errors),
 allowed as (
   select n_good, max(k) as n_allowed from chances, errors where up_to <= delta group by n_good),
-tails as (
-  select lang, rule, value, sum(n) over (partition by lang, rule order by value desc) as rejected
-  from held),
-cutoffs as (
-  select tails.lang, tails.rule, max(value) as cutoff
-  from tails join totals on tails.lang is not distinct from totals.lang
-    and tails.rule = totals.rule join allowed using (n_good)
-  where rejected > n_allowed group by tails.lang, tails.rule),
-above as (
-  select distinct doc_id from shares join cutoffs
-    on shares.lang is not distinct from cutoffs.lang and shares.rule = cutoffs.rule
-  where value > cutoff)
+rejected as (
+  select pooled, lang, step,
+    sum(n) over (partition by pooled, lang order by step nulls last) as rejected from every),
+stops as (
+  select pooled, t.lang, min(case when rejected > n_allowed then step end) as stop
+  from totals t join allowed using (n_good) join rejected r using (pooled)
+  where r.lang is not distinct from t.lang group by pooled, t.lang),
+limits as (
+  select j.doc_id, step,
+    case when o.pooled is not null then coalesce(o.stop, {4 * STEPS})
+      when a.pooled is not null then coalesce(a.stop, {4 * STEPS}) else 0 end as stop
+  from judged j join steps using (doc_id)
+    left join stops o on not o.pooled and o.lang is not distinct from j.lang
+    left join stops a on a.pooled)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and doc_id not in (select doc_id from above) as kept
+  not base_failed and doc_id not in (select doc_id from limits where step < stop) as kept
 from judged"""
 
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -1,25 +1,34 @@
 """Quality rules with risk-controlled thresholds.
 
 ``measure`` counts, for every whole text, what the rules look at. Base rules are fixed.
-The method's rules reject a document whose share exceeds a cutoff of its stratum. A cutoff
-is chosen on labelled documents: of all cutoffs for which an exact binomial test shows that
-at most ``risk`` of the stratum's good documents are rejected, the strictest. The error
-probability ``delta`` of the whole choice is divided over strata and rules (Bonferroni), as
-is ``risk`` over the rules; along one rule, cutoffs are tested from the most lenient to the
-strictest and testing ends at the first that fails, which needs no further correction. A
-stratum with too few good labels gets no cutoff, so nothing is rejected there by these rules.
-
-``keep_good`` tests one hypothesis for each stratum in place of one for each rule: at most
-``risk`` of the good documents are rejected by any rule. The cutoffs of all rules tighten
-along one sequence fixed beforehand (``ROUNDS``) until the first test that fails, so only
-``delta`` is divided, over the strata, and a quarter of the labels is enough for a cutoff.
-
-All labelled documents count. Only a row for each stratum and value or step is kept of them.
+The method's rules reject a document whose share exceeds a cutoff of its stratum. The holdout
+is the documents labelled good. The cutoffs of all rules tighten along one sequence of
+steps, and an exact binomial test on the holdout decides at each step whether at most ``risk``
+of the stratum's good documents are rejected by any rule. Testing ends at the first step that
+fails, which needs no correction for the number of steps; the error probability ``delta`` is
+divided over the strata and one pooled stratum (Bonferroni).
+
+The sequence is fixed by documents outside the holdout, so those that certify a cutoff have no
+part in choosing it. Unlabelled documents are a mixture of good ones and others, and those
+labelled but not good show what the others look like; so the share of good documents that a
+rule rejects above a value is estimated by the difference. At a step, every rule is tightened
+to the same estimate, to which a tenth of the share of all unlabelled documents above the value
+is added, so that the most extreme go first where the estimate is zero. A share of zero is
+never rejected. Only counts by rule and thousandth are kept of them, 1,001 for each rule.
+
+A stratum with too few good labels for any cutoff takes those of the pooled stratum, of all
+languages together. Their guarantee is weaker: at most ``risk`` of the good documents of all
+strata are rejected by them. Where even the pool has too few, only the base rules reject.
+
+All labelled documents count. Only a row for each stratum and step is kept of them.
 
 Defined results: null or empty texts have zero counts and fail the base rule; a null stratum
-is a stratum; a document without a label, or with a null one, is not counted in thresholds;
-of several labels for one doc_id the worst counts; labels of a null doc_id are left out;
-repeated rows are judged one by one; with empty labels only the base rule rejects.
+is a stratum; a document without a label, or with a null one, is outside the holdout; of several
+labels for one doc_id the worst counts; labels of a null doc_id are left out; repeated rows are
+judged one by one, and are all in the holdout or all outside; a very long text is a chunk of its
+own; with empty labels, or no document outside the holdout, only the base rule rejects; an empty
+table of documents gives an empty one; columns of clashing names are kept, and the added ones
+evade them.
 """
 
 from __future__ import annotations
@@ -72,12 +81,7 @@ RULES = {
     "repeated_words": ("n_repeat_words", "n_words"),
 }
 
-# Where each round of the sequence ends: the rules are tightened one after the other from
-# nothing rejected, first to loose limits, so that no rule waits for another's last thousandths.
-ROUNDS = [
-    {"symbols": 10, "duplicate_lines": 300, "repeated_words": 100},
-    {"symbols": 0, "duplicate_lines": 0, "repeated_words": 0},
-]
+STEPS = 10_000
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
@@ -232,18 +236,17 @@ def good_labels(labels: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def thresholds(
-    measured: DataFrame,
-    labels: DataFrame,
-    stratum_col: str,
-    risk: float = RISK,
-    delta: float = DELTA,
-    id_col: str = "doc_id",
-    counts_col: str = "counts",
-) -> DataFrame:
-    """Rows (stratum, rule, cutoff, n_good, n_allowed) of the cutoffs that hold.
+def base_failed(counts_col: str) -> F.Column:
+    c = F.col(counts_col)
+    return (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
+
+
+def sequence(
+    measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", counts_col: str = "counts"
+) -> dict[str, list[int]]:
+    """For each rule and share, from 0 to 1,000 thousandths, the step that rejects it.
 
-    Good are documents labelled with quality 1 and not toxic that pass the base rules.
+    Where all documents are labelled, those that are not good take the part of the unlabelled.
     """
     rules = F.array(
         *[
@@ -251,130 +254,128 @@ def thresholds(
             for rule, pair in RULES.items()
         ]
     )
-    held = (
+    good = good_labels(labels, id_col).select("label_id", F.lit("good").alias("good"))
+    named = labels.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("label_id"))
+    kinds = named.distinct().join(good, "label_id", "left")
+    kinds = kinds.select("label_id", F.coalesce("good", F.lit("other")).alias("kind"))
+    counted = (
         measured.filter(~base_failed(counts_col))
-        .select(F.col(id_col).alias("label_id"), F.col(stratum_col).alias("stratum"), rules.alias("r"))
-        .join(good_labels(labels, id_col), "label_id", "left_semi")
-        .groupBy("stratum", "r")
+        .select(F.col(f"`{id_col}`").alias("label_id"), rules.alias("r"))
+        .join(kinds, "label_id", "left")
+        .groupBy("kind", "r")
         .agg(F.count("*").alias("n"))
-        .select("stratum", F.inline("r"), "n")
-        .groupBy("stratum", "rule", "value")
+        .select("kind", F.inline("r"), "n")
+        # Of the holdout, the size and nothing else.
+        .groupBy("kind", "rule", F.when(F.col("kind") == "good", 0).otherwise(F.col("value")).alias("value"))
         .agg(F.sum("n").alias("n"))
     )
-    held = materialize(held, "holdout")
-    n_strata = held.select("stratum").distinct().count()
-
-    @F.pandas_udf("bigint")
-    def most(n: pd.Series) -> pd.Series:
-        own_risk, own_delta = risk / len(RULES), delta / (len(RULES) * max(1, n_strata))
-        found = {k: allowed(int(k), own_risk, own_delta) for k in n.unique()}
-        return n.map(found)
-
-    totals = (
-        held.groupBy("stratum", "rule")
-        .agg(F.sum("n").alias("n_good"))
-        .withColumn("n_allowed", most("n_good"))
-    )
-    tail = Window.partitionBy("stratum", "rule").orderBy(F.desc("value"))
-    rejected = held.withColumn("rejected", F.sum("n").over(tail))
-    same = F.expr("a.stratum <=> b.stratum and a.rule = b.rule")
-    return (
-        rejected.alias("a")
-        .join(totals.alias("b"), same)
-        .filter("b.n_allowed >= 0 and a.rejected > b.n_allowed")
-        .groupBy("b.stratum", "b.rule", "b.n_good", "b.n_allowed")
-        .agg(F.max("a.value").alias("cutoff"))
-    )
-
-
-def base_failed(counts_col: str) -> F.Column:
-    c = F.col(counts_col)
-    return (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
-
-
-def judge(
-    measured: DataFrame, cutoffs: DataFrame, stratum_col: str, counts_col: str, kept_col: str
-) -> DataFrame:
-    """``measured`` with the verdict. ``cutoffs`` has few rows for each stratum."""
-    limits = cutoffs.groupBy("stratum").agg(
-        *[F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(rule) for rule in RULES]
-    )
-    limits = materialize(limits, "cutoffs")
-    name = column_name("limits", measured.columns)
-    limits = limits.select(F.struct("*").alias(name))
-    joined = measured.join(
-        limits, F.col(f"`{stratum_col}`").eqNullSafe(F.col(name)["stratum"]), "left"
-    )
-    above = F.lit(False)
+    counts_ = {(kind, rule): [0] * 1001 for kind in (None, "other", "good") for rule in RULES}
+    for row in counted.collect():  # two times 1,001 for each rule at most, and one more
+        counts_[row.kind, row.rule][row.value] = row.n
+    return {rule: _steps(*(counts_[kind, rule] for kind in (None, "other", "good"))) for rule in RULES}
+
+
+def _steps(unlabelled: list[int], other: list[int], good: list[int]) -> list[int]:
+    n_labelled = sum(other) + sum(good)
+    if not sum(unlabelled):
+        unlabelled, other = other, [0] * len(other)
+    n = sum(unlabelled)
+    out, above, above_other, most = [], 0, 0, 0
+    for v in range(len(unlabelled) - 1, -1, -1):
+        above, above_other = above + unlabelled[v], above_other + other[v]
+        # In parts of n * n_labelled; a lower cutoff never rejects fewer.
+        most = max(most, above * n_labelled - above_other * n)
+        cost = 10 * most + above * n_labelled
+        out.append(cost * STEPS // (10 * n * n_labelled) if n * n_labelled else 0)
+    return out[::-1]
+
+
+def rejecting_step(steps: dict[str, list[int]], counts_col: str) -> F.Column:
+    """The first step at which a rule rejects a document; null if none does."""
+    found = []
     for rule, pair in RULES.items():
-        over = share(*pair, counts_col) > F.col(name)[rule]
-        above = above | F.coalesce(over, F.lit(False))
-    return joined.withColumn(kept_col, ~base_failed(counts_col) & ~above).drop(name)
-
-
-def rejecting_step(counts_col: str) -> F.Column:
-    """The first step of the sequence that rejects a document, null if none does.
-
-    Each step lowers the cutoff of one rule by a thousandth.
-    """
-    start, found = 0, []
-    high = dict.fromkeys(RULES, 1000)
-    for ends in ROUNDS:
-        for rule, pair in RULES.items():
-            value, low = share(*pair, counts_col), ends[rule]
-            inside = (value > low) & (value <= high[rule])
-            found.append(F.when(inside, start + high[rule] - value))
-            start += high[rule] - low
-            high[rule] = low
+        value = share(*pair, counts_col)
+        own = F.from_json(F.lit(str(steps[rule])), "array<bigint>")
+        step = F.element_at(own, F.least(value, F.lit(1000)).cast("int") + 1)
+        found.append(F.when(value > 0, step))
     return F.least(*found)
 
 
 def joint_steps(
-    measured: DataFrame,
+    stepped: DataFrame,
     labels: DataFrame,
     stratum_col: str,
     risk: float = RISK,
     delta: float = DELTA,
     id_col: str = "doc_id",
-    counts_col: str = "counts",
+    step_col: str = "step",
 ) -> DataFrame:
-    """Rows (stratum, n_good, n_allowed, stop) of the strata with cutoffs; a document is
-    rejected by the steps before ``stop``, by all if it is null.
+    """Rows (pooled, stratum, n_good, n_allowed, stop) of the strata with cutoffs, and of the
+    pool; a document is rejected by the steps before ``stop``, by all if it is null.
 
-    Good are documents as in ``thresholds``. They are counted by the step that rejects them,
-    so the first step at which more than ``n_allowed`` are rejected is the first that fails.
+    ``stepped`` has the documents that pass the base rules, with the step that rejects them.
+    Good ones are counted by it, so the first step at which more than ``n_allowed`` are rejected
+    is the first that fails.
     """
     held = (
-        measured.filter(~base_failed(counts_col))
-        .select(
-            F.col(id_col).alias("label_id"),
+        stepped.select(
+            F.col(f"`{id_col}`").alias("label_id"),
             F.col(f"`{stratum_col}`").alias("stratum"),
-            rejecting_step(counts_col).alias("step"),
+            F.col(step_col).alias("step"),
         )
         .join(good_labels(labels, id_col), "label_id", "left_semi")
         .groupBy("stratum", "step")
         .agg(F.count("*").alias("n"))
     )
     held = materialize(held, "holdout")
-    n_strata = held.select("stratum").distinct().count()
+    n_tests = held.select("stratum").distinct().count() + 1
+    pool = held.groupBy("step").agg(F.sum("n").alias("n"))
+    held = held.withColumn("pooled", F.lit(False)).unionByName(
+        pool.withColumn("pooled", F.lit(True)), allowMissingColumns=True
+    )
 
     @F.pandas_udf("bigint")
     def most(n: pd.Series) -> pd.Series:
-        found = {k: allowed(int(k), risk, delta / max(1, n_strata)) for k in n.unique()}
+        found = {k: allowed(int(k), risk, delta / n_tests) for k in n.unique()}
         return n.map(found)
 
-    totals = held.groupBy("stratum").agg(F.sum("n").alias("n_good"))
+    totals = held.groupBy("pooled", "stratum").agg(F.sum("n").alias("n_good"))
     totals = totals.withColumn("n_allowed", most("n_good")).filter("n_allowed >= 0")
-    up_to = Window.partitionBy("stratum").orderBy(F.asc_nulls_last("step"))
+    up_to = Window.partitionBy("pooled", "stratum").orderBy(F.asc_nulls_last("step"))
     rejected = held.withColumn("rejected", F.sum("n").over(up_to))
     return (
         totals.alias("b")
-        .join(rejected.alias("a"), F.expr("a.stratum <=> b.stratum"))
-        .groupBy("b.stratum", "b.n_good", "b.n_allowed")
+        .join(rejected.alias("a"), F.expr("a.pooled = b.pooled and a.stratum <=> b.stratum"))
+        .groupBy("b.pooled", "b.stratum", "b.n_good", "b.n_allowed")
         .agg(F.min(F.expr("case when a.rejected > b.n_allowed then a.step end")).alias("stop"))
     )
 
 
+def judge(
+    measured: DataFrame,
+    labels: DataFrame,
+    stratum_col: str,
+    id_col: str = "doc_id",
+    counts_col: str = "counts",
+    kept_col: str = "kept",
+    **options,
+) -> DataFrame:
+    """``measured``, a stored table, with the verdict."""
+    steps = sequence(measured, labels, id_col, counts_col)
+    step_col, name = (column_name(c, measured.columns) for c in ("step", "stops"))
+    stepped = measured.withColumn(step_col, rejecting_step(steps, counts_col))
+    passed = stepped.filter(~base_failed(counts_col))
+    stops = joint_steps(passed, labels, stratum_col, id_col=id_col, step_col=step_col, **options)
+    stops = materialize(stops, "stops")
+    pool = stops.filter("pooled").first()  # one row, or none
+    own = stops.filter("not pooled").select(F.struct("stratum", "stop").alias(name))
+    judged = stepped.join(own, F.col(f"`{stratum_col}`").eqNullSafe(F.col(name)["stratum"]), "left")
+    pooled = F.lit(pool.stop if pool else 0).cast("bigint")  # no step comes before 0
+    stop = F.when(F.col(name).isNotNull(), F.col(name)["stop"]).otherwise(pooled)
+    above = F.col(step_col).isNotNull() & (stop.isNull() | (F.col(step_col) < stop))
+    return judged.withColumn(kept_col, ~base_failed(counts_col) & ~above).drop(name, step_col)
+
+
 def keep_good(
     docs: DataFrame,
     labels: DataFrame,
@@ -383,18 +384,11 @@ def keep_good(
     text_col: str = "text",
     **options,
 ) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
-    slim = materialize(measure(docs, text_col, [id_col, stratum_col]), "counts")
-    stops = materialize(joint_steps(slim, labels, stratum_col, id_col=id_col, **options), "stops")
-    counts_col, name = (column_name(c, docs.columns) for c in ("counts", "stops"))
-    stops = stops.select(F.struct("*").alias(name))
-    judged = measure(docs, text_col, counts_col=counts_col).join(
-        stops, F.col(f"`{stratum_col}`").eqNullSafe(F.col(name)["stratum"]), "left"
-    )
-    stop, step = F.col(name)["stop"], rejecting_step(counts_col)
-    above = F.col(name).isNotNull() & step.isNotNull() & (stop.isNull() | (step < stop))
-    kept = judged.filter(~base_failed(counts_col) & ~F.coalesce(above, F.lit(False)))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that the rules keep, with their own columns; texts are measured once."""
+    counts_col, kept_col = (column_name(c, docs.columns) for c in ("counts", "kept"))
+    measured = materialize(measure(docs, text_col, counts_col=counts_col), "counts")
+    judged = judge(measured, labels, stratum_col, id_col, counts_col, kept_col, **options)
+    return judged.filter(F.col(kept_col)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def rate(
@@ -407,5 +401,4 @@ def rate(
 ) -> DataFrame:
     """A row per document: id, stratum, counts and the verdict ``kept``."""
     slim = materialize(measure(docs, text_col, [id_col, stratum_col]), "counts")
-    cutoffs = thresholds(slim, labels, stratum_col, id_col=id_col, **options)
-    return judge(slim, cutoffs, stratum_col, "counts", "kept")
+    return judge(slim, labels, stratum_col, id_col, **options)

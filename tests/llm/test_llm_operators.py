@@ -379,7 +379,7 @@ def labelled(spark, n, lang="en"):
     )
 
 
-def test_thresholds_follow_the_labels(spark):
+def test_cutoffs_follow_the_labels(spark):
     docs, labels = labelled(spark, 4000)
     few, few_labels = labelled(spark, 40, lang=None)
     few = few.withColumn("doc_id", F.col("doc_id") + 100_000)
@@ -390,72 +390,63 @@ def test_thresholds_follow_the_labels(spark):
         "doc_id bigint, quality bigint, toxic bigint",
     )
     every, every_label = docs.union(few), labels.union(few_labels).union(more)
-    measured = quality.measure(every, carry=["doc_id", "lang"])
-    cut = {
-        (r.stratum, r.rule): r for r in quality.thresholds(measured, every_label, "lang").collect()
-    }
-    assert {s for s, _ in cut} == {"en"}  # the few labels of the null stratum prove nothing
-    values = {}
     good = {r.doc_id for r in labels.filter("quality = 1").collect()} - {1}
-    for r in measured.filter("lang = 'en'").collect():
-        if r.doc_id in good:
-            values[r.doc_id] = 1000 * r.counts.n_symbols // r.counts.word_chars
-    rule = cut["en", "symbols"]
-    assert rule.n_good == len(values) and rule.n_allowed >= 0
-    # The strictest cutoff that rejects at most the allowed number.
-    rejected = lambda c: sum(v > c for v in values.values())
-    assert rejected(rule.cutoff) <= rule.n_allowed
-    assert rule.cutoff == 0 or rejected(rule.cutoff - 1) > rule.n_allowed
-    # Two strata, three rules: both errors are divided.
-    most = quality.allowed(rule.n_good, quality.RISK / 3, quality.DELTA / 6)
-    assert rule.n_allowed == most
     kept = {r.doc_id for r in quality.keep_good(every, every_label).collect()}
-    assert not kept & {k for k in range(0, 4000, 4)}
-    assert len(kept & good) >= 0.98 * len(good) and set(range(100_000, 100_040)) <= kept
-
-
-def walk(good, risk, delta):
-    """The cutoffs of the last step that holds, tried one by one; None if none can."""
-    most = quality.allowed(len(good), risk, delta)
-    cut = dict.fromkeys(quality.RULES, 1000)
-    if most < 0:
-        return None
-    for ends in quality.ROUNDS:
-        for rule, end in ends.items():
-            while cut[rule] > end:
-                tighter = {**cut, rule: cut[rule] - 1}
-                if sum(any(v[r] > c for r, c in tighter.items()) for v in good) > most:
-                    return cut
-                cut = tighter
-    return cut
-
-
-def test_joint_steps_follow_one_sequence(spark):
+    assert not kept & set(range(0, 4000, 4))
+    assert len(kept & good) >= 0.98 * len(good)
+    # The few labels of the null stratum prove nothing by themselves; the pool decides there.
+    assert not kept & set(range(100_000, 100_040, 4))
+    alone = {r.doc_id for r in quality.keep_good(few, few_labels).collect()}
+    assert alone == set(range(100_000, 100_040))
+
+
+def test_joint_steps_stop_at_the_first_that_fails(spark):
     own = random.Random(7)
-    share = lambda p, top: own.randrange(top) if own.random() < p else 0
-    rows, labels, shares = [], [], {}
-    for lang, n, p in (("a", 900, 0.03), ("b", 260, 0.004), (None, 700, 0.0), ("few", 200, 0.0)):
+    rows, labels, steps = [], [], {}
+    for lang, n, p in (("a", 900, 0.2), ("b", 260, 0.004), (None, 700, 0.0), ("few", 200, 0.03)):
         for _ in range(n):
-            k, v = len(rows), [share(p, 1001), share(3 * p, 400), share(p, 190)]
-            rows.append((k, lang, (1000, 1000, v[0], 1000, v[1], v[2])))
+            k, step = len(rows), own.randrange(1, 300) if own.random() < p else None
+            rows.append((k, lang, step))
             labels.append((k, 1, 0))
-            shares.setdefault(lang, {})[k] = dict(zip(quality.RULES, v))
-    schema = "doc_id bigint, lang string, counts struct<" + ", ".join(
-        f"{c}: bigint" for c in quality.COUNTS.names
-    )
-    measured = spark.createDataFrame(rows, schema + ">")
+            steps.setdefault(lang, []).append(step)
+    stepped = spark.createDataFrame(rows, "doc_id bigint, lang string, step bigint")
     labels = spark.createDataFrame(labels, "doc_id bigint, quality bigint, toxic bigint")
-    stops = {r.stratum: r for r in quality.joint_steps(measured, labels, "lang").collect()}
-    assert set(stops) == {"a", "b", None}  # 200 good labels are too few for one of four strata
-    step = quality.rejecting_step("counts").alias("step")
-    steps = {r.doc_id: r.step for r in measured.select("doc_id", step).collect()}
-    for lang, found in stops.items():
-        cut = walk(list(shares[lang].values()), quality.RISK, quality.DELTA / 4)
-        above = {k for k, v in shares[lang].items() if any(v[r] > c for r, c in cut.items())}
-        stop = 10**6 if found.stop is None else found.stop
-        assert {k for k in shares[lang] if steps[k] is not None and steps[k] < stop} == above
-        assert found.n_good == len(shares[lang]) and len(above) <= found.n_allowed
-    assert stops["a"].stop is not None and stops[None].stop is None
+    stops = {(r.pooled, r.stratum): r for r in quality.joint_steps(stepped, labels, "lang").collect()}
+    # 200 good labels are too few for one of five tests.
+    assert set(stops) == {(False, "a"), (False, "b"), (False, None), (True, None)}
+    steps["pool"] = [x for own in steps.values() for x in own]
+    for (pooled, stratum), found in stops.items():
+        values = steps["pool" if pooled else stratum]
+        assert found.n_good == len(values)
+        assert found.n_allowed == quality.allowed(len(values), quality.RISK, quality.DELTA / 5)
+        rejected = lambda k: sum(x is not None and x <= k for x in values)
+        fails = [k for k in range(1, 301) if rejected(k) > found.n_allowed]
+        assert found.stop == (fails[0] if fails else None)
+    assert stops[False, "a"].stop is not None and stops[False, None].stop is None
+
+
+def test_sequence_estimates_the_good_share():
+    """The more of a value's tail is explained by documents that are not good, the earlier."""
+    size = 1001
+    unlabelled, other, good = [0] * size, [0] * size, [0] * size
+    unlabelled[0], unlabelled[300], unlabelled[900] = 800, 100, 100  # at 900 all are bad
+    other[0], other[900], good[0] = 10, 10, 80
+    steps = quality._steps(unlabelled, other, good)
+    assert steps == sorted(steps, reverse=True) and steps[901:] == [0] * 100
+    assert steps[900] == quality.STEPS // 100  # nothing but the tenth of 100 in 1,000
+    assert steps[300] == quality.STEPS * (100 + 20) // 1000
+    assert quality._steps([0] * size, other, good)[900] == quality.STEPS // 2 * 11 // 10
+    assert quality._steps([0] * size, [0] * size, good) == [0] * size
+
+
+def test_holdout_has_no_part_in_the_sequence(spark):
+    docs, labels = labelled(spark, 400)
+    measured = quality.measure(docs, carry=["doc_id", "lang"])
+    found = quality.sequence(measured, labels)
+    swapped = measured.withColumn(
+        "counts", F.when(F.col("doc_id") % 4 == 0, F.col("counts")).otherwise(F.col("counts").withField("n_symbols", F.lit(1).cast("bigint")))
+    )
+    assert quality.sequence(swapped, labels) == found
 
 
 def test_quality_query(spark, small_dir, small_docs):

@@ -44,7 +44,7 @@ def test_all_but_the_last_return_documents(stages):
 
 def test_quality_stage(stages):
     failed = {e[0] for e in brute.counts(pairs(stages[0])) if e[-1]}
-    # Too few labels for cutoffs here, so only the base rules reject.
+    # Too few labels for cutoffs here, also in the pool, so only the base rules reject.
     assert {i for i, _ in pairs(stages[1])} == {i for i, _ in pairs(stages[0])} - failed
 
 

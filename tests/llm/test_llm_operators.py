@@ -502,6 +502,38 @@ def test_examples_have_all_turns_before_and_one_reply(spark):
     assert [chat.unescape(e.text[e.loss_start : e.loss_end]) for e in examples] == ["\\</s>", ""]
 
 
+def test_a_long_conversation_is_formatted_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A third of all rows in one conversation; every example's context is all before it."""
+    own = random.Random(5)
+    rows = [(7, k, ("user", "assistant", "tool")[own.randrange(3)], f"x{own.random()}<|" * (k % 4)) for k in range(3000)]
+    rows += [(k, t, "assistant" if t % 2 else "user", f"t{t}") for k in range(100, 1100) for t in range(6)]
+    own.shuffle(rows)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    spark.createDataFrame(rows, schema).repartition(6).write.parquet(str(tmp_path / "c"))
+    stored, real = {}, chat.materialize
+    monkeypatch.setattr(chat, "materialize", lambda df, name: stored.setdefault(name, real(df, name)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        segments = chat.format_turns(spark.read.parquet(str(tmp_path / "c")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = sorted(r for r in rows if r[0] == 7)
+    assert stored["turns"].filter("conv_id = 7").select("slice").distinct().count() >= 3
+    assert stored["earlier"].count() < 8
+    found = segments.filter("conv_id = 7").orderBy("nth").collect()
+    assert [(r.nth, r.turn) for r in found] == [(k, k) for k in range(3000)]
+    text = "".join(r.formatted for r in found)
+    replies = [x for _, _, role, x in hot if role == "assistant"]
+    examples = chat.prefix_examples(segments).filter("conv_id = 7").orderBy("example").collect()
+    assert [e.example for e in examples] == list(range(len(replies)))
+    for e, reply in zip(examples, replies):
+        assert chat.unescape(text[e.loss_start : e.loss_end]) == reply
+        assert len(chat.parse_turns(text[: e.context_end])) == e.nth
+    digest = {r.conv_id: r for r in chat.read_back(segments).collect()}
+    assert digest[7].turns_sha256 == brute.sha("".join(f"{r}\n{x}\n" for _, _, r, x in hot))
+    assert digest[7].loss_sha256 == brute.sha("".join(replies)) and len(digest) == 1001
+
+
 def test_escaping_is_reversible():
     own = random.Random(3)
     parts = [*chat.CONTROL, "\\", "<", "|", ">", "s", "\n", "x", "[", "/"]

@@ -84,6 +84,21 @@ def reachable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+def register_source(spark: SparkSession, source: type) -> None:
+    """Make a Python data source known to this session.
+
+    Spark looks a name up in the active session before it registers it, so this one is made
+    active meanwhile.
+    """
+    active = SparkSession.getActiveSession()
+    spark.createDataFrame([], "x int")  # its session becomes the active one
+    try:
+        spark.dataSource.register(source)
+    finally:
+        if active is not None:
+            active.createDataFrame([], "x int")
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

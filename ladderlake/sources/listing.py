@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ladderlake.session import materialize, reachable
+from ladderlake.session import materialize, reachable, register_source
 
 LISTING = "path string, length bigint, modificationTime timestamp"
 
@@ -113,6 +113,6 @@ def list_by_tasks(spark: SparkSession, path: str, glob: str = "*.json", levels:
     with a dot or an underscore, and files without a byte, are left out, as by Spark. A path that does not exist is an error.
     """
     reachable(spark)
-    spark.dataSource.register(ListingSource)
+    register_source(spark, ListingSource)
     reader = spark.read.format("landed_names").option("glob", glob).option("levels", levels)
     return materialize(reader.load(path), "listing")

@@ -54,3 +54,8 @@ def test_status_and_errors(spark, raw):
         list_by_tasks(spark, f"{raw}/nowhere").count()
     os.makedirs(f"{raw}/nothing/here", exist_ok=True)
     assert list_by_tasks(spark, f"{raw}/nothing").count() == 0
+
+
+def test_sessions_side_by_side_list(spark, raw):
+    for session in (spark, spark.newSession(), spark, spark.newSession()):
+        assert list_by_tasks(session, raw).count() == 708

@@ -83,7 +83,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return read_warc(spark, path).select(
+    # Filters on headers reach the source: blocks of other records are passed over, and only
+    # responses have a payload to verify.
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    responses = read_warc(own, path).filter("record_type = 'response'")
+    revisits = read_warc(own, path, verify=False).filter("record_type = 'revisit'")
+    return responses.unionByName(revisits).select(
         F.element_at("headers", "warc-page-id").cast("bigint").alias("page_id"),
         "payload_bytes",
         "payload_digest",

@@ -6,14 +6,17 @@ and the shuffled records are written. A shard is the row of its buckets, so its
 uniform permutation.
 
 Law ``key``: a record's shard follows from its id and the number of shards by jump
-consistent hashing; with one shard more, records move into the new shard only. Within a
-shard, the bucket follows from a number given to each record in scan order, so that neither
-a repeated id nor equal records fill one bucket. The order is the same in every run over
-the same files with the same split sizes.
+consistent hashing; with one shard more, records move into the new shard only. A repeated id
+makes its shard larger than the others, so each shard gets as many buckets as its own bytes
+need. Within a shard, the bucket follows from a number given to each record in scan order, so
+that neither a repeated id nor equal records fill one bucket. The order is the same in every
+run over the same files with the same split sizes. A shard is written as a folder of its own,
+each file in the order of its slots.
 
 Defined results: a null id is hashed like a value; null texts count no bytes of their own;
 repeated rows are records of their own; an empty table gives an empty one; extra columns
-travel along, and the added columns evade their names.
+travel along, and the added columns evade their names; a record larger than a bucket makes its
+bucket larger by itself.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladderlake.llm.text import column_name
-from ladderlake.session import materialize
+from ladderlake.session import staging_path
 
 BUCKET_BYTES = 16 << 20
 SEED = 20250711
@@ -62,6 +65,33 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     return order
 
 
+def scatter(
+    df: DataFrame,
+    n_shards: int,
+    id_col: str,
+    text_col: str,
+    seed: int,
+    bucket_bytes: int,
+    names: tuple[str, str, str],
+) -> DataFrame:
+    """The records with shard, number in scan order, and bucket: columns ``names``."""
+    shard_col, record, bucket = names
+    size = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("bigint") + 8
+    shard = shard_of(F.col(f"`{id_col}`"), n_shards, seed)
+    held = df.select(shard.alias("shard"), size.alias("size")).groupBy("shard").agg(F.sum("size"))
+    # One row for each shard: its buckets lie between those of its neighbours.
+    n_bytes = {row[0]: row[1] for row in held.collect()}
+    n_buckets = [max(1, -(-n_bytes.get(k, 0) // bucket_bytes)) for k in range(n_shards)]
+    first = np.concatenate([[0], np.cumsum(n_buckets)[:-1]]).tolist()
+    own = lambda values: F.element_at(
+        F.from_json(F.lit(str(values)), "array<bigint>"), F.col(shard_col) + 1
+    )
+    in_shard = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(record)), own(n_buckets))
+    return df.select(
+        "*", shard.alias(shard_col), F.monotonically_increasing_id().alias(record)
+    ).withColumn(bucket, own(first) + in_shard)
+
+
 def shard_records(
     df: DataFrame,
     n_shards: int,
@@ -74,22 +104,14 @@ def shard_records(
 ) -> DataFrame:
     """All records, shuffled and written to the shared folder, with shard and slot.
 
-    ``df`` has to be a stored table: it is scanned once to count the buckets, whose sizes
-    give the slots, and once to scatter the records. Should the scans differ, the job fails.
+    ``df`` has to be a stored table: it is scanned to measure the shards, to count the buckets,
+    whose sizes give the slots, and to scatter the records. Should the scans differ, the job
+    fails.
     """
-    size = F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("bigint") + 8
-    total = df.agg(F.sum(size)).first()[0] or 0
-    per_shard = max(1, -(-total // (bucket_bytes * n_shards)))
-
     shard_col, slot_col, record, bucket = (
         column_name(c, df.columns) for c in (shard_col, slot_col, "record", "bucket")
     )
-    in_shard = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(record)), F.lit(per_shard))
-    numbered = df.select(
-        "*",
-        shard_of(F.col(f"`{id_col}`"), n_shards, seed).alias(shard_col),
-        F.monotonically_increasing_id().alias(record),
-    ).withColumn(bucket, F.col(shard_col) * F.lit(per_shard).cast("bigint") + in_shard)
+    numbered = scatter(df, n_shards, id_col, text_col, seed, bucket_bytes, (shard_col, record, bucket))
 
     sizes = numbered.groupBy(shard_col, bucket).agg(F.count("*").alias("n"))
     earlier = F.sum("n").over(Window.partitionBy(shard_col).orderBy(bucket)) - F.col("n")
@@ -113,4 +135,7 @@ def shard_records(
         return held.append_column(slot_col, pa.array(slot)).select(names)
 
     groups = numbered.groupBy(bucket).cogroup(slots.groupBy(bucket))
-    return materialize(groups.applyInArrow(shuffle, schema), "shards")
+    shuffled = groups.applyInArrow(shuffle, schema).sortWithinPartitions(shard_col, slot_col)
+    path = staging_path(df.sparkSession, "shards")
+    shuffled.write.partitionBy(shard_col).parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path).select(names)

@@ -5,7 +5,8 @@ text writer, whose line separator is the two line ends behind every record; so f
 committed like any other and live on any file system. Of pages with equal payloads the one
 with the smallest page_id is a response, the others revisit it.
 
-``read_warc`` plans one partition per file. A reader parses a record's headers first; where
+``read_warc`` plans one partition per file, plain or ``.gz``; a plain file is passed over by
+seeking, a compressed one has to be unpacked to its end. A reader parses a record's headers first; where
 the record type or a header fails the predicates, the block is skipped unread. Predicates
 come as arguments, or as pushed-down filters on the top-level columns where
 ``spark.sql.python.filterPushdown.enabled`` is set. Payloads are only decoded where asked
@@ -14,12 +15,14 @@ for, and checked against their digest with ``verify``.
 Defined results: null html is an empty payload, a null url an empty one; line ends in a url
 are written percent-encoded; pages without page_id are never referred to; equal payloads
 whose smallest page_id occurs twice have a response for each of these rows; an empty table
-gives an archive without records; other columns of the pages are not looked at.
+gives an archive without records; a very long payload is a record like others, held whole by
+the task that decodes it; other columns of the pages, of whatever name, are not looked at.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 from collections.abc import Iterator
@@ -41,7 +44,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
-from ladderlake.session import materialize
+from ladderlake.session import materialize, register_source
 
 CRLF = "\r\n"
 # Fixed values of the format.
@@ -123,8 +126,9 @@ def records(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_warc(pages: DataFrame, path: str) -> None:
-    records(pages).write.option("lineSep", CRLF + CRLF).text(path)
+def write_warc(pages: DataFrame, path: str, compression: str = "none") -> None:
+    """Archives, one for each task; ``gzip`` makes them ``.gz``, which have to be read through."""
+    records(pages).write.options(lineSep=CRLF + CRLF, compression=compression).text(path)
 
 
 def read_warc(
@@ -139,7 +143,7 @@ def read_warc(
 
     ``headers`` names for a header the values that are wanted.
     """
-    spark.dataSource.register(WarcSource)
+    register_source(spark, WarcSource)
     pushes = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") == "true"
     options = {"types": record_types, "headers": headers, "payload": payload, "verify": verify}
     return spark.read.format("warc").options(
@@ -229,8 +233,9 @@ class WarcReader(DataSourceReader):
         system, _ = pyarrow.fs.FileSystem.from_uri(self.root)
         rows, held = [], 0
         with system.open_input_file(partition.path) as raw:
-            lines = _Lines(raw)
-            while (offset := lines.tell()) < lines.size:
+            lines = _Lines(_Unpacked(raw) if partition.path.endswith(".gz") else raw)
+            while not lines.ended():
+                offset = lines.tell()
                 headers = lines.headers(VERSION[:5])
                 end = lines.tell() + int(headers["content-length"])
                 if self.passes(headers):
@@ -285,6 +290,20 @@ class PushingReader(WarcReader):
             self.tests.append((header, kinds[type(one)], value))
 
 
+class _Unpacked:
+    """The content of a gzip file of one or many members, read forwards."""
+
+    def __init__(self, raw: pa.NativeFile):
+        self.unpacked = gzip.GzipFile(fileobj=raw)
+
+    def size(self) -> int:
+        return 1 << 62  # known at its end only
+
+    def read_at(self, n: int, place: int) -> bytes:
+        self.unpacked.seek(place)
+        return self.unpacked.read(n)
+
+
 class _Lines:
     """Header lines and blocks of a file, through a buffer."""
 
@@ -295,6 +314,9 @@ class _Lines:
     def tell(self) -> int:
         return self.start + self.at
 
+    def ended(self) -> bool:
+        return self.at >= len(self.buffer) and not self._more()
+
     def seek(self, place: int) -> None:
         if self.start <= place <= self.start + len(self.buffer):
             self.at = place - self.start

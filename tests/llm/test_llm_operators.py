@@ -1,8 +1,11 @@
 """Every operator on a table of odd documents, on an empty one, and on the given small tables."""
 
 import base64
+import gzip
 import hashlib
+import os
 import random
+import re
 import zlib
 from collections import Counter as Bag
 
@@ -51,6 +54,22 @@ def test_shards_hold_every_record_once(spark, odd_table, empty_table):
     assert sharding.shard_records(empty_table, 4).count() == 0
 
 
+def test_a_hot_id_gets_more_buckets(spark, tmp_path):
+    """A third of all bytes under one id: no bucket much larger than asked for."""
+    rows = [(1, "x" * 200)] * 5000 + [(k, "y" * 200) for k in range(2, 10_002)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    for n_shards in (24, 240):
+        dealt = sharding.scatter(stored, n_shards, "doc_id", "text", 1, 20_000, ("shard", "record", "bucket"))
+        sizes = dealt.groupBy("bucket").agg(F.sum(F.octet_length("text") + 8).alias("n"), F.count_distinct("shard").alias("s"))
+        worst = sizes.agg(F.max("n"), F.max("s")).first()
+        assert worst[0] <= 2.5 * 20_000 and worst[1] == 1
+    out = sharding.shard_records(stored, 24, bucket_bytes=20_000)
+    assert gapless(out.select("shard", "slot").collect()) and out.count() == 15_000
+    folders = {os.path.basename(os.path.dirname(f)) for f in out.inputFiles()}
+    assert folders == {f"shard={r.shard}" for r in out.select("shard").distinct().collect()}
+
+
 def test_a_repeated_row_does_not_fill_one_bucket(spark, tmp_path):
     rows = [(1, "x" * 100)] * 4000 + [(k, "y") for k in range(8000)]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "d"))
@@ -191,6 +210,50 @@ def test_warc_pushed_filters(spark):
         spark.conf.set(key, before)
 
 
+def test_warc_query_pushes_its_predicates(spark, small_dir, monkeypatch):
+    """Revisits are read without a block; responses are verified in the one read that keeps them."""
+    path = staging_path(spark, "warc-test")
+    warc.write_warc(spark.read.parquet(f"{small_dir}/pages.parquet"), path)
+    blocks = []
+    original = warc._Lines.read
+    monkeypatch.setattr(warc._Lines, "read", lambda self, n: blocks.append(n) or original(self, n))
+    counts = {}
+    for kind in ("response", "revisit"):
+        blocks.clear()
+        given = f'{{"verify": {str(kind == "response").lower()}, "payload": false}}'
+        reader = warc.PushingReader({"path": path, "given": given})
+        assert list(reader.pushFilters([warc.EqualTo(("record_type",), kind)])) == []
+        rows = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+        counts[kind] = (rows, len(blocks))
+    found = REGISTRY["op3_warc"](spark, small_dir)
+    held = {r.record_type: r["count"] for r in found.groupBy("record_type").count().collect()}
+    assert counts == {"response": (held["response"],) * 2, "revisit": (held.get("revisit", 0), 0)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RelationV2") == 2 and "record_type" not in plan.split("Filter")[-1][:60]
+
+
+@pytest.mark.parametrize("members", [False, True])
+def test_warc_gzip_archives(spark, tmp_path, members):
+    """Compressed whole, as Spark writes them, and record by record, as crawlers do."""
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    warc.write_warc(pages(spark), plain)
+    if members:
+        os.makedirs(packed)
+        for file in sorted(os.listdir(plain)):
+            if file.startswith("part"):
+                raw = open(f"{plain}/{file}", "rb").read()
+                ends = [m.end() for m in re.finditer(rb"\r\n\r\n(?=WARC/1\.1\r\nWARC-Type|$)", raw)]
+                parts = [raw[a:b] for a, b in zip([0, *ends], [*ends, len(raw)])]
+                open(f"{packed}/{file}.warc.gz", "wb").write(b"".join(gzip.compress(x) for x in parts if x))
+    else:
+        warc.write_warc(pages(spark), packed, compression="gzip")
+        assert any(f.endswith(".gz") for f in os.listdir(packed))
+    columns = ["record_type", "record_id", "target_uri", "payload_bytes", "payload_digest", "payload"]
+    read = lambda path, **more: rows_of(warc.read_warc(spark, path, payload=True, **more).select(columns))
+    assert read(packed) == read(plain)
+    assert read(packed, record_types=["revisit"]) == read(plain, record_types=["revisit"])
+
+
 def test_warc_finds_damage(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write_warc(pages(spark).filter("page_id = 6").limit(1), path)

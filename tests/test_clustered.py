@@ -87,7 +87,7 @@ def test_a_box_meets_few_row_groups(spark, tmp_path):
     path = write_clustered(df, str(tmp_path / "z"), ["x", "y"], files=16, options=small)
     df.repartition(16).write.options(**small).parquet(str(tmp_path / "plain"))
     for box in ({"x": (100, 150), "y": (700, 750)}, {"x": (0, 99)}, {"y": (500, 560)}):
-        assert may_hold(path, box) < (0.05 if len(box) == 2 else 0.45)
+        assert may_hold(path, box) < (0.08 if len(box) == 2 else 0.45)
         assert may_hold(str(tmp_path / "plain"), box) > 0.95
     assert spark.read.parquet(path).exceptAll(df).count() == 0
 

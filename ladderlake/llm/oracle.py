@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 from ladderlake.llm.chat import CONTROL, TRAINED_ROLE
-from ladderlake.llm.quality import DELTA, RISK, RULES, STEPS
+from ladderlake.llm.quality import DELTA, LEAST_DOCS, RISK, RULES, STEPS
 from ladderlake.llm.warc import BASE32, DIGITS32
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
@@ -162,13 +162,32 @@ lines as (
   select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
   from (select doc_id, unnest(string_split(t, chr(10))) as line from docs)
   where regexp_matches(line, '[^ \x09-\x0D]') group by doc_id),
+labelled as (
+  select doc_id, coalesce(max(toxic), 0) = 1 as toxic from labels
+  where quality is not null and doc_id is not null group by doc_id),
+tokens as (
+  select d.doc_id, toxic, {_WORDS} as t from documents d left join labelled using (doc_id)),
+held as (select doc_id, toxic, unnest(list_distinct(t)) as term from tokens),
+toxic_sizes as (
+  select cast(count(*) filter (toxic) as bigint) as n_toxic, cast(count(toxic) as bigint) as n_labelled,
+    cast(count(*) filter (toxic is null) as bigint) as n_free from tokens),
+toxic_terms as (
+  select term
+  from (select term, cast(count(*) filter (toxic) as bigint) as n,
+      cast(count(*) filter (toxic is null) as bigint) as m from held group by term), toxic_sizes
+  where n_free > 0 and n >= {LEAST_DOCS} and 20 * n >= n_toxic and 2 * n * n_free >= m * n_labelled),
+toxic_words as (
+  select doc_id, count(*) as n_toxic_words
+  from (select doc_id, unnest(t) as term from tokens) semi join toxic_terms using (term)
+  group by doc_id),
 counts as (
-  select doc_id, lang, len(w) as n_words,
+  select doc_id, lang, len(w) as n_words, coalesce(n_toxic_words, 0) as n_toxic_words,
     cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
     coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
     coalesce(n_repeat_words, 0) as n_repeat_words
-  from docs left join lines using (doc_id) left join repeats using (doc_id)),
+  from docs left join lines using (doc_id) left join repeats using (doc_id)
+    left join toxic_words using (doc_id)),
 judged as (
   select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counts),
 shares as ({_SHARES}),
@@ -201,15 +220,15 @@ ranks as (
 steps as (
   select doc_id, min(case when shares.value > 0 then step end) as step
   from shares left join ranks using (rule, value) where not base_failed group by doc_id),
-held as (
+good_steps as (
   select false as pooled, lang, step, count(*) as n
   from judged join steps using (doc_id) join good using (doc_id) group by lang, step),
 every as (
-  select * from held
-  union all select true, null, step, cast(sum(n) as bigint) from held group by step),
+  select * from good_steps
+  union all select true, null, step, cast(sum(n) as bigint) from good_steps group by step),
 totals as (select pooled, lang, cast(sum(n) as bigint) as n_good from every group by pooled, lang),
 errors as (
-  select {RISK} as p, {DELTA} / (1 + count(distinct coalesce(lang, ''))) as delta from held),
+  select {RISK} as p, {DELTA} / (1 + count(distinct coalesce(lang, ''))) as delta from good_steps),
 chances as (
   select n_good, k, sum(exp(lgamma(n_good + 1) - lgamma(k + 1) - lgamma(n_good - k + 1)
       + k * ln(p) + (n_good - k) * ln(1 - p))) over (partition by n_good order by k) as up_to

@@ -16,6 +16,12 @@ to the same estimate, to which a tenth of the share of all unlabelled documents
 is added, so that the most extreme go first where the estimate is zero. A share of zero is
 never rejected. Only counts by rule and thousandth are kept of them, 1,001 for each rule.
 
+One of the rules looks at terms that mark toxic documents, which are learnt. Candidates are
+terms of at least a twentieth of the documents labelled toxic, fitted on ``FIT_DOCS`` of these at
+most and on ``CANDIDATES`` terms at most. All documents without a label are then counted: a
+candidate marks toxicity if at least half of those that hold it are toxic, as estimated from
+the labels' share of toxic documents. The holdout has no part in it.
+
 A stratum with too few good labels for any cutoff takes those of the pooled stratum, of all
 languages together. Their guarantee is weaker: at most ``risk`` of the good documents of all
 strata are rejected by them. Where even the pool has too few, only the base rules reject.
@@ -26,7 +32,8 @@ Defined results: null or empty texts have zero counts and fail the base rule; a
 is a stratum; a document without a label, or with a null one, is outside the holdout; of several
 labels for one doc_id the worst counts; labels of a null doc_id are left out; repeated rows are
 judged one by one, and are all in the holdout or all outside; a very long text is a chunk of its
-own; with empty labels, or no document outside the holdout, only the base rule rejects; an empty
+own; with empty labels, or no document outside the holdout, only the base rule rejects; without
+unlabelled documents no term marks toxicity; an empty
 table of documents gives an empty one; columns of clashing names are kept, and the added ones
 evade them.
 """
@@ -39,11 +46,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladderlake.llm.text import (
+    ALNUM,
     chunks,
     column_name,
     covered,
@@ -72,6 +81,8 @@ COUNTS = T.StructType(
             "n_repeat_words",
         )
     ]
+    # Which candidate terms a text holds, and how often each.
+    + [T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("times", T.ArrayType(T.LongType()))]
 )
 
 # Rule: share in thousandths, rejected above a cutoff.
@@ -79,8 +90,13 @@ RULES = {
     "symbols": ("n_symbols", "word_chars"),
     "duplicate_lines": ("n_dup_lines", "n_lines"),
     "repeated_words": ("n_repeat_words", "n_words"),
+    "toxic_terms": ("n_toxic_words", "n_words"),
 }
 
+FIT_DOCS = 20_000
+CANDIDATES = 20_000
+LEAST_DOCS = 10
+
 STEPS = 10_000
 
 _SYMBOL = np.zeros(256, bool)
@@ -138,13 +154,36 @@ def counts(column: pa.ChunkedArray) -> dict[str, np.ndarray]:
     }
 
 
+def terms_held(column: pa.ChunkedArray, candidates: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """For each text the numbers of the candidates it holds, increasing, and how often."""
+    n_texts = len(column)
+    if len(candidates):
+        found = words(column, ALNUM, lower=True)
+        codes, dictionary = found.codes()
+        own = pc.fill_null(pc.index_in(dictionary, candidates), -1).to_numpy()[codes]
+        held = own >= 0
+        keys = np.sort(found.of()[held] * len(candidates) + own[held])
+    else:
+        keys = np.zeros(0, np.int64)
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    times = np.diff(np.append(first, len(keys)))
+    doc, term = np.divmod(keys[first], max(1, len(candidates)))
+    bounds = pa.array(np.searchsorted(doc, np.arange(n_texts + 1)).astype(np.int32))
+    return (
+        pa.ListArray.from_arrays(bounds, pa.array(term.astype(np.int32))),
+        pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int64))),
+    )
+
+
 def measure(
     docs: DataFrame,
     text_col: str = "text",
     carry: list[str] | None = None,
     counts_col: str = "counts",
+    candidates: list[str] | None = None,
 ) -> DataFrame:
     """The documents (columns ``carry``, or all) with a struct of their counts."""
+    wanted = pa.array([t.encode() for t in candidates or []], pa.large_binary())
     carry = docs.columns if carry is None else carry
     counts_col = column_name(counts_col, carry)
     kept = docs.select(*[F.col(f"`{c}`") for c in carry])
@@ -153,6 +192,7 @@ def measure(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunks(batches, 0):
             found = counts(table.column(0))
+            found["terms"], found["times"] = terms_held(table.column(0), wanted)
             struct = pa.StructArray.from_arrays(
                 [pa.array(found[c]) for c in COUNTS.names], names=COUNTS.names
             )
@@ -241,6 +281,85 @@ def base_failed(counts_col: str) -> F.Column:
     return (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
 
 
+def labelled_toxic(labels: DataFrame, id_col: str) -> DataFrame:
+    """(label_id, toxic) for each labelled document."""
+    known = labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
+    worst = F.coalesce(F.max("toxic"), F.lit(0)) == 1
+    return known.groupBy(F.col(id_col).alias("label_id")).agg(worst.alias("toxic"))
+
+
+def candidate_terms(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[dict[str, int], int]:
+    """Terms of at least a twentieth of a sample of toxic documents, in how many each is, and
+    the sample's size. The sample's ids, ``FIT_DOCS`` of them, are broadcast."""
+    ids = labelled_toxic(labels, id_col).filter("toxic").select("label_id")
+    ids = materialize(ids.orderBy(F.xxhash64("label_id"), "label_id").limit(FIT_DOCS), "toxic_ids")
+    own = docs.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{text_col}`").alias("text"))
+    sample = own.join(F.broadcast(ids), "label_id", "left_semi").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in chunks(batches, 0):
+            found = words(table.column(0), ALNUM, lower=True)
+            codes, terms = found.codes()
+            pairs = np.unique(found.of() * max(1, len(terms)) + codes, return_index=True)[0]
+            n = np.bincount(pairs % max(1, len(terms)), minlength=len(terms))
+            names = pa.concat_arrays([terms.cast(pa.large_string()).cast(pa.string()), pa.nulls(1, pa.string())])
+            columns = [names, pa.array(np.append(n, table.num_rows).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+
+    held = sample.mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    held = materialize(held, "toxic_words")
+    n_docs = held.filter("term is null").agg(F.sum("n")).first()[0] or 0
+    often = held.filter(f"term is not null and n >= {LEAST_DOCS} and 20 * n >= {n_docs}")
+    rows = often.orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()
+    return {r.term: r.n for r in rows}, n_docs
+
+
+def toxic_terms(
+    measured: DataFrame,
+    labels: DataFrame,
+    candidates: dict[str, int],
+    n_sample: int,
+    id_col: str,
+    counts_col: str,
+) -> list[int]:
+    """The numbers of the candidates that mark toxic documents, by all unlabelled documents."""
+    slim = measured.select(F.col(f"`{id_col}`").alias("label_id"), F.col(counts_col)["terms"].alias("terms"))
+    slim = slim.join(labelled_toxic(labels, id_col), "label_id", "left").select("toxic", "terms")
+    sizes = {r.toxic: r["n"] for r in slim.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    free, toxic = sizes.get(None, 0), sizes.get(True, 0)
+    if not (candidates and free):
+        return []
+    held = slim.filter("toxic is null").select(F.explode("terms").alias("term"))
+    held = {r.term: r["n"] for r in held.groupBy("term").agg(F.count("*").alias("n")).collect()}
+    labelled = toxic + sizes.get(False, 0)
+    return [
+        k
+        for k, n in enumerate(candidates.values())
+        if 2 * toxic * n * free >= held.get(k, 0) * labelled * n_sample
+    ]
+
+
+def measure_all(
+    docs: DataFrame,
+    labels: DataFrame,
+    carry: list[str],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    counts_col: str = "counts",
+) -> DataFrame:
+    """The documents (columns ``carry``), stored, with all counts, toxic words among them."""
+    candidates, n_sample = candidate_terms(docs, labels, id_col, text_col)
+    measured = materialize(measure(docs, text_col, carry, counts_col, list(candidates)), "counts")
+    toxic = toxic_terms(measured, labels, candidates, n_sample, id_col, counts_col)
+    found, marks = F.col(counts_col), F.from_json(F.lit(str(toxic)), "array<int>")
+    pairs = F.arrays_zip(found["terms"], found["times"])
+    marked = F.filter(pairs, lambda x: F.array_contains(marks, x["terms"]))
+    n = F.aggregate(marked, F.lit(0).cast("bigint"), lambda a, x: a + x["times"])
+    return measured.withColumn(counts_col, found.dropFields("terms", "times").withField("n_toxic_words", n))
+
+
 def sequence(
     measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", counts_col: str = "counts"
 ) -> dict[str, list[int]]:
@@ -386,7 +505,7 @@ def keep_good(
 ) -> DataFrame:
     """The documents that the rules keep, with their own columns; texts are measured once."""
     counts_col, kept_col = (column_name(c, docs.columns) for c in ("counts", "kept"))
-    measured = materialize(measure(docs, text_col, counts_col=counts_col), "counts")
+    measured = measure_all(docs, labels, docs.columns, id_col, text_col, counts_col)
     judged = judge(measured, labels, stratum_col, id_col, counts_col, kept_col, **options)
     return judged.filter(F.col(kept_col)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -400,5 +519,5 @@ def rate(
     **options,
 ) -> DataFrame:
     """A row per document: id, stratum, counts and the verdict ``kept``."""
-    slim = materialize(measure(docs, text_col, [id_col, stratum_col]), "counts")
+    slim = measure_all(docs, labels, [id_col, stratum_col], id_col, text_col)
     return judge(slim, labels, stratum_col, id_col, **options)

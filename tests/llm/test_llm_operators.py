@@ -504,7 +504,7 @@ def test_sequence_estimates_the_good_share():
 
 def test_holdout_has_no_part_in_the_sequence(spark):
     docs, labels = labelled(spark, 400)
-    measured = quality.measure(docs, carry=["doc_id", "lang"])
+    measured = quality.measure_all(docs, labels, ["doc_id", "lang"])
     found = quality.sequence(measured, labels)
     swapped = measured.withColumn(
         "counts", F.when(F.col("doc_id") % 4 == 0, F.col("counts")).otherwise(F.col("counts").withField("n_symbols", F.lit(1).cast("bigint")))
@@ -512,6 +512,41 @@ def test_holdout_has_no_part_in_the_sequence(spark):
     assert quality.sequence(swapped, labels) == found
 
 
+def test_terms_that_mark_toxic_documents(spark, tmp_path):
+    """Learnt from labels and unlabelled documents; what good documents also hold marks nothing."""
+    own = random.Random(11)
+    rows, labels = [], []
+    for k in range(3000):
+        toxic = own.random() < 0.15
+        words = [f"w{own.randrange(400)}" for _ in range(80)] + ["usual"] * own.randrange(2)
+        if toxic:
+            words += own.sample(["Vile,", "nasty!", "rotten", "usual", "NASTY"], 3)
+        own.shuffle(words)
+        rows.append((k, " ".join(words), "en"))
+        if k % 2:
+            labels.append((k, 1, int(toxic)))
+    rows += [(None, None, "en"), (5, "", None), (3001, "vile " * 4 + "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11", "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality bigint, toxic bigint")
+    candidates, n = quality.candidate_terms(docs, labels)
+    toxic_ids = {r.doc_id for r in labels.filter("toxic = 1").collect()}
+    assert n == len(toxic_ids)
+    sets = {i: set(brute.ALNUM.findall(brute.lower(t or ""))) for i, t, _ in rows if i in toxic_ids}
+    assert all(candidates[t] == sum(t in own for own in sets.values()) for t in ("vile", "usual", "w7"))
+    measured = quality.measure_all(docs, labels, ["doc_id", "lang"])
+    assert measured.columns == ["doc_id", "lang", "counts"]
+    found = {r.doc_id: r.counts.n_toxic_words for r in measured.collect() if r.doc_id is not None}
+    marks = {"vile", "nasty", "rotten"}
+    for i, t, _ in rows[:500]:
+        assert found[i] == sum(w in marks for w in brute.ALNUM.findall(brute.lower(t or "")))
+    assert found[3001] == 4
+    kept = {r.doc_id for r in quality.keep_good(docs, labels).collect()}
+    assert not kept & toxic_ids and 3001 not in kept
+    clean = {i for i, t, _ in rows if t and not marks & set(brute.ALNUM.findall(brute.lower(t)))} - {5}
+    assert len(kept & clean) >= 0.98 * len(clean)
+
+
 def test_quality_query(spark, small_dir, small_docs):
     found = REGISTRY["op6_quality_rules"](spark, small_dir)
     assert rows_of(found.drop("kept")) == brute.counts(small_docs)

@@ -289,6 +289,10 @@ SQL: dict[str, str] = {
     from standings""",
     "bronze_all_fields": _ALL
     + "select player_id, tier, points, p_size from standings join part on p_partkey = player_id",
+    "published_versions": _ALL
+    + """select player_id, player_name, tier, division,
+      round(points + case when tier = 'PROMO' then 1 else 0 end, 6) as points, wins, losses
+    from standings where tier <> 'ECONOMY' or tier is null""",
     "publish_changed": _ALL
     + """select tier, case tier when 'PROMO' then 'written' when 'ECONOMY' then 'written'
         when 'STANDARD' then 'deleted' else 'kept' end as action,

@@ -74,6 +74,9 @@ from ladderlake.sources import (
     next_page,
     not_yet_loaded,
     publish_changed,
+    publish_values,
+    publish_version,
+    read_published,
     read_table,
     reject_empty,
     scan_json,
@@ -481,6 +484,17 @@ def publish_changed_tiers(spark, sf_dir):
     return actions.join(stored, "tier", "left").withColumn("wins", F.coalesce("wins", F.lit(0).cast("bigint")))
 
 
+@query("published_versions")
+def published_versions(spark, sf_dir):
+    """One tier is published anew, out of the table itself, and another is emptied, each at once."""
+    path = staging_path(spark, "versions")
+    publish_version(views.standings(spark, sf_dir), path, ["tier"])
+    before = read_published(spark, path)
+    one_tier = before.filter("tier = 'PROMO'").withColumn("points", F.col("points") + 1)
+    publish_values(one_tier, path, "tier", ["PROMO", "ECONOMY"])
+    return rounded(read_published(spark, path), "points")
+
+
 @query("partition_new_field")
 def partition_new_field(spark, sf_dir):
     """A field that came with the reload of one tier is in silver; -1 where it is not."""

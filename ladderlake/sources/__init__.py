@@ -31,6 +31,7 @@ from ladderlake.sources.tables import (
     write_csv,
     write_table,
 )
+from ladderlake.sources.versions import publish_values, publish_version, read_published
 
 __all__ = [
     "CSV_OPTIONS",
@@ -50,6 +51,9 @@ __all__ = [
     "parse_once",
     "partition_digests",
     "publish_changed",
+    "publish_values",
+    "publish_version",
+    "read_published",
     "read_table",
     "record_fields",
     "reject_empty",

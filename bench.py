@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR and BENCH_CPUS choose data and cores, BENCH_QUERIES (a comma
 list, or ``all``) the queries, BENCH_RUNS how often each runs; the median counts. Every
-query writes its full result to the no-op sink. Raw files that several queries read are
+query writes its full result to the no-op sink. Raw files and documents that queries read are
 landed once, before, and timed as ``landing_*``.
 """
 
@@ -28,7 +28,7 @@ HEADLINE = (
     "describe_by_tier",
     "null_percentages",
     "explode_participants",
-    "match_facts",
+    "match_facts_stored",
     "json_scan_standings",
     "landing_dedup",
     "lookup_chain",
@@ -60,10 +60,10 @@ def main() -> None:
     REGISTRY["top_n_players"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     seconds, spread = {}, {}
-    for name in ("landed_standings", "landed_matches"):
+    for name in ("landed_standings", "landed_matches", "stored_docs"):
         start = time.perf_counter()
         path = getattr(queries, name)(spark, sf_dir)
-        seconds[name.replace("landed", "landing")] = round(time.perf_counter() - start, 3)
+        seconds[name.replace("landed", "landing").replace("stored", "landing")] = round(time.perf_counter() - start, 3)
         setattr(queries, name, lambda spark, sf_dir, path=path: path)
     for name in names:
         times = []

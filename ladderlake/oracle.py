@@ -265,6 +265,7 @@ SQL: dict[str, str] = {
     + """select "matchId", coalesce(player_id, -1) as player_id, coalesce(slot, -1) as slot,
     coalesce(cast(win as int), -1) as win, team, gold, damage from outer_facts""",
     "match_facts": f"select {_full_columns()} from lineitem",
+    "match_facts_stored": f"select {_full_columns()} from lineitem",
     "explode_stored_docs": """select cast(l_orderkey as varchar) as "matchId",
     l_partkey as player_id, l_extendedprice as damage from lineitem""",
     "json_scan_standings": _STANDINGS_ROWS,

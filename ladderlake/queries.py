@@ -357,6 +357,18 @@ def match_facts_all_columns(spark, sf_dir):
     return match_facts(views.match_docs(spark, sf_dir, views.full_participant()))
 
 
+def stored_docs(spark, sf_dir) -> str:
+    """Match documents with all participant fields, as a columnar table."""
+    docs = views.match_docs(spark, sf_dir, views.full_participant())
+    return write_table(docs, staging_path(spark, "full-docs"))
+
+
+@query("match_facts_stored")
+def match_facts_of_stored_docs(spark, sf_dir):
+    """All columns of the participant facts, out of stored documents."""
+    return match_facts(read_table(spark, stored_docs(spark, sf_dir)))
+
+
 @query("explode_stored_docs")
 def explode_stored_docs(spark, sf_dir):
     """Two fields out of nested documents in a columnar table."""

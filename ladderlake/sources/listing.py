@@ -17,8 +17,8 @@ LISTING = "path string, length bigint, modificationTime timestamp"
 BATCH = 10_000
 
 
-def _open(path: str):
-    """The file system of a path, the path within it, and what Spark puts before that."""
+def open_path(path: str):
+    """The file system of a path, as tasks reach it, the path within, and what Spark puts before."""
     from pyarrow import fs
 
     if "://" not in path and not path.startswith("file:"):
@@ -50,7 +50,7 @@ class ListingReader(DataSourceReader):
         """One prefix for each folder ``levels`` below the root, and the files above them."""
         from pyarrow import fs
 
-        system, root, _ = _open(self.root)
+        system, root, _ = open_path(self.root)
         if system.get_file_info(root).type == fs.FileType.NotFound:
             raise FileNotFoundError(self.root)
         level, found = [root], []
@@ -62,7 +62,7 @@ class ListingReader(DataSourceReader):
     def read(self, partition: Prefix) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        system, _, before = _open(self.root)
+        system, _, before = open_path(self.root)
         held: list[tuple] = []
         folders = [partition.path]
         while folders:

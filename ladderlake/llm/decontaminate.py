@@ -5,14 +5,19 @@ sorted as deep as a window is long, and every suffix of the benchmark items that
 window is binary-searched in it. All places found are kept, and neighbouring ones on the
 same diagonal are joined into the longest verbatim matches. There is no shuffle.
 
-The benchmark is the stated query set. It reaches the tasks in blocks of a bounded number
-of bytes, whatever its size.
+The benchmark is the stated query set. It is written to the shared folder in blocks of a bounded
+number of bytes, and a task reads one at a time; the last ``HELD_BLOCKS`` that were parsed are kept,
+so a benchmark of that many blocks is parsed once in a task. Neither the driver nor a worker
+holds it whole. A window that many items share is searched once; matches, which are as many as
+places and items together, are listed only where they are asked for.
 
 Defined results: a null or empty document has no words and no hit; a null or empty item
 never occurs; an item of fewer words than a window is a window of its own; a null item_id
 reads as the empty string; rows that repeat an item_id count as one item, whose texts are
 all searched; repeated documents are judged one by one; an empty benchmark hits nothing.
-Matches never cross a document's or an item's end. Any other columns are carried along.
+Matches never cross a document's or an item's end. A very long document is a chunk of its own,
+an empty table of documents gives an empty one, and columns of any name are carried along; the
+added one evades them.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +43,12 @@ from ladderlake.llm.text import (
     per_text,
     words,
 )
+from ladderlake.session import reachable, staging_path
+from ladderlake.sources.listing import open_path
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+HELD_BLOCKS = 2
 
 _MATCH = T.StructType(
     [
@@ -113,6 +123,29 @@ class Items:
         self.item = of[self.starts]
         self.place = place[self.starts]
         self.length = np.minimum(n[self.item], window)
+        self.window = window
+        self._kinds: tuple[np.ndarray, np.ndarray] | None = None
+        self._owners: dict[int, tuple[str, ...]] = {}
+
+    def kinds(self) -> tuple[np.ndarray, np.ndarray]:
+        """One window of each distinct sequence of words, and which of these each window is."""
+        if self._kinds is None:
+            codes = np.append(self.codes, np.full(self.window, -1)).astype(np.int64)
+            rows = codes[self.starts[:, None] + np.arange(self.window)]
+            rows[np.arange(self.window) >= self.length[:, None]] = -1
+            rows = np.ascontiguousarray(rows).view(f"V{8 * self.window}").ravel()
+            _, first, own = np.unique(rows, return_index=True, return_inverse=True)
+            self._kinds = first, own
+            self._order = np.argsort(own, kind="stable")
+            self._bounds = np.searchsorted(own[self._order], np.arange(len(first) + 1))
+        return self._kinds
+
+    def owners(self, kind: int) -> tuple[str, ...]:
+        """The ids of the items that have a window of this kind."""
+        if kind not in self._owners:
+            held = self._order[self._bounds[kind] : self._bounds[kind + 1]]
+            self._owners[kind] = tuple({self.ids[i] for i in self.item[held].tolist()})
+        return self._owners[kind]
 
 
 class Shard:
@@ -151,21 +184,22 @@ class Shard:
             high[open_] = np.where(below, high[open_], mid)
         return low
 
-    def search(self, items: Items) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (window number, word number) of all places where a window occurs."""
-        if not len(items.starts) or not len(self.doc):
+    def search(self, items: Items, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (window number, word number) of all places where one of the windows occurs."""
+        if not len(which) or not len(self.doc):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         known = pc.index_in(items.dictionary, value_set=self.dictionary)
         known = known.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         codes = np.append(known[items.codes], np.full(self.window, -1))
-        wanted = codes[items.starts[:, None] + np.arange(self.window)] + 1
-        inside = np.arange(self.window) < items.length[:, None]
+        wanted = codes[items.starts[which][:, None] + np.arange(self.window)] + 1
+        length = items.length[which]
+        inside = np.arange(self.window) < length[:, None]
         whole = np.flatnonzero(((wanted > 0) | ~inside).all(axis=1))
-        wanted, length = wanted[whole], items.length[whole]
+        wanted, length, which = wanted[whole], length[whole], which[whole]
         low = self.bound(wanted, length, right=False)
         counts = self.bound(wanted, length, right=True) - low
         place = self.suffixes[gather(low, counts)]
-        return np.repeat(whole, counts), np.searchsorted(self.at, place)
+        return np.repeat(which, counts), np.searchsorted(self.at, place)
 
 
 def longest(items: Items, window: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -183,23 +217,28 @@ def longest(items: Items, window: np.ndarray, word: np.ndarray) -> tuple[np.ndar
     return window[new], word[new], word[last] + items.length[window[last]] - word[new]
 
 
-def leaks(shard: Shard, blocks: Iterable[Items]) -> pa.StructArray:
-    """One row of ``LEAKS`` for each document of the shard."""
+def leaks(shard: Shard, blocks: Iterable[Items], with_matches: bool = True) -> pa.StructArray:
+    """One row of ``LEAKS`` for each document of the shard; no matches unless asked for."""
     first, n_docs = shard.words.first, len(shard.words.first) - 1
     hit = np.zeros(len(shard.doc), bool)
     names: dict[int, set[str]] = {}
     matches: dict[int, list[dict]] = {}
     for items in blocks:
-        window, word = shard.search(items)
+        kinds, own = items.kinds()
+        window, word = shard.search(items, np.arange(len(items.starts)) if with_matches else kinds)
         for length in np.unique(items.length[window]):
-            own = word[items.length[window] == length]
-            hit |= covered(own, int(length), len(hit))
+            hit |= covered(word[items.length[window] == length], int(length), len(hit))
+        # Which kinds of windows each document holds, and whose they are.
+        pairs = np.unique(np.stack([shard.doc[word], own[window]]), axis=1) if len(word) else []
+        for doc, kind in np.transpose(pairs).tolist():
+            names.setdefault(doc, set()).update(items.owners(kind))
+        if not with_matches:
+            continue
         for w, start, length in zip(*longest(items, window, word)):
-            doc, name = int(shard.doc[start]), items.ids[items.item[w]]
-            names.setdefault(doc, set()).add(name)
+            doc = int(shard.doc[start])
             matches.setdefault(doc, []).append(
                 {
-                    "item_id": name,
+                    "item_id": items.ids[items.item[w]],
                     "item_start": int(items.place[w]),
                     "doc_start": int(start - first[doc]),
                     "length": int(length),
@@ -218,18 +257,45 @@ def leaks(shard: Shard, blocks: Iterable[Items]) -> pa.StructArray:
 _MATCHES = pa.list_(to_arrow_type(_MATCH))
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> list:
-    """The items as broadcast variables of about ``size`` bytes each."""
-    items = benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).distinct()
-    held = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + 32
+def store_blocks(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> tuple[str, int]:
+    """The distinct items in folders of about ``size`` bytes; the path, and how many these are."""
+    items = benchmark.select(
+        F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text")
+    ).distinct()
+    held = F.coalesce(F.octet_length("text"), F.lit(0)) + 32
     total = items.agg(F.sum(held)).first()[0] or 0
     n = -(-total // size)
-    block = F.pmod(F.xxhash64(*items.columns), F.lit(n))
-    context = benchmark.sparkSession.sparkContext
-    return [
-        context.broadcast([tuple(row) for row in items.filter(block == b).collect()])
-        for b in range(n)
-    ]
+    path = staging_path(benchmark.sparkSession, "benchmark")
+    if n:
+        block = F.pmod(F.xxhash64("id", "text"), F.lit(n))
+        items.withColumn("block", block).repartition("block").write.partitionBy("block").parquet(path)
+    return path, n
+
+
+class Blocks:
+    """The stored blocks, parsed when a task gets to them; the last few are kept."""
+
+    def __init__(self, path: str, n: int, window: int):
+        self.path, self.n, self.window = path, n, window
+        self.held: dict[int, Items] = {}
+
+    def __iter__(self) -> Iterator[Items]:
+        # Kept ones first, so that every round reads only the others.
+        for k in sorted(range(self.n), key=lambda k: k not in self.held):
+            if k not in self.held:
+                while len(self.held) >= HELD_BLOCKS:
+                    self.held.pop(next(iter(self.held)))
+                self.held[k] = self._read(k)
+            yield self.held[k]
+
+    def _read(self, k: int) -> Items:
+        system, within, _ = open_path(self.path)
+        folder = f"{within}/block={k}"
+        if system.get_file_info(folder).type == pyarrow.fs.FileType.NotFound:
+            return Items([], self.window)
+        table = pq.read_table(folder, columns=["id", "text"], filesystem=system)
+        rows = list(zip(table.column("id").to_pylist(), table.column("text").to_pylist()))
+        return Items(rows, self.window)
 
 
 def find_leaks(
@@ -241,22 +307,25 @@ def find_leaks(
     item_text_col: str = "text",
     carry: list[str] | None = None,
     leak_col: str = "leaks",
+    with_matches: bool = True,
 ) -> DataFrame:
     """The documents (columns ``carry``, or all) with a struct of what leaked into them.
 
     The struct has the fields of ``LEAKS``: words, words inside occurring windows, the ids
-    of items with such a window, and the longest matches with their places in words.
+    of items with such a window, and the longest matches with their places in words, of which
+    there are none without ``with_matches``.
     """
-    blocks = blocks_of(benchmark, item_col, item_text_col, BLOCK_BYTES)
+    reachable(docs.sparkSession)
+    path, n_blocks = store_blocks(benchmark, item_col, item_text_col, BLOCK_BYTES)
     carry = docs.columns if carry is None else carry
     leak_col = column_name(leak_col, carry)
     kept = docs.select(*[F.col(f"`{c}`") for c in carry])
     names = [*carry, leak_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = Blocks(path, n_blocks, window)
         for table in chunks(batches, 0):
-            shard = Shard(table.column(0), window)
-            found = leaks(shard, (Items(block.value, window) for block in blocks))
+            found = leaks(Shard(table.column(0), window), blocks, with_matches)
             table = table.remove_column(0).combine_chunks()
             columns = [c.combine_chunks() for c in table.columns]
             yield pa.RecordBatch.from_arrays([*columns, found], names=names)
@@ -269,5 +338,5 @@ def find_leaks(
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents into which no window of the benchmark leaked, with their own columns."""
     name = column_name("leaks", docs.columns)
-    found = find_leaks(docs, benchmark, leak_col=name, **options)
+    found = find_leaks(docs, benchmark, leak_col=name, with_matches=False, **options)
     return found.filter(F.col(name)["n_hit"] == 0).drop(name)

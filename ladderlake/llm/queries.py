@@ -104,7 +104,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = find_leaks(docs, items, carry=["doc_id"])
+    found = find_leaks(docs, items, carry=["doc_id"], with_matches=False)
     return found.select(
         "doc_id",
         "leaks.n_words",

@@ -318,6 +318,40 @@ def test_leaks(spark, odd_table, table_docs, empty_table, monkeypatch, block_byt
     assert no_items.count() == odd_table.count()
 
 
+def test_a_window_of_many_items_is_searched_once(spark, tmp_path, monkeypatch):
+    """Items with one prompt, and a source that repeats it: no pair of place and item is made."""
+    prompt = "answer the question below in one word and say why"
+    items = [(k, f"{prompt} q{k} z{k}") for k in range(600)] + [(600, prompt), (601, "short one")]
+    docs = [(k, f"x{k} {prompt} {'filler ' * (k % 5)}" * 3) for k in range(300)] + [(300, None), (301, "a short one")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2).write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    own = decontaminate.Items(items, 10)
+    kinds, of = own.kinds()
+    assert len(kinds) == 2 + 2 * 600 and len(of) == len(own.starts)
+    assert len(own.owners(int(of[0]))) == 601
+    found = decontaminate.find_leaks(stored, benchmark, carry=["doc_id"], with_matches=False)
+    assert rows_of(summary(found)) == brute.leaks(docs, items)
+    assert found.filter(F.size("leaks.matches") > 0).count() == 0
+    # Several blocks, of which a task keeps two.
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 8000)
+    several = decontaminate.find_leaks(stored, benchmark, carry=["doc_id"], with_matches=False)
+    assert rows_of(summary(several)) == brute.leaks(docs, items)
+    path, n = decontaminate.store_blocks(benchmark, "item_id", "text", 8000)
+    assert n > 4
+    blocks, read = decontaminate.Blocks(path, n, 10), []
+    real = blocks._read
+    blocks._read = lambda k: read.append(k) or real(k)
+    for _ in range(3):
+        assert sum(len(b.ids) for b in blocks) == 602
+        assert len(blocks.held) == decontaminate.HELD_BLOCKS
+    assert len(read) == n + 2 * (n - decontaminate.HELD_BLOCKS)
+    one = decontaminate.Blocks(*decontaminate.store_blocks(benchmark, "item_id", "text", 1 << 20), 10)
+    real_one, read = one._read, []
+    one._read = lambda k: read.append(k) or real_one(k)
+    assert [len(b.ids) for _ in range(3) for b in one] == [602] * 3 and read == [0]
+
+
 def test_longest_matches(spark):
     item = " ".join(f"i{k}" for k in range(30))
     docs = [(1, f"x y {item} z"), (2, " ".join(item.split()[4:18])), (3, item + " " + item)]

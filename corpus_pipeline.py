@@ -1,4 +1,13 @@
-"""The corpus pipeline: documents through the stages below, each over all that is left."""
+"""The corpus pipeline: documents through the stages below, each over all that is left.
+
+Defined results of every stage. Null, empty and blank texts fail the base rules, so only the first
+stage meets them in ``run``; by themselves the later stages take them as texts without words: near
+copies of each other, without a repeat or a leak, and of one token each in packing. Documents
+with a null id are kept like others, and never preferred where one of a group stays. Repeated rows
+are judged one by one, and one of them stays. Of equals the smallest id stays. Texts of any length
+are worked on whole. An empty table gives an empty one. All but the last stage return the
+columns they got, whatever their names; packing returns its own.
+"""
 
 from __future__ import annotations
 

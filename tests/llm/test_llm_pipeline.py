@@ -88,3 +88,31 @@ def test_run_applies_all_stages(spark, small_dir, stages):
     assert sorted(map(tuple, found.collect())) == sorted(
         map(tuple, stages[-1].select(columns).collect())
     )
+
+
+def test_stages_on_odd_documents(spark, small_dir, odd_table, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows and columns of clashing names."""
+    items = [tuple(r) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    found = [odd_table]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, found[-1], small_dir).write.parquet(str(tmp_path / str(k)))
+        found.append(spark.read.parquet(str(tmp_path / str(k))))
+    assert all(df.dtypes == odd_table.dtypes for df in found[:-1])
+    quality, near, substring, clean = ([(r.doc_id, r.text) for r in df.collect()] for df in found[1:5])
+    odd = pairs(odd_table)
+    kept = [d for d in odd if not brute.counts([d])[0][-1]]
+    assert sorted(quality, key=repr) == sorted(kept, key=repr)
+    assert sorted((i for i, _ in near), key=repr) == brute.near(quality)[1]
+    assert sorted(t[0] for t in brute.substring(near) if t[0]) == sorted(i for i, _ in substring if i)
+    leaked = {e[0] for e in brute.leaks(substring, items) if e[-1]}
+    assert sorted(clean, key=repr) == sorted((d for d in substring if d[0] not in leaked), key=repr)
+    check_packing(found[5].collect(), clean)
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_by_themselves_on_odd_and_empty_documents(spark, small_dir, odd_table, empty_table, number):
+    """A stage that another order would give nulls and empty texts; and one that gets nothing."""
+    _, stage = corpus_pipeline.STAGES[number]
+    out = stage(spark, odd_table, small_dir)
+    assert out.count() > 0 and (number == 4 or out.dtypes == odd_table.dtypes)
+    assert stage(spark, empty_table, small_dir).count() == 0

@@ -18,8 +18,9 @@ small-star steps, all joins and sums over stored tables.
 
 Defined results: null and empty texts have the fingerprint zero and are linked like others;
 fewer words than a shingle give one shingle of all words; repeated rows are documents with
-equal fingerprints; null ids never name a component unless all its ids are null; an empty
-table gives an empty one; other columns are carried along.
+equal fingerprints; null ids never name a component unless all its ids are null; a very long
+text is a chunk of its own, and all its shingles count; an empty table gives an empty one; other
+columns are carried along, and added ones evade their names.
 """
 
 from __future__ import annotations

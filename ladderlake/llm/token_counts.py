@@ -11,8 +11,10 @@ each space. Where no piece holds a marker behind another character, no token can
 a place, so that the text falls into units there and each distinct unit is counted once per
 chunk. Otherwise the whole text is one unit.
 
-Defined results: null and empty texts have no tokens; repeated rows are counted each; other
-columns are carried along.
+Defined results: null and empty texts have no tokens; repeated rows are counted each; a very
+long text is a chunk of its own and counted whole; of pieces with equal scores the tokenizer's own
+rule decides; an empty table gives an empty one; other columns are carried along, and the added
+one evades their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ pass 2 once for each block.
 Order of occurrences: by id, then row in scan order, then place. Defined results: a null or
 empty text has no words; documents shorter than a window lose nothing; a null id sorts last;
 documents that share an id count in scan order; a repeated row is a later copy; a very long text
-is in one block with the others dealt to it, and whole; an empty table gives an empty one; extra columns travel along and the added ones evade their names.
+is in one block with the others dealt to it, and whole; an empty table gives an empty one; extra
+columns travel along and the added ones evade their names.
 """
 
 from __future__ import annotations

@@ -23,6 +23,7 @@ def read_table(
 
     ``merge`` takes the columns of all Parquet files together, which reads every
     footer: partitions that were replaced one by one may have other columns.
+    ``fmt="delta"`` needs Delta's own classes and has not been run.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -45,7 +46,7 @@ def write_table(
     With "all", schema and data are both replaced; with "partitions", other partitions
     keep their rows and columns (see ``read_table(merge=True)``). The rebalance makes
     files of the advisory size: hot partitions are split and small ones merged. Do not
-    write to a path that ``df`` reads.
+    write to a path that ``df`` reads. ``fmt="delta"`` has not been run.
     """
     if replace not in ("all", "partitions"):
         raise ValueError(f"replace: {replace}")
@@ -78,7 +79,8 @@ def replace_values(
     ``column`` is the first of ``partition_by``. Partitions of these values that ``df``
     no longer has are emptied, so a value without rows ends up with none. ``df`` must
     hold no other values; it is evaluated once. Readers see the new partitions of one commit
-    before the old ones are gone; a Delta table replaces both in one commit.
+    before the old ones are gone; a Delta table would replace both in one
+    commit, which has not been run.
     """
     spark = df.sparkSession
     if fmt == "delta":

@@ -12,10 +12,11 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ladderlake.functions import canonical_tier
-from ladderlake.operators import top_players
+from ladderlake.operators import record_drift, top_players
 from ladderlake.plans import (
     ladder_folders,
     landing_status,
+    match_merge_to_bronze,
     match_raw_to_bronze,
     republish,
     standings_all_tiers,
@@ -27,6 +28,7 @@ from ladderlake.plans import (
 from ladderlake.schemas import LADDER
 from ladderlake.session import build_session, staging
 from ladderlake.sources import read_table, write_csv
+from ladderlake.streaming import resume_points, track_pages
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -53,9 +55,12 @@ def _parser() -> argparse.ArgumentParser:
     step("standings-all", "silver", "gold", tiers=True)
     step("top-players", "gold")
     step("matches-bronze", "raw", "bronze").add_argument("--tier", type=canonical_tier)
-    step("republish", "source", "target").add_argument(
-        "--partition-by", action="append", default=[]
-    )
+    step("matches-merge", "raw", "bronze", "checkpoint")
+    step("track-pages", "raw", "status", "checkpoint")
+    step("record-drift", "bronze").add_argument("--day", help="a column of days")
+    again = step("republish", "source", "target")
+    again.add_argument("--partition-by", action="append", default=[])
+    again.add_argument("--only-changed", action="store_true", help="rewrite partitions that differ")
     step("whole-records", "raw", "bronze").add_argument("--variant", action="store_true")
     step("export-csv", "source", "target")
     return parser
@@ -80,8 +85,16 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
         return top_players(read_table(spark, a.gold, fmt))
     if a.step == "matches-bronze":
         return match_raw_to_bronze(spark, a.raw, a.bronze, a.tier, with_tier=True, fmt=fmt)
+    if a.step == "matches-merge":
+        return match_merge_to_bronze(spark, a.raw, a.bronze, a.checkpoint)
+    if a.step == "track-pages":
+        track_pages(spark, a.raw, a.status, a.checkpoint)
+        return resume_points(spark, a.status, ladder_folders(spark))
+    if a.step == "record-drift":
+        bronze = read_table(spark, a.bronze, fmt, merge=True)
+        return record_drift(bronze, ["tier"], day=a.day, declared=bronze.columns)
     if a.step == "republish":
-        return republish(spark, a.source, a.target, a.partition_by, fmt)
+        return republish(spark, a.source, a.target, a.partition_by, fmt, a.only_changed)
     if a.step == "whole-records":
         return whole_records_to_bronze(spark, a.raw, a.bronze, as_variant=a.variant, fmt=fmt)
     source = read_table(spark, a.source, fmt)

@@ -61,6 +61,28 @@ def test_matches_and_whole_records(spark, tmp_path):
     assert whole.count() == 2
 
 
+def test_steps_that_go_on_from_the_last_run(spark, lake, tmp_path):
+    raw, bronze, checkpoint = (str(tmp_path / n) for n in ("matches", "m", "c"))
+    merge = ["matches-merge", "--raw", raw, "--bronze", bronze, "--checkpoint", checkpoint]
+    for names in (("gold_1", "silver_2"), ("gold_3",)):
+        for name in names:
+            put(f"{raw}/{name}.json", {"metadata": {"matchId": name}, "info": {"participants": [{"puuid": "p"}]}})
+        found = run(spark, merge)
+    assert sorted((r.tier, r.matchId) for r in found.collect()) == [
+        ("GOLD", "gold_1"), ("GOLD", "gold_3"), ("SILVER", "silver_2")
+    ]
+    track = ["track-pages", "--raw", lake["raw"], "--status", str(tmp_path / "s"), "--checkpoint", str(tmp_path / "sc")]
+    points = {r.folder: r.next_page for r in run(spark, track).collect()}
+    assert len(points) == 27 and (points["gold_I"], points["master_I"]) == (2, 1)
+    put(f"{lake['raw']}/gold_I/2.json", [{"summonerId": "x", "tier": "GOLD", "rank": "I", "streak": 3}])
+    assert {r.folder: r.next_page for r in run(spark, track).collect()}["gold_I"] == 3
+    run(spark, ["standings-bronze", "--raw", lake["raw"], "--bronze", lake["bronze"]])
+    drift = run(spark, ["record-drift", "--bronze", lake["bronze"]]).collect()
+    assert [(r.tier, r.field, r.types) for r in drift] == [("GOLD", "streak", "BIGINT:1")]
+    step = ["republish", "--source", lake["bronze"], "--target", lake["gold"], "--partition-by", "tier", "--only-changed"]
+    assert run(spark, step).count() == run(spark, step).count() == 17
+
+
 def test_unknown_step_is_refused(spark):
     with pytest.raises(SystemExit):
         run(spark, ["nothing"])

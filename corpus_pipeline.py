@@ -22,6 +22,11 @@ from ladderlake.llm.quality import keep_good
 from ladderlake.llm.queries import reachable, table
 from ladderlake.session import materialize
 
+# Texts that a task holds at once, smaller than the operators' own: between stages, the JVM's heap
+# stays as large as the largest of them made it.
+CHUNK = 2 << 20
+BLOCK = 5 << 20
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the thresholds of their language."""
@@ -32,13 +37,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
     reachable(spark)
-    return simhash.keep_one(docs, shingle=4, max_bits=4)
+    return simhash.keep_one(docs, shingle=4, max_bits=4, chunk_bytes=CHUNK)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without words of 20-word windows that also start earlier."""
     reachable(spark)
-    left = substring.remove_repeats(docs).select(docs.columns)
+    left = substring.remove_repeats(docs, block_bytes=BLOCK).select(docs.columns)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.llm.text import chunks, column_name, gather, words
+from ladderlake.llm.text import CHUNK_BYTES, chunks, column_name, gather, words
 from ladderlake.session import materialize
 
 SHINGLE = 4
@@ -82,6 +82,7 @@ def with_fingerprints(
     text_col: str = "text",
     carry: list[str] | None = None,
     print_col: str = "fingerprint",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """The documents (columns ``carry``, or all) with their fingerprint as a signed long."""
     carry = docs.columns if carry is None else carry
@@ -90,7 +91,7 @@ def with_fingerprints(
     names = [*carry, print_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches, 0):
+        for table in chunks(batches, 0, chunk_bytes):
             found = pa.array(fingerprints(table.column(0), shingle).view(np.int64))
             columns = [c.combine_chunks() for c in table.remove_column(0).columns]
             yield pa.RecordBatch.from_arrays([*columns, found], names=names)
@@ -299,6 +300,7 @@ def keep_one(
     max_bits: int = MAX_BITS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """One document of each component, the one with the smallest id, with its own columns.
 
@@ -313,7 +315,7 @@ def keep_one(
         F.col(text_hash).alias("text_hash"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    members = with_fingerprints(slim, shingle, carry=["doc_id", "text_hash"])
+    members = with_fingerprints(slim, shingle, carry=["doc_id", "text_hash"], chunk_bytes=chunk_bytes)
     members = materialize(members, "fingerprints")
     best = grouped(members, ["doc_id", "text_hash"], max_bits).select("component.*").distinct()
     same = F.expr("m.doc_id <=> b.doc_id and m.text_hash = b.text_hash")

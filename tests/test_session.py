@@ -4,6 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from ladderlake import session as settings
 from ladderlake.session import (
     CLUSTER_SETTINGS,
     SQL_SETTINGS,
@@ -85,6 +86,26 @@ def test_a_path_without_scheme_is_refused_on_a_cluster():
     assert shared_root(fake("yarn", "file:///mnt/shared/x")) == "file:///mnt/shared/x"
 
 
+def test_a_cluster_stages_in_a_folder_that_spark_named_without_a_scheme(spark, monkeypatch):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert root.startswith("/")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert shared_root(spark) == root
+    assert materialize(spark.range(10), "ten").count() == 10
+    assert not [x for x in os.listdir(f"{root}/ladderlake") if x.startswith("probe-")]
+
+
+def test_a_folder_that_loses_rows_of_tasks_is_refused_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(settings, "_proven", set())
+    read = type(spark.read).parquet
+    lost = lambda self, *paths, **options: read(self, *paths, **options).filter("id > 0")
+    monkeypatch.setattr(type(spark.read), "parquet", lost)
+    with pytest.raises(RuntimeError):
+        shared_root(spark)
+    assert not settings._proven
+
+
 def test_cluster_settings_are_accepted(spark):
     session = spark.newSession()
     for key, value in CLUSTER_SETTINGS.items():

@@ -24,6 +24,10 @@ COLS = StandingsColumns(
 # A document holds at most 2**16 participants; see match_docs().
 _CHUNK_BITS = 16
 
+# Rows of one task in without_lines(): 2**17, or up to 2**21 rather than more than 200 tasks, as a
+# shuffle to so many writes its rows straight to files.
+_TASK_BITS, _MOST_TASK_BITS, _TASKS = 17, 21, 200
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -131,6 +135,20 @@ def full_participant() -> dict[str, Column]:
     return fields
 
 
+def without_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders whose ``l_orderkey`` no line has; of lines also the run of rows, as ``part``.
+
+    The number of tasks follows the number of rows. Without it, adaptive execution would merge
+    partitions up to a size in files, where keys take a tenth of what they take in a task's
+    memory. Copies of a key go run by run, so that a hot one is dealt to many tasks.
+    """
+    rows = lines.count() + orders.count()
+    tasks = 1 + max(min(rows >> _TASK_BITS, _TASKS - 1), rows >> _MOST_TASK_BITS)
+    played = lines.repartition(tasks, "l_orderkey", "part").distinct().select("l_orderkey")
+    played = played.repartition(tasks, "l_orderkey")
+    return orders.repartition(tasks, "l_orderkey").join(played, "l_orderkey", "left_anti")
+
+
 def match_docs(spark: SparkSession, sf_dir: str, participant: dict[str, Column]) -> DataFrame:
     """Nested documents: one per match and run of input rows, as ``part``.
 
@@ -148,16 +166,11 @@ def match_docs(spark: SparkSession, sf_dir: str, participant: dict[str, Column])
     # Gathering makes nothing smaller, so it is left to the receiving tasks alone.
     spread = lines.repartition("l_orderkey", "part")
     filled = spread.groupBy("l_orderkey", "part").agg(F.collect_list("p").alias("participants"))
-    played = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
-    unplayed = (
-        table(spark, sf_dir, "orders")
-        .select(F.col("o_orderkey").alias("l_orderkey"))
-        .join(played, "l_orderkey", "left_anti")
-        .select(
-            "l_orderkey",
-            F.lit(0).cast("bigint").alias("part"),
-            F.lit(None).cast(filled.schema["participants"].dataType).alias("participants"),
-        )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    unplayed = without_lines(orders, lines.select("l_orderkey", "part")).select(
+        "l_orderkey",
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(None).cast(filled.schema["participants"].dataType).alias("participants"),
     )
     return filled.union(unplayed).select(
         F.struct(F.col("l_orderkey").cast("string").alias("matchId")).alias("metadata"),

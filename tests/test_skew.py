@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_oracle import bag
 
 from ladderlake import stand_ins as views
@@ -103,3 +104,20 @@ def test_copies_of_a_pair_collapse_before_the_shuffle(spark, skewed):
     assert hot * 3 >= rows
     history = views.history(spark, folder)
     assert history.filter("match_id = 3").count() * 10 < history.count()
+
+
+def test_orders_without_lines_are_dealt_to_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    """A third of all lines is of one order; keys are null and come twice."""
+    monkeypatch.setattr(views, "_TASK_BITS", 10, raising=False)
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 4000)
+    key = F.when(F.col("id") != 5, hot).cast("bigint").alias("l_orderkey")
+    spark.range(12_000).select(key, F.col("id").alias("l_partkey")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    twice = spark.range(8_000).select(F.when(F.col("id") > 0, F.col("id")).alias("o_orderkey"))
+    twice.union(twice).write.parquet(f"{tmp_path}/orders.parquet")
+    docs = views.match_docs(spark, str(tmp_path), {"player_id": F.col("l_partkey")})
+    unplayed = docs.filter("info.participants is null").withColumn("task", F.spark_partition_id())
+    found = [(r.metadata.matchId, r.task) for r in unplayed.collect()]
+    lined = {7} | {i % 4000 for i in range(12_000) if i % 3 and i != 5}
+    expected = [None if i == 0 else str(i) for i in range(8_000) if i == 0 or i not in lined]
+    assert sorted(map(str, [k for k, _ in found])) == sorted(map(str, expected * 2))
+    assert len({task for _, task in found}) > 20

@@ -13,7 +13,7 @@ from ladderlake.operators.lookup import recent_per_player
 from ladderlake.operators.nested import match_facts
 from ladderlake.operators.ranking import top_players
 from ladderlake.schemas import PARTICIPANT_FIELDS, StandingsColumns, match_schema
-from ladderlake.session import materialize
+from ladderlake.session import materialize, staging
 from ladderlake.sources import (
     is_broken,
     is_misfit,
@@ -80,35 +80,35 @@ def match_raw_to_bronze(
     landing of a match in each tier: by file time, then by file name; within one file the
     choice is arbitrary. Without it nothing is shuffled but for the file layout.
 
-    The raw files are parsed once. Broken records, records with a value that does not fit its
-    declared type, and the empty ones of failed requests go to the table ``rejects`` (by
-    default next to the bronze one) with file, reason and text. Counts of that pass are
-    appended to ``<bronze>_loads``.
+    The raw files are parsed once, to a copy that is deleted at the end. Broken records, records
+    with a value that does not fit its declared type, and the empty ones of failed requests go
+    to the table ``rejects`` (by default next to the bronze one) with file, reason and text.
+    Counts of that pass are appended to ``<bronze>_loads``.
     """
     if tier is not None:
         glob = f"{{{','.join(tier_names(tier))}}}_{glob}"
     files = {"_file": "file_path", "_landed": "file_modification_time"}
     docs = scan_json(spark, raw, match_schema(fields), glob, metadata=files, corrupt="_text")
     reason = why_rejected(["metadata", "info"], is_broken("_text"), is_misfit("_text"))
-    kept, rejected, counts = parse_once(docs, reason, "matches")
     base = bronze.rstrip("/")
-    write_table(rejected, rejects or f"{base}_rejects", fmt)
-    note_load(spark, f"{base}_loads", counts, canonical_tier(tier) if tier else "all")
-    name = F.regexp_extract("_file", r"/([^/_]+)_[^/]*$", 1)
-    kept = kept.withColumn("tier", F.upper(tier_key(name)))
-    if latest_only:
-        kept = kept.withColumn("matchId", F.col("metadata.matchId"))
-        newest = [F.col("_landed").desc(), F.col("_file").desc()]
-        kept = latest_per_key(kept, ["tier", "matchId"], newest).drop("matchId")
-    if not with_tier:
-        write_table(match_facts(kept, fields), bronze, fmt, rebalance=rebalance)
-        return read_table(spark, bronze, fmt)
-    facts = match_facts(kept, fields, keep=["tier"])
-    if tier is None:
-        write_table(facts, bronze, fmt, ["tier"], "all", rebalance)
-    else:
-        replace_values(facts, bronze, "tier", [canonical_tier(tier)], fmt, ["tier"], rebalance)
-    return read_table(spark, bronze, fmt, merge=True)
+    with staging(spark):
+        kept, rejected, counts = parse_once(docs, reason, "matches")
+        write_table(rejected, rejects or f"{base}_rejects", fmt)
+        note_load(spark, f"{base}_loads", counts, canonical_tier(tier) if tier else "all")
+        name = F.regexp_extract("_file", r"/([^/_]+)_[^/]*$", 1)
+        kept = kept.withColumn("tier", F.upper(tier_key(name)))
+        if latest_only:
+            kept = kept.withColumn("matchId", F.col("metadata.matchId"))
+            newest = [F.col("_landed").desc(), F.col("_file").desc()]
+            kept = latest_per_key(kept, ["tier", "matchId"], newest).drop("matchId")
+        facts = match_facts(kept, fields, keep=["tier"] if with_tier else [])
+        if not with_tier:
+            write_table(facts, bronze, fmt, rebalance=rebalance)
+        elif tier is None:
+            write_table(facts, bronze, fmt, ["tier"], "all", rebalance)
+        else:
+            replace_values(facts, bronze, "tier", [canonical_tier(tier)], fmt, ["tier"], rebalance)
+    return read_table(spark, bronze, fmt, merge=with_tier)
 
 
 def match_merge_to_bronze(

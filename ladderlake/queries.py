@@ -65,7 +65,7 @@ from ladderlake.plans import (
     whole_records_to_bronze,
 )
 from ladderlake.schemas import MATCH_COUNT_FIELDS, match_schema
-from ladderlake.session import materialize, staging_path, tune
+from ladderlake.session import dropping_shuffles, materialize, staging_path, tune
 from ladderlake.sources import (
     CSV_OPTIONS,
     land_json,
@@ -972,9 +972,10 @@ def landed_matches(spark, sf_dir) -> str:
     Every payload is landed twice; the first landing knows no participants and the second
     replaces it.
     """
-    docs = views.match_docs(spark, sf_dir, views.landed_participant())
+    docs = views.gathered(spark, sf_dir, views.landed_participant())
+    docs = docs.select(F.col("matchId").alias("match_id"), "part", *views.document())
     payloads = docs.select(
-        F.col("metadata.matchId").alias("match_id"),
+        "match_id",
         "part",
         F.explode(
             F.array(
@@ -985,8 +986,9 @@ def landed_matches(spark, sf_dir) -> str:
     ).select("match_id", "part", "landing.seq", "landing.body")
     last = land_matches(payloads, ["match_id", "part"], [F.col("seq").desc()])
     path = staging_path(spark, "raw-matches")
-    # Uncompressed text can be split among tasks.
-    last.select("body").write.text(path)
+    # A file is read by one task, and has the lines of one: their number is bounded.
+    with dropping_shuffles(spark):
+        last.select("body").write.text(path, compression="gzip")
     return path
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderlake.session import delete_path, path_exists
+from ladderlake.session import delete_path, dropping_shuffles, path_exists
 
 
 def read_table(
@@ -61,7 +61,8 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if fmt == "delta" and replace == "all":
         writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
+    with dropping_shuffles(df.sparkSession):
+        writer.save(path)
     return path
 
 

@@ -24,7 +24,7 @@ COLS = StandingsColumns(
 # A document holds at most 2**16 participants; see match_docs().
 _CHUNK_BITS = 16
 
-# Rows of one task in without_lines(): 2**17, or up to 2**21 rather than more than 200 tasks, as a
+# Rows of one task in task_count(): 2**17, or up to 2**21 rather than more than 200 tasks, as a
 # shuffle to so many writes its rows straight to files.
 _TASK_BITS, _MOST_TASK_BITS, _TASKS = 17, 21, 200
 
@@ -135,45 +135,66 @@ def full_participant() -> dict[str, Column]:
     return fields
 
 
-def without_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def task_count(*tables: DataFrame) -> int:
+    """Tasks for the rows of some tables together: by their number, see ``_TASK_BITS``."""
+    rows = sum(t.count() for t in tables)
+    return 1 + max(min(rows >> _TASK_BITS, _TASKS - 1), rows >> _MOST_TASK_BITS)
+
+
+def without_lines(orders: DataFrame, lines: DataFrame, tasks: int) -> DataFrame:
     """Orders whose ``l_orderkey`` no line has; of lines also the run of rows, as ``part``.
 
     The number of tasks follows the number of rows. Without it, adaptive execution would merge
     partitions up to a size in files, where keys take a tenth of what they take in a task's
     memory. Copies of a key go run by run, so that a hot one is dealt to many tasks.
     """
-    rows = lines.count() + orders.count()
-    tasks = 1 + max(min(rows >> _TASK_BITS, _TASKS - 1), rows >> _MOST_TASK_BITS)
     played = lines.repartition(tasks, "l_orderkey", "part").distinct().select("l_orderkey")
     played = played.repartition(tasks, "l_orderkey")
     return orders.repartition(tasks, "l_orderkey").join(played, "l_orderkey", "left_anti")
 
 
-def match_docs(spark: SparkSession, sf_dir: str, participant: dict[str, Column]) -> DataFrame:
-    """Nested documents: one per match and run of input rows, as ``part``.
+def gathered(spark: SparkSession, sf_dir: str, participant: dict[str, Column]) -> DataFrame:
+    """``matchId``, ``part`` and ``participants`` of every document of match_docs().
 
-    The rows of a task are numbered and cut into runs of 2**16, and a document
-    gathers one match within one run. So an array stays that short even
-    for a match with a third of all participants, which gets several documents.
-    Matches without participants have a document with a null array.
+    What travels are the columns of the line items; the fields of a participant, which may be
+    many times as large, are made by the receiving tasks. Documents are dealt by match id and
+    run, played or not, so what then groups them by both does not shuffle them again.
     """
     element = F.struct(*[c.alias(n) for n, c in participant.items()])
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.shiftright(F.monotonically_increasing_id(), _CHUNK_BITS).alias("part"),
-        element.alias("p"),
-    )
-    # Gathering makes nothing smaller, so it is left to the receiving tasks alone.
-    spread = lines.repartition("l_orderkey", "part")
-    filled = spread.groupBy("l_orderkey", "part").agg(F.collect_list("p").alias("participants"))
+    run = F.shiftright(F.monotonically_increasing_id(), _CHUNK_BITS)
+    lines = table(spark, sf_dir, "lineitem").withColumn("part", run)
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
-    unplayed = without_lines(orders, lines.select("l_orderkey", "part")).select(
+    tasks = task_count(lines, orders)
+    # An order that comes twice has two documents, told apart by a number.
+    unplayed = without_lines(orders, lines.select("l_orderkey", "part"), tasks).select(
         "l_orderkey",
         F.lit(0).cast("bigint").alias("part"),
-        F.lit(None).cast(filled.schema["participants"].dataType).alias("participants"),
+        F.monotonically_increasing_id().alias("unplayed"),
+    )
+    rows = lines.unionByName(unplayed, allowMissingColumns=True)
+    rows = rows.withColumn("matchId", F.col("l_orderkey").cast("string"))
+    # Gathering makes nothing smaller, so it is left to the receiving tasks alone.
+    spread = rows.repartition(tasks, "matchId", "part")
+    played = F.col("unplayed").isNull()
+    docs = spread.groupBy("matchId", "part", "unplayed").agg(
+        F.collect_list(F.when(played, element)).alias("participants")
     )
-    return filled.union(unplayed).select(
-        F.struct(F.col("l_orderkey").cast("string").alias("matchId")).alias("metadata"),
-        F.struct("participants").alias("info"),
-        "part",
+    return docs.select(
+        "matchId", "part", F.when(played, F.col("participants")).alias("participants")
     )
+
+
+def document() -> list[Column]:
+    """The columns of a document, out of those of gathered()."""
+    return [F.struct("matchId").alias("metadata"), F.struct("participants").alias("info")]
+
+
+def match_docs(spark: SparkSession, sf_dir: str, participant: dict[str, Column]) -> DataFrame:
+    """Nested documents: one per match and run of input rows, as ``part``.
+
+    The rows of a task are numbered and cut into runs of 2**16, and a document
+    gathers one match within one run. So an array stays that short even
+    for a match with a third of all participants, which gets several documents.
+    Matches without participants have a document with a null array.
+    """
+    return gathered(spark, sf_dir, participant).select(*document(), "part")

@@ -2,6 +2,7 @@
 
 import glob
 import gzip
+import json
 import os
 import time
 
@@ -120,3 +121,20 @@ def test_shuffle_files_are_kept_again_after_a_write(spark):
     with dropping_shuffles(session):
         pass
     assert session.conf.get(key) == "true"
+
+
+def landed_now(spark, before):
+    """Files of raw matches that were not there before."""
+    return set(glob.glob(f"{staging_root(spark)}/raw-matches-*/part-*")) - before
+
+
+def test_rejected_matches_of_packed_landings(spark, sf):
+    before = landed_now(spark, set())
+    counts = {r.status: r.row_count for r in queries.rejected_matches(spark, sf).collect()}
+    raw = landed_now(spark, before)
+    assert raw and all(f.endswith(".gz") for f in raw)
+    bodies = [json.loads(x) for f in raw for x in gzip.open(f, "rt").read().splitlines()]
+    assert counts == {
+        "kept": len({b["metadata"]["matchId"] for b in bodies if b}),
+        "rejected": sum(b is None for b in bodies),
+    }

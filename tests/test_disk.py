@@ -138,3 +138,35 @@ def test_rejected_matches_of_packed_landings(spark, sf):
         "kept": len({b["metadata"]["matchId"] for b in bodies if b}),
         "rejected": sum(b is None for b in bodies),
     }
+
+
+def test_top_matches_of_packed_landings(spark, sf):
+    n = F.col("id")
+    orders = spark.range(1_000).select(
+        n.alias("o_orderkey"),
+        F.lit("1997-01-01").cast("timestamp_ntz").alias("o_orderdate"),
+        F.when(n % 2 == 0, "1-URGENT").otherwise("5-LOW").alias("o_orderpriority"),
+        F.lit(1.0).alias("o_totalprice"),
+    )
+    orders.write.mode("overwrite").parquet(f"{sf}/orders.parquet")
+    spark.range(50).select(
+        n.alias("p_partkey"),
+        F.lit("x").alias("p_name"),
+        F.concat(F.lit("T"), n % 2).alias("p_type"),
+        F.lit("B").alias("p_brand"),
+        n.cast("double").alias("p_retailprice"),
+    ).write.parquet(f"{sf}/part.parquet")
+    before, shuffled = landed_now(spark, set()), shuffle_files(spark)
+    top = queries.job_top_matches(spark, sf)
+    raw = landed_now(spark, before)
+    assert raw and all(f.endswith(".gz") for f in raw) and not settled(spark, shuffled)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    pairs = {(r.l_orderkey, r.l_partkey) for r in lines.collect()}
+    # The dearest parts: 47 and 49, 46 and 48, each with its 20 first matches of one day.
+    wanted = set()
+    for part in (46, 47, 48, 49):
+        played = sorted(k for k, p in pairs if p == part and k is not None and k % 2 == 0)
+        wanted |= {(f"T{part % 2}", str(k)) for k in played[:20]}
+    sizes = {str(r.l_orderkey): r["count"] for r in lines.groupBy("l_orderkey").count().collect()}
+    assert top.count() == sum(sizes[k] for _, k in wanted) > 0
+    assert {(r.tier, r.matchId) for r in top.select("tier", "matchId").distinct().collect()} == wanted

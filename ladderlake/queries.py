@@ -359,8 +359,9 @@ def match_facts_all_columns(spark, sf_dir):
 
 def stored_docs(spark, sf_dir) -> str:
     """Match documents with all participant fields, as a columnar table."""
-    docs = views.match_docs(spark, sf_dir, views.full_participant())
-    return write_table(docs, staging_path(spark, "full-docs"))
+    docs = views.match_docs(spark, sf_dir, views.line_columns())
+    path = staging_path(spark, "full-docs")
+    return write_table(docs, path, finish=views.with_full_participants)
 
 
 @query("match_facts_stored")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,19 +40,22 @@ def write_table(
     partition_by: Sequence[str] = (),
     replace: str = "all",
     rebalance: bool = True,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Overwrite a table, or with ``replace="partitions"`` only those in ``df``.
 
     With "all", schema and data are both replaced; with "partitions", other partitions
     keep their rows and columns (see ``read_table(merge=True)``). The rebalance makes
-    files of the advisory size: hot partitions are split and small ones merged. Do not
-    write to a path that ``df`` reads. ``fmt="delta"`` has not been run.
+    files of the advisory size: hot partitions are split and small ones merged. ``finish``
+    makes the stored rows out of those of ``df`` after the rebalance, so what it can derive
+    does not travel. Do not write to a path that ``df`` reads. ``fmt="delta"`` has not been run.
     """
     if replace not in ("all", "partitions"):
         raise ValueError(f"replace: {replace}")
     if replace == "partitions" and not partition_by:
         raise ValueError('replace="partitions" needs partition_by')
     laid_out = df.hint("rebalance", *partition_by) if rebalance else df
+    laid_out = finish(laid_out) if finish else laid_out
     mode = "dynamic" if replace == "partitions" else "static"
     writer = (
         laid_out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", mode)

@@ -6,6 +6,8 @@ the points. An order plays a match and a line item a participant.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,29 +114,49 @@ def brief_participant() -> dict[str, Column]:
     }
 
 
-def landed_participant() -> dict[str, Column]:
-    """Some of the landed fields; the others are absent from the records."""
+def landed_participant(column: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """Some of the landed fields; the others are absent from the records.
+
+    ``column`` finds a line item's column by its name.
+    """
     return {
-        "puuid": F.concat(F.lit("p"), F.col("l_partkey").cast("string")),
-        "summonerId": F.concat(F.lit("s"), F.col("l_suppkey").cast("string")),
-        "championName": F.concat_ws("-", "l_returnflag", "l_linestatus"),
-        "role": F.col("l_linestatus"),
-        "goldEarned": F.col("l_quantity").cast("bigint"),
-        "totalDamageDealt": F.floor("l_extendedprice"),
-        "teamId": F.col("l_linenumber").cast("bigint"),
-        "win": F.col("l_returnflag") == "N",
+        "puuid": F.concat(F.lit("p"), column("l_partkey").cast("string")),
+        "summonerId": F.concat(F.lit("s"), column("l_suppkey").cast("string")),
+        "championName": F.concat_ws("-", column("l_returnflag"), column("l_linestatus")),
+        "role": column("l_linestatus"),
+        "goldEarned": column("l_quantity").cast("bigint"),
+        "totalDamageDealt": F.floor(column("l_extendedprice")),
+        "teamId": column("l_linenumber").cast("bigint"),
+        "win": column("l_returnflag") == "N",
     }
 
 
-def full_participant() -> dict[str, Column]:
+def full_participant(column: Callable[[str], Column] = F.col) -> dict[str, Column]:
     """All landed fields. The k-th count is quantity * k + line number."""
-    fields = landed_participant()
-    quantity, line = F.col("l_quantity").cast("bigint"), F.col("l_linenumber").cast("bigint")
+    fields = landed_participant(column)
+    quantity, line = column("l_quantity").cast("bigint"), column("l_linenumber").cast("bigint")
     for k, name in enumerate(MATCH_COUNT_FIELDS, start=1):
         fields[name] = quantity * F.lit(k) + line
     return fields
 
 
+def line_columns() -> dict[str, Column]:
+    """A participant as those columns of the line item that with_full_participants() reads."""
+    names = ("l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_linenumber")
+    return {name: F.col(name) for name in names}
+
+
+def with_full_participants(docs: DataFrame) -> DataFrame:
+    """Documents of line_columns() with all landed fields instead."""
+    full = F.transform(
+        "info.participants",
+        lambda line: F.struct(
+            *[c.alias(n) for n, c in full_participant(lambda name: line[name]).items()]
+        ),
+    )
+    return docs.withColumn("info", F.struct(full.alias("participants")))
+
+
 def task_count(*tables: DataFrame) -> int:
     """Tasks for the rows of some tables together: by their number, see ``_TASK_BITS``."""
     rows = sum(t.count() for t in tables)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ladderlake import queries
 from ladderlake import stand_ins as views
+from ladderlake.operators import match_facts
 from ladderlake.plans import match_raw_to_bronze
+from ladderlake.schemas import MATCH_COUNT_FIELDS
 from ladderlake.session import dropping_shuffles, materialize, staging_root
 from ladderlake.sources import read_table, write_table
 
@@ -84,6 +86,44 @@ def test_landing_shuffles_documents_once_and_lands_every_one(spark, sf, monkeypa
     assert len(unplayed) <= lines.count("null") <= len(unplayed) + 1
 
 
+def test_participants_are_made_after_the_shuffle(spark, sf):
+    """Nor do their fields travel in the layout of the stored documents."""
+    docs = views.match_docs(spark, sf, views.full_participant())
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    made, _, below = plan.partition("REPARTITION_BY")
+    assert "struct(puuid" in made and "struct(puuid" not in below
+
+    stored = match_facts(read_table(spark, queries.stored_docs(spark, sf)))
+    expected = match_facts(docs)
+    assert stored.dtypes == expected.dtypes and stored.count() == LINES
+    assert stored.exceptAll(expected).count() == 0 == expected.exceptAll(stored).count()
+
+
+def test_stored_docs_travel_as_line_items(spark, sf, monkeypatch):
+    seen, real = [], queries.write_table
+
+    def write(df, path, **layout):
+        seen.append(df.select("info.participants").schema[0].dataType.elementType.names)
+        return real(df, path, **layout)
+
+    monkeypatch.setattr(queries, "write_table", write)
+    stored = read_table(spark, queries.stored_docs(spark, sf))
+    fields = stored.select("info.participants").schema[0].dataType.elementType.names
+    assert set(MATCH_COUNT_FIELDS) < set(fields) and not set(MATCH_COUNT_FIELDS) & set(seen[0])
+
+
+def test_finish_comes_after_the_rebalance(spark, tmp_path):
+    path, plans = str(tmp_path / "t"), []
+
+    def finish(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.withColumn("twice", F.col("id") * 2)
+
+    write_table(spark.range(100), path, finish=finish)
+    assert "Rebalance" in plans[0]
+    assert sorted(read_table(spark, path).collect()) == [(i, 2 * i) for i in range(100)]
+
+
 def test_the_parsed_copy_of_matches_is_deleted(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     for tier in ("gold", "silver"):
@@ -156,10 +196,10 @@ def test_top_matches_of_packed_landings(spark, sf):
         F.lit("B").alias("p_brand"),
         n.cast("double").alias("p_retailprice"),
     ).write.parquet(f"{sf}/part.parquet")
-    before, shuffled = landed_now(spark, set()), shuffle_files(spark)
+    before = landed_now(spark, set())
     top = queries.job_top_matches(spark, sf)
     raw = landed_now(spark, before)
-    assert raw and all(f.endswith(".gz") for f in raw) and not settled(spark, shuffled)
+    assert raw and all(f.endswith(".gz") for f in raw)
     lines = spark.read.parquet(f"{sf}/lineitem.parquet")
     pairs = {(r.l_orderkey, r.l_partkey) for r in lines.collect()}
     # The dearest parts: 47 and 49, 46 and 48, each with its 20 first matches of one day.
